@@ -52,10 +52,32 @@ def bbox_columns(geom, prefix: str = "") -> list[Column]:
     ]
 
 
+def bbox_struct(geom) -> Column:
+    """The four box values as one struct, computed in a single pass over the vertices."""
+    init = F.struct(
+        F.lit(float("inf")).alias("min_lon"),
+        F.lit(float("inf")).alias("min_lat"),
+        F.lit(float("-inf")).alias("max_lon"),
+        F.lit(float("-inf")).alias("max_lat"),
+    )
+    return F.aggregate(
+        _c(geom),
+        init,
+        lambda acc, p: F.struct(
+            F.least(acc["min_lon"], p["lon"]).alias("min_lon"),
+            F.least(acc["min_lat"], p["lat"]).alias("min_lat"),
+            F.greatest(acc["max_lon"], p["lon"]).alias("max_lon"),
+            F.greatest(acc["max_lat"], p["lat"]).alias("max_lat"),
+        ),
+    )
+
+
 def is_closed(geom) -> Column:
     """First vertex equals last vertex, and a ring needs at least 4 vertices."""
-    g = _c(geom)
-    return (F.size(g) >= 4) & (g[0]["lon"] == F.element_at(g, -1)["lon"]) & (g[0]["lat"] == F.element_at(g, -1)["lat"])
+    return _let(
+        _c(geom),
+        lambda g: (F.size(g) >= 4) & (g[0]["lon"] == F.element_at(g, -1)["lon"]) & (g[0]["lat"] == F.element_at(g, -1)["lat"]),
+    )
 
 
 # --------------------------------------------------------------------------- distances
@@ -98,15 +120,15 @@ def dist_point_line(px, py, geom) -> Column:
 
     This is the distance PostGIS-style ``ST_Intersects(buffer(p, r), line)`` compares with ``r``.
     """
-    px, py, g = _c(px), _c(py), _c(geom)
-    n = F.size(g)
+    px, py = _c(px), _c(py)
+    return _let(_c(geom), lambda g: _let(_kx(py), lambda kx: _dist_line_body(px, py, kx, g)))
 
-    def body(kx):
-        segs = F.array_min(F.transform(F.sequence(F.lit(1), n - 1), lambda i: _seg_dist(px, py, kx, g[i - 1], g[i])))
-        single = _seg_dist(px, py, kx, g[0], g[0])
-        return F.when(n >= 2, segs).when(n == 1, single)
 
-    return _let(_kx(py), body)
+def _dist_line_body(px: Column, py: Column, kx: Column, g: Column) -> Column:
+    n = F.size(g)
+    segs = F.array_min(F.transform(F.sequence(F.lit(1), n - 1), lambda i: _seg_dist(px, py, kx, g[i - 1], g[i])))
+    single = _seg_dist(px, py, kx, g[0], g[0])
+    return F.when(n >= 2, segs).when(n == 1, single)
 
 
 def _crossings(px: Column, py: Column, g: Column) -> Column:
@@ -125,13 +147,18 @@ def _crossings(px: Column, py: Column, g: Column) -> Column:
 
 def point_in_ring(px, py, ring) -> Column:
     """Even-odd point-in-polygon for one closed ring (boundary handled by the caller)."""
-    return (_crossings(_c(px), _c(py), _c(ring)) % 2) == 1
+    return _let(_c(ring), lambda g: (_crossings(_c(px), _c(py), g) % 2) == 1)
 
 
 def dist_point_polygon(px, py, ring) -> Column:
     """Metres from a point to the polygon filled by a closed ring: 0 inside, else edge distance."""
-    px, py, g = _c(px), _c(py), _c(ring)
-    return F.when(point_in_ring(px, py, g), F.lit(0.0)).otherwise(dist_point_line(px, py, g))
+    px, py = _c(px), _c(py)
+    return _let(
+        _c(ring),
+        lambda g: F.when((_crossings(px, py, g) % 2) == 1, F.lit(0.0)).otherwise(
+            _let(_kx(py), lambda kx: _dist_line_body(px, py, kx, g))
+        ),
+    )
 
 
 # --------------------------------------------------------------------------- intersections
@@ -167,13 +194,16 @@ def _xy(v: Column) -> tuple[Column, Column]:
 
 def drop_repeated_vertices(geom) -> Column:
     """Remove consecutive duplicate vertices (zero-length edges)."""
-    g = _c(geom)
-    n = F.size(g)
-    keep = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: (i == 0) | (g[i]["lon"] != g[i - 1]["lon"]) | (g[i]["lat"] != g[i - 1]["lat"]),
-    )
-    return F.when(n >= 1, F.transform(keep, lambda i: g[i])).otherwise(g)
+
+    def body(g):
+        n = F.size(g)
+        keep = F.filter(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: (i == 0) | (g[i]["lon"] != g[i - 1]["lon"]) | (g[i]["lat"] != g[i - 1]["lat"]),
+        )
+        return F.when(n >= 1, F.transform(keep, lambda i: g[i])).otherwise(g)
+
+    return _let(_c(geom), body)
 
 
 def ring_is_valid(ring) -> Column:
@@ -269,7 +299,10 @@ def point_in_area(px, py, edges: Column) -> Column:
 
 def line_intersects_area(geom, edges: Column) -> Column:
     """A line touches the area: a vertex inside (or on the boundary), or an edge crossing an area edge."""
-    g = _c(geom)
+    return _let(_c(geom), lambda g: _line_area_body(g, edges))
+
+
+def _line_area_body(g: Column, edges: Column) -> Column:
     n = F.size(g)
     vertex_in = F.exists(g, lambda p: point_in_area(p["lon"], p["lat"], edges))
 

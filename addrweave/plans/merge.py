@@ -1,4 +1,148 @@
-"""placeholder"""
-class MergeOptions: pass
-class MergeResult: pass
-def merge_addresses(*a, **k): raise NotImplementedError
+"""The whole merge as one lazily built Spark plan.
+
+imports --J2--> duplicates / remaining_after_duplicates
+        --J3..J5 (no-city)-->  \
+        --J7..J11 (buildings)-->  matches --D5--> change sets (C5)
+remaining = remaining_after_duplicates minus matched imports (U2, J12)
+
+The passes do not exclude each other (one import may change a node, a way, a
+relation and a building), so they are independent branches joined only by U2.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from addrweave.operators.changes import Changes, change_sets
+from addrweave.operators.local import Local, local_features
+from addrweave.operators.match import (
+    AS_CODED,
+    MATCH_COLUMNS,
+    building_assignments,
+    building_matches,
+    conflict_groups,
+    exact_duplicates,
+    nocity_matches,
+    remaining_after_duplicates,
+    resolve_conflicts,
+)
+from addrweave.session import scratch_path
+from addrweave.sources.area import Area, parse_wkt_area
+from addrweave.sources.snapshot import Snapshot, load_imports
+
+
+@dataclass
+class MergeOptions:
+    """Options of the merge (distances in metres)."""
+
+    buffer: float = 0.5
+    nocity: float | None = None
+    building: float | None = None
+    strip_keys: Sequence[str] = field(default_factory=list)
+    semantics: str = AS_CODED
+    conflicts: str = "error"  # error | nearest | report
+    materialize: bool = False  # write local features and the import pool to the checkpoint folder
+    sorted_output: bool = False  # O2: remaining imports ordered by import_id
+
+
+@dataclass
+class MergeResult:
+    local: Local
+    duplicates: DataFrame
+    remaining_after_duplicates: DataFrame
+    matches: DataFrame  # resolved matches of all passes: import_id, type, id, dist, tags, pass
+    conflicts: DataFrame  # D5 report (before resolution)
+    changes: Changes
+    remaining: DataFrame
+    summary: DataFrame
+
+
+def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a table into the shared checkpoint folder and reading it back."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def empty_matches(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [], "import_id int, type string, id bigint, dist double, tags map<string,string>, pass string"
+    )
+
+
+def merge_addresses(
+    spark: SparkSession,
+    imports: DataFrame,
+    snapshot: Snapshot,
+    area: Area | str,
+    options: MergeOptions | None = None,
+) -> MergeResult:
+    """Run the merge; all outputs are lazy DataFrames (``conflicts='error'`` runs one check action)."""
+    opt = options or MergeOptions()
+    if isinstance(area, str):
+        area = parse_wkt_area(area)
+    imports = load_imports(imports)
+    local = local_features(snapshot, area)
+    local_all = local.all
+    if opt.materialize:
+        local_all = _materialize(spark, local_all, "local_all")
+
+    dups = exact_duplicates(imports, local_all)
+    pool = remaining_after_duplicates(imports, local_all)
+    if opt.materialize:
+        pool = _materialize(spark, pool, "import_pool")
+
+    passes: list[DataFrame] = []
+    if opt.nocity is not None:
+        passes.append(nocity_matches(pool, local_all, opt.nocity, opt.semantics))
+    if opt.building is not None:
+        bm = building_matches(pool, local_all, opt.buffer, opt.building, opt.semantics)
+        passes.append(building_assignments(bm, opt.semantics))
+    raw = empty_matches(spark)
+    for p in passes:
+        raw = raw.unionByName(p.select(*MATCH_COLUMNS))
+
+    conflicts = conflict_groups(raw)
+    matches = resolve_conflicts(raw, opt.conflicts) if passes else raw
+    changes = change_sets(matches, snapshot, opt.strip_keys)
+
+    matched_ids = matches.select("import_id").distinct()
+    remaining = pool.join(matched_ids, "import_id", "left_anti")
+    if opt.sorted_output:
+        remaining = remaining.orderBy("import_id")
+
+    summary = merge_summary(imports, dups, pool, matches, changes, remaining)
+    return MergeResult(local, dups, pool, matches, conflicts, changes, remaining, summary)
+
+
+def merge_summary(
+    imports: DataFrame,
+    dups: DataFrame,
+    pool: DataFrame,
+    matches: DataFrame,
+    changes: Changes,
+    remaining: DataFrame,
+) -> DataFrame:
+    """A3: one row per stage with its row count (``stage``, ``n``)."""
+
+    def cnt(stage: str, df: DataFrame) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(F.lit(stage).alias("stage"), "n")
+
+    parts = [
+        cnt("imports", imports),
+        cnt("duplicates", dups),
+        cnt("remaining_after_duplicates", pool),
+        cnt("matched_imports", matches.select("import_id").distinct()),
+        cnt("changed_nodes", changes.nodes),
+        cnt("changed_ways", changes.ways),
+        cnt("changed_relations", changes.relations),
+        cnt("remaining", remaining),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
