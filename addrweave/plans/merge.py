@@ -80,21 +80,29 @@ def merge_addresses(
     snapshot: Snapshot,
     area: Area | str,
     options: MergeOptions | None = None,
+    local_all: DataFrame | None = None,
+    pool: DataFrame | None = None,
 ) -> MergeResult:
-    """Run the merge; all outputs are lazy DataFrames (``conflicts='error'`` runs one check action)."""
+    """Run the merge; all outputs are lazy DataFrames (``conflicts='error'`` runs one check action).
+
+    ``local_all`` / ``pool`` may be passed in when they were already built (and
+    written) for this snapshot, area and import file.
+    """
     opt = options or MergeOptions()
     if isinstance(area, str):
         area = parse_wkt_area(area)
     imports = load_imports(imports)
     local = local_features(snapshot, area)
-    local_all = local.all
-    if opt.materialize:
-        local_all = _materialize(spark, local_all, "local_all")
+    if local_all is None:
+        local_all = local.all
+        if opt.materialize:
+            local_all = _materialize(spark, local_all, "local_all")
 
     dups = exact_duplicates(imports, local_all)
-    pool = remaining_after_duplicates(imports, local_all)
-    if opt.materialize:
-        pool = _materialize(spark, pool, "import_pool")
+    if pool is None:
+        pool = remaining_after_duplicates(imports, local_all)
+        if opt.materialize:
+            pool = _materialize(spark, pool, "import_pool")
 
     passes: list[DataFrame] = []
     if opt.nocity is not None:
