@@ -1,4 +1,4 @@
-"""Planar geometry on vertex arrays, as Spark Column expressions (no UDFs).
+"""Planar geometry on vertex arrays, as Spark SQL expressions (no UDFs).
 
 A geometry is ``ARRAY<STRUCT<lon DOUBLE, lat DOUBLE>>``: a node is a one-vertex
 array, a way its vertex list, a ring a closed vertex list (first == last).
@@ -6,12 +6,18 @@ Distances are metres in a local plane centred on the query point:
 ``x = dlon * cos(lat0) * M``, ``y = dlat * M`` with ``M`` metres per degree on the
 sphere of radius ``EARTH_RADIUS_M``. Edges are straight in lon/lat.
 
-Loops over vertices use ``transform``/``exists``/``aggregate`` over ``sequence``
-so everything runs in the JVM.
+Loops over vertices are ``transform``/``exists``/``filter``/``aggregate`` over
+``sequence`` so everything runs in the JVM. The builders produce SQL text
+(``sql_*``), which the public functions wrap with ``F.expr``: one call per
+expression instead of thousands of Column-API round trips from Python.
+Arguments are SQL expressions (usually plain column names). Values used more than
+once are bound once to a lambda variable (``_let``) so that optimizer rewrites that
+substitute an input expression never multiply it.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column
@@ -23,298 +29,268 @@ M_PER_DEG = EARTH_RADIUS_M * math.pi / 180.0
 
 GEOM_TYPE = "array<struct<lon:double,lat:double>>"
 
+_M = f"{M_PER_DEG!r}D"
+_ids = itertools.count()
 
-def _c(c) -> Column:
-    if isinstance(c, Column):
-        return c
-    if isinstance(c, str):
-        return F.col(c)
-    return F.lit(c)
 
+def _v(prefix: str) -> str:
+    """A fresh lambda variable name (nested lambdas must not shadow each other)."""
+    return f"{prefix}_{next(_ids)}"
 
-def point(lon, lat) -> Column:
-    """a one-vertex geometry."""
-    return F.array(F.struct(_c(lon).cast("double").alias("lon"), _c(lat).cast("double").alias("lat")))
+
+def _let(value: str, body) -> str:
+    """Evaluate ``value`` once; ``body(var)`` returns SQL using the bound name."""
+    v = _v("let")
+    return f"transform(array({value}), {v} -> {body(v)})[0]"
+
+
+def _d(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+# --------------------------------------------------------------------------- basics
 
 
-def n_vertices(geom) -> Column:
-    return F.size(_c(geom))
+def sql_point(lon: str, lat: str) -> str:
+    return f"array(named_struct('lon', CAST({lon} AS DOUBLE), 'lat', CAST({lat} AS DOUBLE)))"
 
 
-def bbox_columns(geom, prefix: str = "") -> list[Column]:
+def point(lon: str, lat: str) -> Column:
+    """a one-vertex geometry."""
+    return F.expr(sql_point(lon, lat))
+
+
+def bbox_columns(geom: str, prefix: str = "") -> list[Column]:
     """min_lon, min_lat, max_lon, max_lat of a vertex array (plain doubles: they push down)."""
-    g = _c(geom)
+    p = _v("p")
     return [
-        F.array_min(F.transform(g, lambda p: p["lon"])).alias(prefix + "min_lon"),
-        F.array_min(F.transform(g, lambda p: p["lat"])).alias(prefix + "min_lat"),
-        F.array_max(F.transform(g, lambda p: p["lon"])).alias(prefix + "max_lon"),
-        F.array_max(F.transform(g, lambda p: p["lat"])).alias(prefix + "max_lat"),
+        F.expr(f"array_min(transform({geom}, {p} -> {p}.lon))").alias(prefix + "min_lon"),
+        F.expr(f"array_min(transform({geom}, {p} -> {p}.lat))").alias(prefix + "min_lat"),
+        F.expr(f"array_max(transform({geom}, {p} -> {p}.lon))").alias(prefix + "max_lon"),
+        F.expr(f"array_max(transform({geom}, {p} -> {p}.lat))").alias(prefix + "max_lat"),
     ]
 
 
-def bbox_struct(geom) -> Column:
-    """The four box values as one struct, computed in a single pass over the vertices."""
-    init = F.struct(
-        F.lit(float("inf")).alias("min_lon"),
-        F.lit(float("inf")).alias("min_lat"),
-        F.lit(float("-inf")).alias("max_lon"),
-        F.lit(float("-inf")).alias("max_lat"),
-    )
-    return F.aggregate(
-        _c(geom),
-        init,
-        lambda acc, p: F.struct(
-            F.least(acc["min_lon"], p["lon"]).alias("min_lon"),
-            F.least(acc["min_lat"], p["lat"]).alias("min_lat"),
-            F.greatest(acc["max_lon"], p["lon"]).alias("max_lon"),
-            F.greatest(acc["max_lat"], p["lat"]).alias("max_lat"),
-        ),
+def sql_is_closed(geom: str) -> str:
+    return _let(
+        geom,
+        lambda g: f"(size({g}) >= 4 AND {g}[0].lon = element_at({g}, -1).lon AND {g}[0].lat = element_at({g}, -1).lat)",
     )
 
 
-def is_closed(geom) -> Column:
+def is_closed(geom: str) -> Column:
     """First vertex equals last vertex, and a ring needs at least 4 vertices."""
-    return _let(
-        _c(geom),
-        lambda g: (F.size(g) >= 4) & (g[0]["lon"] == F.element_at(g, -1)["lon"]) & (g[0]["lat"] == F.element_at(g, -1)["lat"]),
-    )
+    return F.expr(sql_is_closed(geom))
 
 
 # --------------------------------------------------------------------------- distances
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable."""
-    return F.transform(F.array(value), body)[0]
+def _sql_seg_dist(px: str, py: str, kx: str, a: str, b: str) -> str:
+    """Metres from (px, py) to segment a-b by clamped projection in the local plane."""
 
+    def with_vec(s: str) -> str:
+        def with_t(t: str) -> str:
+            return f"sqrt(pow({s}.ax + {t} * {s}.dx, 2) + pow({s}.ay + {t} * {s}.dy, 2))"
 
-def _kx(lat0: Column) -> Column:
-    return F.cos(F.radians(lat0)) * F.lit(M_PER_DEG)
+        dd = f"({s}.dx * {s}.dx + {s}.dy * {s}.dy)"
+        t_expr = f"CASE WHEN {dd} > 0 THEN greatest(0D, least(1D, -({s}.ax * {s}.dx + {s}.ay * {s}.dy) / {dd})) ELSE 0D END"
+        return _let(t_expr, with_t)
 
+    vec = (
+        f"named_struct('ax', ({a}.lon - {px}) * {kx}, 'ay', ({a}.lat - {py}) * {_M}, "
+        f"'dx', ({b}.lon - {a}.lon) * {kx}, 'dy', ({b}.lat - {a}.lat) * {_M})"
+    )
+    return _let(vec, with_vec)
 
-def _seg_dist(px: Column, py: Column, kx: Column, a: Column, b: Column) -> Column:
-    """Distance in metres from (px, py) to segment a-b, by clamped projection in the local plane."""
-    ax = (a["lon"] - px) * kx
-    ay = (a["lat"] - py) * F.lit(M_PER_DEG)
-    bx = (b["lon"] - px) * kx
-    by = (b["lat"] - py) * F.lit(M_PER_DEG)
-    dx = bx - ax
-    dy = by - ay
-    dd = dx * dx + dy * dy
-    t = F.when(dd > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), -(ax * dx + ay * dy) / dd))).otherwise(F.lit(0.0))
-    cx = ax + t * dx
-    cy = ay + t * dy
-    return F.sqrt(cx * cx + cy * cy)
 
+def _sql_line_body(px: str, py: str, kx: str, g: str) -> str:
+    i = _v("i")
+    segs = f"array_min(transform(sequence(1, size({g}) - 1), {i} -> {_sql_seg_dist(px, py, kx, f'{g}[{i} - 1]', f'{g}[{i}]')}))"
+    single = _sql_seg_dist(px, py, kx, f"{g}[0]", f"{g}[0]")
+    return f"CASE WHEN size({g}) >= 2 THEN {segs} WHEN size({g}) = 1 THEN {single} END"
 
-def dist_point_point(px, py, qx, qy) -> Column:
-    """Metres between two points, local plane at the first."""
-    px, py, qx, qy = _c(px), _c(py), _c(qx), _c(qy)
-    dx = (qx - px) * _kx(py)
-    dy = (qy - py) * F.lit(M_PER_DEG)
-    return F.sqrt(dx * dx + dy * dy)
 
+def sql_dist_point_line(px: str, py: str, geom: str) -> str:
+    return _let(geom, lambda g: _let(f"cos(radians({py})) * {_M}", lambda kx: _sql_line_body(px, py, kx, g)))
 
-def dist_point_line(px, py, geom) -> Column:
+
+def dist_point_line(px: str, py: str, geom: str) -> Column:
     """Metres from a point to a vertex array read as a line (a single vertex is a point).
 
-    This is the distance PostGIS-style ``ST_Intersects(buffer(p, r), line)`` compares with ``r``.
+    This is the distance that ``ST_Intersects(buffer(p, r), line)`` compares with ``r``.
     """
-    px, py = _c(px), _c(py)
-    return _let(_c(geom), lambda g: _let(_kx(py), lambda kx: _dist_line_body(px, py, kx, g)))
+    return F.expr(sql_dist_point_line(px, py, geom))
+
 
+def dist_point_point(px: str, py: str, qx: str, qy: str) -> Column:
+    """Metres between two points, local plane at the first."""
+    return F.expr(f"sqrt(pow(({qy} - {py}) * {_M}, 2) + pow(({qx} - {px}) * cos(radians({py})) * {_M}, 2))")
 
-def _dist_line_body(px: Column, py: Column, kx: Column, g: Column) -> Column:
-    n = F.size(g)
-    segs = F.array_min(F.transform(F.sequence(F.lit(1), n - 1), lambda i: _seg_dist(px, py, kx, g[i - 1], g[i])))
-    single = _seg_dist(px, py, kx, g[0], g[0])
-    return F.when(n >= 2, segs).when(n == 1, single)
 
+def _sql_crossings(px: str, py: str, g: str) -> str:
+    """Ring edges crossed by a ray from (px, py) towards +lon (even-odd rule).
 
-def _crossings(px: Column, py: Column, g: Column) -> Column:
-    """Number of ring edges crossed by a ray from (px, py) towards +lon (even-odd rule)."""
-    n = F.size(g)
+    The division only runs when the edge straddles ``py`` (AND short-circuits), so
+    its latitudes differ.
+    """
+    i = _v("i")
+    a, b = f"{g}[{i} - 1]", f"{g}[{i}]"
+    cond = (
+        f"(({a}.lat > {py}) != ({b}.lat > {py})) AND "
+        f"(({px} - {a}.lon) < ({b}.lon - {a}.lon) * ({py} - {a}.lat) / ({b}.lat - {a}.lat))"
+    )
+    return f"CASE WHEN size({g}) >= 2 THEN size(filter(sequence(1, size({g}) - 1), {i} -> {cond})) ELSE 0 END"
 
-    def crosses(i):
-        a = g[i - 1]
-        b = g[i]
-        straddles = (a["lat"] > py) != (b["lat"] > py)
-        # short-circuit AND: the division only runs when the edge straddles py (so lat differs)
-        return straddles & ((px - a["lon"]) < (b["lon"] - a["lon"]) * (py - a["lat"]) / (b["lat"] - a["lat"]))
 
-    return F.when(n >= 2, F.size(F.filter(F.sequence(F.lit(1), n - 1), crosses))).otherwise(F.lit(0))
+def sql_point_in_ring(px: str, py: str, ring: str) -> str:
+    return _let(ring, lambda g: f"({_sql_crossings(px, py, g)} % 2 = 1)")
 
 
-def point_in_ring(px, py, ring) -> Column:
+def point_in_ring(px: str, py: str, ring: str) -> Column:
     """Even-odd point-in-polygon for one closed ring (boundary handled by the caller)."""
-    return _let(_c(ring), lambda g: (_crossings(_c(px), _c(py), g) % 2) == 1)
+    return F.expr(sql_point_in_ring(px, py, ring))
+
 
+def sql_dist_point_polygon(px: str, py: str, ring: str) -> str:
+    def body(g: str) -> str:
+        line = _let(f"cos(radians({py})) * {_M}", lambda kx: _sql_line_body(px, py, kx, g))
+        return f"CASE WHEN {_sql_crossings(px, py, g)} % 2 = 1 THEN 0D ELSE {line} END"
 
-def dist_point_polygon(px, py, ring) -> Column:
+    return _let(ring, body)
+
+
+def dist_point_polygon(px: str, py: str, ring: str) -> Column:
     """Metres from a point to the polygon filled by a closed ring: 0 inside, else edge distance."""
-    px, py = _c(px), _c(py)
-    return _let(
-        _c(ring),
-        lambda g: F.when((_crossings(px, py, g) % 2) == 1, F.lit(0.0)).otherwise(
-            _let(_kx(py), lambda kx: _dist_line_body(px, py, kx, g))
-        ),
-    )
+    return F.expr(sql_dist_point_polygon(px, py, ring))
 
 
 # --------------------------------------------------------------------------- intersections
 
 
-def _orient(p_lon, p_lat, q_lon, q_lat, r_lon, r_lat) -> Column:
+def _sql_orient(p: tuple[str, str], q: tuple[str, str], r: tuple[str, str]) -> str:
     """Sign of the turn p -> q -> r (cross product in lon/lat)."""
-    return F.signum((q_lon - p_lon) * (r_lat - p_lat) - (q_lat - p_lat) * (r_lon - p_lon))
+    return f"signum(({q[0]} - {p[0]}) * ({r[1]} - {p[1]}) - ({q[1]} - {p[1]}) * ({r[0]} - {p[0]}))"
 
 
-def _segments_intersect(a1, a2, b1, b2) -> Column:
-    """Closed segments a1-a2 and b1-b2 share at least one point (touching counts).
+def _sql_segments_intersect(a1, a2, b1, b2) -> str:
+    """Closed segments a1-a2 and b1-b2 share a point (touching counts). Args are (lon, lat) SQL pairs.
 
-    Each argument is a ``(lon, lat)`` pair of Columns.
+    Straddle tests on both segments; in the all-collinear case the box overlap decides.
     """
-    o1 = _orient(a1[0], a1[1], a2[0], a2[1], b1[0], b1[1])
-    o2 = _orient(a1[0], a1[1], a2[0], a2[1], b2[0], b2[1])
-    o3 = _orient(b1[0], b1[1], b2[0], b2[1], a1[0], a1[1])
-    o4 = _orient(b1[0], b1[1], b2[0], b2[1], a2[0], a2[1])
     boxes = (
-        (F.greatest(a1[0], a2[0]) >= F.least(b1[0], b2[0]))
-        & (F.greatest(b1[0], b2[0]) >= F.least(a1[0], a2[0]))
-        & (F.greatest(a1[1], a2[1]) >= F.least(b1[1], b2[1]))
-        & (F.greatest(b1[1], b2[1]) >= F.least(a1[1], a2[1]))
+        f"greatest({a1[0]}, {a2[0]}) >= least({b1[0]}, {b2[0]}) AND greatest({b1[0]}, {b2[0]}) >= least({a1[0]}, {a2[0]}) AND "
+        f"greatest({a1[1]}, {a2[1]}) >= least({b1[1]}, {b2[1]}) AND greatest({b1[1]}, {b2[1]}) >= least({a1[1]}, {a2[1]})"
     )
-    # straddle tests; in the all-collinear case the box overlap decides
-    return boxes & (o1 * o2 <= 0) & (o3 * o4 <= 0)
-
-
-def _xy(v: Column) -> tuple[Column, Column]:
-    return (v["lon"], v["lat"])
+    o1 = _sql_orient(a1, a2, b1)
+    o2 = _sql_orient(a1, a2, b2)
+    o3 = _sql_orient(b1, b2, a1)
+    o4 = _sql_orient(b1, b2, a2)
+    return f"({boxes} AND {o1} * {o2} <= 0 AND {o3} * {o4} <= 0)"
 
 
-def drop_repeated_vertices(geom) -> Column:
-    """Remove consecutive duplicate vertices (zero-length edges)."""
-
-    def body(g):
-        n = F.size(g)
-        keep = F.filter(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: (i == 0) | (g[i]["lon"] != g[i - 1]["lon"]) | (g[i]["lat"] != g[i - 1]["lat"]),
-        )
-        return F.when(n >= 1, F.transform(keep, lambda i: g[i])).otherwise(g)
+def _xy(v: str) -> tuple[str, str]:
+    return (f"{v}.lon", f"{v}.lat")
 
-    return _let(_c(geom), body)
 
+def sql_drop_repeated_vertices(geom: str) -> str:
+    def body(g: str) -> str:
+        i = _v("i")
+        j = _v("j")
+        keep = f"filter(sequence(0, size({g}) - 1), {i} -> {i} = 0 OR {g}[{i}].lon != {g}[{i} - 1].lon OR {g}[{i}].lat != {g}[{i} - 1].lat)"
+        return f"CASE WHEN size({g}) >= 1 THEN transform({keep}, {j} -> {g}[{j}]) ELSE {g} END"
 
-def ring_is_valid(ring) -> Column:
-    """A closed ring makes a valid polygon.
+    return _let(geom, body)
 
-    Valid means: at least 4 vertices after dropping repeats, non-zero area, no two
-    non-adjacent edges meet, and no spike (an edge folding back on its neighbour).
-    Only meaningful for closed rings; callers test ``is_closed`` first (the
-    expression is total either way, so evaluation order does not matter).
-    """
-    return _let(drop_repeated_vertices(ring), _valid_simple_ring)
 
+def drop_repeated_vertices(geom: str) -> Column:
+    """Remove consecutive duplicate vertices (zero-length edges)."""
+    return F.expr(sql_drop_repeated_vertices(geom))
 
-def _valid_simple_ring(r: Column) -> Column:
-    n = F.size(r)
-    m = n - 1  # number of edges; edge i runs from r[i] to r[i+1]
-    x0 = r[0]["lon"]
-    y0 = r[0]["lat"]
 
-    twice_area = F.aggregate(
-        F.sequence(F.lit(0), m - 1),
-        F.lit(0.0),
-        lambda acc, i: acc
-        + (r[i]["lon"] - x0) * (r[i + 1]["lat"] - y0)
-        - (r[i + 1]["lon"] - x0) * (r[i]["lat"] - y0),
+def _sql_valid_simple_ring(r: str) -> str:
+    n = f"size({r})"
+    m = f"({n} - 1)"  # edges; edge i runs from r[i] to r[i+1]
+    i, j, k, s = _v("i"), _v("j"), _v("k"), _v("acc")
+    area = (
+        f"aggregate(sequence(0, {m} - 1), 0D, ({s}, {k}) -> {s} + ({r}[{k}].lon - {r}[0].lon) * ({r}[{k} + 1].lat - {r}[0].lat)"
+        f" - ({r}[{k} + 1].lon - {r}[0].lon) * ({r}[{k}].lat - {r}[0].lat))"
+    )
+    cross = _sql_segments_intersect(_xy(f"{r}[{i}]"), _xy(f"{r}[{i} + 1]"), _xy(f"{r}[{j}]"), _xy(f"{r}[{j} + 1]"))
+    non_adjacent = (
+        f"exists(sequence(0, {m} - 1), {i} -> exists(sequence(0, {m} - 1), {j} -> "
+        f"{j} >= {i} + 2 AND NOT ({i} = 0 AND {j} = {m} - 1) AND {cross}))"
     )
+    # spike: edge q folds back onto the next edge (the closing vertex repeats r[0], so after the last edge comes r[1])
+    q = _v("q")
+    a, b = f"{r}[{q}]", f"{r}[{q} + 1]"
+    c = f"{r}[CASE WHEN {q} + 2 <= {m} THEN {q} + 2 ELSE 1 END]"
+    turn = _sql_orient(_xy(a), _xy(b), _xy(c))
+    back = f"(({b}.lon - {a}.lon) * ({c}.lon - {b}.lon) + ({b}.lat - {a}.lat) * ({c}.lat - {b}.lat))"
+    spike = f"exists(sequence(0, {m} - 1), {q} -> {turn} = 0 AND {back} < 0)"
+    return f"CASE WHEN {n} >= 4 THEN ({area} != 0 AND NOT {non_adjacent} AND NOT {spike}) ELSE false END"
 
-    def edges_cross(i, j):
-        return _segments_intersect(_xy(r[i]), _xy(r[i + 1]), _xy(r[j]), _xy(r[j + 1]))
 
-    non_adjacent_hit = F.exists(
-        F.sequence(F.lit(0), m - 1),
-        lambda i: F.exists(
-            F.sequence(F.lit(0), m - 1),
-            lambda j: (j >= i + 2) & ~((i == 0) & (j == m - 1)) & edges_cross(i, j),
-        ),
-    )
+def sql_ring_is_valid(ring: str) -> str:
+    return _let(sql_drop_repeated_vertices(ring), _sql_valid_simple_ring)
 
-    def spike(i):
-        # edge i = r[i] -> r[i+1], next edge = r[i+1] -> r[(i+2) wrapped]; the closing vertex repeats r[0]
-        nxt = F.when(i + 2 <= m, i + 2).otherwise(F.lit(1))
-        a, b, c = r[i], r[i + 1], r[nxt]
-        turn = _orient(a["lon"], a["lat"], b["lon"], b["lat"], c["lon"], c["lat"])
-        back = (b["lon"] - a["lon"]) * (c["lon"] - b["lon"]) + (b["lat"] - a["lat"]) * (c["lat"] - b["lat"])
-        return (turn == 0) & (back < 0)
 
-    spiky = F.exists(F.sequence(F.lit(0), m - 1), spike)
-    ok = (twice_area != 0) & ~non_adjacent_hit & ~spiky
-    return F.when(n >= 4, ok).otherwise(F.lit(False))
+def ring_is_valid(ring: str) -> Column:
+    """A closed ring makes a valid polygon.
+
+    Valid means: at least 4 vertices after dropping repeats, non-zero area, no two
+    non-adjacent edges meet, and no spike (an edge folding back on its neighbour).
+    Callers test ``is_closed`` first; the expression is total either way, so
+    evaluation order does not matter.
+    """
+    return F.expr(sql_ring_is_valid(ring))
 
 
 # --------------------------------------------------------------------------- area of interest
 
 
-def area_edges_literal(rings: list[list[tuple[float, float]]]) -> Column:
+def sql_area_edges(rings: list[list[tuple[float, float]]]) -> str:
     """All edges of all rings of the area as one literal ``ARRAY<STRUCT<ax,ay,bx,by>>``."""
     edges = []
     for ring in rings:
         for (ax, ay), (bx, by) in zip(ring[:-1], ring[1:]):
-            edges.append(
-                F.struct(
-                    F.lit(float(ax)).alias("ax"),
-                    F.lit(float(ay)).alias("ay"),
-                    F.lit(float(bx)).alias("bx"),
-                    F.lit(float(by)).alias("by"),
-                )
-            )
-    return F.array(*edges)
-
+            edges.append(f"named_struct('ax', {_d(ax)}, 'ay', {_d(ay)}, 'bx', {_d(bx)}, 'by', {_d(by)})")
+    return f"array({', '.join(edges)})"
 
-def point_in_area(px, py, edges: Column) -> Column:
-    """Point inside the area (even-odd over all rings, so holes and multipolygons work) or on its boundary."""
-    px, py = _c(px), _c(py)
 
-    def crosses(e):
-        straddles = (e["ay"] > py) != (e["by"] > py)
-        return straddles & ((px - e["ax"]) < (e["bx"] - e["ax"]) * (py - e["ay"]) / (e["by"] - e["ay"]))
-
-    inside = (F.size(F.filter(edges, crosses)) % 2) == 1
-
-    def on_edge(e):
-        turn = (e["bx"] - e["ax"]) * (py - e["ay"]) - (e["by"] - e["ay"]) * (px - e["ax"])
-        return (
-            (turn == 0)
-            & (px >= F.least(e["ax"], e["bx"]))
-            & (px <= F.greatest(e["ax"], e["bx"]))
-            & (py >= F.least(e["ay"], e["by"]))
-            & (py <= F.greatest(e["ay"], e["by"]))
-        )
+def _sql_point_in_area(px: str, py: str, edges: str) -> str:
+    e, f = _v("e"), _v("e")
+    cross = (
+        f"(({e}.ay > {py}) != ({e}.by > {py})) AND "
+        f"(({px} - {e}.ax) < ({e}.bx - {e}.ax) * ({py} - {e}.ay) / ({e}.by - {e}.ay))"
+    )
+    on_edge = (
+        f"({f}.bx - {f}.ax) * ({py} - {f}.ay) - ({f}.by - {f}.ay) * ({px} - {f}.ax) = 0 AND "
+        f"{px} >= least({f}.ax, {f}.bx) AND {px} <= greatest({f}.ax, {f}.bx) AND "
+        f"{py} >= least({f}.ay, {f}.by) AND {py} <= greatest({f}.ay, {f}.by)"
+    )
+    return f"(size(filter({edges}, {e} -> {cross})) % 2 = 1 OR exists({edges}, {f} -> {on_edge}))"
 
-    return inside | F.exists(edges, on_edge)
 
+def point_in_area(px: str, py: str, edges: str) -> Column:
+    """Point inside the area (even-odd over all rings: holes and multipolygons work) or on its boundary."""
+    return F.expr(_let(edges, lambda e: _sql_point_in_area(px, py, e)))
 
-def line_intersects_area(geom, edges: Column) -> Column:
-    """A line touches the area: a vertex inside (or on the boundary), or an edge crossing an area edge."""
-    return _let(_c(geom), lambda g: _line_area_body(g, edges))
 
+def sql_line_intersects_area(geom: str, edges: str) -> str:
+    def body(g: str) -> str:
+        p, i, e = _v("p"), _v("i"), _v("e")
+        vertex_in = f"exists({g}, {p} -> {_sql_point_in_area(f'{p}.lon', f'{p}.lat', edges)})"
+        hit = _sql_segments_intersect(_xy(f"{g}[{i} - 1]"), _xy(f"{g}[{i}]"), (f"{e}.ax", f"{e}.ay"), (f"{e}.bx", f"{e}.by"))
+        edge_hit = f"CASE WHEN size({g}) >= 2 THEN exists(sequence(1, size({g}) - 1), {i} -> exists({edges}, {e} -> {hit})) ELSE false END"
+        return f"({vertex_in} OR {edge_hit})"
 
-def _line_area_body(g: Column, edges: Column) -> Column:
-    n = F.size(g)
-    vertex_in = F.exists(g, lambda p: point_in_area(p["lon"], p["lat"], edges))
+    return _let(geom, body)
 
-    def seg_hits(i):
-        a, b = g[i - 1], g[i]
-        return F.exists(
-            edges,
-            lambda e: _segments_intersect(_xy(a), _xy(b), (e["ax"], e["ay"]), (e["bx"], e["by"])),
-        )
 
-    edge_hit = F.when(n >= 2, F.exists(F.sequence(F.lit(1), n - 1), seg_hits)).otherwise(F.lit(False))
-    return vertex_in | edge_hit
+def line_intersects_area(geom: str, edges: str) -> Column:
+    """A line touches the area: a vertex inside (or on the boundary), or an edge crossing an area edge."""
+    return F.expr(_let(edges, lambda e: sql_line_intersects_area(geom, e)))
 
 
 def metres_to_lat_degrees(metres: float) -> float:
@@ -322,7 +298,7 @@ def metres_to_lat_degrees(metres: float) -> float:
     return metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12
 
 
-def lon_expand_degrees(metres: float, abs_lat: Column) -> Column:
+def sql_lon_expand_degrees(metres: float, abs_lat: str) -> str:
     """Degrees of longitude spanned by ``metres`` at latitude ``abs_lat`` (capped near the poles)."""
-    lat = F.least(F.abs(abs_lat) + F.lit(metres_to_lat_degrees(metres)), F.lit(89.0))
-    return F.lit(metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12) / F.cos(F.radians(lat))
+    lat = f"least(abs({abs_lat}) + {_d(metres_to_lat_degrees(metres))}, 89D)"
+    return f"({_d(metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12)} / cos(radians({lat})))"

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.functions.geo import area_edges_literal, bbox_columns, line_intersects_area, point, point_in_area
+from addrweave.functions.geo import bbox_columns, line_intersects_area, point, point_in_area, sql_area_edges
 from addrweave.functions.tags import address_columns, tag
 from addrweave.sources.area import Area
 from addrweave.sources.snapshot import Snapshot
@@ -29,10 +29,10 @@ class Local:
 def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
     """Nodes inside the area (boundary included). The box test pushes down to the scan."""
     x0, y0, x1, y1 = area.bbox
-    edges = area_edges_literal(area.ring_lists())
+    edges = sql_area_edges(area.ring_lists())
     return (
         nodes.where(F.col("lon").between(x0, x1) & F.col("lat").between(y0, y1))
-        .where(point_in_area(F.col("lon"), F.col("lat"), edges))
+        .where(point_in_area("lon", "lat", edges))
         .select("id", "tags", point("lon", "lat").alias("geom"), "lon", "lat")
     )
 
@@ -40,7 +40,7 @@ def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
 def local_ways(ways: DataFrame, area: Area) -> DataFrame:
     """Ways touching the area: box overlap first, then vertex-inside or edge-crossing."""
     x0, y0, x1, y1 = area.bbox
-    edges = area_edges_literal(area.ring_lists())
+    edges = sql_area_edges(area.ring_lists())
     if "min_lon" in ways.columns:  # stored boxes push down to the scan
         w = ways
     else:
@@ -49,7 +49,7 @@ def local_ways(ways: DataFrame, area: Area) -> DataFrame:
         w.where(
             (F.col("max_lon") >= x0) & (F.col("min_lon") <= x1) & (F.col("max_lat") >= y0) & (F.col("min_lat") <= y1)
         )
-        .where(line_intersects_area(F.col("linestring"), edges))
+        .where(line_intersects_area("linestring", edges))
         .select("id", "tags", F.col("linestring").alias("geom"), "min_lon", "min_lat", "max_lon", "max_lat")
     )
 
@@ -73,17 +73,16 @@ def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFram
         F.count(F.lit(1)).alias("n_ways"),
     )
 
-    def piece(w, i):
-        prev_last = F.element_at(F.col("parts")[F.greatest(i - 1, F.lit(0))]["geom"], -1)
-        joins = (i > 0) & (F.size(w["geom"]) > 0) & (F.size(F.col("parts")[F.greatest(i - 1, F.lit(0))]["geom"]) > 0)
-        same = joins & (w["geom"][0]["lon"] == prev_last["lon"]) & (w["geom"][0]["lat"] == prev_last["lat"])
-        return F.when(same, F.slice(w["geom"], 2, F.greatest(F.size(w["geom"]) - 1, F.lit(0)))).otherwise(w["geom"])
-
-    lines = grouped.select(
-        F.col("relation_id").alias("id"),
-        F.flatten(F.transform(F.col("parts"), piece)).alias("geom"),
-        "n_ways",
-    ).join(mp.withColumnRenamed("relation_id", "id"), "id")
+    # a way whose first vertex repeats the previous way's last vertex contributes from its second vertex on
+    prev = "parts[greatest(i - 1, 0)].geom"
+    same = (
+        f"i > 0 AND size(w.geom) > 0 AND size({prev}) > 0 "
+        f"AND w.geom[0].lon = element_at({prev}, -1).lon AND w.geom[0].lat = element_at({prev}, -1).lat"
+    )
+    line = F.expr(f"flatten(transform(parts, (w, i) -> CASE WHEN {same} THEN slice(w.geom, 2, size(w.geom) - 1) ELSE w.geom END))")
+    lines = grouped.select(F.col("relation_id").alias("id"), line.alias("geom"), "n_ways").join(
+        mp.withColumnRenamed("relation_id", "id"), "id"
+    )
     return lines.select("id", "tags", "geom", *bbox_columns("geom"), "n_ways")
 
 

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.functions.geo import M_PER_DEG, lon_expand_degrees, metres_to_lat_degrees
+from addrweave.functions.geo import M_PER_DEG, metres_to_lat_degrees, sql_lon_expand_degrees
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
     ``features`` needs ``min_lon, min_lat, max_lon, max_lat``.
     """
     e_lat = F.lit(metres_to_lat_degrees(grid.metres))
-    e_lon = lon_expand_degrees(grid.metres, F.greatest(F.abs(F.col("min_lat")), F.abs(F.col("max_lat"))))
+    e_lon = F.expr(sql_lon_expand_degrees(grid.metres, "greatest(abs(min_lat), abs(max_lat))"))
     df = features.select(
         "*",
         (F.col("min_lon") - e_lon).alias("e_min_lon"),
@@ -91,16 +91,11 @@ def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
         x0, x1, y0, y1 = span(level)
         lvl = F.when((x1 - x0 + 1) * (y1 - y0 + 1) <= grid.max_cells, F.lit(level)).otherwise(lvl)
     df = df.withColumn("lvl", lvl)
-    size = F.lit(grid.cell_deg) * F.pow(F.lit(float(grid.factor)), F.col("lvl"))
-    x0 = F.floor(F.col("e_min_lon") / size)
-    x1 = F.floor(F.col("e_max_lon") / size)
-    y0 = F.floor(F.col("e_min_lat") / size)
-    y1 = F.floor(F.col("e_max_lat") / size)
-    cells = F.flatten(
-        F.transform(
-            F.sequence(x0, x1),
-            lambda x: F.transform(F.sequence(y0, y1), lambda y: F.struct(x.alias("cx"), y.alias("cy"))),
-        )
+    size = f"({grid.cell_deg!r}D * pow({float(grid.factor)!r}D, lvl))"
+    cells = F.expr(
+        f"flatten(transform(sequence(floor(e_min_lon / {size}), floor(e_max_lon / {size})), "
+        f"x -> transform(sequence(floor(e_min_lat / {size}), floor(e_max_lat / {size})), "
+        f"y -> named_struct('cx', x, 'cy', y))))"
     )
     return df.withColumn("_cell", F.explode(cells)).select("*", "_cell.*").drop("_cell")
 
@@ -109,7 +104,7 @@ def within_pairs(
     points: DataFrame,
     features: DataFrame,
     metres: float,
-    distance: Callable[[Column, Column, Column], Column],
+    distance: Callable[[str, str, str], Column],
     keys: Sequence[tuple[str, str]] = (),
     grid: Grid | None = None,
     p_lon: str = "p_lon",
@@ -132,7 +127,7 @@ def within_pairs(
         F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
         & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
     )
-    joined = joined.withColumn("dist", distance(F.col(p_lon), F.col(p_lat), F.col(geom))).where(
+    joined = joined.withColumn("dist", distance(p_lon, p_lat, geom)).where(
         F.col("dist") <= F.lit(float(metres))
     )
     return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")

@@ -175,7 +175,8 @@ def q_stripped_tags(spark, sf_dir):
     from addrweave.functions.tags import strip_tags
 
     la = context(spark, sf_dir).local_all
-    return la.select("type", "id", tags_text(strip_tags("tags", strip_keys(SAMPLE_STRIP_KEYS))).alias("tags_text"))
+    st = la.select("type", "id", strip_tags("tags", strip_keys(SAMPLE_STRIP_KEYS)).alias("st"))
+    return st.select("type", "id", tags_text("st").alias("tags_text"))
 
 
 def q_building_candidates(spark, sf_dir):
@@ -255,9 +256,9 @@ def q_osc_rows(spark, sf_dir):
         kind.alias("kind"),
         "id",
         version.cast("int").alias("version"),
-        F.coalesce(F.size("way.nd"), F.lit(0)).alias("n_nd"),
-        F.coalesce(F.size("relation.member"), F.lit(0)).alias("n_member"),
-        F.size(el).alias("n_tag"),
+        F.coalesce(F.size("way.nd"), F.lit(0)).cast("bigint").alias("n_nd"),
+        F.coalesce(F.size("relation.member"), F.lit(0)).cast("bigint").alias("n_member"),
+        F.size(el).cast("bigint").alias("n_tag"),
     )
 
 

@@ -14,15 +14,14 @@ NODE_XML_SCHEMA = "_id bigint, _lon double, _lat double, tag array<struct<_k:str
 
 def tag_array_to_map(col: str = "tag"):
     """``array<struct<_k,_v>>`` -> map; NULL array -> empty map; a repeated key keeps its last value."""
-    arr = F.coalesce(F.col(col), F.array().cast("array<struct<_k:string,_v:string>>"))
+    arr = f"coalesce({col}, CAST(array() AS ARRAY<STRUCT<_k: STRING, _v: STRING>>))"
     # keep an entry only if no later entry has the same key
-    idx = F.sequence(F.lit(0), F.size(arr) - 1)
-    last = F.filter(
-        idx,
-        lambda i: ~F.exists(F.sequence(F.lit(0), F.size(arr) - 1), lambda j: (j > i) & (arr[j]["_k"] == arr[i]["_k"])),
+    last = f"filter(sequence(0, size(a) - 1), i -> NOT exists(sequence(0, size(a) - 1), j -> j > i AND a[j]._k = a[i]._k))"
+    entries = f"transform({last}, i -> named_struct('key', a[i]._k, 'value', a[i]._v))"
+    return F.expr(
+        f"transform(array({arr}), a -> CASE WHEN size(a) > 0 THEN map_from_entries({entries}) "
+        f"ELSE CAST(map() AS MAP<STRING,STRING>) END)[0]"
     )
-    entries = F.transform(last, lambda i: F.struct(arr[i]["_k"].alias("key"), arr[i]["_v"].alias("value")))
-    return F.when(F.size(arr) > 0, F.map_from_entries(entries)).otherwise(F.create_map().cast("map<string,string>"))
 
 
 def read_osm_nodes(spark: SparkSession, path: str, drop_untagged: bool = False) -> DataFrame:
