@@ -127,7 +127,9 @@ def within_pairs(
         F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
         & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
     )
-    joined = joined.withColumn("dist", distance(p_lon, p_lat, geom)).where(
-        F.col("dist") <= F.lit(float(metres))
-    )
+    # The distance is produced by a one-element generator and filtered there: a plain
+    # filter on a projected distance would be pushed into the join condition and the
+    # (vertex-loop) distance evaluated twice per pair.
+    limit = F.lit(float(metres))
+    joined = joined.select("*", F.explode(F.filter(F.array(distance(p_lon, p_lat, geom)), lambda d: d <= limit)).alias("dist"))
     return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")

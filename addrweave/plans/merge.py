@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,16 +50,29 @@ class MergeOptions:
     sorted_output: bool = False  # O2: remaining imports ordered by import_id
 
 
-@dataclass
 class MergeResult:
-    local: Local
-    duplicates: DataFrame
-    remaining_after_duplicates: DataFrame
-    matches: DataFrame  # resolved matches of all passes: import_id, type, id, dist, tags, pass
-    conflicts: DataFrame  # D5 report (before resolution)
-    changes: Changes
-    remaining: DataFrame
-    summary: DataFrame
+    """Outputs of one merge; the change sets and the summary are built on first access."""
+
+    def __init__(self, imports, snapshot, strip_keys, local, duplicates, pool, matches, conflicts, remaining):
+        self._imports = imports
+        self._snapshot = snapshot
+        self._strip_keys = strip_keys
+        self.local: Local | None = local  # None when local_all was passed in
+        self.duplicates: DataFrame = duplicates
+        self.remaining_after_duplicates: DataFrame = pool
+        self.matches: DataFrame = matches  # resolved matches of all passes: import_id, type, id, dist, tags, pass
+        self.conflicts: DataFrame = conflicts  # D5 report (before resolution)
+        self.remaining: DataFrame = remaining
+
+    @cached_property
+    def changes(self) -> Changes:
+        return change_sets(self.matches, self._snapshot, self._strip_keys)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return merge_summary(
+            self._imports, self.duplicates, self.remaining_after_duplicates, self.matches, self.changes, self.remaining
+        )
 
 
 def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -92,8 +106,9 @@ def merge_addresses(
     if isinstance(area, str):
         area = parse_wkt_area(area)
     imports = load_imports(imports)
-    local = local_features(snapshot, area)
+    local = None
     if local_all is None:
+        local = local_features(snapshot, area)
         local_all = local.all
         if opt.materialize:
             local_all = _materialize(spark, local_all, "local_all")
@@ -116,15 +131,12 @@ def merge_addresses(
 
     conflicts = conflict_groups(raw)
     matches = resolve_conflicts(raw, opt.conflicts) if passes else raw
-    changes = change_sets(matches, snapshot, opt.strip_keys)
 
     matched_ids = matches.select("import_id").distinct()
     remaining = pool.join(matched_ids, "import_id", "left_anti")
     if opt.sorted_output:
         remaining = remaining.orderBy("import_id")
-
-    summary = merge_summary(imports, dups, pool, matches, changes, remaining)
-    return MergeResult(local, dups, pool, matches, conflicts, changes, remaining, summary)
+    return MergeResult(imports, snapshot, opt.strip_keys, local, dups, pool, matches, conflicts, remaining)
 
 
 def merge_summary(
