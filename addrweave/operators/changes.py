@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions.tags import ALWAYS_STRIPPED, strip_tags
-from addrweave.sources.snapshot import Snapshot
 
 
 @dataclass
@@ -44,34 +43,26 @@ def ordered_members(members: DataFrame, relation_ids: DataFrame) -> DataFrame:
     )
 
 
-def change_sets(matches: DataFrame, snapshot: Snapshot, strip: Iterable[str] = ()) -> Changes:
-    """Build the three change tables from resolved matches (``import_id, type, id, dist, tags, pass``).
+def change_sets(matches: DataFrame, relation_members: DataFrame, strip: Iterable[str] = ()) -> Changes:
+    """Build the three change tables from resolved matches (``MATCH_COLUMNS``).
 
-    Nodes and ways keep their version; relations get ``version + 1`` (as the original does).
+    Version, way node list and node position come with each match (they were
+    carried from the local feature, which is the base-table row). Nodes and ways
+    keep their version; relations get ``version + 1`` and their full member list.
     """
     keys = strip_keys(strip)
-    mt = matches.select("type", "id", F.col("tags").alias("m_tags"))
-    nodes = (
-        mt.where(F.col("type") == "N")
-        .join(snapshot.nodes.select("id", "version", "lon", "lat"), "id")
-        .select("id", "version", strip_tags("m_tags", keys).alias("tags"), "lon", "lat")
+    stripped = strip_tags("tags", keys).alias("tags")
+    nodes = matches.where(F.col("type") == "N").select(
+        "id", "version", stripped, F.col("f_lon").alias("lon"), F.col("f_lat").alias("lat")
     )
-    ways = (
-        mt.where(F.col("type") == "W")
-        .join(snapshot.ways.select("id", "version", "nodes"), "id")
-        .select("id", "version", strip_tags("m_tags", keys).alias("tags"), "nodes")
-    )
-    rel_matches = mt.where(F.col("type") == "M")
-    relations = (
-        rel_matches.join(snapshot.relations.select("id", "version"), "id")
-        .join(ordered_members(snapshot.relation_members, rel_matches), "id")
-        .select(
-            "id",
-            (F.col("version") + 1).alias("version"),
-            strip_tags("m_tags", keys).alias("tags"),
-            "types",
-            "ids",
-            "roles",
-        )
+    ways = matches.where(F.col("type") == "W").select("id", "version", stripped, F.col("way_nodes").alias("nodes"))
+    rel_matches = matches.where(F.col("type") == "M")
+    relations = rel_matches.join(ordered_members(relation_members, rel_matches), "id").select(
+        "id",
+        (F.col("version") + 1).alias("version"),
+        stripped,
+        "types",
+        "ids",
+        "roles",
     )
     return Changes(nodes=nodes, ways=ways, relations=relations)

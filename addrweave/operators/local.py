@@ -15,7 +15,12 @@ from addrweave.functions.tags import address_columns, tag
 from addrweave.sources.area import Area
 from addrweave.sources.snapshot import Snapshot
 
-LOCAL_COLUMNS = ["type", "id", "tags", "geom", "hn", "street", "city", "min_lon", "min_lat", "max_lon", "max_lat"]
+# ``version`` and ``way_nodes`` (ways only) travel with each feature so change sets need no
+# lookup in the unclipped base tables (J6): every changed object is a local feature.
+LOCAL_COLUMNS = [
+    "type", "id", "version", "tags", "geom", "way_nodes", "hn", "street", "city",
+    "min_lon", "min_lat", "max_lon", "max_lat",
+]
 
 
 @dataclass
@@ -33,7 +38,7 @@ def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
     return (
         nodes.where(F.col("lon").between(x0, x1) & F.col("lat").between(y0, y1))
         .where(point_in_area("lon", "lat", edges))
-        .select("id", "tags", point("lon", "lat").alias("geom"), "lon", "lat")
+        .select("id", "version", "tags", point("lon", "lat").alias("geom"), "lon", "lat")
     )
 
 
@@ -50,7 +55,9 @@ def local_ways(ways: DataFrame, area: Area) -> DataFrame:
             (F.col("max_lon") >= x0) & (F.col("min_lon") <= x1) & (F.col("max_lat") >= y0) & (F.col("min_lat") <= y1)
         )
         .where(line_intersects_area("linestring", edges))
-        .select("id", "tags", F.col("linestring").alias("geom"), "min_lon", "min_lat", "max_lon", "max_lat")
+        .select(
+            "id", "version", "tags", F.col("linestring").alias("geom"), "nodes", "min_lon", "min_lat", "max_lon", "max_lat"
+        )
     )
 
 
@@ -61,12 +68,15 @@ def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFram
     open); when a way starts where the previous one ended, the repeated vertex is
     dropped, as a line-building aggregate does.
     """
-    mp = relations.where(tag("tags", "type") == "multipolygon").select(F.col("id").alias("relation_id"), "tags")
+    mp = relations.where(tag("tags", "type") == "multipolygon").select(
+        F.col("id").alias("relation_id"), "version", "tags"
+    )
+    # members of multipolygons first (semi-join), then the (large) local ways
     parts = (
         members.where(F.col("member_type") == "W")
         .select("relation_id", "member_id", "sequence_id")
-        .join(lways.select(F.col("id").alias("member_id"), "geom"), "member_id")
         .join(mp.select("relation_id"), "relation_id", "left_semi")
+        .join(lways.select(F.col("id").alias("member_id"), "geom"), "member_id")
     )
     grouped = parts.groupBy("relation_id").agg(
         F.array_sort(F.collect_list(F.struct("sequence_id", "member_id", "geom"))).alias("parts"),
@@ -83,7 +93,7 @@ def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFram
     lines = grouped.select(F.col("relation_id").alias("id"), line.alias("geom"), "n_ways").join(
         mp.withColumnRenamed("relation_id", "id"), "id"
     )
-    return lines.select("id", "tags", "geom", *bbox_columns("geom"), "n_ways")
+    return lines.select("id", "version", "tags", "geom", *bbox_columns("geom"), "n_ways")
 
 
 def local_features(snapshot: Snapshot, area: Area) -> Local:
@@ -91,17 +101,23 @@ def local_features(snapshot: Snapshot, area: Area) -> Local:
     ln = local_nodes(snapshot.nodes, area)
     lw = local_ways(snapshot.ways, area)
     mps = multipolygon_lines(lw, snapshot.relations, snapshot.relation_members)
+    no_nodes = F.lit(None).cast("array<bigint>").alias("way_nodes")
     n = ln.select(
         F.lit("N").alias("type"),
         "id",
+        "version",
         "tags",
         "geom",
+        no_nodes,
         *address_columns("tags"),
         F.col("lon").alias("min_lon"),
         F.col("lat").alias("min_lat"),
         F.col("lon").alias("max_lon"),
         F.col("lat").alias("max_lat"),
     )
-    w = lw.select(F.lit("W").alias("type"), "id", "tags", "geom", *address_columns("tags"), "min_lon", "min_lat", "max_lon", "max_lat")
-    m = mps.select(F.lit("M").alias("type"), "id", "tags", "geom", *address_columns("tags"), "min_lon", "min_lat", "max_lon", "max_lat")
+    box = ["min_lon", "min_lat", "max_lon", "max_lat"]
+    w = lw.select(
+        F.lit("W").alias("type"), "id", "version", "tags", "geom", F.col("nodes").alias("way_nodes"), *address_columns("tags"), *box
+    )
+    m = mps.select(F.lit("M").alias("type"), "id", "version", "tags", "geom", no_nodes, *address_columns("tags"), *box)
     return Local(nodes=ln, ways=lw, multipolygons=mps, all=n.unionByName(w).unionByName(m))

@@ -17,7 +17,10 @@ from addrweave.operators.spatial_join import within_pairs
 AS_CODED = "as_coded"
 INTENDED = "intended"
 
-MATCH_COLUMNS = ["import_id", "type", "id", "dist", "tags", "pass"]
+# A match carries what its change row needs (version, way node list, node position),
+# taken from the local feature, so no base-table lookup is needed later.
+MATCH_COLUMNS = ["import_id", "type", "id", "dist", "tags", "version", "way_nodes", "f_lon", "f_lat", "pass"]
+_PAYLOAD = ["version", "way_nodes", "f_lon", "f_lat"]
 
 
 def _check_semantics(semantics: str) -> None:
@@ -95,11 +98,14 @@ def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semant
         feats = feats.where(F.col("city").isNull())
     feats = feats.select(
         "type", "id", F.col("tags").alias("l_tags"), "geom", F.col("hn").alias("l_hn"), F.col("street").alias("l_street"),
+        "version", "way_nodes",
+        F.when(F.col("type") == "N", F.col("min_lon")).alias("f_lon"),
+        F.when(F.col("type") == "N", F.col("min_lat")).alias("f_lat"),
         "min_lon", "min_lat", "max_lon", "max_lat",
     )
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull())
     pairs = within_pairs(pts, feats, metres, dist_point_line, keys=[("i_hn", "l_hn"), ("i_street", "l_street")])
-    return pairs.select("import_id", "type", "id", "dist", merge_tags("i_tags", "l_tags").alias("tags"))
+    return pairs.select("import_id", "type", "id", "dist", merge_tags("i_tags", "l_tags").alias("tags"), *_PAYLOAD)
 
 
 def nocity_matches(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
@@ -146,11 +152,14 @@ def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres:
         F.col("min_lon").alias("p_lon"),
         F.col("min_lat").alias("p_lat"),
     )
+    # validity (P9) once per building, so pairs need not carry the vertex array
     blds = building_features(local_all).select(
         F.col("type").alias("b_type"), F.col("id").alias("b_id"), F.col("tags").alias("b_tags"), "geom",
+        "version", "way_nodes", ring_is_valid("geom").alias("b_valid"),
         "min_lon", "min_lat", "max_lon", "max_lat",
     )
-    return within_pairs(imp.unionByName(adr), blds, radius, dist_point_polygon)
+    pairs = within_pairs(imp.unionByName(adr), blds, radius, dist_point_polygon)
+    return pairs.drop("geom", "min_lon", "min_lat", "max_lon", "max_lat")
 
 
 def building_matches(
@@ -179,7 +188,7 @@ def building_matches(
         F.count(F.when(adr_near, 1)).alias("n_adr"),
         F.min(F.when(adr_near, F.col("pid"))).alias("min_adr"),
     )
-    cands = pairs.where((F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer)))).where(ring_is_valid("geom"))
+    cands = pairs.where((F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer))) & F.col("b_valid"))
     m = cands.join(per_building, ["b_type", "b_id"])
     other_import = (F.col("n_imp") >= 2) | ((F.col("n_imp") == 1) & (F.col("min_imp") != F.col("pid")))
     if semantics == AS_CODED:
@@ -192,6 +201,10 @@ def building_matches(
         F.col("b_id").alias("id"),
         "dist",
         merge_tags("i_tags", "b_tags").alias("tags"),
+        "version",
+        "way_nodes",
+        F.lit(None).cast("double").alias("f_lon"),
+        F.lit(None).cast("double").alias("f_lat"),
         "p_lon",
         "p_lat",
     )

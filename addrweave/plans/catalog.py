@@ -180,11 +180,9 @@ def q_stripped_tags(spark, sf_dir):
 
 
 def q_building_candidates(spark, sf_dir):
-    from addrweave.functions.geo import ring_is_valid
-
     ctx = context(spark, sf_dir)
     p = M.building_pairs(ctx.pool, ctx.local_all, BUFFER, BUILDING)
-    c = p.where((F.col("kind") == "I") & (F.col("dist") <= BUFFER)).where(ring_is_valid("geom"))
+    c = p.where((F.col("kind") == "I") & (F.col("dist") <= BUFFER) & F.col("b_valid"))
     return c.select(F.col("pid").cast("int").alias("import_id"), F.col("b_type").alias("type"), F.col("b_id").alias("id"), _cm())
 
 

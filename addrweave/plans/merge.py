@@ -46,7 +46,7 @@ class MergeOptions:
     strip_keys: Sequence[str] = field(default_factory=list)
     semantics: str = AS_CODED
     conflicts: str = "error"  # error | nearest | report
-    materialize: bool = False  # write local features and the import pool to the checkpoint folder
+    materialize: bool = True  # write local features and the import pool to the checkpoint folder
     sorted_output: bool = False  # O2: remaining imports ordered by import_id
 
 
@@ -66,7 +66,7 @@ class MergeResult:
 
     @cached_property
     def changes(self) -> Changes:
-        return change_sets(self.matches, self._snapshot, self._strip_keys)
+        return change_sets(self.matches, self._snapshot.relation_members, self._strip_keys)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -84,7 +84,9 @@ def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def empty_matches(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        [], "import_id int, type string, id bigint, dist double, tags map<string,string>, pass string"
+        [],
+        "import_id int, type string, id bigint, dist double, tags map<string,string>, version int, "
+        "way_nodes array<bigint>, f_lon double, f_lat double, pass string",
     )
 
 

@@ -2,7 +2,6 @@
 
 import pytest
 
-from addrweave.functions.geo import ring_is_valid
 from addrweave.operators import match as M
 from addrweave.operators.local import local_features
 from addrweave.sources.area import parse_wkt_area
@@ -33,7 +32,7 @@ def test_survey_counts(spark, sf):
     assert n5.groupBy("id").count().where("count > 1").count() == e[10]
     assert p5.where("type = 'W'").count() == e[11]
     assert p5.where("type = 'M'").count() == e[12]
-    cands = M.building_pairs(pool, la, 0.5, 10.0).where("kind = 'I' AND dist <= 0.5").where(ring_is_valid("geom"))
+    cands = M.building_pairs(pool, la, 0.5, 10.0).where("kind = 'I' AND dist <= 0.5 AND b_valid")
     assert cands.where("b_type = 'W'").count() == e[13]
     assert cands.where("b_type = 'M'").count() == e[14]
     assert M.building_matches(pool, la, 0.5, 10.0).where("type = 'W'").count() == e[15]
@@ -48,7 +47,7 @@ def test_wide_bounds_sf01_candidates(spark):
     la = local_features(fx.snapshot, parse_wkt_area(BOUNDS_WIDE)).all.cache()
     pool = M.remaining_after_duplicates(fx.imports, la)
     assert M.exact_duplicates(fx.imports, la).count() == 1431
-    cands = M.building_pairs(pool, la, 0.5, 10.0).where("kind = 'I' AND dist <= 0.5").where(ring_is_valid("geom"))
+    cands = M.building_pairs(pool, la, 0.5, 10.0).where("kind = 'I' AND dist <= 0.5 AND b_valid")
     assert cands.where("b_type = 'W'").count() == 2726
     assert M.building_matches(pool, la, 0.5, 10.0).where("type = 'W'").count() == 1188
     la.unpersist()
