@@ -1,0 +1,3 @@
+"""No streaming operators: the original reads all inputs fully before any work
+starts and registers no stream source (SURVEY §2.11). The merge is a batch job.
+"""
