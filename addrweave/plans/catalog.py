@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ class Context:
     local: Local
     local_all: DataFrame
     pool: DataFrame
+    merges: dict = field(default_factory=dict)
 
 
 _CACHE: dict[tuple, Context] = {}
@@ -63,13 +64,7 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
         return ctx
     fx = load_fixtures(spark, sf_dir)
     imports = _write_read(spark, fx.imports, "fx_imports")
-    s = fx.snapshot
-    snap = Snapshot(
-        nodes=_write_read(spark, s.nodes, "fx_nodes"),
-        ways=_write_read(spark, s.ways, "fx_ways"),
-        relations=_write_read(spark, s.relations, "fx_relations"),
-        relation_members=_write_read(spark, s.relation_members, "fx_members"),
-    )
+    snap = fx.snapshot  # read once below, into the written local table
     local = local_features(snap, parse_wkt_area(BOUNDS))
     local_all = _write_read(spark, local.all, "local_all")
     pool = _write_read(spark, M.remaining_after_duplicates(imports, local_all), "import_pool")
@@ -79,11 +74,17 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
 
 
 def _merge(spark: SparkSession, sf_dir: str, conflicts: str = "nearest") -> MergeResult:
+    """The whole merge, run once per session, input folder and policy; its match table is written
+    to the checkpoint folder and every merge output query derives from it."""
     ctx = context(spark, sf_dir)
-    opt = MergeOptions(
-        buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts
-    )
-    return merge_addresses(spark, ctx.imports, ctx.snapshot, BOUNDS, opt, local_all=ctx.local_all, pool=ctx.pool)
+    if conflicts not in ctx.merges:
+        opt = MergeOptions(
+            buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts
+        )
+        ctx.merges[conflicts] = merge_addresses(
+            spark, ctx.imports, ctx.snapshot, BOUNDS, opt, local_all=ctx.local_all, pool=ctx.pool
+        )
+    return ctx.merges[conflicts]
 
 
 def _cm(c: str = "dist") -> Column:

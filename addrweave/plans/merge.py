@@ -130,6 +130,10 @@ def merge_addresses(
     raw = empty_matches(spark)
     for p in passes:
         raw = raw.unionByName(p.select(*MATCH_COLUMNS))
+    if opt.materialize and passes:
+        # every output (conflicts, change sets, remaining imports, summary) reads this
+        # one written table instead of re-running the spatial passes
+        raw = _materialize(spark, raw, "raw_matches")
 
     conflicts = conflict_groups(raw)
     matches = resolve_conflicts(raw, opt.conflicts) if passes else raw
