@@ -182,14 +182,33 @@ def building_matches(
     n = F.lit(float(metres))
     imp_near = (F.col("kind") == "I") & (F.col("dist") <= n)
     adr_near = (F.col("kind") == "A") & (F.col("dist") <= n)
-    per_building = pairs.groupBy("b_type", "b_id").agg(
+    is_cand = (F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer)))
+    counts = [
         F.count(F.when(imp_near, 1)).alias("n_imp"),
         F.min(F.when(imp_near, F.col("pid"))).alias("min_imp"),
         F.count(F.when(adr_near, 1)).alias("n_adr"),
         F.min(F.when(adr_near, F.col("pid"))).alias("min_adr"),
-    )
-    cands = pairs.where((F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer))) & F.col("b_valid"))
-    m = cands.join(per_building, ["b_type", "b_id"])
+    ]
+    if metres >= buffer:
+        # Every candidate is itself within ``metres``, so a building that survives J8 has
+        # exactly one import within reach: the candidate is found in the same partial
+        # aggregate (min_by over candidate rows) and the spatial join runs once.
+        cand = F.struct("pid", "dist", "i_tags", "p_lon", "p_lat")
+        per_building = pairs.groupBy("b_type", "b_id").agg(
+            *counts,
+            F.min_by(F.when(is_cand, cand), F.when(is_cand, F.col("pid"))).alias("cand"),
+            F.any_value("b_tags").alias("b_tags"),
+            F.any_value("version").alias("version"),
+            F.any_value("way_nodes").alias("way_nodes"),
+            F.any_value("b_valid").alias("b_valid"),
+        )
+        m = per_building.where(F.col("cand").isNotNull() & F.col("b_valid")).select(
+            "*", *[F.col("cand")[c].alias(c) for c in ("pid", "dist", "i_tags", "p_lon", "p_lat")]
+        )
+    else:
+        # general case: several candidates of one building may survive
+        per_building = pairs.groupBy("b_type", "b_id").agg(*counts)
+        m = pairs.where(is_cand & F.col("b_valid")).join(per_building, ["b_type", "b_id"])
     other_import = (F.col("n_imp") >= 2) | ((F.col("n_imp") == 1) & (F.col("min_imp") != F.col("pid")))
     if semantics == AS_CODED:
         other_addr = (F.col("n_adr") >= 2) | ((F.col("n_adr") == 1) & (F.col("min_adr") != F.col("b_id")))

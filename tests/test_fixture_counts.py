@@ -51,3 +51,29 @@ def test_wide_bounds_sf01_candidates(spark):
     assert cands.where("b_type = 'W'").count() == 2726
     assert M.building_matches(pool, la, 0.5, 10.0).where("type = 'W'").count() == 1188
     la.unpersist()
+
+
+def test_building_matches_small_radius_general_path(spark):
+    """building < buffer takes the join path; compare with the oracle-style count by brute force."""
+    from addrweave.plans.catalog import context
+
+    ctx = context(spark, "/root/testdata/sf0.001")
+    pairs = M.building_pairs(ctx.pool, ctx.local_all, 3.0, 1.0).cache()
+    got = M.building_matches(ctx.pool, ctx.local_all, 3.0, 1.0).select("import_id", "type", "id").collect()
+    # brute force over the pair table: candidate within 3 m of a valid building, no other import or
+    # address node (id != building id) within 1 m
+    rows = pairs.collect()
+    want = set()
+    for r in rows:
+        if r["kind"] != "I" or r["dist"] > 3.0 or not r["b_valid"]:
+            continue
+        others = [
+            o for o in rows
+            if o["b_type"] == r["b_type"] and o["b_id"] == r["b_id"] and o["dist"] <= 1.0
+            and ((o["kind"] == "I" and o["pid"] != r["pid"]) or (o["kind"] == "A" and o["pid"] != r["b_id"]))
+        ]
+        if not others:
+            want.add((int(r["pid"]), r["b_type"], r["b_id"]))
+    assert sorted(set((g["import_id"], g["type"], g["id"]) for g in got)) == sorted(want)
+    assert want
+    pairs.unpersist()

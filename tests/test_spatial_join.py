@@ -70,3 +70,24 @@ def test_no_nested_loop_in_spatial_joins(spark):
         plan = _plan(df)
         assert "NestedLoopJoin" not in plan
         assert "CartesianProduct" not in plan
+
+
+def test_one_spatial_join_per_pass_at_scale_settings(spark):
+    """With broadcasts off (as when no side is small), each pass is one sort-merge join on cells,
+    and no window operator (which would pull a hot group into one task) appears."""
+    from addrweave.operators import match as M
+    from addrweave.plans.catalog import context
+
+    ctx = context(spark, "/root/testdata/sf0.001")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (M.building_matches(ctx.pool, ctx.local_all, 0.5, 10.0), M.nocity_matches(ctx.pool, ctx.local_all, 5.0)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == 1
+            assert "Window" not in plan
+            assert "partial_" in plan  # map-side partial aggregation before the shuffle
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
