@@ -155,27 +155,25 @@ def fixture_sql_for(name: str, tables: dict[str, str] | None = None) -> str:
     return FIXTURE_SQL[name].format(**tables)
 
 
-def _corner(name: str) -> Column:
-    sx = F.col("cx") + (F.col("half") if name[1] == "E" else -F.col("half"))
-    sy = F.col("cy") + (F.col("half") if name[0] == "N" else -F.col("half"))
-    return F.struct(sx.alias("lon"), sy.alias("lat"))
+def _corner_sql(name: str) -> str:
+    sx = "cx + half" if name[1] == "E" else "cx - half"
+    sy = "cy + half" if name[0] == "N" else "cy - half"
+    return f"named_struct('lon', {sx}, 'lat', {sy})"
 
 
 def _shape_geometry() -> tuple[Column, Column]:
-    """Vertex array and node-id array for each fixture shape."""
-    geom = None
-    nodes = None
+    """Vertex array and node-id array for each fixture shape (one SQL CASE each)."""
+    geoms, ids = [], []
     for shape, corners in SHAPES.items():
         distinct: list[str] = []
         for c in corners:
             if c not in distinct:
                 distinct.append(c)
-        g = F.array(*[_corner(c) for c in corners])
-        ids = F.array(*[(F.col("id") * 10 + distinct.index(c)).cast("bigint") for c in corners])
-        cond = F.col("shape") == shape
-        geom = F.when(cond, g) if geom is None else geom.when(cond, g)
-        nodes = F.when(cond, ids) if nodes is None else nodes.when(cond, ids)
-    return geom, nodes
+        g = ", ".join(_corner_sql(c) for c in corners)
+        n = ", ".join(f"CAST(id * 10 + {distinct.index(c)} AS BIGINT)" for c in corners)
+        geoms.append(f"WHEN shape = '{shape}' THEN array({g})")
+        ids.append(f"WHEN shape = '{shape}' THEN array({n})")
+    return F.expr("CASE " + " ".join(geoms) + " END"), F.expr("CASE " + " ".join(ids) + " END")
 
 
 def load_fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
