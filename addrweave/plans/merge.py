@@ -172,3 +172,14 @@ def merge_summary(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def write_outputs(result: MergeResult, out_dir: str, single_file: bool = False) -> None:
+    """Write every output of a merge: remaining imports (OSM XML, K1), the change file
+    (osmChange XML, K5), the change tables (Parquet, K6) and the summary (Parquet, A3)."""
+    from addrweave.sinks.osm_xml import write_changes_parquet, write_osc, write_osm
+
+    write_osm(result.remaining, f"{out_dir}/remaining.osm", single_file=single_file)
+    write_osc(result.changes, f"{out_dir}/changes.osc", single_file=single_file)
+    write_changes_parquet(result.changes, f"{out_dir}/changes")
+    result.summary.write.mode("overwrite").parquet(f"{out_dir}/summary")
