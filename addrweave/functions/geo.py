@@ -302,3 +302,74 @@ def sql_lon_expand_degrees(metres: float, abs_lat: str) -> str:
     """Degrees of longitude spanned by ``metres`` at latitude ``abs_lat`` (capped near the poles)."""
     lat = f"least(abs({abs_lat}) + {_d(metres_to_lat_degrees(metres))}, 89D)"
     return f"({_d(metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12)} / cos(radians({lat})))"
+
+
+# --------------------------------------------------------------------------- indexed area tests
+
+_EDGE_T = "ARRAY<STRUCT<ax: DOUBLE, ay: DOUBLE, bx: DOUBLE, by: DOUBLE>>"
+
+
+def _sql_edge_array(edges) -> str:
+    if not edges:
+        return f"CAST(array() AS {_EDGE_T})"
+    return "array(" + ", ".join(
+        f"named_struct('ax', {_d(a)}, 'ay', {_d(b)}, 'bx', {_d(c)}, 'by', {_d(d)})" for a, b, c, d in edges
+    ) + ")"
+
+
+def sql_area_index(idx) -> str:
+    """The index as one literal struct: cell letters and per-row edge arrays."""
+    bands = "array(" + ", ".join(_sql_edge_array(b) for b in idx.bands) + ")"
+    return f"named_struct('cells', '{idx.cells}', 'bands', {bands})"
+
+
+def _sql_cell(idx, px: str, py: str) -> str:
+    i = f"least({idx.nx - 1}, greatest(0, CAST(floor(({px} - {_d(idx.x0)}) / {_d(idx.dx)}) AS INT)))"
+    j = f"least({idx.ny - 1}, greatest(0, CAST(floor(({py} - {_d(idx.y0)}) / {_d(idx.dy)}) AS INT)))"
+    return f"named_struct('i', {i}, 'j', {j})"
+
+
+def _sql_point_in_area_indexed(px: str, py: str, idx, x: str, bbox) -> str:
+    bx0, by0, bx1, by1 = bbox
+
+    def body(c: str) -> str:
+        letter = f"substr({x}.cells, {c}.j * {idx.nx} + {c}.i + 1, 1)"
+        exact = _sql_point_in_area(px, py, f"element_at({x}.bands, {c}.j + 1)")
+        return f"CASE {letter} WHEN 'I' THEN true WHEN 'O' THEN false ELSE {exact} END"
+
+    outside = f"({px} < {_d(bx0)} OR {px} > {_d(bx1)} OR {py} < {_d(by0)} OR {py} > {_d(by1)})"
+    return f"CASE WHEN {outside} THEN false ELSE {_let(_sql_cell(idx, px, py), body)} END"
+
+
+def point_in_area_indexed(px: str, py: str, idx, bbox) -> Column:
+    """P1 with the area index: most points are decided by their cell's letter; points in
+    boundary cells run the exact even-odd/boundary test against their row's edges only."""
+    return F.expr(_let(sql_area_index(idx), lambda x: _sql_point_in_area_indexed(px, py, idx, x, bbox)))
+
+
+def line_intersects_area_indexed(geom: str, idx, bbox) -> Column:
+    """P2 with the area index: a vertex inside, or an edge crossing an area edge of the rows it spans."""
+    bx0, by0, bx1, by1 = bbox
+
+    def with_index(x: str) -> str:
+        def body(g: str) -> str:
+            p, k, e = _v("p"), _v("k"), _v("e")
+            vertex_in = f"exists({g}, {p} -> {_sql_point_in_area_indexed(f'{p}.lon', f'{p}.lat', idx, x, bbox)})"
+            a, b = f"{g}[{k} - 1]", f"{g}[{k}]"
+            row = lambda y: f"least({idx.ny - 1}, greatest(0, CAST(floor(({y} - {_d(idx.y0)}) / {_d(idx.dy)}) AS INT)))"
+            ja, jb = row(f"least({a}.lat, {b}.lat)"), row(f"greatest({a}.lat, {b}.lat)")
+            near = (
+                f"greatest({a}.lon, {b}.lon) >= {_d(bx0)} AND least({a}.lon, {b}.lon) <= {_d(bx1)} AND "
+                f"greatest({a}.lat, {b}.lat) >= {_d(by0)} AND least({a}.lat, {b}.lat) <= {_d(by1)}"
+            )
+            hit = _sql_segments_intersect(_xy(a), _xy(b), (f"{e}.ax", f"{e}.ay"), (f"{e}.bx", f"{e}.by"))
+            edges = f"flatten(slice({x}.bands, {ja} + 1, {jb} - {ja} + 1))"
+            edge_hit = (
+                f"CASE WHEN size({g}) >= 2 THEN exists(sequence(1, size({g}) - 1), {k} -> "
+                f"{near} AND exists({edges}, {e} -> {hit})) ELSE false END"
+            )
+            return f"({vertex_in} OR {edge_hit})"
+
+        return _let(geom, body)
+
+    return F.expr(_let(sql_area_index(idx), with_index))

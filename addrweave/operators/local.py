@@ -10,9 +10,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.functions.geo import bbox_columns, line_intersects_area, point, point_in_area, sql_area_edges
+from addrweave.functions.geo import bbox_columns, line_intersects_area_indexed, point, point_in_area_indexed
 from addrweave.functions.tags import address_columns, tag
-from addrweave.sources.area import Area
+from addrweave.sources.area import Area, build_area_index
 from addrweave.sources.snapshot import Snapshot
 
 # ``version`` and ``way_nodes`` (ways only) travel with each feature so change sets need no
@@ -34,10 +34,10 @@ class Local:
 def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
     """Nodes inside the area (boundary included). The box test pushes down to the scan."""
     x0, y0, x1, y1 = area.bbox
-    edges = sql_area_edges(area.ring_lists())
+    idx = build_area_index(area)
     return (
         nodes.where(F.col("lon").between(x0, x1) & F.col("lat").between(y0, y1))
-        .where(point_in_area("lon", "lat", edges))
+        .where(point_in_area_indexed("lon", "lat", idx, area.bbox))
         .select("id", "version", "tags", point("lon", "lat").alias("geom"), "lon", "lat")
     )
 
@@ -45,7 +45,7 @@ def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
 def local_ways(ways: DataFrame, area: Area) -> DataFrame:
     """Ways touching the area: box overlap first, then vertex-inside or edge-crossing."""
     x0, y0, x1, y1 = area.bbox
-    edges = sql_area_edges(area.ring_lists())
+    idx = build_area_index(area)
     if "min_lon" in ways.columns:  # stored boxes push down to the scan
         w = ways
     else:
@@ -54,7 +54,7 @@ def local_ways(ways: DataFrame, area: Area) -> DataFrame:
         w.where(
             (F.col("max_lon") >= x0) & (F.col("min_lon") <= x1) & (F.col("max_lat") >= y0) & (F.col("min_lat") <= y1)
         )
-        .where(line_intersects_area("linestring", edges))
+        .where(line_intersects_area_indexed("linestring", idx, area.bbox))
         .select(
             "id", "version", "tags", F.col("linestring").alias("geom"), "nodes", "min_lon", "min_lat", "max_lon", "max_lat"
         )

@@ -5,6 +5,7 @@ The area is a run parameter, not data: it becomes a literal edge array (P1/P2).
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -63,3 +64,93 @@ def parse_wkt_area(wkt: str) -> Area:
 def read_wkt_file(path: str) -> Area:
     with open(path, encoding="utf-8") as f:
         return parse_wkt_area(f.read())
+
+
+# --------------------------------------------------------------------------- area index
+
+Edge = tuple[float, float, float, float]
+
+
+@dataclass(frozen=True)
+class AreaIndex:
+    """A grid over the area's box, built once on the driver from the area parameter.
+
+    ``cells`` holds one letter per cell (row-major from the south-west): ``I`` (wholly
+    inside), ``O`` (wholly outside) or ``B`` (an area edge passes within ``eps``). A
+    point in an ``I``/``O`` cell is decided without looking at any edge.
+    ``bands[j]`` lists every edge whose latitude range meets row ``j`` (widened by
+    ``eps``); an exact even-odd test for a point in row ``j`` only needs those edges,
+    since an edge that straddles the point's latitude must meet its row.
+    """
+
+    x0: float
+    y0: float
+    dx: float
+    dy: float
+    nx: int
+    ny: int
+    cells: str
+    bands: tuple[tuple[Edge, ...], ...]
+
+
+def _edges(area: Area) -> list[Edge]:
+    return [(a[0], a[1], b[0], b[1]) for r in area.rings for a, b in zip(r[:-1], r[1:])]
+
+
+def _inside(px: float, py: float, edges: list[Edge]) -> bool:
+    n = 0
+    for ax, ay, bx, by in edges:
+        if (ay > py) != (by > py) and (px - ax) < (bx - ax) * (py - ay) / (by - ay):
+            n += 1
+    return n % 2 == 1
+
+
+def _seg_hits_box(e: Edge, bx0: float, by0: float, bx1: float, by1: float) -> bool:
+    """Closed segment meets the closed box (Liang-Barsky clipping)."""
+    ax, ay, ex, ey = e
+    t0, t1 = 0.0, 1.0
+    dx, dy = ex - ax, ey - ay
+    for p, q in ((-dx, ax - bx0), (dx, bx1 - ax), (-dy, ay - by0), (dy, by1 - ay)):
+        if p == 0:
+            if q < 0:
+                return False
+        else:
+            t = q / p
+            if p < 0:
+                t0 = max(t0, t)
+            else:
+                t1 = min(t1, t)
+            if t0 > t1:
+                return False
+    return True
+
+
+def build_area_index(area: Area, max_side: int = 128) -> AreaIndex:
+    """Grid of about two cells per edge in each direction (at most ``max_side`` per side)."""
+    edges = _edges(area)
+    x0, y0, x1, y1 = area.bbox
+    n = max(1, min(max_side, int(math.sqrt(len(edges)) * 2)))
+    dx = (x1 - x0) / n or 1.0
+    dy = (y1 - y0) / n or 1.0
+    eps = 1e-9 * max(abs(x0), abs(x1), abs(y0), abs(y1), 1.0)
+    boundary = set()
+    bands: list[list[Edge]] = [[] for _ in range(n)]
+    for e in edges:
+        ex0, ex1 = min(e[0], e[2]) - eps, max(e[0], e[2]) + eps
+        ey0, ey1 = min(e[1], e[3]) - eps, max(e[1], e[3]) + eps
+        i0, i1 = max(0, int((ex0 - x0) // dx)), min(n - 1, int((ex1 - x0) // dx))
+        j0, j1 = max(0, int((ey0 - y0) // dy)), min(n - 1, int((ey1 - y0) // dy))
+        for j in range(j0, j1 + 1):
+            bands[j].append(e)
+            for i in range(i0, i1 + 1):
+                cx0, cy0 = x0 + i * dx, y0 + j * dy
+                if _seg_hits_box(e, cx0 - eps, cy0 - eps, cx0 + dx + eps, cy0 + dy + eps):
+                    boundary.add((i, j))
+    cells = []
+    for j in range(n):
+        for i in range(n):
+            if (i, j) in boundary:
+                cells.append("B")
+            else:
+                cells.append("I" if _inside(x0 + (i + 0.5) * dx, y0 + (j + 0.5) * dy, bands[j]) else "O")
+    return AreaIndex(x0, y0, dx, dy, n, n, "".join(cells), tuple(tuple(b) for b in bands))

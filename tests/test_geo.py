@@ -97,3 +97,44 @@ def test_area_clip_holes_and_crossing_lines(spark):
     )
     got = lines.select("name", "want", geo.line_intersects_area("g", edges).alias("got")).collect()
     assert {r["name"]: r["got"] for r in got} == {r["name"]: r["want"] for r in got}
+
+
+def _star(n_points: int, cx=-80.0, cy=40.0, r1=0.5, r2=0.2):
+    pts = []
+    for k in range(2 * n_points):
+        r = r1 if k % 2 == 0 else r2
+        a = math.pi * k / n_points
+        pts.append(f"{cx + r * math.cos(a)!r} {cy + r * math.sin(a)!r}")
+    pts.append(pts[0])
+    return "(" + ", ".join(pts) + ")"
+
+
+@pytest.mark.parametrize("n_points", [3, 40, 400])
+def test_indexed_area_tests_equal_plain_tests(spark, n_points):
+    """Concave star with a hole, many edges: the grid-indexed clip agrees with the all-edges test."""
+    import random
+
+    from addrweave.sources.area import build_area_index
+
+    wkt = f"POLYGON({_star(n_points)}, (-80.05 39.95, -79.95 39.95, -79.95 40.05, -80.05 40.05, -80.05 39.95))"
+    area = parse_wkt_area(wkt)
+    idx = build_area_index(area)
+    assert set(idx.cells) <= {"I", "O", "B"} and "B" in idx.cells
+    edges = geo.sql_area_edges(area.ring_lists())
+    rnd = random.Random(n_points)
+    pts = [(-80.0 + rnd.uniform(-0.6, 0.6), 40.0 + rnd.uniform(-0.6, 0.6)) for _ in range(1500)]
+    pts += [(float(x), float(y)) for x, y in area.rings[0][:20]]  # vertices: on the boundary
+    df = spark.createDataFrame(pts, "x double, y double")
+    r = df.select(
+        geo.point_in_area("x", "y", edges).alias("plain"), geo.point_in_area_indexed("x", "y", idx, area.bbox).alias("fast")
+    ).collect()
+    assert all(row["plain"] == row["fast"] for row in r)
+    assert any(row["fast"] for row in r) and not all(row["fast"] for row in r)
+    segs = [
+        [{"lon": x, "lat": y}, {"lon": x + rnd.uniform(-0.3, 0.3), "lat": y + rnd.uniform(-0.3, 0.3)}] for x, y in pts[:600]
+    ]
+    lines = spark.createDataFrame([(s,) for s in segs], "g array<struct<lon:double,lat:double>>")
+    r = lines.select(
+        geo.line_intersects_area("g", edges).alias("plain"), geo.line_intersects_area_indexed("g", idx, area.bbox).alias("fast")
+    ).collect()
+    assert all(row["plain"] == row["fast"] for row in r)
