@@ -104,15 +104,24 @@ def _sql_seg_dist(px: str, py: str, kx: str, a: str, b: str) -> str:
     return _let(vec, with_vec)
 
 
+def _sql_point_dist(px: str, py: str, q: str) -> str:
+    """Closed form for a one-vertex geometry (no vertex loop)."""
+    return f"sqrt(pow(({q}.lat - {py}) * {_M}, 2) + pow(({q}.lon - {px}) * cos(radians({py})) * {_M}, 2))"
+
+
 def _sql_line_body(px: str, py: str, kx: str, g: str) -> str:
-    i = _v("i")
-    segs = f"array_min(transform(sequence(1, size({g}) - 1), {i} -> {_sql_seg_dist(px, py, kx, f'{g}[{i} - 1]', f'{g}[{i}]')}))"
-    single = _sql_seg_dist(px, py, kx, f"{g}[0]", f"{g}[0]")
-    return f"CASE WHEN size({g}) >= 2 THEN {segs} WHEN size({g}) = 1 THEN {single} END"
+    i, acc = _v("i"), _v("acc")
+    seg = _sql_seg_dist(px, py, kx, f"{g}[{i} - 1]", f"{g}[{i}]")
+    segs = f"aggregate(sequence(1, size({g}) - 1), CAST('Infinity' AS DOUBLE), ({acc}, {i}) -> least({acc}, {seg}))"
+    return f"CASE WHEN size({g}) >= 2 THEN {segs} WHEN size({g}) = 1 THEN {_sql_point_dist(px, py, f'{g}[0]')} END"
 
 
 def sql_dist_point_line(px: str, py: str, geom: str) -> str:
-    return _let(geom, lambda g: _let(f"cos(radians({py})) * {_M}", lambda kx: _sql_line_body(px, py, kx, g)))
+    def body(g: str) -> str:
+        loop = _let(f"cos(radians({py})) * {_M}", lambda kx: _sql_line_body(px, py, kx, g))
+        return f"CASE WHEN size({g}) = 1 THEN {_sql_point_dist(px, py, f'{g}[0]')} ELSE {loop} END"
+
+    return _let(geom, body)
 
 
 def dist_point_line(px: str, py: str, geom: str) -> Column:
@@ -152,17 +161,26 @@ def point_in_ring(px: str, py: str, ring: str) -> Column:
     return F.expr(sql_point_in_ring(px, py, ring))
 
 
-def sql_dist_point_polygon(px: str, py: str, ring: str) -> str:
+def sql_dist_point_polygon(px: str, py: str, ring: str, bbox: tuple[str, str, str, str] | None = None) -> str:
     def body(g: str) -> str:
         line = _let(f"cos(radians({py})) * {_M}", lambda kx: _sql_line_body(px, py, kx, g))
-        return f"CASE WHEN {_sql_crossings(px, py, g)} % 2 = 1 THEN 0D ELSE {line} END"
+        full = f"CASE WHEN {_sql_crossings(px, py, g)} % 2 = 1 THEN 0D ELSE {line} END"
+        if bbox is None:
+            return full
+        x0, y0, x1, y1 = bbox
+        # outside the ring's box the point cannot be inside: skip the crossing loop
+        return f"CASE WHEN {px} < {x0} OR {px} > {x1} OR {py} < {y0} OR {py} > {y1} THEN {line} ELSE {full} END"
 
     return _let(ring, body)
 
 
-def dist_point_polygon(px: str, py: str, ring: str) -> Column:
-    """Metres from a point to the polygon filled by a closed ring: 0 inside, else edge distance."""
-    return F.expr(sql_dist_point_polygon(px, py, ring))
+def dist_point_polygon(px: str, py: str, ring: str, bbox: tuple[str, str, str, str] | None = None) -> Column:
+    """Metres from a point to the polygon filled by a closed ring: 0 inside, else edge distance.
+
+    ``bbox`` (column names of the ring's box), when given, lets points outside the
+    box skip the inside test.
+    """
+    return F.expr(sql_dist_point_polygon(px, py, ring, bbox))
 
 
 # --------------------------------------------------------------------------- intersections

@@ -158,7 +158,8 @@ def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres:
         "version", "way_nodes", ring_is_valid("geom").alias("b_valid"),
         "min_lon", "min_lat", "max_lon", "max_lat",
     )
-    pairs = within_pairs(imp.unionByName(adr), blds, radius, dist_point_polygon)
+    box = ("min_lon", "min_lat", "max_lon", "max_lat")
+    pairs = within_pairs(imp.unionByName(adr), blds, radius, lambda x, y, g: dist_point_polygon(x, y, g, box))
     return pairs.drop("geom", "min_lon", "min_lat", "max_lon", "max_lat")
 
 
