@@ -108,9 +108,24 @@ def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semant
     return pairs.select("import_id", "type", "id", "dist", merge_tags("i_tags", "l_tags").alias("tags"), *_PAYLOAD)
 
 
+def _lowest_id_per_copy(local_all: DataFrame) -> DataFrame:
+    """Among objects of one type with the same number, street and geometry, keep the lowest id.
+
+    Such copies are equally far from any import, so the D3 pick (nearest, then lowest
+    id) can only choose the lowest one; collapsing them first (partial aggregation)
+    keeps a pile of copies from pairing with every import.
+    """
+    keys = ["type", "hn", "street", "geom"]
+    rest = [c for c in local_all.columns if c not in keys]
+    best = F.min_by(F.struct(*rest), F.col("id")).alias("_b")
+    return local_all.where(F.col("hn").isNotNull() & F.col("street").isNotNull()).groupBy(*keys).agg(best).select(
+        *keys, *[F.col("_b")[c].alias(c) for c in rest]
+    )
+
+
 def nocity_matches(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
     """C3 with D3: per import and object type, the nearest match (then lowest id)."""
-    pairs = nocity_pairs(imports, local_all, metres, semantics)
+    pairs = nocity_pairs(imports, _lowest_id_per_copy(local_all), metres, semantics)
     picked = one_per_group(pairs, ["import_id", "type"], ["dist", "id"])
     return picked.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
 
@@ -130,17 +145,24 @@ def _area_features(local_all: DataFrame) -> DataFrame:
     return local_all.where(F.col("type").isin("W", "M") & (has_tag("tags", "building") | F.col("hn").isNotNull()))
 
 
-def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres: float) -> DataFrame:
+def building_pairs(
+    pool: DataFrame, local_all: DataFrame, buffer: float, metres: float, collapse: bool = False
+) -> DataFrame:
     """One grid join for J7-J9: import points and address nodes against candidate buildings.
 
-    Returns ``kind`` ('I' import, 'A' address node), ``pid``, ``i_tags``, the
-    building columns (``b_type, b_id, b_tags, geom``) and ``dist`` (0 inside)
-    for every pair within ``max(buffer, metres)``.
+    Returns ``kind`` ('I' import, 'A' address node), ``pid``, ``cnt``, ``i_tags``, the
+    building columns (``b_type, b_id, b_tags, version, way_nodes, b_valid``) and
+    ``dist`` (0 inside) for every pair within ``max(buffer, metres)``.
+
+    With ``collapse``, points at the same position are pre-aggregated before the
+    shuffle (``cnt`` copies, lowest id ``pid``, that id's tags): a pile of copies
+    then meets each building once instead of once per copy.
     """
     radius = max(float(buffer), float(metres))
     imp = pool.select(
         F.lit("I").alias("kind"),
         F.col("import_id").cast("bigint").alias("pid"),
+        F.lit(1).cast("bigint").alias("cnt"),
         F.col("tags").alias("i_tags"),
         F.col("lon").alias("p_lon"),
         F.col("lat").alias("p_lat"),
@@ -148,10 +170,18 @@ def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres:
     adr = local_all.where((F.col("type") == "N") & F.col("hn").isNotNull()).select(
         F.lit("A").alias("kind"),
         F.col("id").alias("pid"),
+        F.lit(1).cast("bigint").alias("cnt"),
         F.lit(None).cast("map<string,string>").alias("i_tags"),
         F.col("min_lon").alias("p_lon"),
         F.col("min_lat").alias("p_lat"),
     )
+    pts = imp.unionByName(adr)
+    if collapse:
+        pts = pts.groupBy("kind", "p_lon", "p_lat").agg(
+            F.min("pid").alias("pid"),
+            F.sum("cnt").alias("cnt"),
+            F.min_by("i_tags", "pid").alias("i_tags"),
+        )
     # validity (P9) once per building, so pairs need not carry the vertex array
     blds = building_features(local_all).select(
         F.col("type").alias("b_type"), F.col("id").alias("b_id"), F.col("tags").alias("b_tags"), "geom",
@@ -159,7 +189,7 @@ def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres:
         "min_lon", "min_lat", "max_lon", "max_lat",
     )
     box = ("min_lon", "min_lat", "max_lon", "max_lat")
-    pairs = within_pairs(imp.unionByName(adr), blds, radius, lambda x, y, g: dist_point_polygon(x, y, g, box))
+    pairs = within_pairs(pts, blds, radius, lambda x, y, g: dist_point_polygon(x, y, g, box))
     return pairs.drop("geom", "min_lon", "min_lat", "max_lon", "max_lat")
 
 
@@ -179,21 +209,23 @@ def building_matches(
     (partial aggregates), not by pairing every neighbour with every candidate.
     """
     _check_semantics(semantics)
-    pairs = building_pairs(pool, local_all, buffer, metres)
+    single = metres >= buffer
+    pairs = building_pairs(pool, local_all, buffer, metres, collapse=single)
     n = F.lit(float(metres))
     imp_near = (F.col("kind") == "I") & (F.col("dist") <= n)
     adr_near = (F.col("kind") == "A") & (F.col("dist") <= n)
     is_cand = (F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer)))
     counts = [
-        F.count(F.when(imp_near, 1)).alias("n_imp"),
+        F.coalesce(F.sum(F.when(imp_near, F.col("cnt"))), F.lit(0)).alias("n_imp"),
         F.min(F.when(imp_near, F.col("pid"))).alias("min_imp"),
-        F.count(F.when(adr_near, 1)).alias("n_adr"),
+        F.coalesce(F.sum(F.when(adr_near, F.col("cnt"))), F.lit(0)).alias("n_adr"),
         F.min(F.when(adr_near, F.col("pid"))).alias("min_adr"),
     ]
-    if metres >= buffer:
+    if single:
         # Every candidate is itself within ``metres``, so a building that survives J8 has
         # exactly one import within reach: the candidate is found in the same partial
-        # aggregate (min_by over candidate rows) and the spatial join runs once.
+        # aggregate (min_by over candidate rows) and the spatial join runs once. Points
+        # were collapsed by position; a survivor's candidate position holds one import.
         cand = F.struct("pid", "dist", "i_tags", "p_lon", "p_lat")
         per_building = pairs.groupBy("b_type", "b_id").agg(
             *counts,
