@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from addrweave.functions.geo import dist_point_line, dist_point_polygon, is_closed, ring_is_valid
 from addrweave.functions.tags import address_columns, has_tag, merge_tags
-from addrweave.operators.spatial_join import within_pairs
+from addrweave.operators.spatial_join import left_within, within_pairs
 
 AS_CODED = "as_coded"
 INTENDED = "intended"
@@ -266,21 +266,28 @@ def building_matches(
 
 
 def _without_nearby_areas(m: DataFrame, local_all: DataFrame, metres: float) -> DataFrame:
-    """Drop matches whose import point has another building/addressed area within ``metres``."""
-    pts = m.select("import_id", "p_lon", "p_lat").distinct()
+    """Drop matches whose import point has another building/addressed area within ``metres``.
+
+    One left grid join from the matches and one aggregate per match (count of areas
+    in reach and the least of them), so the match set is computed once.
+    """
     areas = _area_features(local_all).select(
-        F.col("type").alias("a_type"), F.col("id").alias("a_id"), "geom", "min_lon", "min_lat", "max_lon", "max_lat"
+        F.col("type").alias("a_type"), F.col("id").alias("a_id"), F.col("geom").alias("a_geom"),
+        "min_lon", "min_lat", "max_lon", "max_lat",
     )
-    near = within_pairs(pts, areas, metres, dist_point_line)
-    per_import = near.groupBy("import_id").agg(
-        F.count(F.lit(1)).alias("n_area"), F.min(F.struct("a_type", "a_id")).alias("min_area")
+    near = left_within(m, areas, metres, dist_point_line, geom="a_geom")
+    key = ["import_id", "type", "id"]
+    rest = [c for c in m.columns if c not in key]
+    per_match = near.groupBy(*key).agg(
+        *[F.any_value(c).alias(c) for c in rest],
+        F.count("a_id").alias("n_area"),
+        F.min(F.when(F.col("a_id").isNotNull(), F.struct("a_type", "a_id"))).alias("min_area"),
     )
-    j = m.join(per_import, "import_id", "left")
-    other: Column = (F.coalesce(F.col("n_area"), F.lit(0)) >= 2) | (
+    other: Column = (F.col("n_area") >= 2) | (
         (F.col("n_area") == 1)
         & ~((F.col("min_area.a_type") == F.col("type")) & (F.col("min_area.a_id") == F.col("id")))
     )
-    return j.where(~other).drop("n_area", "min_area")
+    return per_match.where(~other).select(*m.columns)
 
 
 def building_assignments(matches: DataFrame, semantics: str = AS_CODED) -> DataFrame:

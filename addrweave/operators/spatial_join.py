@@ -133,3 +133,35 @@ def within_pairs(
     limit = F.lit(float(metres))
     joined = joined.select("*", F.explode(F.filter(F.array(distance(p_lon, p_lat, geom)), lambda d: d <= limit)).alias("dist"))
     return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+
+
+def left_within(
+    points: DataFrame,
+    features: DataFrame,
+    metres: float,
+    distance: Callable[[str, str, str], Column],
+    grid: Grid | None = None,
+    p_lon: str = "p_lon",
+    p_lat: str = "p_lat",
+    geom: str = "geom",
+) -> DataFrame:
+    """Every point row (once per grid level) with the features within ``metres``, or NULL feature columns.
+
+    A left outer join on the cell with the box and distance tests in the join
+    condition; callers aggregate per point key (e.g. count features), which also
+    folds the per-level copies of a point back into one row.
+    """
+    grid = grid or grid_for(metres)
+    p = point_cells(points, grid, p_lon, p_lat)
+    f = feature_cells(features, grid)
+    p = p.withColumnRenamed("lvl", "_p_lvl").withColumnRenamed("cx", "_p_cx").withColumnRenamed("cy", "_p_cy")
+    cond = (
+        (F.col("_p_lvl") == F.col("lvl"))
+        & (F.col("_p_cx") == F.col("cx"))
+        & (F.col("_p_cy") == F.col("cy"))
+        & F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
+        & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
+        & (distance(p_lon, p_lat, geom) <= F.lit(float(metres)))
+    )
+    joined = p.join(f, cond, "left")
+    return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
