@@ -44,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        # unset: only in tests / local runs
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: intermediate tables are written there")
+        # unset on a local master: tests and local runs only
         d = tempfile.mkdtemp(prefix="addrweave-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
