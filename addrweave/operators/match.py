@@ -125,7 +125,9 @@ def _lowest_id_per_copy(local_all: DataFrame) -> DataFrame:
 
 def nocity_matches(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
     """C3 with D3: per import and object type, the nearest match (then lowest id)."""
-    pairs = nocity_pairs(imports, _lowest_id_per_copy(local_all), metres, semantics)
+    _check_semantics(semantics)
+    feats = local_all.where(F.col("city").isNull()) if semantics == INTENDED else local_all  # before collapsing copies
+    pairs = nocity_pairs(imports, _lowest_id_per_copy(feats), metres, semantics)
     picked = one_per_group(pairs, ["import_id", "type"], ["dist", "id"])
     return picked.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
 

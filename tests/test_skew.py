@@ -74,3 +74,25 @@ def test_nocity_with_copies_equals_brute_force(data):
     want = {(k[0], k[1], v["id"]) for k, v in best.items()}
     assert got == want
     assert sum(1 for i, _, n in got if i <= 300 and n == 5000) == 300  # all copies pick the lowest-id node
+
+
+def test_intended_city_filter_applies_before_copies_collapse(spark):
+    """Two copies of one address node: the lower id has a city, the higher one has none.
+    As coded the lower id matches; intended mode must still find the city-less copy."""
+    snap = Snapshot(
+        spark.createDataFrame(
+            [
+                (1, 1, {"addr:housenumber": "5", "addr:street": "Elm", "addr:city": "X"}, 10.0, 50.0),
+                (2, 1, {"addr:housenumber": "5", "addr:street": "Elm"}, 10.0, 50.0),
+            ],
+            "id bigint, version int, tags map<string,string>, lon double, lat double",
+        ),
+        spark.createDataFrame([], "id bigint, version int, tags map<string,string>, nodes array<bigint>, linestring array<struct<lon:double,lat:double>>"),
+        spark.createDataFrame([], "id bigint, version int, tags map<string,string>"),
+        spark.createDataFrame([], "relation_id bigint, member_id bigint, member_type string, member_role string, sequence_id int"),
+    )
+    la = local_features(snap, parse_wkt_area(AREA)).all
+    imp = spark.createDataFrame([(7, {"addr:housenumber": "5", "addr:street": "Elm", "addr:city": "Y"}, 10.00001, 50.0)],
+                                "import_id int, tags map<string,string>, lon double, lat double")
+    assert [r["id"] for r in M.nocity_matches(imp, la, 5.0).collect()] == [1]
+    assert [r["id"] for r in M.nocity_matches(imp, la, 5.0, "intended").collect()] == [2]
