@@ -35,13 +35,15 @@ def read_snapshot(spark: SparkSession, path: str) -> Snapshot:
     Only the needed columns are selected, so the scans prune everything else.
     """
 
-    def rd(name: str, schema: str) -> DataFrame:
+    def rd(name: str, schema: str, optional: tuple[str, ...] = ()) -> DataFrame:
+        df = spark.read.parquet(f"{path}/{name}")
         cols = [c.strip().split(" ")[0] for c in _split_schema(schema)]
-        return spark.read.parquet(f"{path}/{name}").select(*cols)
+        return df.select(*cols, *[c for c in optional if c in df.columns])
 
     return Snapshot(
         nodes=rd("nodes", NODES_SCHEMA),
-        ways=rd("ways", WAYS_SCHEMA),
+        # stored way boxes, when present, let the area filter prune Parquet row groups
+        ways=rd("ways", WAYS_SCHEMA, ("min_lon", "min_lat", "max_lon", "max_lat")),
         relations=rd("relations", RELATIONS_SCHEMA),
         relation_members=rd("relation_members", MEMBERS_SCHEMA),
     )
