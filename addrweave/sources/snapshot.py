@@ -50,9 +50,17 @@ def read_snapshot(spark: SparkSession, path: str) -> Snapshot:
 
 
 def write_snapshot(snapshot: Snapshot, path: str, mode: str = "overwrite") -> None:
-    """Write a snapshot as Parquet tables (the layout ``read_snapshot`` expects)."""
+    """Write a snapshot as Parquet tables (the layout ``read_snapshot`` expects).
+
+    Ways get their box columns stored, so later area filters prune row groups.
+    """
+    from addrweave.functions.geo import bbox_columns
+
+    ways = snapshot.ways
+    if "min_lon" not in ways.columns:
+        ways = ways.select("*", *bbox_columns("linestring"))
     snapshot.nodes.write.mode(mode).parquet(f"{path}/nodes")
-    snapshot.ways.write.mode(mode).parquet(f"{path}/ways")
+    ways.write.mode(mode).parquet(f"{path}/ways")
     snapshot.relations.write.mode(mode).parquet(f"{path}/relations")
     snapshot.relation_members.write.mode(mode).parquet(f"{path}/relation_members")
 

@@ -19,7 +19,7 @@ def test_snapshot_parquet_round_trip_and_merge_outputs(spark):
     write_snapshot(fx.snapshot, d + "/snap")
     snap = read_snapshot(spark, d + "/snap")
     assert snap.nodes.count() == fx.snapshot.nodes.count()
-    assert snap.ways.columns == ["id", "version", "tags", "nodes", "linestring"]
+    assert snap.ways.columns == ["id", "version", "tags", "nodes", "linestring", "min_lon", "min_lat", "max_lon", "max_lat"]
     r = merge_addresses(
         spark, fx.imports, snap, BOUNDS, MergeOptions(nocity=5.0, building=10.0, conflicts="nearest", sorted_output=True)
     )
