@@ -90,3 +90,15 @@ def test_summary_consistent(result):
     s = {row["stage"]: row["n"] for row in r.summary.collect()}
     assert s["imports"] == s["duplicates"] + s["remaining_after_duplicates"]
     assert s["remaining"] == s["remaining_after_duplicates"] - s["matched_imports"]
+
+
+def test_conflict_policy_report_keeps_all_matches(spark, result):
+    ctx, resolved = result
+    r = merge_addresses(
+        spark, ctx.imports, ctx.snapshot, BOUNDS,
+        MergeOptions(nocity=5.0, building=10.0, strip_keys=SAMPLE_STRIP_KEYS, conflicts="report"),
+    )
+    groups = r.conflicts.collect()
+    assert groups, "the fixtures have conflicts at 5 m"
+    extra = sum(g["n_imports"] - 1 for g in groups)
+    assert r.matches.count() == resolved.matches.count() + extra
