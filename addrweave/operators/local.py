@@ -19,7 +19,7 @@ from addrweave.sources.snapshot import Snapshot
 # lookup in the unclipped base tables (J6): every changed object is a local feature.
 LOCAL_COLUMNS = [
     "type", "id", "version", "tags", "geom", "way_nodes", "hn", "street", "city",
-    "min_lon", "min_lat", "max_lon", "max_lat",
+    "min_lon", "min_lat", "max_lon", "max_lat", "n_ways",
 ]
 
 
@@ -102,6 +102,7 @@ def local_features(snapshot: Snapshot, area: Area) -> Local:
     lw = local_ways(snapshot.ways, area)
     mps = multipolygon_lines(lw, snapshot.relations, snapshot.relation_members)
     no_nodes = F.lit(None).cast("array<bigint>").alias("way_nodes")
+    no_count = F.lit(None).cast("bigint").alias("n_ways")  # member ways of a multipolygon line
     n = ln.select(
         F.lit("N").alias("type"),
         "id",
@@ -114,10 +115,15 @@ def local_features(snapshot: Snapshot, area: Area) -> Local:
         F.col("lat").alias("min_lat"),
         F.col("lon").alias("max_lon"),
         F.col("lat").alias("max_lat"),
+        no_count,
     )
     box = ["min_lon", "min_lat", "max_lon", "max_lat"]
     w = lw.select(
-        F.lit("W").alias("type"), "id", "version", "tags", "geom", F.col("nodes").alias("way_nodes"), *address_columns("tags"), *box
+        F.lit("W").alias("type"), "id", "version", "tags", "geom", F.col("nodes").alias("way_nodes"), *address_columns("tags"),
+        *box, no_count,
+    )
+    m = mps.select(
+        F.lit("M").alias("type"), "id", "version", "tags", "geom", no_nodes, *address_columns("tags"), *box,
+        F.col("n_ways").cast("bigint").alias("n_ways"),
     )
-    m = mps.select(F.lit("M").alias("type"), "id", "version", "tags", "geom", no_nodes, *address_columns("tags"), *box)
     return Local(nodes=ln, ways=lw, multipolygons=mps, all=n.unionByName(w).unionByName(m))

@@ -109,7 +109,7 @@ def q_local_ways(spark, sf_dir):
 
 
 def q_multipolygon_lines(spark, sf_dir):
-    mps = context(spark, sf_dir).local.multipolygons
+    mps = context(spark, sf_dir).local_all.where(F.col("type") == "M")
     return mps.select(
         "id",
         tags_text("tags").alias("tags_text"),
