@@ -47,8 +47,8 @@ def grid_for(metres: float, levels: int = 2, factor: int = 16, max_cells: int =
     return Grid(metres=metres, cell_deg=cell_m / M_PER_DEG, levels=levels, factor=factor, max_cells=max_cells)
 
 
-def point_cells(points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p_lat") -> DataFrame:
-    """One row per point and level with columns ``lvl, cx, cy``."""
+def point_cells(points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p_lat", prefix: str = "") -> DataFrame:
+    """One row per point and level with columns ``{prefix}lvl, {prefix}cx, {prefix}cy``."""
     cells = F.array(
         *[
             F.struct(
@@ -59,7 +59,10 @@ def point_cells(points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p
             for level in range(grid.levels)
         ]
     )
-    return points.withColumn("_cell", F.explode(cells)).select("*", "_cell.*").drop("_cell")
+    cols = points.columns
+    return points.select(*cols, F.explode(cells).alias("_cell")).select(
+        *cols, *[F.col(f"_cell.{c}").alias(prefix + c) for c in ("lvl", "cx", "cy")]
+    )
 
 
 def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
@@ -90,14 +93,36 @@ def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
     for level in reversed(range(grid.levels - 1)):
         x0, x1, y0, y1 = span(level)
         lvl = F.when((x1 - x0 + 1) * (y1 - y0 + 1) <= grid.max_cells, F.lit(level)).otherwise(lvl)
-    df = df.withColumn("lvl", lvl)
+    df = df.select("*", lvl.alias("lvl"))
     size = f"({grid.cell_deg!r}D * pow({float(grid.factor)!r}D, lvl))"
     cells = F.expr(
         f"flatten(transform(sequence(floor(e_min_lon / {size}), floor(e_max_lon / {size})), "
         f"x -> transform(sequence(floor(e_min_lat / {size}), floor(e_max_lat / {size})), "
         f"y -> named_struct('cx', x, 'cy', y))))"
     )
-    return df.withColumn("_cell", F.explode(cells)).select("*", "_cell.*").drop("_cell")
+    cols = df.columns
+    return df.select(*cols, F.explode(cells).alias("_cell")).select(*cols, "_cell.cx", "_cell.cy")
+
+
+_HELPER_COLUMNS = ("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+
+
+def _cell_join(points, features, metres, grid, p_lon, p_lat, keys, how, extra=None):
+    grid = grid or grid_for(metres)
+    p = point_cells(points, grid, p_lon, p_lat, prefix="_p_")
+    f = feature_cells(features, grid)
+    cond = (
+        (F.col("_p_lvl") == F.col("lvl"))
+        & (F.col("_p_cx") == F.col("cx"))
+        & (F.col("_p_cy") == F.col("cy"))
+        & F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
+        & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
+    )
+    for pk, fk in keys:
+        cond = cond & (F.col(pk) == F.col(fk))
+    if extra is not None:
+        cond = cond & extra
+    return p.join(f, cond, how)
 
 
 def within_pairs(
@@ -116,23 +141,14 @@ def within_pairs(
     ``keys`` are extra equality pairs ``(point_column, feature_column)`` (e.g. house
     number and street). Column names of the two sides must not clash.
     """
-    grid = grid or grid_for(metres)
-    p = point_cells(points, grid, p_lon, p_lat)
-    f = feature_cells(features, grid)
-    p = p.withColumnRenamed("lvl", "_p_lvl").withColumnRenamed("cx", "_p_cx").withColumnRenamed("cy", "_p_cy")
-    cond = (F.col("_p_lvl") == F.col("lvl")) & (F.col("_p_cx") == F.col("cx")) & (F.col("_p_cy") == F.col("cy"))
-    for pk, fk in keys:
-        cond = cond & (F.col(pk) == F.col(fk))
-    joined = p.join(f, cond, "inner").where(
-        F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
-        & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
-    )
+    joined = _cell_join(points, features, metres, grid, p_lon, p_lat, keys, "inner")
     # The distance is produced by a one-element generator and filtered there: a plain
     # filter on a projected distance would be pushed into the join condition and the
     # (vertex-loop) distance evaluated twice per pair.
     limit = F.lit(float(metres))
-    joined = joined.select("*", F.explode(F.filter(F.array(distance(p_lon, p_lat, geom)), lambda d: d <= limit)).alias("dist"))
-    return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+    dist = F.explode(F.filter(F.array(distance(p_lon, p_lat, geom)), lambda d: d <= limit)).alias("dist")
+    keep = [c for c in joined.columns if c not in _HELPER_COLUMNS]
+    return joined.select(*keep, dist)
 
 
 def left_within(
@@ -151,17 +167,6 @@ def left_within(
     condition; callers aggregate per point key (e.g. count features), which also
     folds the per-level copies of a point back into one row.
     """
-    grid = grid or grid_for(metres)
-    p = point_cells(points, grid, p_lon, p_lat)
-    f = feature_cells(features, grid)
-    p = p.withColumnRenamed("lvl", "_p_lvl").withColumnRenamed("cx", "_p_cx").withColumnRenamed("cy", "_p_cy")
-    cond = (
-        (F.col("_p_lvl") == F.col("lvl"))
-        & (F.col("_p_cx") == F.col("cx"))
-        & (F.col("_p_cy") == F.col("cy"))
-        & F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
-        & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
-        & (distance(p_lon, p_lat, geom) <= F.lit(float(metres)))
-    )
-    joined = p.join(f, cond, "left")
-    return joined.drop("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+    extra = distance(p_lon, p_lat, geom) <= F.lit(float(metres))
+    joined = _cell_join(points, features, metres, grid, p_lon, p_lat, (), "left", extra)
+    return joined.select(*[c for c in joined.columns if c not in _HELPER_COLUMNS])
