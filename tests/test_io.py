@@ -42,3 +42,21 @@ def test_same_result_with_and_without_written_intermediates(spark):
     )
     cols = ["import_id", "type", "id", "pass"]
     assert sorted(a.matches.select(*cols).collect()) == sorted(b.matches.select(*cols).collect())
+
+
+def test_area_box_is_pushed_to_the_scan(spark):
+    from addrweave.operators.local import local_nodes, local_ways
+    from addrweave.sources.area import parse_wkt_area
+
+    fx = load_fixtures(spark, SF)
+    d = tempfile.mkdtemp(prefix="push-")
+    write_snapshot(fx.snapshot, d + "/snap")
+    snap = read_snapshot(spark, d + "/snap")
+    area = parse_wkt_area(BOUNDS)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")  # untruncated PushedFilters in the plan text
+    n_plan = local_nodes(snap.nodes, area)._jdf.queryExecution().executedPlan().toString()
+    w_plan = local_ways(snap.ways, area)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(lon," in n_plan and "LessThanOrEqual(lat," in n_plan
+    assert "GreaterThanOrEqual(max_lon," in w_plan and "LessThanOrEqual(min_lat," in w_plan
+    # column pruning: the node scan reads only what P1 and the local table need
+    assert "ReadSchema: struct<id:bigint,version:int,tags:map<string,string>,lon:double,lat:double>" in n_plan
