@@ -133,6 +133,9 @@ FIXTURE_SQL = {
 
 SOURCE_TABLES = ("customer", "supplier", "part", "nation")
 
+_TWO_ROWS_SQL = "CROSS JOIN (SELECT 0 AS h UNION ALL SELECT 1) hs"
+_TWO_ROWS_SPARK = "LATERAL VIEW explode(array(0, 1)) hs AS h"
+
 # Vertex order of each fixture shape, as corner names.
 SHAPES = {
     "square": ["SW", "SE", "NE", "NW", "SW"],
@@ -181,7 +184,9 @@ def load_fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
     src = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES}
 
     def q(name: str) -> DataFrame:
-        return spark.sql(FIXTURE_SQL[name], **src)
+        # the two half-ways per nation come from a generator on Spark (no cross join)
+        sql = FIXTURE_SQL[name].replace(_TWO_ROWS_SQL, _TWO_ROWS_SPARK)
+        return spark.sql(sql, **src)
 
     imports = q("fx_import").select(
         F.col("import_id").cast("int").alias("import_id"),
