@@ -91,3 +91,20 @@ def test_one_spatial_join_per_pass_at_scale_settings(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_left_grid_join_counts_equal_brute_force(spark):
+    from addrweave.operators.spatial_join import left_within
+
+    p, f = _random_inputs(spark, seed=7, n_pts=200, n_feat=50)
+    got = {
+        r["pid"]: r["n"]
+        for r in left_within(p, f, 40.0, geo.dist_point_line).groupBy("pid").agg(F.count("fid").alias("n")).collect()
+    }
+    brute = {r["pid"]: 0 for r in p.select("pid").collect()}
+    for r in (
+        p.crossJoin(f).where(geo.dist_point_line("p_lon", "p_lat", "geom") <= 40.0).groupBy("pid").count().collect()
+    ):
+        brute[r["pid"]] = r["count"]
+    assert got == brute
+    assert any(v == 0 for v in got.values()) and any(v > 0 for v in got.values())
