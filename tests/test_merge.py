@@ -102,3 +102,20 @@ def test_conflict_policy_report_keeps_all_matches(spark, result):
     assert groups, "the fixtures have conflicts at 5 m"
     extra = sum(g["n_imports"] - 1 for g in groups)
     assert r.matches.count() == resolved.matches.count() + extra
+
+
+def test_intended_emits_multipolygon_building_changes(spark):
+    """Q6: as coded, multipolygon building matches change nothing; intended emits them as
+    relation changes (version + 1). sf0.1 with the wide bounds: 212 way matches (SURVEY §5.3)."""
+    ctx = context(spark, "/root/testdata/sf0.1")
+    coded = merge_addresses(spark, ctx.imports, ctx.snapshot, BOUNDS, MergeOptions(building=10.0, conflicts="nearest"),
+                            local_all=ctx.local_all, pool=ctx.pool)
+    intended = merge_addresses(spark, ctx.imports, ctx.snapshot, BOUNDS,
+                               MergeOptions(building=10.0, semantics="intended", conflicts="nearest"),
+                               local_all=ctx.local_all, pool=ctx.pool)
+    c = {r["pass"]: r["count"] for r in coded.matches.groupBy("pass").count().collect()}
+    i = {r["pass"]: r["count"] for r in intended.matches.groupBy("pass").count().collect()}
+    assert "building_M" not in c and coded.changes.relations.count() == 0
+    assert i["building_W"] == 212
+    assert i["building_M"] > 0 and intended.changes.relations.count() == i["building_M"]
+    assert intended.changes.relations.where("version <> 4").count() == 0  # fixture relations have version 3
