@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrweave.llm import oracle
+from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
+from addrweave.llm.token_file import read_token_files, write_token_files
 from addrweave.llm.urls import judge_urls
 
 
@@ -17,6 +19,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's definition, installed on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = bpe_encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+    return d.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select(
@@ -37,10 +56,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {

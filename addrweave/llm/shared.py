@@ -109,3 +109,36 @@ def runs(sorted_keys: np.ndarray) -> np.ndarray:
     if not len(sorted_keys):
         return np.zeros(0, np.int64)
     return np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]])
+
+
+def shared_file(path: str):
+    """(file system, path in it) for a file in the shared folder, for use inside tasks: a mounted folder
+    (``file:`` or a plain path) or a store that Arrow's file systems reach (hdfs, s3, gs, abfs)."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" not in path:
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def write_shared(path: str, parts: list) -> int:
+    """Write the buffers one after the other as a new file of the shared folder; returns its size."""
+    system, at = shared_file(path)
+    system.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(at) as out:
+        for p in parts:
+            out.write(memoryview(np.ascontiguousarray(p)).cast("B") if isinstance(p, np.ndarray) else p)
+        return out.tell()
+
+
+def read_shared(path: str) -> np.ndarray:
+    """Bytes of a file of the shared folder: mapped into memory if the folder is mounted, else read."""
+    from pyarrow import fs
+
+    system, at = shared_file(path)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.memmap(at, np.uint8, "r") if system.get_file_info(at).size else np.zeros(0, np.uint8)
+    with system.open_input_file(at) as src:
+        return np.frombuffer(src.read_buffer(), np.uint8)
