@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -57,3 +58,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers: send it along as ``--py-files`` would, once per
+    application, unless the workers' PYTHONPATH names it already."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or not os.path.isdir(root):
+        return
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        at = os.path.join(tempfile.mkdtemp(prefix="addrweave-py-"), "addrweave")
+        spark.sparkContext.addPyFile(shutil.make_archive(at, "zip", root, "addrweave"))
+
+
+_SHIPPED: set[str] = set()
