@@ -11,6 +11,7 @@ from addrweave.llm import oracle
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
+from addrweave.llm.setsketch import near_duplicates
 from addrweave.llm.token_file import read_token_files, write_token_files
 from addrweave.llm.urls import judge_urls
 
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def tokenizer_file(name: str) -> str:
     """Path of a public tokenizer's definition, installed on every machine."""
     import public_tokenizers
@@ -62,6 +67,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
     "op6_url_filters": op6_url_filters,
