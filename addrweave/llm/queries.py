@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from addrweave.llm import oracle
 from addrweave.llm.bpe import bpe_encode
+from addrweave.llm.covertree import near_vectors
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
 from addrweave.llm.setsketch import near_duplicates
@@ -20,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -67,6 +72,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
