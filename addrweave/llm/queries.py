@@ -13,6 +13,7 @@ from addrweave.llm.covertree import near_vectors
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
 from addrweave.llm.setsketch import near_duplicates
+from addrweave.llm.suffix import remove_shared
 from addrweave.llm.token_file import read_token_files, write_token_files
 from addrweave.llm.urls import judge_urls
 
@@ -71,6 +72,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = remove_shared(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_vectors": op1_near_vectors,
     "op2_minhash": op2_minhash,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,
+    "op10_suffix_array": op10_suffix_array,
 }
 
 ORACLE_SQL: dict[str, str] = {

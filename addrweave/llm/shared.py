@@ -133,12 +133,13 @@ def write_shared(path: str, parts: list) -> int:
         return out.tell()
 
 
-def read_shared(path: str) -> np.ndarray:
-    """Bytes of a file of the shared folder: mapped into memory if the folder is mounted, else read."""
+def read_shared(path: str, start: int = 0, size: int | None = None) -> np.ndarray:
+    """Bytes of a file of the shared folder, or a part: mapped into memory if the folder is mounted, else read."""
     from pyarrow import fs
 
     system, at = shared_file(path)
     if isinstance(system, fs.LocalFileSystem):
-        return np.memmap(at, np.uint8, "r") if system.get_file_info(at).size else np.zeros(0, np.uint8)
+        whole = system.get_file_info(at).size - start
+        return np.memmap(at, np.uint8, "r", start, whole if size is None else size) if whole else np.zeros(0, np.uint8)
     with system.open_input_file(at) as src:
-        return np.frombuffer(src.read_buffer(), np.uint8)
+        return np.frombuffer(src.read_at(src.size() - start if size is None else size, start), np.uint8)
