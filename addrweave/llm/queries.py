@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from addrweave.llm import oracle
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.covertree import near_vectors
+from addrweave.llm.lm import lm_scores
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
 from addrweave.llm.setsketch import near_duplicates
@@ -58,6 +59,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_bpe": op3_bpe,
     "op4_mixing": op4_mixing,
+    "op5_lm_scores": op5_lm_scores,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op9_token_files": op9_token_files,

@@ -143,3 +143,37 @@ def read_shared(path: str, start: int = 0, size: int | None = None) -> np.ndarra
         return np.memmap(at, np.uint8, "r", start, whole if size is None else size) if whole else np.zeros(0, np.uint8)
     with system.open_input_file(at) as src:
         return np.frombuffer(src.read_at(src.size() - start if size is None else size, start), np.uint8)
+
+
+def among(x: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which of x are in the sorted array ``found``."""
+    if not len(found):
+        return np.zeros(len(x), bool)
+    return found[np.minimum(np.searchsorted(found, x), len(found) - 1)] == x
+
+
+def pack(**columns: np.ndarray) -> bytes:
+    """Columns as compressed bytes: one row of a shuffle carries many values."""
+    out = pa.BufferOutputStream()
+    batch = pa.record_batch({k: pa.array(v) for k, v in columns.items()})
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unpack(blobs) -> dict[str, np.ndarray]:
+    """Columns of all blobs one after the other; ``__size`` has the rows of each."""
+    parts = [pa.ipc.open_stream(b).read_all() for b in blobs]
+    if not parts:
+        return {}
+    t = pa.concat_tables(parts)
+    return {c: t.column(c).to_numpy() for c in t.column_names} | {"__size": np.array([p.num_rows for p in parts])}
+
+
+def deal(key: np.ndarray, tasks: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of each of ``tasks`` tasks, by the upper bits of hashed keys."""
+    task = ((key >> _U(32)) * _U(tasks)) >> _U(32)
+    order = np.argsort(task, kind="stable")
+    at = runs(task[order])
+    for a, b in zip(at, [*at[1:], len(order)]):
+        yield int(task[order[a]]), order[a:b]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from addrweave.llm.shared import Texts, cut, mix64, read_shared, runs, text_chunks, write_shared
+from addrweave.llm.shared import Texts, among, cut, deal, mix64, pack, read_shared, runs, text_chunks, unpack, write_shared
 from addrweave.session import scratch_path
 
 MATCH, Q = 50, 16
@@ -130,18 +130,11 @@ class Unit:
         """Distinct windows of open spans with their smallest documents."""
         key, doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for i, j, _, s in self.chunks():
-            start, of = s.windows(np.flatnonzero(_among(s.name, open_names) | _among(s.bucket, hot)))
+            start, of = s.windows(np.flatnonzero(among(s.name, open_names) | among(s.bucket, hot)))
             key, doc, _ = _least_by(np.r_[key, s.window[start]], np.r_[doc, self.ids[i:j][s.doc[of]]])
         return key, doc
 
 
-def _among(x: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Which of x are in the sorted array ``found``."""
-    if not len(found):
-        return np.zeros(len(x), bool)
-    return found[np.minimum(np.searchsorted(found, x), len(found) - 1)] == x
-
-
 def _owner(x: np.ndarray, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Smallest document of each x by a sorted table, or no id."""
     if not len(key):
@@ -150,22 +143,6 @@ def _owner(x: np.ndarray, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.where(key[at] == x, doc[at], _NO_ID)
 
 
-def _pack(**columns: np.ndarray) -> bytes:
-    out = pa.BufferOutputStream()
-    batch = pa.record_batch({k: pa.array(v) for k, v in columns.items()})
-    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(batch)
-    return out.getvalue().to_pybytes()
-
-
-def _unpack(blobs) -> dict[str, np.ndarray]:
-    parts = [pa.ipc.open_stream(b).read_all() for b in blobs]
-    if not parts:
-        return {}
-    t = pa.concat_tables(parts)
-    return {c: t.column(c).to_numpy() for c in t.column_names} | {"__size": np.array([p.num_rows for p in parts])}
-
-
 def _store(docs: DataFrame, text_col: str) -> DataFrame:
     """Write the rows as units into the shared folder: unit, file, start, size."""
     folder = scratch_path(docs.sparkSession, "units")
@@ -197,15 +174,6 @@ def _store(docs: DataFrame, text_col: str) -> DataFrame:
     return cut(files.withColumn("unit", F.monotonically_increasing_id()), "units")
 
 
-def _deal(key: np.ndarray, tasks: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Rows of each task, by the upper bits of hashed keys."""
-    task = ((key >> _U(32)) * _U(tasks)) >> _U(32)
-    order = np.argsort(task, kind="stable")
-    at = runs(task[order])
-    for a, b in zip(at, [*at[1:], len(order)]):
-        yield int(task[order[a]]), order[a:b]
-
-
 def _send(units: DataFrame, work, tasks: int) -> DataFrame:
     """Rows (task, unit, blob) that ``work(unit row)`` gives as (key, columns)."""
 
@@ -213,7 +181,7 @@ def _send(units: DataFrame, work, tasks: int) -> DataFrame:
         for t in frames:
             for row in t.itertuples(index=False):
                 key, columns = work(row)
-                out = [(task, row.unit, _pack(**{k: v[of] for k, v in columns.items()})) for task, of in _deal(key, tasks)]
+                out = [(task, row.unit, pack(**{k: v[of] for k, v in columns.items()})) for task, of in deal(key, tasks)]
                 yield pd.DataFrame(out, columns=["task", "unit", "blob"])
 
     return units.mapInPandas(run, "task int, unit bigint, blob binary").repartitionById(tasks, "task")
@@ -228,13 +196,13 @@ def _meet(sent: DataFrame, resolve) -> DataFrame:
         if not got:
             return
         t = pd.concat(got)
-        columns = _unpack(t.blob)
+        columns = unpack(t.blob)
         unit = np.repeat(t.unit.to_numpy(), columns.pop("__size"))
         del t, got
         for kind, (rows, give) in resolve(columns, unit).items():
             rows = rows[np.argsort(unit[rows], kind="stable")]
             at = runs(unit[rows])
-            out = [(unit[rows[a]], kind, _pack(**{k: v[rows[a:b]] for k, v in give.items()})) for a, b in zip(at, [*at[1:], len(rows)])]
+            out = [(unit[rows[a]], kind, pack(**{k: v[rows[a:b]] for k, v in give.items()})) for a, b in zip(at, [*at[1:], len(rows)])]
             yield pd.DataFrame(out, columns=["unit", "kind", "blob"])
 
     return sent.mapInPandas(run, "unit bigint, kind string, blob binary")
@@ -245,7 +213,7 @@ def _resolve_spans(c: dict[str, np.ndarray], unit: np.ndarray) -> dict:
     bucket, name, left, right, doc = (c[k] for k in ("bucket", "name", "left", "right", "doc"))
     marker = left == 255  # a unit that holds too many spans of this bucket
     hot = np.unique(bucket[marker])
-    in_hot = _among(bucket, hot)
+    in_hot = among(bucket, hot)
     rows = np.flatnonzero(~marker)
     order = rows[np.lexsort((doc[rows], name[rows], bucket[rows]))]
     at = runs(name[order])
@@ -295,7 +263,7 @@ def _status(units: DataFrame, *found: DataFrame) -> DataFrame:
 
 
 def _of(status, kind: str, *names: str) -> list[np.ndarray]:
-    got = _unpack([x["blob"] for x in status if x["kind"] == kind] if status is not None else [])
+    got = unpack([x["blob"] for x in status if x["kind"] == kind] if status is not None else [])
     if not got:
         return [np.zeros(0, np.int64 if n == "doc" else np.uint64) for n in names]
     order = np.argsort(got[names[0]], kind="stable")
@@ -363,7 +331,7 @@ def _finish(row, id_col: str, text_col: str, names: list[str]) -> Iterator[pa.Re
         steps = np.zeros(len(t.buf) + 1, np.int32)
         np.add.at(steps, s.first[whole], 1)
         np.add.at(steps, s.last[whole] + MATCH, -1)
-        at, of = s.windows(np.flatnonzero(~whole & (_among(s.name, open_names) | _among(s.bucket, hot))))
+        at, of = s.windows(np.flatnonzero(~whole & (among(s.name, open_names) | among(s.bucket, hot))))
         w = s.window[at]
         hit = at[(_owner(w, *near_windows) < doc[of]) | (_owner(w, *far_windows) < doc[of])]
         np.add.at(steps, hit, 1)
