@@ -196,14 +196,14 @@ def _tables(path: str) -> tuple[WordPieces, OffsetTable]:
 
 def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = "decoded") -> DataFrame:
     """The input's columns and, for every whole text, its ids (``ids_col``, binary: little-endian unsigned 32-bit
-    integers) and the text decoded from them (``decoded_col``, left out if None).
+    integers) and the text decoded from them (``decoded_col``, left out if None). Columns of these names in the input
+    are replaced.
 
     ``path`` names the tokenizer file at the same place on all machines. No shuffle: each batch is
     encoded where it is read.
     """
     added = [T.StructField(ids_col, T.BinaryType())] + ([T.StructField(decoded_col, T.StringType())] if decoded_col else [])
-    if clash := {f.name for f in added} & set(docs.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    docs = docs.drop(*(f.name for f in added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table = _tables(path)

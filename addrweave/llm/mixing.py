@@ -68,8 +68,9 @@ def mix_plan(
     max_repeat: int = MAX_REPEAT,
     seed: str = SEED,
 ) -> DataFrame:
-    """Every document once, with ``__size``, ``__source_size``, ``__target`` and the number of copies ``__copies``."""
-    d = docs.withColumn("__size", n_words(F.col(text_col)))
+    """Every document once, with ``__size``, ``__source_size``, ``__target`` and the number of copies ``__copies``;
+    columns of these names in the input are replaced."""
+    d = docs.drop("__size", "__source_size", "__target", "__copies", "__source").withColumn("__size", n_words(F.col(text_col)))
     sizes = d.groupBy(F.col(source_col).alias("__source")).agg(F.sum("__size").alias("__source_size"))
     targets = source_targets(sizes, weights, share, max_repeat)
     d = d.join(targets, F.col(source_col).eqNullSafe(F.col("__source")), "left").drop("__source")
@@ -78,7 +79,8 @@ def mix_plan(
     return d.withColumn("__copies", F.floor(rate).cast("int") + extra.cast("int"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed documents: the input's columns, each row as often as its source's rate says."""
-    plan = mix_plan(docs, **options).where(F.col("__copies") > 0)
-    return plan.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    plan = mix_plan(row, "id", "text", "source", **options).where(F.col("__copies") > 0)
+    return plan.select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from addrweave.llm import oracle
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.covertree import near_vectors
+from addrweave.llm.langid import identify
 from addrweave.llm.lm import lm_scores
 from addrweave.llm.mixing import mix_plan
 from addrweave.llm.quality import quality_rules
@@ -72,6 +73,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
     return read_token_files(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scores": op5_lm_scores,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op8_language_id": op8_language_id,
     "op9_token_files": op9_token_files,
     "op10_suffix_array": op10_suffix_array,
 }

@@ -272,11 +272,11 @@ def _of(status, kind: str, *names: str) -> list[np.ndarray]:
 
 def remove_shared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """All rows with their other columns, ``text_col`` without the bytes that a 50-byte string shared with a smaller id
-    covers, and n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the remaining bytes)."""
+    covers, and n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the remaining bytes). Columns of these
+    names in the input are replaced."""
     spark = docs.sparkSession
     added = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept": T.BinaryType()}
-    if clash := set(added) & set(docs.columns):
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    docs = docs.drop(*added)
     tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     units = _store(docs, text_col)
     n_units = max(1, units.count())
