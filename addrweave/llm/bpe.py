@@ -24,11 +24,14 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -36,6 +39,7 @@ from addrweave.llm.shared import text_chunks
 
 #: Distinct pieces kept by a worker; beyond that the table starts anew.
 PIECES = 300_000
+_LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 _FINAL = 0xE000  # a last character carrying the end-of-word suffix is one symbol: moved to the private use area
 
 
@@ -62,13 +66,20 @@ class Merges:
         self.left = [-1] * len(base) + [inner[a] for a, _ in made.values()]
         self.right = [-1] * len(base) + [inner[b] for _, b in made.values()]
         self.merged = {(a, b): k for k, (a, b) in enumerate(zip(self.left, self.right, strict=True)) if a >= 0}
+        # a token that its own text does not become (an earlier merge takes a part away) never occurs
+        self.occurs = [True] * len(base)
+        for k in range(len(base), len(names)):
+            a, b = self.left[k], self.right[k]
+            self.occurs.append(self.occurs[a] and self.occurs[b] and self._apart(a, b, k))
         self.machine = ahocorasick.Automaton()
         for s, k in inner.items():
-            self.machine.add_word(s, k)
+            if self.occurs[k]:
+                self.machine.add_word(s, k)
         self.machine.make_automaton()
         self.prefix = [-1] * len(names)
         for s, k in inner.items():
-            self.prefix[k] = next((inner[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in inner), -1)
+            shorter = (inner.get(s[:n], -1) for n in range(len(s) - 1, 0, -1))
+            self.prefix[k] = next((p for p in shorter if p >= 0 and self.occurs[p]), -1)
         self._pairs: dict[tuple[int, int], bool] = {}
 
     def compatible(self, a: int, b: int) -> bool:
@@ -76,41 +87,45 @@ class Merges:
         pieces met on the way may have a merge that comes before the one just undone (at a tie the left one comes first)."""
         known = self._pairs.get((a, b))
         if known is None:
-            left, right, before, known = a, b, len(self.left) + 1, True
-            while True:
-                m = self.merged.get((left, right))
-                if m is not None and m < before:
-                    known = False
-                    break
-                if max(left, right) < self.n_base:
-                    break
-                if left > right:
-                    before, left = left, self.right[left]
-                else:
-                    before, right = right + 1, self.left[right]
+            known = (a, b) not in self.merged and self._apart(a, b, len(self.left))
             if len(self._pairs) > 2_000_000:
                 self._pairs.clear()
             self._pairs[a, b] = known
         return known
 
+    def _apart(self, left: int, right: int, before: int) -> bool:
+        """Whether no merge across the border of two tokens comes before ``before``, or before a merge within them
+        that would take its piece away (their own merge is left out)."""
+        while max(left, right) >= self.n_base:
+            if left > right:
+                before, left = min(before, left), self.right[left]
+            else:
+                before, right = min(before, right + 1), self.left[right]
+            m = self.merged.get((left, right))
+            if m is not None and m < before:
+                return False
+        return True
+
     def encode(self, text: str) -> list[int]:
         """Ids of a string of symbols."""
         n = len(text)
-        longest, reach = [-1] * n, [0] * n
-        length, prefix = self.length, self.prefix
+        longest = [-1] * n
+        length, prefix, compatible = self.length, self.prefix, self.compatible
         for end, k in self.machine.iter(text):
             begin = end + 1 - length[k]
-            if length[k] > reach[begin]:
-                reach[begin], longest[begin] = length[k], k
-        if n and longest[0] == -1 or -1 in longest:
+            if longest[begin] < 0 or length[longest[begin]] < length[k]:
+                longest[begin] = k
+        if -1 in longest:
             raise ValueError("a symbol of the text is not in the vocabulary")
+        if n and length[longest[0]] == n:
+            return [self.outer[longest[0]]]
         out: list[int] = []
         dead = bytearray(n + 1)  # places where no way to the end begins
         at = 0
         token = longest[0] if n else -1
         while at < n:
             end = at + length[token]
-            if not dead[end] and (not out or self.compatible(out[-1], token)):
+            if not dead[end] and (not out or compatible(out[-1], token)):
                 out.append(token)
                 at = end
                 if at < n:
@@ -145,24 +160,50 @@ class WordPieces(dict):
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
+        self.older: dict[bytes, bytes] = {}
+        self.words = _ascii_words(spec)
 
     def __missing__(self, piece: bytes) -> bytes:
+        out = self.older.get(piece)
+        if out is None:
+            out = self.encode(piece)
+        if len(self) >= PIECES:  # the last pieces met are kept, twice as many at most
+            self.older = dict(self)
+            self.clear()
+        if len(piece) <= 256:
+            self[piece] = out
+        return out
+
+    def encode(self, piece: bytes) -> bytes:
         text = piece.decode("utf-8", "replace")
         ids: list[int] = []
         for part in self.cut.split(text) if self.cut and "<" in text else (text,):
             if part in self.special:
                 ids.append(self.special[part])
+            elif self.words and part.isascii() and part.isprintable():
+                for word in self.words.findall(part.lower()):
+                    ids += self.merges.encode(word[:-1] + chr(_FINAL + ord(word[-1])) if self.suffix else word)
             elif part:
                 if self.tokenizer.normalizer is not None:
                     part = self.tokenizer.normalizer.normalize_str(part)
                 for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(part):
                     ids += self.merges.encode(word[:-1] + chr(_FINAL + ord(word[-1])) if self.suffix else word)
-        if len(self) >= PIECES:
-            self.clear()
-        out = np.array(ids, "<u4").tobytes()
-        if len(piece) <= 256:
-            self[piece] = out
-        return out
+        return array("I", ids).tobytes() if _LITTLE else np.array(ids, "<u4").tobytes()
+
+
+def _ascii_words(spec: dict) -> regex.Pattern | None:
+    """The definition's splitter, for printable ASCII in lower case, where its normalizer and its byte alphabet change
+    nothing else; None if it is made of other parts than these."""
+    normal, split = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [x["type"] for x in normal.get("normalizers", [])]
+    parts = split.get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or normal["normalizers"][1] != {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}:
+        return None
+    if [x["type"] for x in parts] != ["Split", "ByteLevel"] or parts[1]["add_prefix_space"] or parts[1]["use_regex"]:
+        return None
+    if parts[0]["behavior"] != "Removed" or not parts[0]["invert"] or "Regex" not in parts[0]["pattern"]:
+        return None
+    return regex.compile(parts[0]["pattern"]["Regex"])
 
 
 class OffsetTable:

@@ -130,6 +130,48 @@ def test_bpe_words(text):
     assert np.frombuffer(ids, "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_random_merges():
+    """Any list of merges, those that make tokens which never occur included, against merging step by step."""
+    import random
+
+    from addrweave.llm.bpe import Merges
+
+    rng = random.Random(0)
+    for _ in range(150):
+        tokens, merges = list("abc"), []
+        vocab = {t: i for i, t in enumerate(tokens)}
+        for _ in range(60):
+            a, b = rng.choice(tokens), rng.choice(tokens)
+            if a + b not in vocab and len(merges) < 25:
+                vocab[a + b] = len(vocab)
+                merges.append((a, b))
+                tokens.append(a + b)
+        m, rank = Merges(vocab, merges), {p: i for i, p in enumerate(merges)}
+        for _ in range(30):
+            text = "".join(rng.choice("abc") for _ in range(rng.randint(1, 25)))
+            parts = list(text)
+            while found := min(((rank[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in rank), default=None):
+                i = found[1]
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            assert m.encode(text) == [vocab[t] for t in parts]
+
+
+def test_byte_pieces():
+    """Texts cut into pieces give the library's ids."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from addrweave.llm.token_file import BytePieces
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    pieces, t, rng = BytePieces(path), Tokenizer.from_file(path), random.Random(1)
+    signs = "aZé ñ,.'!-—’\n\t  s d ll 3 ٣½_×÷\xa0 😀\x1c\x85$^`~[]{}|\\\"#<>"
+    for _ in range(5000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(pieces.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files(docs, doc_rows, tmp_path):
     from tokenizers import Tokenizer
 
