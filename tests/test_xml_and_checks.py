@@ -4,11 +4,13 @@ import glob
 import os
 import tempfile
 
+import pytest
+
 from addrweave.functions.tags import tags_text
 from addrweave.operators.changes import Changes, strip_keys
 from addrweave.operators.checks import check_changes, check_imports
 from addrweave.sinks.osm_xml import write_osc, write_osm
-from addrweave.sources.osm_xml import read_osm_nodes
+from addrweave.sources.osm_xml import read_osm_nodes, read_osm_nodes_report
 from addrweave.sources.striplist import read_strip_list
 
 
@@ -71,3 +73,54 @@ def test_integrity_checks(spark):
     ch = spark.createDataFrame([(5, 1), (5, 2), (0, 1), (6, 0)], "id bigint, version int")
     got = sorted((r["key"], r["reason"]) for r in check_changes(ch, "nodes").collect())
     assert got == [(0, "id not positive"), (5, "duplicate id"), (6, "version below 1")]
+
+
+def _osm(path, body, head='<?xml version="1.0"?>\n<osm version="0.6">\n'):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(head + body)
+    return str(path)
+
+
+def test_xml_values_are_kept_as_they_are(spark, tmp_path):
+    body = """ <node id="1" lon="1.5" lat="2">
+      <tag k="a" v=" Main  St "/><tag k='b' v="x > y &amp; &lt;node z &lt;/node>"/>
+     </node>\n<node id="2" lon="1" lat="2"/><node visible="true" id="-3" lon="1" lat="2"></node>
+     <way id="5"><nd ref="1"/><tag k="a" v="no node"/></way></osm>\n"""
+    path = _osm(tmp_path / "in.osm", body)
+    got = read_osm_nodes(spark, path, with_position=True).orderBy("position").collect()
+    assert [r.import_id for r in got] == [1, 2, -3]
+    assert got[0].tags == {"a": " Main  St ", "b": "x > y & <node z </node>"} and got[1].tags == got[2].tags == {}
+
+
+@pytest.mark.parametrize(
+    "body,good",
+    [
+        ('<node id="1" lon="1" lat="2"><tag k="a" v="b></node>\n<node id="4" lon="1" lat="2"/>\n</osm>', [4]),
+        ('<node id="x" lon="1" lat="2"/>\n<node id="4" lon="1" lat="2"/>\n</osm>', [4]),
+        ('<node id="1" lon="1" lat="2"/>\n<node id="4" lon="1" lat="2"><tag k="a"', [1]),
+        ('<node id="1" lon="1" lat="2"/>\n', [1]),
+        ('<!-- <node id="9" lon="1" lat="2"/> --><node id="1" lon="1" lat="2"/></osm>', None),
+    ],
+)
+def test_xml_malformed_input_stops_or_is_reported(spark, tmp_path, body, good):
+    path = _osm(tmp_path / "in.osm", body)
+    with pytest.raises(Exception, match="malformed OSM XML"):
+        read_osm_nodes(spark, path).collect()
+    nodes, bad = read_osm_nodes_report(spark, path)
+    assert bad.count() > 0
+    if good is not None:
+        assert [r.import_id for r in nodes.collect()] == good
+
+
+def test_large_xml_file_is_split(spark, tmp_path):
+    n = 60_000
+    body = "".join(f'<node id="{i}" lon="1.5" lat="2"><tag k="addr:street" v="Street number {i}"/></node>\n' for i in range(n))
+    path = _osm(tmp_path / "big.osm", body + "</osm>")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        d = read_osm_nodes(spark, path, with_position=True)
+        assert d.rdd.getNumPartitions() > 1
+        assert [r.import_id for r in d.orderBy("position").select("import_id").collect()] == list(range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
