@@ -18,6 +18,7 @@ substitute an input expression never multiply it.
 from __future__ import annotations
 
 import itertools
+import json
 import math
 
 from pyspark.sql import Column
@@ -317,9 +318,9 @@ def metres_to_lat_degrees(metres: float) -> float:
 
 
 def sql_lon_expand_degrees(metres: float, abs_lat: str) -> str:
-    """Degrees of longitude spanned by ``metres`` at latitude ``abs_lat`` (capped near the poles)."""
-    lat = f"least(abs({abs_lat}) + {_d(metres_to_lat_degrees(metres))}, 89D)"
-    return f"({_d(metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12)} / cos(radians({lat})))"
+    """Degrees of longitude spanned by ``metres`` at latitude ``abs_lat``; the full circle where that reaches 89.9 degrees."""
+    lat = f"(abs({abs_lat}) + {_d(metres_to_lat_degrees(metres))})"
+    return f"(CASE WHEN {lat} < 89.9D THEN {_d(metres / M_PER_DEG * (1.0 + 1e-9) + 1e-12)} / cos(radians({lat})) ELSE 360D END)"
 
 
 # --------------------------------------------------------------------------- indexed area tests
@@ -327,18 +328,14 @@ def sql_lon_expand_degrees(metres: float, abs_lat: str) -> str:
 _EDGE_T = "ARRAY<STRUCT<ax: DOUBLE, ay: DOUBLE, bx: DOUBLE, by: DOUBLE>>"
 
 
-def _sql_edge_array(edges) -> str:
-    if not edges:
-        return f"CAST(array() AS {_EDGE_T})"
-    return "array(" + ", ".join(
-        f"named_struct('ax', {_d(a)}, 'ay', {_d(b)}, 'bx', {_d(c)}, 'by', {_d(d)})" for a, b, c, d in edges
-    ) + ")"
-
-
 def sql_area_index(idx) -> str:
-    """The index as one literal struct: cell letters and per-row edge arrays."""
-    bands = "array(" + ", ".join(_sql_edge_array(b) for b in idx.bands) + ")"
-    return f"named_struct('cells', '{idx.cells}', 'bands', {bands})"
+    """The index as one literal struct: cell letters and per-row edge arrays.
+
+    It is written as JSON and becomes a literal when the plan is optimized: a boundary of many thousand
+    vertices would take the SQL parser minutes as nested constructor calls.
+    """
+    text = json.dumps({"cells": idx.cells, "bands": [[dict(zip(("ax", "ay", "bx", "by"), e)) for e in b] for b in idx.bands]})
+    return f"from_json('{text}', 'cells STRING, bands ARRAY<{_EDGE_T}>')"
 
 
 def _sql_cell(idx, px: str, py: str) -> str:

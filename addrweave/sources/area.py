@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
+from functools import lru_cache
 
 _NUM = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
 
@@ -34,36 +36,88 @@ class Area:
         return [list(r) for r in self.rings]
 
 
-def _ring(text: str) -> tuple[tuple[float, float], ...]:
-    pts = []
-    for pair in text.split(","):
-        nums = re.findall(_NUM, pair)
-        if len(nums) < 2:
-            raise ValueError(f"invalid WKT coordinate: {pair!r}")
-        pts.append((float(nums[0]), float(nums[1])))
-    if len(pts) < 4 or pts[0] != pts[-1]:
-        raise ValueError("invalid WKT ring: needs at least 4 points and must be closed")
-    return tuple(pts)
+_TOKEN = re.compile(rf"\s*({_NUM}(?![\w.+-])|[A-Za-z]+|[(),;=])")
+
+
+class _Wkt:
+    """Tokens of a WKT text, read from the front; everything must be used up."""
+
+    def __init__(self, text: str):
+        self.tokens, at = [], 0
+        text = text.strip()
+        while at < len(text):
+            m = _TOKEN.match(text, at)
+            if not m:
+                raise ValueError(f"invalid WKT near {text[at:at + 30]!r}")
+            self.tokens.append(m.group(1))
+            at = m.end()
+        self.at = 0
+
+    def peek(self) -> str:
+        return self.tokens[self.at].upper() if self.at < len(self.tokens) else ""
+
+    def take(self, *expected: str) -> str:
+        t = self.peek()
+        if expected and t not in expected:
+            raise ValueError(f"invalid WKT: {' or '.join(expected)} expected, not {t or 'the end'!r}")
+        self.at += 1
+        return t
+
+    def list_of(self, item) -> list:
+        self.take("(")
+        out = [item()]
+        while self.take(",", ")") == ",":
+            out.append(item())
+        return out
+
+    def ring(self, numbers: int) -> tuple[tuple[float, float], ...]:
+        def point() -> tuple[float, float]:
+            values = []
+            for _ in range(numbers):
+                if not re.fullmatch(_NUM, self.peek()):
+                    raise ValueError(f"invalid WKT coordinate: {self.peek() or 'the end'!r}")
+                values.append(float(self.take()))
+            return values[0], values[1]
+
+        pts = self.list_of(point)
+        if len(pts) < 4 or pts[0] != pts[-1]:
+            raise ValueError("invalid WKT ring: needs at least 4 points and must be closed")
+        return tuple(pts)
+
+    def geometry(self) -> list[tuple[tuple[float, float], ...]]:
+        """Rings of a polygon, a multipolygon or a collection of these."""
+        kind = self.take("POLYGON", "MULTIPOLYGON", "GEOMETRYCOLLECTION")
+        dims = 2 + len(self.take("Z", "M", "ZM")) if self.peek() in ("Z", "M", "ZM") else 2
+        if kind == "GEOMETRYCOLLECTION":
+            return [r for g in self.list_of(self.geometry) for r in g]
+        polygon = lambda: self.list_of(lambda: self.ring(dims))
+        return polygon() if kind == "POLYGON" else [r for g in self.list_of(polygon) for r in g]
 
 
 def parse_wkt_area(wkt: str) -> Area:
-    """Parse ``POLYGON((...),(...))`` or ``MULTIPOLYGON(((...)),((...)))``; raise ValueError otherwise."""
-    text = wkt.strip()
-    m = re.match(r"^(?:SRID=\d+;)?\s*(MULTIPOLYGON|POLYGON)\s*(\(.*\))\s*;?\s*$", text, re.IGNORECASE | re.DOTALL)
-    if not m:
-        raise ValueError(f"not a WKT POLYGON or MULTIPOLYGON: {text[:60]!r}")
-    body = m.group(2)
-    if body.count("(") != body.count(")"):
-        raise ValueError("unbalanced parentheses in WKT")
-    rings = tuple(_ring(r) for r in re.findall(r"\(([^()]*)\)", body))
-    if not rings:
-        raise ValueError("WKT area without rings")
-    return Area(rings)
-
-
-def read_wkt_file(path: str) -> Area:
-    with open(path, encoding="utf-8") as f:
-        return parse_wkt_area(f.read())
+    """Parse a WKT polygon, multipolygon or collection of these (Z and M are ignored), optionally after
+    ``SRID=4326;``; raise ValueError for anything else, so that no area is used that was not meant."""
+    w = _Wkt(wkt)
+    if w.peek() == "SRID":
+        w.take()
+        w.take("=")
+        if w.take() != "4326":
+            raise ValueError("only areas in longitude and latitude (SRID 4326) are supported")
+        w.take(";")
+    rings = w.geometry()
+    if w.peek() == ";":
+        w.take()
+    if w.peek():
+        raise ValueError(f"invalid WKT: {w.peek()!r} after the area")
+    return Area(tuple(rings))
+
+
+def read_wkt_file(spark, path: str) -> Area:
+    """The area of a file on any storage that Spark reads."""
+    rows = spark.read.text(path, wholetext=True).collect()  # a run parameter: one file
+    if len(rows) != 1:
+        raise ValueError(f"{path}: one file with the area expected")
+    return parse_wkt_area(rows[0][0])
 
 
 # --------------------------------------------------------------------------- area index
@@ -97,12 +151,9 @@ def _edges(area: Area) -> list[Edge]:
     return [(a[0], a[1], b[0], b[1]) for r in area.rings for a, b in zip(r[:-1], r[1:])]
 
 
-def _inside(px: float, py: float, edges: list[Edge]) -> bool:
-    n = 0
-    for ax, ay, bx, by in edges:
-        if (ay > py) != (by > py) and (px - ax) < (bx - ax) * (py - ay) / (by - ay):
-            n += 1
-    return n % 2 == 1
+def _crossings(py: float, edges: list[Edge]) -> list[float]:
+    """Sorted longitudes at which edges cross the latitude ``py``; a point is inside if an odd number is further east."""
+    return sorted(ax + (bx - ax) * (py - ay) / (by - ay) for ax, ay, bx, by in edges if (ay > py) != (by > py))
 
 
 def _seg_hits_box(e: Edge, bx0: float, by0: float, bx1: float, by1: float) -> bool:
@@ -125,6 +176,7 @@ def _seg_hits_box(e: Edge, bx0: float, by0: float, bx1: float, by1: float) -> bo
     return True
 
 
+@lru_cache(maxsize=8)
 def build_area_index(area: Area, max_side: int = 128) -> AreaIndex:
     """Grid of about two cells per edge in each direction (at most ``max_side`` per side)."""
     edges = _edges(area)
@@ -148,9 +200,10 @@ def build_area_index(area: Area, max_side: int = 128) -> AreaIndex:
                     boundary.add((i, j))
     cells = []
     for j in range(n):
+        east = _crossings(y0 + (j + 0.5) * dy, bands[j])
         for i in range(n):
             if (i, j) in boundary:
                 cells.append("B")
             else:
-                cells.append("I" if _inside(x0 + (i + 0.5) * dx, y0 + (j + 0.5) * dy, bands[j]) else "O")
+                cells.append("OI"[(len(east) - bisect_right(east, x0 + (i + 0.5) * dx)) % 2])
     return AreaIndex(x0, y0, dx, dy, n, n, "".join(cells), tuple(tuple(b) for b in bands))
