@@ -1,4 +1,4 @@
-"""Change sets - matched objects looked up in the unclipped base tables (J6), with
+"""Change sets of matched objects (J6: their version, nodes and position come with the match), with
 ordered member arrays for relations (A2), raised relation versions (F12, Q7) and the
 strip list applied (F2)."""
 

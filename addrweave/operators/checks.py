@@ -57,6 +57,12 @@ def check_local_keys(local_all: DataFrame) -> DataFrame:
     )
 
 
+def check_change_sets(changes) -> DataFrame:
+    """All three change tables."""
+    out = check_changes(changes.nodes, "nodes")
+    return out.unionByName(check_changes(changes.ways, "ways")).unionByName(check_changes(changes.relations, "relations"))
+
+
 def assert_valid(violations: DataFrame) -> None:
     """Strict mode: one small action; raise with a few examples if anything is wrong."""
     bad = violations.limit(5).collect()

@@ -5,13 +5,14 @@ P1 clip nodes, P2 clip ways, P3/J1/A1 multipolygon lines, P4 type codes, U1 unio
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions.geo import bbox_columns, line_intersects_area_indexed, point, point_in_area_indexed
-from addrweave.functions.tags import address_columns, tag
+from addrweave.functions.tags import HOUSENUMBER, address_columns, has_tag, tag
 from addrweave.sources.area import Area, build_area_index
 from addrweave.sources.snapshot import Snapshot
 
@@ -61,13 +62,20 @@ def local_ways(ways: DataFrame, area: Area) -> DataFrame:
     )
 
 
-def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFrame) -> DataFrame:
+def _can_match() -> Column:
+    """Objects that some pass of the merge looks at: those with a house number, and buildings."""
+    return tag("tags", HOUSENUMBER).isNotNull() | has_tag("tags", "building")
+
+
+def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFrame, matchable: bool = False) -> DataFrame:
     """Per multipolygon relation, its member ways inside the area joined into one line.
 
     Ways are concatenated in ``sequence_id`` order (the original leaves the order
     open); when a way starts where the previous one ended, the repeated vertex is
-    dropped, as a line-building aggregate does.
+    dropped, as a line-building aggregate does. ``matchable`` leaves out relations that no pass looks at (lakes, forests).
     """
+    if matchable:
+        relations = relations.where(_can_match())
     mp = relations.where(tag("tags", "type") == "multipolygon").select(
         F.col("id").alias("relation_id"), "version", "tags"
     )
@@ -96,11 +104,33 @@ def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFram
     return lines.select("id", "version", "tags", "geom", *bbox_columns("geom"), "n_ways")
 
 
-def local_features(snapshot: Snapshot, area: Area) -> Local:
-    """``type, id, tags, geom, hn, street, city`` and box columns for N, W and M features."""
+def _needed_ways(lways: DataFrame, relations: DataFrame, members: DataFrame) -> DataFrame:
+    """Clipped ways that can match, or that a multipolygon that can match is made of."""
+    mp = relations.where((tag("tags", "type") == "multipolygon") & _can_match()).select(F.col("id").alias("relation_id"))
+    parts = members.where(F.col("member_type") == "W").join(mp, "relation_id", "left_semi").select(F.col("member_id").alias("id")).distinct()
+    d = lways.join(parts.withColumn("is_part", F.lit(True)), "id", "left")
+    return d.where(_can_match() | F.col("is_part")).select(lways.columns)
+
+
+def local_features(
+    snapshot: Snapshot, area: Area, matchable: bool = False, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> Local:
+    """``type, id, tags, geom, hn, street, city`` and box columns for N, W and M features.
+
+    ``matchable`` leaves out objects that no pass of the merge looks at (nearly all nodes of a snapshot carry neither
+    a number nor a building tag). ``keep(df, name)``, if given, writes the clipped ways, which are read
+    twice: as features and as parts of multipolygons.
+    """
     ln = local_nodes(snapshot.nodes, area)
     lw = local_ways(snapshot.ways, area)
-    mps = multipolygon_lines(lw, snapshot.relations, snapshot.relation_members)
+    if matchable:
+        ln = ln.where(_can_match())
+        lw = _needed_ways(lw, snapshot.relations, snapshot.relation_members)
+    if keep is not None:
+        lw = keep(lw, "local_ways")
+    mps = multipolygon_lines(lw, snapshot.relations, snapshot.relation_members, matchable)
+    if matchable:
+        lw = lw.where(_can_match())
     no_nodes = F.lit(None).cast("array<bigint>").alias("way_nodes")
     no_count = F.lit(None).cast("bigint").alias("n_ways")  # member ways of a multipolygon line
     n = ln.select(

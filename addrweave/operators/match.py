@@ -7,12 +7,14 @@ would pull a whole group into one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions.geo import dist_point_line, dist_point_polygon, is_closed, ring_is_valid
 from addrweave.functions.tags import address_columns, has_tag, merge_tags
-from addrweave.operators.spatial_join import left_within, within_pairs
+from addrweave.operators.spatial_join import within_pairs
 
 AS_CODED = "as_coded"
 INTENDED = "intended"
@@ -85,51 +87,64 @@ def _import_points(imports: DataFrame) -> DataFrame:
     )
 
 
-def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
-    """Every (import, local object) with equal number and street within ``metres`` of the object's geometry.
-
-    As coded, the object's city is not looked at (Q2); ``intended`` requires it to be missing.
-    The grid cell is part of the join key, so a hot (number, street) pair never
-    meets objects far away.
-    """
+def _addressed(local_all: DataFrame, imports: DataFrame, semantics: str) -> DataFrame:
+    """Local objects with a number and street that some import has too: id, keys, geometry and box only."""
     _check_semantics(semantics)
     feats = local_all.where(F.col("hn").isNotNull() & F.col("street").isNotNull())
     if semantics == INTENDED:
         feats = feats.where(F.col("city").isNull())
-    feats = feats.select(
-        "type", "id", F.col("tags").alias("l_tags"), "geom", F.col("hn").alias("l_hn"), F.col("street").alias("l_street"),
-        "version", "way_nodes",
+    wanted = imports.select(*address_columns("tags")[:2]).distinct()
+    feats = feats.select("type", "id", "geom", "hn", "street", "min_lon", "min_lat", "max_lon", "max_lat")
+    return feats.join(wanted, ["hn", "street"], "left_semi").withColumnsRenamed({"hn": "l_hn", "street": "l_street"})
+
+
+_ADDRESS_KEYS = [("i_hn", "l_hn"), ("i_street", "l_street")]
+
+
+def _with_tags(matches: DataFrame, imports: DataFrame, local_all: DataFrame) -> DataFrame:
+    """Matches (import_id, type, id, ...) with the merged tags (F1) and what a change row needs, joined back by id:
+    no tag map or node list travels through the spatial joins and the picks."""
+    objects = local_all.select(
+        "type",
+        "id",
+        F.col("tags").alias("l_tags"),
+        "version",
+        "way_nodes",
         F.when(F.col("type") == "N", F.col("min_lon")).alias("f_lon"),
         F.when(F.col("type") == "N", F.col("min_lat")).alias("f_lat"),
-        "min_lon", "min_lat", "max_lon", "max_lat",
     )
-    pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull())
-    pairs = within_pairs(pts, feats, metres, dist_point_line, keys=[("i_hn", "l_hn"), ("i_street", "l_street")])
-    return pairs.select("import_id", "type", "id", "dist", merge_tags("i_tags", "l_tags").alias("tags"), *_PAYLOAD)
+    d = matches.join(objects, ["type", "id"]).join(imports.select("import_id", F.col("tags").alias("i_tags")), "import_id")
+    return d.select(*matches.columns, merge_tags("i_tags", "l_tags").alias("tags"), *_PAYLOAD)
 
 
-def _lowest_id_per_copy(local_all: DataFrame) -> DataFrame:
-    """Among objects of one type with the same number, street and geometry, keep the lowest id.
+def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
+    """Every (import, local object) with equal number and street within ``metres`` of the object's geometry.
 
-    Such copies are equally far from any import, so the D3 pick (nearest, then lowest
-    id) can only choose the lowest one; collapsing them first (partial aggregation)
-    keeps a pile of copies from pairing with every import.
+    As coded, the object's city is not looked at (Q2); ``intended`` requires it to be missing.
+    The grid cell is part of the join key, so a hot (number, street) pair never
+    meets objects far away.
     """
-    keys = ["type", "hn", "street", "geom"]
-    rest = [c for c in local_all.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.col("id")).alias("_b")
-    return local_all.where(F.col("hn").isNotNull() & F.col("street").isNotNull()).groupBy(*keys).agg(best).select(
-        *keys, *[F.col("_b")[c].alias(c) for c in rest]
-    )
+    pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).drop("i_tags")
+    pairs = within_pairs(pts, _addressed(local_all, imports, semantics), metres, dist_point_line, keys=_ADDRESS_KEYS)
+    return _with_tags(pairs.select("import_id", "type", "id", "dist"), imports, local_all)
 
 
 def nocity_matches(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
-    """C3 with D3: per import and object type, the nearest match (then lowest id)."""
-    _check_semantics(semantics)
-    feats = local_all.where(F.col("city").isNull()) if semantics == INTENDED else local_all  # before collapsing copies
-    pairs = nocity_pairs(imports, _lowest_id_per_copy(feats), metres, semantics)
-    picked = one_per_group(pairs, ["import_id", "type"], ["dist", "id"])
-    return picked.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
+    """C3 with D3: per import and object type, the nearest match (then lowest id).
+
+    The pick depends on an import's position and address only, and among objects of one type, address and
+    geometry only the lowest id can be picked: equal ones are one row on either side of the spatial join, so a
+    pile of copies does not meet another pile copy by copy.
+    """
+    spot = ["i_hn", "i_street", "p_lon", "p_lat"]
+    pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).select("import_id", *spot)
+    box = ["min_lon", "min_lat", "max_lon", "max_lat"]
+    feats = _addressed(local_all, imports, semantics).groupBy("type", "l_hn", "l_street", "geom", *box).agg(F.min("id").alias("id"))
+    pairs = within_pairs(pts.select(*spot).distinct(), feats, metres, dist_point_line, keys=_ADDRESS_KEYS)
+    best = pairs.groupBy(*spot, "type").agg(F.min(F.struct("dist", "id")).alias("best"))
+    picked = pts.join(best, spot).select("import_id", "type", "best.id", "best.dist")
+    out = _with_tags(picked, imports, local_all)
+    return out.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
 
 
 # --------------------------------------------------------------------------- C4: buildings
@@ -147,56 +162,68 @@ def _area_features(local_all: DataFrame) -> DataFrame:
     return local_all.where(F.col("type").isin("W", "M") & (has_tag("tags", "building") | F.col("hn").isNotNull()))
 
 
-def building_pairs(
-    pool: DataFrame, local_all: DataFrame, buffer: float, metres: float, collapse: bool = False
-) -> DataFrame:
-    """One grid join for J7-J9: import points and address nodes against candidate buildings.
+_BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
 
-    Returns ``kind`` ('I' import, 'A' address node), ``pid``, ``cnt``, ``i_tags``, the
-    building columns (``b_type, b_id, b_tags, version, way_nodes, b_valid``) and
-    ``dist`` (0 inside) for every pair within ``max(buffer, metres)``.
 
-    With ``collapse``, points at the same position are pre-aggregated before the
-    shuffle (``cnt`` copies, lowest id ``pid``, that id's tags): a pile of copies
-    then meets each building once instead of once per copy.
-    """
-    radius = max(float(buffer), float(metres))
-    imp = pool.select(
-        F.lit("I").alias("kind"),
-        F.col("import_id").cast("bigint").alias("pid"),
-        F.lit(1).cast("bigint").alias("cnt"),
-        F.col("tags").alias("i_tags"),
-        F.col("lon").alias("p_lon"),
-        F.col("lat").alias("p_lat"),
+def _to_polygon(x: str, y: str, g: str) -> Column:
+    return dist_point_polygon(x, y, g, _BOX)
+
+
+def _building_keys(local_all: DataFrame) -> DataFrame:
+    return building_features(local_all).select(F.col("type").alias("b_type"), F.col("id").alias("b_id"), "geom", *_BOX)
+
+
+def _import_spots(pool: DataFrame) -> DataFrame:
+    """Positions of imports: how many stand there (``cnt``) and the lowest id (``pid``)."""
+    return pool.groupBy(F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("import_id").cast("bigint").alias("pid")
     )
-    adr = local_all.where((F.col("type") == "N") & F.col("hn").isNotNull()).select(
-        F.lit("A").alias("kind"),
-        F.col("id").alias("pid"),
-        F.lit(1).cast("bigint").alias("cnt"),
-        F.lit(None).cast("map<string,string>").alias("i_tags"),
-        F.col("min_lon").alias("p_lon"),
-        F.col("min_lat").alias("p_lat"),
+
+
+def _address_spots(local_all: DataFrame) -> DataFrame:
+    """The same of address nodes."""
+    nodes = local_all.where((F.col("type") == "N") & F.col("hn").isNotNull())
+    return nodes.groupBy(F.col("min_lon").alias("p_lon"), F.col("min_lat").alias("p_lat")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("id").alias("pid")
     )
-    pts = imp.unionByName(adr)
-    if collapse:
-        pts = pts.groupBy("kind", "p_lon", "p_lat").agg(
-            F.min("pid").alias("pid"),
-            F.sum("cnt").alias("cnt"),
-            F.min_by("i_tags", "pid").alias("i_tags"),
-        )
-    # validity (P9) once per building, so pairs need not carry the vertex array
-    blds = building_features(local_all).select(
-        F.col("type").alias("b_type"), F.col("id").alias("b_id"), F.col("tags").alias("b_tags"), "geom",
-        "version", "way_nodes", ring_is_valid("geom").alias("b_valid"),
-        "min_lon", "min_lat", "max_lon", "max_lat",
+
+
+def _candidates(pool: DataFrame, local_all: DataFrame, buffer: float) -> tuple[DataFrame, DataFrame]:
+    """(position of imports, building) pairs within ``buffer``, and the valid buildings (P9) among them with their
+    geometry. Only buildings that share a grid cell with an import reach the distance, and only those it
+    finds reach the validity test."""
+    blds = _building_keys(local_all)
+    near = within_pairs(_import_spots(pool), blds, buffer, _to_polygon).select("p_lon", "p_lat", "cnt", "pid", "b_type", "b_id", "dist")
+    found = blds.join(near.select("b_type", "b_id").distinct(), ["b_type", "b_id"], "left_semi").where(ring_is_valid("geom"))
+    return near, found
+
+
+def building_candidates(pool: DataFrame, local_all: DataFrame, buffer: float) -> DataFrame:
+    """J7 with P9: ``import_id, type, id, dist`` of every import within ``buffer`` of a valid unaddressed building."""
+    near, found = _candidates(pool, local_all, buffer)
+    near = near.join(found.select("b_type", "b_id"), ["b_type", "b_id"], "left_semi")
+    spot = pool.select("import_id", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
+    return spot.join(near, ["p_lon", "p_lat"]).select("import_id", F.col("b_type").alias("type"), F.col("b_id").alias("id"), "dist")
+
+
+def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres: float) -> DataFrame:
+    """Every import ('I') and address node ('A') with every unaddressed building within ``max(buffer, metres)``:
+    ``kind, pid, b_type, b_id, dist, b_valid``. For checks; ``building_matches`` looks at the candidates' surroundings only."""
+    imp = pool.select(F.lit("I").alias("kind"), F.col("import_id").cast("bigint").alias("pid"), F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
+    adr = local_all.where((F.col("type") == "N") & F.col("hn").isNotNull()).select(
+        F.lit("A").alias("kind"), F.col("id").alias("pid"), F.col("min_lon").alias("p_lon"), F.col("min_lat").alias("p_lat")
     )
-    box = ("min_lon", "min_lat", "max_lon", "max_lat")
-    pairs = within_pairs(pts, blds, radius, lambda x, y, g: dist_point_polygon(x, y, g, box))
-    return pairs.drop("geom", "min_lon", "min_lat", "max_lon", "max_lat")
+    blds = _building_keys(local_all).withColumn("b_valid", ring_is_valid("geom"))
+    return within_pairs(imp.unionByName(adr), blds, max(float(buffer), float(metres)), _to_polygon).drop("geom", *_BOX)
 
 
 def building_matches(
-    pool: DataFrame, local_all: DataFrame, buffer: float, metres: float, semantics: str = AS_CODED
+    pool: DataFrame,
+    local_all: DataFrame,
+    buffer: float,
+    metres: float,
+    semantics: str = AS_CODED,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """(import, building) pairs that survive all filters, before D3.
 
@@ -207,89 +234,48 @@ def building_matches(
     J10 (``intended`` only; as coded it never excludes anything - Q3): no other
         building or addressed area within ``metres`` of the import point.
 
-    "No other within N" is decided from per-building counts and minimum ids
-    (partial aggregates), not by pairing every neighbour with every candidate.
+    J7 comes first, so the work follows the imports: only its buildings meet other imports and address
+    nodes. Copies of imports (and of address nodes) at one position are one row with a count. "No other within N" is decided from counts and
+    lowest ids per building (partial aggregates), not by pairing neighbours.
+    ``keep(df, name)``, if given, writes the two J7 tables, which are read several times.
     """
     _check_semantics(semantics)
-    single = metres >= buffer
-    pairs = building_pairs(pool, local_all, buffer, metres, collapse=single)
-    n = F.lit(float(metres))
-    imp_near = (F.col("kind") == "I") & (F.col("dist") <= n)
-    adr_near = (F.col("kind") == "A") & (F.col("dist") <= n)
-    is_cand = (F.col("kind") == "I") & (F.col("dist") <= F.lit(float(buffer)))
-    counts = [
-        F.coalesce(F.sum(F.when(imp_near, F.col("cnt"))), F.lit(0)).alias("n_imp"),
-        F.min(F.when(imp_near, F.col("pid"))).alias("min_imp"),
-        F.coalesce(F.sum(F.when(adr_near, F.col("cnt"))), F.lit(0)).alias("n_adr"),
-        F.min(F.when(adr_near, F.col("pid"))).alias("min_adr"),
-    ]
-    if single:
-        # Every candidate is itself within ``metres``, so a building that survives J8 has
-        # exactly one import within reach: the candidate is found in the same partial
-        # aggregate (min_by over candidate rows) and the spatial join runs once. Points
-        # were collapsed by position; a survivor's candidate position holds one import.
-        cand = F.struct("pid", "dist", "i_tags", "p_lon", "p_lat")
-        per_building = pairs.groupBy("b_type", "b_id").agg(
-            *counts,
-            F.min_by(F.when(is_cand, cand), F.when(is_cand, F.col("pid"))).alias("cand"),
-            F.any_value("b_tags").alias("b_tags"),
-            F.any_value("version").alias("version"),
-            F.any_value("way_nodes").alias("way_nodes"),
-            F.any_value("b_valid").alias("b_valid"),
-        )
-        m = per_building.where(F.col("cand").isNotNull() & F.col("b_valid")).select(
-            "*", *[F.col("cand")[c].alias(c) for c in ("pid", "dist", "i_tags", "p_lon", "p_lat")]
-        )
-    else:
-        # general case: several candidates of one building may survive
-        per_building = pairs.groupBy("b_type", "b_id").agg(*counts)
-        m = pairs.where(is_cand & F.col("b_valid")).join(per_building, ["b_type", "b_id"])
+    near, found = _candidates(pool, local_all, buffer)
+    if keep is not None:
+        near, found = keep(near, "building_near"), keep(found, "building_found")
+    spots = _import_spots(pool).withColumn("kind", F.lit("I")).unionByName(_address_spots(local_all).withColumn("kind", F.lit("A")))
+    around = within_pairs(spots, found, metres, _to_polygon)
+
+    def figures(kind: str, n: str, least: str) -> list[Column]:
+        of = F.col("kind") == kind
+        return [F.coalesce(F.sum(F.when(of, F.col("cnt"))), F.lit(0)).alias(n), F.min(F.when(of, F.col("pid"))).alias(least)]
+
+    per_building = around.groupBy("b_type", "b_id").agg(*figures("I", "n_imp", "min_imp"), *figures("A", "n_adr", "min_adr"))
+    # a candidate further away than ``metres`` (a wide buffer) may have nothing around it
+    per_building = found.select("b_type", "b_id").join(per_building, ["b_type", "b_id"], "left")
+    per_building = per_building.fillna(0, ["n_imp", "n_adr"])
+    m = near.join(per_building, ["b_type", "b_id"])
     other_import = (F.col("n_imp") >= 2) | ((F.col("n_imp") == 1) & (F.col("min_imp") != F.col("pid")))
     if semantics == AS_CODED:
         other_addr = (F.col("n_adr") >= 2) | ((F.col("n_adr") == 1) & (F.col("min_adr") != F.col("b_id")))
     else:
         other_addr = F.col("n_adr") >= 1
-    m = m.where(~other_import & ~other_addr).select(
-        F.col("pid").cast("int").alias("import_id"),
-        F.col("b_type").alias("type"),
-        F.col("b_id").alias("id"),
-        "dist",
-        merge_tags("i_tags", "b_tags").alias("tags"),
-        "version",
-        "way_nodes",
-        F.lit(None).cast("double").alias("f_lon"),
-        F.lit(None).cast("double").alias("f_lat"),
-        "p_lon",
-        "p_lat",
-    )
+    m = m.where(~other_import & ~other_addr).select("p_lon", "p_lat", F.col("b_type").alias("type"), F.col("b_id").alias("id"), "dist")
+    spot = pool.select("import_id", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
+    m = spot.join(m, ["p_lon", "p_lat"]).select("import_id", "type", "id", "dist", "p_lon", "p_lat")
     if semantics == INTENDED:
         m = _without_nearby_areas(m, local_all, metres)
-    return m.drop("p_lon", "p_lat")
+    return _with_tags(m.drop("p_lon", "p_lat"), pool, local_all)
 
 
 def _without_nearby_areas(m: DataFrame, local_all: DataFrame, metres: float) -> DataFrame:
-    """Drop matches whose import point has another building/addressed area within ``metres``.
-
-    One left grid join from the matches and one aggregate per match (count of areas
-    in reach and the least of them), so the match set is computed once.
-    """
+    """Drop matches whose import point has another building/addressed area within ``metres``."""
     areas = _area_features(local_all).select(
-        F.col("type").alias("a_type"), F.col("id").alias("a_id"), F.col("geom").alias("a_geom"),
-        "min_lon", "min_lat", "max_lon", "max_lat",
-    )
-    near = left_within(m, areas, metres, dist_point_line, geom="a_geom")
-    key = ["import_id", "type", "id"]
-    rest = [c for c in m.columns if c not in key]
-    per_match = near.groupBy(*key).agg(
-        *[F.any_value(c).alias(c) for c in rest],
-        F.count("a_id").alias("n_area"),
-        F.min(F.when(F.col("a_id").isNotNull(), F.struct("a_type", "a_id"))).alias("min_area"),
-    )
-    other: Column = (F.col("n_area") >= 2) | (
-        (F.col("n_area") == 1)
-        & ~((F.col("min_area.a_type") == F.col("type")) & (F.col("min_area.a_id") == F.col("id")))
+        F.col("type").alias("a_type"), F.col("id").alias("a_id"), F.col("geom").alias("a_geom"), *_BOX
     )
-    return per_match.where(~other).select(*m.columns)
+    near = within_pairs(m.select("import_id", "type", "id", "p_lon", "p_lat"), areas, metres, dist_point_line, geom="a_geom")
+    other = near.where((F.col("a_type") != F.col("type")) | (F.col("a_id") != F.col("id")))
+    return m.join(other.select("import_id", "type", "id").distinct(), ["import_id", "type", "id"], "left_anti")
 
 
 def building_assignments(matches: DataFrame, semantics: str = AS_CODED) -> DataFrame:

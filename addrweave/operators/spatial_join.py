@@ -32,19 +32,23 @@ class Grid:
 
     metres: float
     cell_deg: float
-    levels: int = 2
-    factor: int = 16
+    levels: int = 4
     max_cells: int = 16
 
     def size(self, level: int) -> float:
-        return self.cell_deg * (self.factor**level)
+        return self.cell_deg * LEVELS[level]
 
 
-def grid_for(metres: float, levels: int = 2, factor: int = 16, max_cells: int = 16) -> Grid:
+# cells of a level, in base cells of at least 20 m: houses, blocks, regions (about 80 km), and half the earth, where
+# no feature has more than ``max_cells``
+LEVELS = (1, 16, 4096, 1 << 20)
+
+
+def grid_for(metres: float, levels: int = len(LEVELS), max_cells: int = 16) -> Grid:
     """Base cell about four search radii (at least 20 m) tall; coarser levels for large features."""
     metres = max(float(metres), 0.0)
     cell_m = max(4.0 * metres, 20.0)
-    return Grid(metres=metres, cell_deg=cell_m / M_PER_DEG, levels=levels, factor=factor, max_cells=max_cells)
+    return Grid(metres=metres, cell_deg=cell_m / M_PER_DEG, levels=levels, max_cells=max_cells)
 
 
 def point_cells(points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p_lat", prefix: str = "") -> DataFrame:
@@ -94,7 +98,8 @@ def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
         x0, x1, y0, y1 = span(level)
         lvl = F.when((x1 - x0 + 1) * (y1 - y0 + 1) <= grid.max_cells, F.lit(level)).otherwise(lvl)
     df = df.select("*", lvl.alias("lvl"))
-    size = f"({grid.cell_deg!r}D * pow({float(grid.factor)!r}D, lvl))"
+    size = "CASE lvl " + " ".join(f"WHEN {k} THEN {grid.size(k)!r}D" for k in range(grid.levels)) + " END"
+    size = f"({size})"
     cells = F.expr(
         f"flatten(transform(sequence(floor(e_min_lon / {size}), floor(e_max_lon / {size})), "
         f"x -> transform(sequence(floor(e_min_lat / {size}), floor(e_max_lat / {size})), "
@@ -107,6 +112,9 @@ def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
 _HELPER_COLUMNS = ("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
 
 
+_HELPER_COLUMNS = ("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+
+
 def _cell_join(points, features, metres, grid, p_lon, p_lat, keys, how, extra=None):
     grid = grid or grid_for(metres)
     p = point_cells(points, grid, p_lon, p_lat, prefix="_p_")

@@ -1,4 +1,8 @@
-"""The whole merge as one lazily built Spark plan.
+"""The whole merge.
+
+Key constraints (D6) are checked on the way and stop the merge. With ``materialize``, the clipped ways, the local
+table, the import pool and the raw matches are written while the merge is called; all outputs are lazy
+DataFrames over these tables, which ``MergeResult.close`` deletes.
 
 imports --J2--> duplicates / remaining_after_duplicates
         --J3..J5 (no-city)-->  \
@@ -19,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrweave.operators.changes import Changes, change_sets
+from addrweave.operators.checks import assert_valid, check_change_sets, check_imports, check_local_keys
 from addrweave.operators.local import Local, local_features
 from addrweave.operators.match import (
     AS_CODED,
@@ -31,7 +36,7 @@ from addrweave.operators.match import (
     remaining_after_duplicates,
     resolve_conflicts,
 )
-from addrweave.session import scratch_path
+from addrweave.session import remove_scratch, scratch_path
 from addrweave.sources.area import Area, parse_wkt_area
 from addrweave.sources.snapshot import Snapshot, load_imports
 
@@ -47,13 +52,16 @@ class MergeOptions:
     semantics: str = AS_CODED
     conflicts: str = "error"  # error | nearest | report
     materialize: bool = True  # write local features and the import pool to the checkpoint folder
-    sorted_output: bool = False  # O2: remaining imports ordered by import_id
+    sorted_output: bool = False  # O2: remaining imports in file order (their ``position``), else by import_id
+    strict: bool = True  # D6: stop on rows that break a key constraint
 
 
 class MergeResult:
     """Outputs of one merge; the change sets and the summary are built on first access."""
 
-    def __init__(self, imports, snapshot, strip_keys, local, duplicates, pool, matches, conflicts, remaining):
+    def __init__(self, imports, snapshot, strip_keys, local, duplicates, pool, matches, conflicts, remaining, check, scratch):
+        self._check = check
+        self._scratch = scratch
         self._imports = imports
         self._snapshot = snapshot
         self._strip_keys = strip_keys
@@ -66,7 +74,16 @@ class MergeResult:
 
     @cached_property
     def changes(self) -> Changes:
-        return change_sets(self.matches, self._snapshot.relation_members, self._strip_keys)
+        made = change_sets(self.matches, self._snapshot.relation_members, self._strip_keys)
+        if self._check:
+            assert_valid(check_change_sets(made))
+        return made
+
+    def close(self) -> None:
+        """Delete the tables that the merge wrote; its DataFrames can't be used afterwards."""
+        spark = self._imports.sparkSession
+        while self._scratch:
+            remove_scratch(spark, self._scratch.pop())
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -75,13 +92,6 @@ class MergeResult:
         )
 
 
-def _materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing a table into the shared checkpoint folder and reading it back."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def empty_matches(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         [],
@@ -99,7 +109,7 @@ def merge_addresses(
     local_all: DataFrame | None = None,
     pool: DataFrame | None = None,
 ) -> MergeResult:
-    """Run the merge; all outputs are lazy DataFrames (``conflicts='error'`` runs one check action).
+    """Run the merge (see the module's notes on what runs at once).
 
     ``local_all`` / ``pool`` may be passed in when they were already built (and
     written) for this snapshot, area and import file.
@@ -107,33 +117,44 @@ def merge_addresses(
     opt = options or MergeOptions()
     if isinstance(area, str):
         area = parse_wkt_area(area)
+    scratch: list[str] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        """Cut lineage by writing a table into the shared checkpoint folder and reading it back."""
+        if not opt.materialize:
+            return df
+        scratch.append(scratch_path(spark, name))
+        df.write.mode("overwrite").parquet(scratch[-1])
+        return spark.read.parquet(scratch[-1])
+
     imports = load_imports(imports)
+    if opt.strict:
+        assert_valid(check_imports(imports))
     local = None
     if local_all is None:
-        local = local_features(snapshot, area)
-        local_all = local.all
-        if opt.materialize:
-            local_all = _materialize(spark, local_all, "local_all")
+        local = local_features(snapshot, area, matchable=True, keep=written)
+        local_all = written(local.all, "local_all")
+    if opt.strict:
+        assert_valid(check_local_keys(local_all))
 
     dups = exact_duplicates(imports, local_all)
     if pool is None:
         pool = remaining_after_duplicates(imports, local_all)
-        if opt.materialize:
-            pool = _materialize(spark, pool, "import_pool")
+        pool = written(pool, "import_pool")
 
     passes: list[DataFrame] = []
     if opt.nocity is not None:
         passes.append(nocity_matches(pool, local_all, opt.nocity, opt.semantics))
     if opt.building is not None:
-        bm = building_matches(pool, local_all, opt.buffer, opt.building, opt.semantics)
+        bm = building_matches(pool, local_all, opt.buffer, opt.building, opt.semantics, keep=written)
         passes.append(building_assignments(bm, opt.semantics))
     raw = empty_matches(spark)
     for p in passes:
         raw = raw.unionByName(p.select(*MATCH_COLUMNS))
-    if opt.materialize and passes:
+    if passes:
         # every output (conflicts, change sets, remaining imports, summary) reads this
         # one written table instead of re-running the spatial passes
-        raw = _materialize(spark, raw, "raw_matches")
+        raw = written(raw, "raw_matches")
 
     conflicts = conflict_groups(raw)
     matches = resolve_conflicts(raw, opt.conflicts) if passes else raw
@@ -141,8 +162,9 @@ def merge_addresses(
     matched_ids = matches.select("import_id").distinct()
     remaining = pool.join(matched_ids, "import_id", "left_anti")
     if opt.sorted_output:
-        remaining = remaining.orderBy("import_id")
-    return MergeResult(imports, snapshot, opt.strip_keys, local, dups, pool, matches, conflicts, remaining)
+        remaining = remaining.orderBy("position" if "position" in remaining.columns else "import_id")
+    check = opt.strict and opt.conflicts != "report"  # a report leaves objects with several changes in
+    return MergeResult(imports, snapshot, opt.strip_keys, local, dups, pool, matches, conflicts, remaining, check, scratch)
 
 
 def merge_summary(
@@ -174,12 +196,15 @@ def merge_summary(
     return out
 
 
-def write_outputs(result: MergeResult, out_dir: str, single_file: bool = False) -> None:
+def write_outputs(result: MergeResult, out_dir: str, single_file: bool = False, keep_scratch: bool = False) -> None:
     """Write every output of a merge: remaining imports (OSM XML, K1), the change file
-    (osmChange XML, K5), the change tables (Parquet, K6) and the summary (Parquet, A3)."""
+    (osmChange XML, K5), the change tables (Parquet, K6) and the summary (Parquet, A3); then delete
+    the merge's own tables unless ``keep_scratch``."""
     from addrweave.sinks.osm_xml import write_changes_parquet, write_osc, write_osm
 
     write_osm(result.remaining, f"{out_dir}/remaining.osm", single_file=single_file)
     write_osc(result.changes, f"{out_dir}/changes.osc", single_file=single_file)
     write_changes_parquet(result.changes, f"{out_dir}/changes")
     result.summary.write.mode("overwrite").parquet(f"{out_dir}/summary")
+    if not keep_scratch:
+        result.close()

@@ -60,6 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table written under ``scratch_path`` (nothing else)."""
+    if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not in the checkpoint folder")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers: send it along as ``--py-files`` would, once per
     application, unless the workers' PYTHONPATH names it already."""

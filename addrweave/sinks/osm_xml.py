@@ -1,6 +1,6 @@
 """K1-K5: write OSM XML (remaining imports) and osmChange XML (change sets) with Spark's XML writer.
 
-Each task writes its own part file; ``single_file=True`` coalesces to one
+Each task writes its own part file; ``single_file=True`` sorts all rows into one
 part (only for small outputs).
 """
 
@@ -28,7 +28,7 @@ def _num(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def osm_node_rows(remaining: DataFrame) -> DataFrame:
+def osm_node_rows(remaining: DataFrame, *more: Column) -> DataFrame:
     """K1: ``<node visible="true" id lon lat>`` with tags (not stripped, no version)."""
     return remaining.select(
         F.lit("true").alias("_visible"),
@@ -36,6 +36,7 @@ def osm_node_rows(remaining: DataFrame) -> DataFrame:
         _num("lon").alias("_lon"),
         _num("lat").alias("_lat"),
         _tag_array("tags").alias("tag"),
+        *more,
     )
 
 
@@ -92,8 +93,9 @@ def osc_rows(changes: Changes) -> DataFrame:
 def write_osm(remaining: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
     """K1: the addresses still to add, as OSM XML."""
     df = osm_node_rows(remaining)
-    if single_file:
-        df = df.coalesce(1)
+    if single_file:  # one task writes, the work before stays spread out; in file order if it is known (O2)
+        order = remaining["position"] if "position" in remaining.columns else remaining["import_id"]
+        df = osm_node_rows(remaining, order.alias("order")).repartition(1).sortWithinPartitions("order").drop("order")
     df.write.mode(mode).format("xml").option("rootTag", OSM_ROOT).option("rowTag", "node").save(path)
 
 
@@ -101,7 +103,7 @@ def write_osc(changes: Changes, path: str, single_file: bool = False, mode: str
     """K5: the change set as osmChange XML (``modify`` blocks only; NULL structs are omitted)."""
     df = osc_rows(changes)
     if single_file:
-        df = df.orderBy("kind_order", "id").coalesce(1)
+        df = df.repartition(1).sortWithinPartitions("kind_order", "id")
     df.drop("kind_order", "id").write.mode(mode).format("xml").option("rootTag", OSC_ROOT).option(
         "rowTag", "modify"
     ).save(path)

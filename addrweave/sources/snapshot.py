@@ -83,10 +83,12 @@ def _split_schema(schema: str) -> list[str]:
 
 
 def load_imports(df: DataFrame) -> DataFrame:
-    """S3: normalise import addresses to ``import_id INT, tags MAP, lon DOUBLE, lat DOUBLE``."""
+    """S3: normalise import addresses to ``import_id INT, tags MAP, lon DOUBLE, lat DOUBLE`` (and ``position``, their
+    place in the file, if it is there)."""
     return df.select(
         F.col("import_id").cast("int").alias("import_id"),
         tags_or_empty("tags").alias("tags"),
         F.col("lon").cast("double").alias("lon"),
         F.col("lat").cast("double").alias("lat"),
+        *(["position"] if "position" in df.columns else []),
     )

@@ -25,7 +25,7 @@ def test_snapshot_parquet_round_trip_and_merge_outputs(spark):
     )
     ids = [x[0] for x in r.remaining.select("import_id").collect()]
     assert ids == sorted(ids)
-    write_outputs(r, d + "/out", single_file=True)
+    write_outputs(r, d + "/out", single_file=True, keep_scratch=True)
     osm = open(glob.glob(d + "/out/remaining.osm/part-*")[0], encoding="utf-8").read()
     assert osm.count("<node") == len(ids)
     osc = open(glob.glob(d + "/out/changes.osc/part-*")[0], encoding="utf-8").read()
@@ -60,3 +60,45 @@ def test_area_box_is_pushed_to_the_scan(spark):
     assert "GreaterThanOrEqual(max_lon," in w_plan and "LessThanOrEqual(min_lat," in w_plan
     # column pruning: the node scan reads only what P1 and the local table need
     assert "ReadSchema: struct<id:bigint,version:int,tags:map<string,string>,lon:double,lat:double>" in n_plan
+
+
+def test_scratch_tables_go_after_the_outputs(spark):
+    import os
+
+    from addrweave.session import ensure_checkpoint_dir
+
+    fx = load_fixtures(spark, SF)
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    r = merge_addresses(spark, fx.imports, fx.snapshot, BOUNDS, MergeOptions(nocity=5.0, building=10.0, conflicts="nearest"))
+    assert len(set(os.listdir(folder)) - before) >= 4
+    write_outputs(r, tempfile.mkdtemp(prefix="out-") + "/out")
+    assert set(os.listdir(folder)) == before
+
+
+def test_local_table_of_a_merge_holds_what_can_match(spark):
+    """Objects without a number or building tag are not written, ways are scanned once, and the result is the same."""
+    from addrweave.operators.local import local_features
+    from addrweave.sources.area import parse_wkt_area
+
+    fx = load_fixtures(spark, SF)
+    d = tempfile.mkdtemp(prefix="snap-")
+    write_snapshot(fx.snapshot, d)
+    snap = read_snapshot(spark, d)
+    written = {}
+
+    def keep(df, name):
+        df.write.parquet(f"{d}/{name}")
+        written[name] = df._jdf.queryExecution().executedPlan().toString()
+        return spark.read.parquet(f"{d}/{name}")
+
+    area = parse_wkt_area(BOUNDS)
+    few, full = local_features(snap, area, matchable=True, keep=keep), local_features(snap, area)
+    cond = "hn IS NOT NULL OR coalesce(map_contains_key(tags, 'building'), false)"
+    key = ["type", "id"]
+    assert sorted(few.all.select(key).collect()) == sorted(full.all.where(cond).select(key).collect())
+    assert few.all.where(f"NOT ({cond})").count() == 0 and full.all.where(f"NOT ({cond})").count() > 0
+    lines = ["id", F.size("geom").alias("n"), "n_ways"]
+    assert sorted(few.multipolygons.select(lines).collect()) == sorted(full.multipolygons.where(F.expr("tags['building'] IS NOT NULL OR tags['addr:housenumber'] IS NOT NULL")).select(lines).collect())
+    plan = few.all._jdf.queryExecution().executedPlan().toString()
+    assert f"{d}/ways" not in plan and "local_ways" in written

@@ -119,3 +119,27 @@ def test_intended_emits_multipolygon_building_changes(spark):
     assert i["building_W"] == 212
     assert i["building_M"] > 0 and intended.changes.relations.count() == i["building_M"]
     assert intended.changes.relations.where("version <> 4").count() == 0  # fixture relations have version 3
+
+
+def test_repeated_import_id_stops_the_merge(spark):
+    fx = context(spark, SF)
+    twice = fx.imports.unionByName(fx.imports.limit(1))
+    with pytest.raises(ValueError, match="duplicate import_id"):
+        merge_addresses(spark, twice, fx.snapshot, BOUNDS, MergeOptions(nocity=5.0, conflicts="nearest"))
+    r = merge_addresses(spark, twice, fx.snapshot, BOUNDS, MergeOptions(nocity=5.0, conflicts="nearest", strict=False))
+    assert r.remaining.count() > 0
+
+
+def test_repeated_object_key_and_bad_versions_stop_the_merge(spark):
+    from addrweave.sources.snapshot import Snapshot
+
+    s = context(spark, SF).snapshot
+    imports = context(spark, SF).imports
+    addressed = s.nodes.where("tags['addr:housenumber'] IS NOT NULL")
+    again = Snapshot(s.nodes.unionByName(addressed), s.ways, s.relations, s.relation_members)
+    with pytest.raises(ValueError, match="duplicate type/id"):
+        merge_addresses(spark, imports, again, BOUNDS, MergeOptions(nocity=5.0, conflicts="nearest"))
+    zero = Snapshot(s.nodes.withColumn("version", F.lit(0)), s.ways, s.relations, s.relation_members)
+    r = merge_addresses(spark, imports, zero, BOUNDS, MergeOptions(nocity=5.0, conflicts="nearest"))
+    with pytest.raises(ValueError, match="version below 1"):
+        r.changes  # noqa: B018

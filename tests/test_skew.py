@@ -43,7 +43,7 @@ def data(spark):
 def test_building_pass_with_copies_equals_brute_force(data):
     imp, la = data
     got = {(r["import_id"], r["type"], r["id"]) for r in M.building_matches(imp, la, 0.5, 10.0).collect()}
-    rows = M.building_pairs(imp, la, 0.5, 10.0, collapse=False).collect()
+    rows = M.building_pairs(imp, la, 0.5, 10.0).collect()
     by_b = {}
     for r in rows:
         by_b.setdefault((r["b_type"], r["b_id"]), []).append(r)
