@@ -4,31 +4,33 @@ Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose columns match
 the DuckDB oracle in ``oracle.py``: maps are rendered as sorted ``k=v;...`` text,
 arrays as comma-joined text, distances as whole centimetres.
 
-The derived snapshot (fixture tables) is written once per session and input
-folder into the checkpoint folder and read back, the way the original builds its
-``local_all`` table once: later plans start from compact Parquet scans.
+Queries on the local table (C1) plan its operators over the snapshot; nothing runs when they are
+built. Queries on matches (C2 to C4) plan their operators over the local table and the import pool, which are
+written once, as in a merge. Queries on the outputs of a whole merge read the tables that the merge
+writes, as a user who reads several outputs of one run would. What is written is kept per session and input files.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from addrweave.functions.tags import tags_text
+from addrweave.functions.tags import strip_tags, tags_text
 from addrweave.operators import match as M
-from addrweave.operators.checks import check_changes, check_imports
-from addrweave.operators.local import Local, local_features
+from addrweave.operators.changes import strip_keys
+from addrweave.operators.checks import check_change_sets, check_changes, check_imports, check_local_keys
+from addrweave.operators.local import Local, local_features, local_nodes, local_ways, multipolygon_lines
 from addrweave.plans.merge import MergeOptions, MergeResult, merge_addresses
 from addrweave.session import scratch_path
-from addrweave.sinks.osm_xml import osc_rows, write_osm
+from addrweave.sinks.osm_xml import osc_rows, write_osc, write_osm
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BOUNDS_WIDE, SAMPLE_STRIP_KEYS, load_fixtures
+from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, load_fixtures
 from addrweave.sources.osm_xml import read_osm_nodes
-from addrweave.sources.snapshot import Snapshot
+from addrweave.sources.snapshot import Snapshot, read_snapshot, write_snapshot
+from addrweave.sources.striplist import read_strip_list
 
 # Fixed query parameters (metres) and the area used by every registered query.
 BOUNDS = BOUNDS_WIDE
@@ -39,52 +41,60 @@ BUILDING = 10.0
 
 @dataclass
 class Context:
+    """Fixture tables and the operators' inputs."""
+
     imports: DataFrame
     snapshot: Snapshot
     local: Local
     local_all: DataFrame
     pool: DataFrame
-    merges: dict = field(default_factory=dict)
 
 
-_CACHE: dict[tuple, Context] = {}
+_CONTEXTS: dict[tuple, Context] = {}
+_MERGES: dict[tuple, MergeResult] = {}
+
+
+def _write_read(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _write_read(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def local_table(spark: SparkSession, sf_dir: str, bounds: str = BOUNDS) -> DataFrame:
+    """U1 over the fixture snapshot, not run yet."""
+    return local_features(load_fixtures(spark, sf_dir).snapshot, parse_wkt_area(bounds)).all
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    """Fixture snapshot, local features and the import pool, written once per session and folder."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), BOUNDS)
-    ctx = _CACHE.get(key)
-    if ctx is not None:
-        return ctx
-    fx = load_fixtures(spark, sf_dir)
-    imports = _write_read(spark, fx.imports, "fx_imports")
-    snap = fx.snapshot  # read once below, into the written local table
-    local = local_features(snap, parse_wkt_area(BOUNDS))
-    local_all = _write_read(spark, local.all, "local_all")
-    pool = _write_read(spark, M.remaining_after_duplicates(imports, local_all), "import_pool")
-    ctx = Context(imports, snap, local, local_all, pool)
-    _CACHE[key] = ctx
-    return ctx
-
-
-def _merge(spark: SparkSession, sf_dir: str, conflicts: str = "nearest") -> MergeResult:
-    """The whole merge, run once per session, input folder and policy; its match table is written
-    to the checkpoint folder and every merge output query derives from it."""
-    ctx = context(spark, sf_dir)
-    if conflicts not in ctx.merges:
+    """Imports, local features and the import pool, written once per session and input files."""
+    key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir))
+    if key not in _CONTEXTS:
+        fx = load_fixtures(spark, sf_dir)
+        imports = _write_read(fx.imports, "fx_imports")
+        local = local_features(fx.snapshot, parse_wkt_area(BOUNDS))
+        local_all = _write_read(local.all, "local_all")
+        pool = _write_read(M.remaining_after_duplicates(imports, local_all), "import_pool")
+        _CONTEXTS[key] = Context(imports, fx.snapshot, local, local_all, pool)
+    return _CONTEXTS[key]
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files: a changed folder is another input."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+
+def _merge(spark: SparkSession, sf_dir: str, conflicts: str = "nearest", semantics: str = M.AS_CODED) -> MergeResult:
+    """The whole merge, run once per session, input files and options."""
+    key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir), conflicts, semantics)
+    if key not in _MERGES:
+        fx = load_fixtures(spark, sf_dir)
         opt = MergeOptions(
-            buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts
+            buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts, semantics=semantics
         )
-        ctx.merges[conflicts] = merge_addresses(
-            spark, ctx.imports, ctx.snapshot, BOUNDS, opt, local_all=ctx.local_all, pool=ctx.pool
-        )
-    return ctx.merges[conflicts]
+        _MERGES[key] = merge_addresses(spark, fx.imports, fx.snapshot, BOUNDS, opt)
+    return _MERGES[key]
 
 
 def _cm(c: str = "dist") -> Column:
@@ -99,17 +109,18 @@ def _csv(c: str) -> Column:
 
 
 def q_local_nodes(spark, sf_dir):
-    la = context(spark, sf_dir).local_all
-    return la.where(F.col("type") == "N").select("id", tags_text("tags").alias("tags_text"), F.col("min_lon").alias("lon"), F.col("min_lat").alias("lat"))
+    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, parse_wkt_area(BOUNDS))
+    return ln.select("id", tags_text("tags").alias("tags_text"), "lon", "lat")
 
 
 def q_local_ways(spark, sf_dir):
-    la = context(spark, sf_dir).local_all
-    return la.where(F.col("type") == "W").select("id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
+    lw = local_ways(load_fixtures(spark, sf_dir).snapshot.ways, parse_wkt_area(BOUNDS))
+    return lw.select("id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
 
 def q_multipolygon_lines(spark, sf_dir):
-    mps = context(spark, sf_dir).local_all.where(F.col("type") == "M")
+    snap = load_fixtures(spark, sf_dir).snapshot
+    mps = multipolygon_lines(local_ways(snap.ways, parse_wkt_area(BOUNDS)), snap.relations, snap.relation_members)
     return mps.select(
         "id",
         tags_text("tags").alias("tags_text"),
@@ -123,10 +134,31 @@ def q_multipolygon_lines(spark, sf_dir):
 
 
 def q_local_features(spark, sf_dir):
-    la = context(spark, sf_dir).local_all
+    la = local_table(spark, sf_dir)
     return la.select("type", "id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
 
+def q_local_features_holed(spark, sf_dir):
+    """P1, P2 on a concave area with a hole: slanted edges, lines that cross it without a vertex inside."""
+    la = local_table(spark, sf_dir, BOUNDS_HOLED).where(F.col("type") != "M")
+    return la.select("type", "id", F.size("geom").alias("n_vertices"))
+
+
+def q_snapshot_features(spark, sf_dir):
+    """The local table over a snapshot written to and read from Parquet."""
+    path = scratch_path(spark, "snapshot")
+    write_snapshot(load_fixtures(spark, sf_dir).snapshot, path)
+    la = local_features(read_snapshot(spark, path), parse_wkt_area(BOUNDS)).all
+    return la.select("type", "id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
+
+
+def q_area_latitude(spark, sf_dir):
+    """A4: greatest absolute latitude of the area, beside that of the nodes it keeps."""
+    area = parse_wkt_area(BOUNDS)
+    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, area)
+    return ln.agg(F.max(F.abs("lat")).alias("max_abs_lat")).select(F.lit(area.max_abs_lat).alias("area_max_abs_lat"), "max_abs_lat")
+
+
 def q_exact_duplicates(spark, sf_dir):
     ctx = context(spark, sf_dir)
     d = M.exact_duplicates(ctx.imports, ctx.local_all)
@@ -157,6 +189,19 @@ def q_nocity_nodes(spark, sf_dir):
     return _nocity(spark, sf_dir, "N")
 
 
+def q_nocity_nodes_intended(spark, sf_dir):
+    """Q2: only objects without a city."""
+    ctx = context(spark, sf_dir)
+    m = M.nocity_matches(ctx.pool, ctx.local_all, NOCITY, M.INTENDED).where(F.col("type") == "N")
+    return m.select("import_id", "id", _cm(), tags_text("tags").alias("tags_text"))
+
+
+def q_nocity_nodes_1m(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    m = M.nocity_matches(ctx.pool, ctx.local_all, 1.0).where(F.col("type") == "N")
+    return m.select("import_id", "id", _cm(), tags_text("tags").alias("tags_text"))
+
+
 def q_nocity_ways(spark, sf_dir):
     return _nocity(spark, sf_dir, "W")
 
@@ -172,24 +217,28 @@ def q_merged_tags(spark, sf_dir):
 
 
 def q_stripped_tags(spark, sf_dir):
-    from addrweave.operators.changes import strip_keys
-    from addrweave.functions.tags import strip_tags
-
-    la = context(spark, sf_dir).local_all
+    la = local_table(spark, sf_dir)
     st = la.select("type", "id", strip_tags("tags", strip_keys(SAMPLE_STRIP_KEYS)).alias("st"))
     return st.select("type", "id", tags_text("st").alias("tags_text"))
 
 
+def q_stripped_by_file(spark, sf_dir):
+    """Keys from a written file, with blanks around them and an empty line."""
+    path = scratch_path(spark, "strip-list")
+    spark.createDataFrame([(x,) for x in STRIP_FILE_LINES], "value string").coalesce(1).write.text(path)
+    la = local_table(spark, sf_dir)
+    st = la.select("type", "id", strip_tags("tags", read_strip_list(spark, path)).alias("st"))
+    return st.select("type", "id", tags_text("st").alias("tags_text"))
+
+
 def q_building_candidates(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    p = M.building_pairs(ctx.pool, ctx.local_all, BUFFER, BUILDING)
-    c = p.where((F.col("kind") == "I") & (F.col("dist") <= BUFFER) & F.col("b_valid"))
-    return c.select(F.col("pid").cast("int").alias("import_id"), F.col("b_type").alias("type"), F.col("b_id").alias("id"), _cm())
+    return M.building_candidates(ctx.pool, ctx.local_all, BUFFER).select("import_id", "type", "id", _cm())
 
 
 def _building(spark, sf_dir, semantics):
     ctx = context(spark, sf_dir)
-    m = M.building_matches(ctx.pool, ctx.local_all, BUFFER, BUILDING, semantics)
+    m = M.building_matches(ctx.pool, ctx.local_all, BUFFER, BUILDING, semantics, keep=_write_read)
     return m.select("import_id", "type", "id", _cm(), tags_text("tags").alias("tags_text"))
 
 
@@ -231,6 +280,13 @@ def q_changed_relations(spark, sf_dir):
     )
 
 
+def q_changed_relations_intended(spark, sf_dir):
+    """Q6: multipolygons matched by the building pass are changed too."""
+    m = _merge(spark, sf_dir, semantics=M.INTENDED)
+    c = m.changes.relations
+    return c.select("id", "version", tags_text("tags").alias("tags_text"), _csv("ids").alias("ids_text"))
+
+
 def q_remaining_final(spark, sf_dir):
     return _import_rows(_merge(spark, sf_dir).remaining)
 
@@ -246,6 +302,41 @@ def q_xml_roundtrip(spark, sf_dir):
     return _import_rows(read_osm_nodes(spark, path))
 
 
+def q_xml_exact_values(spark, sf_dir):
+    """K1 then S1: values with blanks, markup and quotes come back as they are, in file order (O2)."""
+    path = scratch_path(spark, "exact_osm")
+    imports = load_fixtures(spark, sf_dir).imports
+    odd = F.concat(F.lit("  <a b='c'> & \"d\"  "), F.col("import_id").cast("string"), F.lit(" </node> "))
+    tags = F.map_concat(F.map_filter("tags", lambda k, _: k != "note"), F.create_map(F.lit("note"), odd))
+    write_osm(imports.withColumn("tags", tags), path, single_file=True)
+    back = read_osm_nodes(spark, path, with_position=True)
+    rank = F.rank().over(Window.partitionBy("position.file").orderBy("position"))
+    return back.select("import_id", tags_text("tags").alias("tags_text"), "lon", "lat", rank.cast("bigint").alias("place"))
+
+
+def q_osc_file(spark, sf_dir):
+    """K5 written and read back: member types, node order and tag text of each change."""
+    path = scratch_path(spark, "changes_osc")
+    write_osc(_merge(spark, sf_dir).changes, path)
+    tag = "tag array<struct<_k:string,_v:string>>"
+    schema = (
+        f"node struct<_id:bigint,_version:int,_lon:double,_lat:double,{tag.replace(' ', ':', 1)}>, "
+        f"way struct<_id:bigint,_version:int,nd:array<struct<_ref:bigint>>,{tag.replace(' ', ':', 1)}>, "
+        f"relation struct<_id:bigint,_version:int,member:array<struct<_type:string,_ref:bigint,_role:string>>,{tag.replace(' ', ':', 1)}>"
+    )
+    d = spark.read.format("xml").option("rowTag", "modify").option("mode", "FAILFAST").option("ignoreSurroundingSpaces", "false").schema(schema).load(path)
+    kind = F.when(F.col("node").isNotNull(), "node").when(F.col("way").isNotNull(), "way").otherwise("relation")
+    any_of = lambda f: F.coalesce(F.col(f"node.{f}"), F.col(f"way.{f}"), F.col(f"relation.{f}"))
+    text = F.array_join(F.transform(any_of("tag"), lambda t: F.concat(t["_k"], F.lit("="), t["_v"])), ";")
+    nd = F.array_join(F.transform("way.nd", lambda n: n["_ref"].cast("string")), ",")
+    member = F.array_join(F.transform("relation.member", lambda m: F.concat_ws(":", m["_type"], m["_ref"].cast("string"), m["_role"])), ",")
+    return d.select(
+        kind.alias("kind"), any_of("_id").alias("id"), any_of("_version").alias("version"), F.col("node._lon").alias("lon"),
+        F.col("node._lat").alias("lat"), text.alias("tags_text"),
+        F.coalesce(nd, F.lit("")).alias("nd_text"), F.coalesce(member, F.lit("")).alias("member_text"),
+    )
+
+
 def q_osc_rows(spark, sf_dir):
     rows = osc_rows(_merge(spark, sf_dir).changes)
     kind = F.when(F.col("node").isNotNull(), "node").when(F.col("way").isNotNull(), "way").otherwise("relation")
@@ -263,17 +354,24 @@ def q_osc_rows(spark, sf_dir):
 
 def q_invalid_rows(spark, sf_dir):
     """D6 on inputs with injected faults: supplier rows reuse customer import ids; node versions lowered by one."""
-    ctx = context(spark, sf_dir)
+    fx = load_fixtures(spark, sf_dir)
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
-    dirty_imports = ctx.imports.select("import_id", "lon", "lat").unionByName(
+    dirty_imports = fx.imports.select("import_id", "lon", "lat").unionByName(
         supplier.select(
             (-(F.col("s_suppkey") + 1)).cast("int").alias("import_id"), F.lit(0.0).alias("lon"), F.lit(0.0).alias("lat")
         )
     )
-    dirty_nodes = ctx.snapshot.nodes.select("id", (F.col("version") - 1).alias("version"))
+    dirty_nodes = fx.snapshot.nodes.select("id", (F.col("version") - 1).alias("version"))
     return check_imports(dirty_imports).unionByName(check_changes(dirty_nodes, "nodes"))
 
 
+def q_invalid_merge_rows(spark, sf_dir):
+    """D6 on a merge without faults and without resolution: the objects that several imports change, in all three
+    change tables, and the keys of the local table (none)."""
+    m = _merge(spark, sf_dir, "report")
+    return check_change_sets(m.changes).unionByName(check_local_keys(context(spark, sf_dir).local_all))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "local_nodes": q_local_nodes,
     "local_ways": q_local_ways,
@@ -299,4 +397,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_roundtrip": q_xml_roundtrip,
     "osc_rows": q_osc_rows,
     "invalid_rows": q_invalid_rows,
+    "invalid_merge_rows": q_invalid_merge_rows,
+    "local_features_holed": q_local_features_holed,
+    "snapshot_features": q_snapshot_features,
+    "area_latitude": q_area_latitude,
+    "nocity_nodes_intended": q_nocity_nodes_intended,
+    "nocity_nodes_1m": q_nocity_nodes_1m,
+    "stripped_by_file": q_stripped_by_file,
+    "changed_relations_intended": q_changed_relations_intended,
+    "xml_exact_values": q_xml_exact_values,
+    "osc_file": q_osc_file,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from addrweave.functions.geo import M_PER_DEG
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BOUNDS_WIDE, SAMPLE_STRIP_KEYS, fixture_sql_for
+from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, fixture_sql_for
 
 MD = f"{M_PER_DEG!r}e0" if "e" not in repr(M_PER_DEG) else repr(M_PER_DEG)
 
@@ -263,6 +263,42 @@ def _q(body: str, **kw) -> str:
     return base_ctes(**kw) + body
 
 
+def _holed() -> str:
+    """Vertices inside a general area, or edges that cross one of its edges, by winding sums instead of crossings."""
+    rings = parse_wkt_area(BOUNDS_HOLED).rings
+    edges = ", ".join(f"({i}, {a[0]!r}e0, {a[1]!r}e0, {b[0]!r}e0, {b[1]!r}e0)" for i, (a, b) in enumerate((a, b) for r in rings for a, b in zip(r[:-1], r[1:])))
+    turn = "atan2((e.ax - x) * (e.byy - y) - (e.bx - x) * (e.ay - y), (e.ax - x) * (e.bx - x) + (e.ay - y) * (e.byy - y))"
+    side = lambda ax, ay, bx, by, px, py: f"sign(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
+    apart = " AND ".join(
+        f"{side(*s, *p)} * {side(*s, *q)} < 0"
+        for s, p, q in (
+            (("e.ax", "e.ay", "e.bx", "e.byy"), ("w.x", "w.y"), ("w.x2", "w.y2")),
+            (("w.x", "w.y", "w.x2", "w.y2"), ("e.ax", "e.ay"), ("e.bx", "e.byy")),
+        )
+    )
+    # each ring turns around a point by a whole circle or not at all; a hole turns it out again
+    sizes = [len(r) - 1 for r in rings]
+    starts = [sum(sizes[:k]) for k in range(len(rings))]
+    ring = "CASE " + " ".join(f"WHEN e.i >= {s} THEN {k}" for k, s in reversed(list(enumerate(starts)))) + " END"
+    return f"""
+, edges AS (SELECT * FROM (VALUES {edges}) v(i, ax, ay, bx, byy)),
+pts AS (
+  SELECT 'N' AS type, CAST(id AS BIGINT) AS id, 0 AS pos, lon AS x, lat AS y FROM fx_nodes
+  UNION ALL SELECT 'W', CAST(id AS BIGINT), pos, vx, vy FROM way_verts),
+around AS (SELECT type, id, pos, {ring} AS ring, abs(sum({turn})) > 3 AS within FROM pts, edges e GROUP BY ALL),
+inside AS (SELECT DISTINCT type, id FROM (SELECT type, id, pos, count(*) FILTER (within) % 2 = 1 AS within FROM around GROUP BY ALL) WHERE within),
+segs AS (SELECT type, id, x, y, lead(x) OVER o AS x2, lead(y) OVER o AS y2 FROM pts WHERE type = 'W' WINDOW o AS (PARTITION BY id ORDER BY pos)),
+crossing AS (SELECT DISTINCT w.type, w.id FROM segs w, edges e WHERE w.x2 IS NOT NULL AND {apart})
+SELECT k.type, k.id, CAST((SELECT count(*) FROM pts p WHERE p.type = k.type AND p.id = k.id) AS INTEGER) AS n_vertices
+FROM (SELECT * FROM inside UNION SELECT * FROM crossing) k"""
+
+
+def _stripped(keys: list[str]) -> str:
+    """Tag text without keys, taken from the text itself."""
+    gone = "[" + ", ".join(f"'{k}'" for k in keys) + "]"
+    return f"array_to_string(list_filter(string_split(tags_text, ';'), lambda t: NOT list_contains({gone}, split_part(t, '=', 1))), ';')"
+
+
 def oracle_queries() -> dict[str, str]:
     tag_count = "len(string_split(tags_text, ';'))"
     return {
@@ -274,6 +310,34 @@ def oracle_queries() -> dict[str, str]:
                FROM lmp l JOIN mp_line m ON m.relation_id = l.id JOIN la_tags t ON t.type = 'M' AND t.id = l.id"""
         ),
         "local_features": _q("SELECT type, id, tags_text, CAST(n_vertices AS INTEGER) AS n_vertices FROM la_tags"),
+        "snapshot_features": _q("SELECT type, id, tags_text, CAST(n_vertices AS INTEGER) AS n_vertices FROM la_tags"),
+        "local_features_holed": _q(_holed()),
+        "area_latitude": _q(f"SELECT {_bounds(BOUNDS_WIDE)[3]} AS area_max_abs_lat, max(abs(lat)) AS max_abs_lat FROM ln"),
+        "nocity_nodes_intended": _q(
+            f"SELECT import_id, id, {_cm('dist')} AS dist_cm, tags_text FROM nocity_pick WHERE type = 'N'", semantics="intended"
+        ),
+        "nocity_nodes_1m": _q(f"SELECT import_id, id, {_cm('dist')} AS dist_cm, tags_text FROM nocity_pick WHERE type = 'N'", nocity=1.0),
+        "stripped_by_file": _q(
+            f"SELECT type, id, {_stripped([*(x.strip() for x in STRIP_FILE_LINES if x.strip()), 'created_by', 'odbl', 'odbl:note'])} AS tags_text FROM la_tags"
+        ),
+        "changed_relations_intended": _q("SELECT id, version, tags_text, ids_text FROM ch_rels", semantics="intended"),
+        "xml_exact_values": _q(
+            """SELECT import_id, lon, lat, rank() OVER (ORDER BY import_id) AS place, array_to_string(list_sort(list_concat(
+                 list_filter(string_split(tags_text, ';'), lambda t: split_part(t, '=', 1) <> 'note'),
+                 ['note=  <a b=''c''> & "d"  ' || CAST(import_id AS VARCHAR) || ' </node> '])), ';') AS tags_text FROM imp"""
+        ),
+        "osc_file": _q(
+            """SELECT 'node' AS kind, id, version, lon, lat, tags_text, '' AS nd_text, '' AS member_text FROM ch_nodes
+               UNION ALL SELECT 'way', id, version, NULL, NULL, tags_text, nodes_text, '' FROM ch_ways
+               UNION ALL SELECT 'relation', c.id, c.version, NULL, NULL, c.tags_text, '',
+                 (SELECT string_agg(CASE m.member_type WHEN 'N' THEN 'node' WHEN 'W' THEN 'way' ELSE 'relation' END || ':' ||
+                    CAST(m.member_id AS VARCHAR) || ':' || m.member_role, ',' ORDER BY m.sequence_id) FROM fx_members m WHERE m.relation_id = c.id)
+               FROM ch_rels c"""
+        ),
+        "invalid_merge_rows": _q(
+            """SELECT CASE type WHEN 'N' THEN 'nodes' WHEN 'W' THEN 'ways' ELSE 'relations' END AS "table", id AS key, 'duplicate id' AS reason
+               FROM raw_matches GROUP BY type, id HAVING count(*) > 1"""
+        ),
         "exact_duplicates": _q("SELECT import_id, hn, street, city FROM dups"),
         "remaining_after_duplicates": _q("SELECT import_id, tags_text, lon, lat FROM pool"),
         "nocity_nodes": _q(f"SELECT import_id, id, {_cm('dist')} AS dist_cm, tags_text FROM nocity_pick WHERE type = 'N'"),

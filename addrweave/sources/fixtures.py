@@ -24,22 +24,15 @@ BOUNDS_NARROW = (
 )
 BOUNDS_WIDE = "POLYGON((-123.1005 49.1995, -123.0798 49.1995, -123.0798 50.0, -123.1005 50.0, -123.1005 49.1995))"
 
-# The strip-list example shipped with the original tool (one key per line).
-SAMPLE_STRIP_KEYS = [
-    "tiger:upload_uuid",
-    "tiger:source",
-    "tiger:tlid",
-    "tiger:separated",
-    "geobase:datasetName",
-    "geobase:uuid",
-    "sub_sea:type",
-    "yh:LINE_NAME",
-    "yh:LINE_NUM",
-    "yh:STRUCTURE",
-    "yh:TOTYUMONO",
-    "yh:TYPE",
-    "yh:WIDTH_RANK",
-]
+# A concave area with a hole: slanted edges through the lattice, and a notch that thin lines cross.
+BOUNDS_HOLED = (
+    "POLYGON((-123.1003 49.1997, -123.0877 49.2031, -123.0799 49.1996, -123.0801 49.2397, -123.0902 49.2203, -123.1002 49.2399, "
+    "-123.1003 49.1997),(-123.0952 49.2051, -123.0853 49.2049, -123.0901 49.2102, -123.0952 49.2051))"
+)
+
+# Keys to strip in queries, and a file of such keys as a user may write it: blanks around keys, an empty line.
+SAMPLE_STRIP_KEYS = ["note:import", "source", "created_by"]
+STRIP_FILE_LINES = ["  note\t", "", "highway ", "created_by"]
 
 FX_IMPORT_SQL = """
 SELECT CAST(-(c_custkey + 1) AS int) AS import_id,
