@@ -73,3 +73,54 @@ f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_repl
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND {" AND ".join(rules)} AS kept FROM b"""
+
+
+def _components(nodes: str, links: str, node: str, name: str) -> str:
+    """CTEs ``reach`` and ``comp`` (node, component): the smallest ``name`` reachable over ``links`` (a, b; both ways)."""
+    return f"""
+reach AS (SELECT {node} AS k, {node} AS m FROM {nodes} UNION SELECT reach.k, l.b FROM reach JOIN {links} l ON l.a = reach.m),
+comp AS (SELECT reach.k, min(n.{name}) AS component_id FROM reach JOIN {nodes} n ON n.{node} = reach.m GROUP BY reach.k)"""
+
+
+def near_vectors() -> str:
+    fine = "list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))"
+    return f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN len({fine}) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS e FROM embeddings),
+n AS (SELECT *, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v WHERE e IS NOT NULL),
+links AS (SELECT a.r AS a, b.r AS b FROM n a JOIN n b ON a.r <> b.r AND len(a.e) = len(b.e) AND list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.95),
+{_components("v", "links", "r", "vec_id").strip()}
+SELECT vec_id, CAST((SELECT count(*) FROM links WHERE a = r) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp ON comp.k = v.r"""
+
+
+def near_documents() -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words} AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM d),
+c AS (SELECT row_number() OVER () AS k, sh, len(sh) AS n, min(doc_id) AS first_id FROM s WHERE len(sh) > 0 GROUP BY sh),
+u AS (SELECT k, n, unnest(sh) AS g FROM c),
+half AS (SELECT a.k AS a, b.k AS b FROM u a JOIN u b ON a.g = b.g AND a.k < b.k GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+{_components("c", "links", "k", "first_id").strip()}
+SELECT doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id = coalesce(component_id, doc_id) AS kept
+FROM s LEFT JOIN c ON c.sh = s.sh LEFT JOIN comp ON comp.k = c.k"""
+
+
+def shared_passages() -> str:
+    return """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, doc_id, i, substr(h, CAST(2 * i + 1 AS BIGINT), 100) AS g FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+o AS (SELECT g, min(doc_id) AS owner FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT r, i FROM w JOIN o USING (g) WHERE doc_id > owner),
+part AS (SELECT r, i, sum(CASE WHEN i - before <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS p
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hit)),
+run AS (SELECT r, p, min(i) AS a, max(i) + 50 AS b FROM part GROUP BY r, p),
+piece AS (SELECT r, p, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY p), 0) AS begins FROM run),
+cut AS (SELECT d.r, sum(b - a) AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, CAST(2 * begins + 1 AS BIGINT), CAST(2 * (a - begins) AS BIGINT)), '' ORDER BY p) || substr(any_value(h), CAST(2 * max(b) + 1 AS BIGINT)) AS kept
+  FROM piece JOIN d USING (r) GROUP BY d.r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN cut USING (r)"""

@@ -101,7 +101,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_near_vectors": oracle.near_vectors(),
+    "op2_minhash": oracle.near_documents(),
     "op4_mixing": oracle.mixing(),
     "op6_url_filters": oracle.url_filters(),
     "op7_quality_rules": oracle.quality(),
+    "op10_suffix_array": oracle.shared_passages(),
 }
