@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +91,10 @@ class Spans:
         self.left = np.where(self.first <= p - Q, short(g32[np.maximum(p - Q, 0)]), 0).astype(np.uint8)
         self.right = np.where(self.last > p - Q, short(g32[p]), 0).astype(np.uint8)
 
+    def among(self, open_names: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """Spans that are open or in a hot bucket."""
+        return np.flatnonzero(among(self.name, open_names) | among(self.bucket, hot))
+
     def windows(self, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of all windows of the given spans, and the span of each."""
         size = self.last[spans] - self.first[spans] + 1
@@ -128,11 +132,12 @@ class Unit:
 
     def open_windows(self, open_names: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct windows of open spans with their smallest documents."""
-        key, doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        key, doc = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for i, j, _, s in self.chunks():
-            start, of = s.windows(np.flatnonzero(among(s.name, open_names) | among(s.bucket, hot)))
-            key, doc, _ = _least_by(np.r_[key, s.window[start]], np.r_[doc, self.ids[i:j][s.doc[of]]])
-        return key, doc
+            start, of = s.windows(s.among(open_names, hot))
+            key.append(s.window[start])
+            doc.append(self.ids[i:j][s.doc[of]])
+        return _least_by(np.concatenate(key), np.concatenate(doc))[:2]
 
 
 def _owner(x: np.ndarray, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -170,8 +175,9 @@ def _store(docs: DataFrame, text_col: str) -> DataFrame:
         if held:
             yield flush()
 
-    files = docs.mapInArrow(run, "file string, start bigint, size bigint")
-    return cut(files.withColumn("unit", F.monotonically_increasing_id()), "units")
+    files = cut(docs.mapInArrow(run, "file string, start bigint, size bigint"), "unit-files")
+    # one row for each unit: numbers without gaps, by which units are dealt out one to a task
+    return cut(files.withColumn("unit", F.row_number().over(Window.orderBy("file")).cast("bigint") - 1), "units")
 
 
 def _send(units: DataFrame, work, tasks: int) -> DataFrame:
@@ -282,7 +288,7 @@ def remove_shared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_units = max(1, units.count())
 
     def dealt(d: DataFrame) -> DataFrame:
-        return d.repartition(n_units)  # a unit is much work for a small row
+        return d.repartitionById(n_units, F.col("unit").cast("int"))  # a unit is much work for a small row
 
     def send_spans(row) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         s = Unit(row.file, row.start, row.size, id_col, text_col).spans()
@@ -320,19 +326,22 @@ def remove_shared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _finish(row, id_col: str, text_col: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows of a unit without their covered bytes."""
     unit = Unit(row.file, row.start, row.size, id_col, text_col)
-    mine = unit.spans()
-    far = _of(row.status, "covered", "name", "doc")
+    far, far_windows = _of(row.status, "covered", "name", "doc"), _of(row.status, "window", "name", "doc")
     open_names, hot = _of(row.status, "open", "name")[0], np.unique(_of(row.status, "hot", "bucket")[0])
-    far_windows = _of(row.status, "window", "name", "doc")
-    near_windows = unit.open_windows(open_names, hot) if len(open_names) or len(hot) else far_windows
+    held = []
     for i, j, t, s in unit.chunks():
-        doc = unit.ids[i:j][s.doc]
-        whole = (_owner(s.name, mine["name"], mine["doc"]) < doc) | (_owner(s.name, *far) < doc)
+        at, of = s.windows(s.among(open_names, hot))
+        held.append((i, j, t, s, at, of, s.window[at], unit.ids[i:j][s.doc]))
+        del s.window
+    if not held:
+        return
+    near = _least_by(np.concatenate([x[3].name for x in held]), np.concatenate([x[7] for x in held]))[:2]
+    near_windows = _least_by(np.concatenate([x[6] for x in held]), np.concatenate([x[7][x[5]] for x in held]))[:2]
+    for i, j, t, s, at, of, w, doc in held:
+        whole = (_owner(s.name, *near) < doc) | (_owner(s.name, *far) < doc)
         steps = np.zeros(len(t.buf) + 1, np.int32)
         np.add.at(steps, s.first[whole], 1)
         np.add.at(steps, s.last[whole] + MATCH, -1)
-        at, of = s.windows(np.flatnonzero(~whole & (among(s.name, open_names) | among(s.bucket, hot))))
-        w = s.window[at]
         hit = at[(_owner(w, *near_windows) < doc[of]) | (_owner(w, *far_windows) < doc[of])]
         np.add.at(steps, hit, 1)
         np.add.at(steps, hit + MATCH, -1)
