@@ -18,7 +18,9 @@ an id stand side by side, ordered by text; an empty table gives an empty manifes
 from __future__ import annotations
 
 import re
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +35,19 @@ from addrweave.session import scratch_path
 MAGIC = b"DACTOK01"
 BLOCK = 512  # bits of a bitmap for each entry of its rank directory
 FILE_TOKENS = 8_000_000  # tokens after which a task begins a new file
-PIECES = 300_000
+PIECES = 300_000  # distinct pieces kept by a worker, and as many older ones
+_LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 # White space of the byte-level splitter.
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Cuts a text where the splitter cuts it, or more coarsely; no piece depends on its neighbours.
-_PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"  # the apostrophe begins pieces of its own
+#: Cuts a text where the splitter cuts it, or more coarsely; no piece depends on its neighbours. Letters before a mark and
+#: marks before a letter are cut off, the rest up to white space stays whole.
+_PIECE = re.compile(
+    f" ?[{_LETTERS}]+(?=[{_MARKS}]|[{_WS}]|$)| ?[{_MARKS}]+(?=[{_LETTERS}]|[{_WS}]|$)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
+)
+#: Pieces that the splitter leaves whole.
+_SINGLE = re.compile(f" ?(?:[{_LETTERS}]+|[{_MARKS}]+|[0-9]+)")
 
 
 def dac_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -118,22 +127,42 @@ class TokenFile:
 
 
 class BytePieces(dict):
-    """Ids of a piece of text by the tokenizers library, as little-endian 32-bit integers; filled on demand."""
+    """Ids of a piece of text by the tokenizers library, as little-endian 32-bit integers; filled on demand.
+
+    The library's model encodes a piece that its splitter would leave whole; others go through all its steps."""
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.normalizer is not None:
-            raise ValueError("a definition with a normalizer can't be cut into pieces beforehand")
+        if self.tokenizer.normalizer is not None or not isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
+            raise ValueError("only byte-level definitions without a normalizer can be cut into pieces beforehand")
+        self.model = self.tokenizer.model
+        # the character that stands for each byte
+        split = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_names = {b: split.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        for b in range(128, 256):  # as the last byte of a two-byte character, or its first
+            pair = bytes([0xC3, b]) if b < 0xC0 else bytes([b, 0x80])
+            if b < 0xC0 or 0xC2 <= b <= 0xDF:
+                self.byte_names[b] = split.pre_tokenize_str(pair.decode())[0][0][1 if b < 0xC0 else 0]
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES:
+        out = self.older.get(piece)
+        if out is None:
+            if _SINGLE.fullmatch(piece):
+                name = piece.encode().decode("latin-1").translate(self.byte_names)
+                ids = [t.id for t in self.model.tokenize(name)]
+            else:
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            out = array("I", ids).tobytes() if _LITTLE else np.array(ids, "<u4").tobytes()
+        if len(self) >= PIECES:  # the last pieces met are kept, twice as many at most
+            self.older = dict(self)
             self.clear()
-        out = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         if len(piece) <= 256:
             self[piece] = out
         return out
@@ -219,4 +248,4 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"doc_id": f.doc_ids[a:b], "start": f.starts[a:b].astype(np.int64) + row.start, "n_tokens": size[a:b], "ids": ids})
 
     files = with_starts(manifest).select("file", "start")
-    return files.repartition("file").mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.repartition(max(1, manifest.count()), "file").mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
