@@ -27,12 +27,12 @@ from addrweave.plans.merge import MergeOptions, MergeResult, merge_addresses
 from addrweave.session import scratch_path
 from addrweave.sinks.osm_xml import osc_rows, write_osc, write_osm
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, load_fixtures
+from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, load_fixtures, n_blocks, wide_bounds
 from addrweave.sources.osm_xml import read_osm_nodes
 from addrweave.sources.snapshot import Snapshot, read_snapshot, write_snapshot
 from addrweave.sources.striplist import read_strip_list
 
-# Fixed query parameters (metres) and the area used by every registered query.
+# Fixed query parameters (metres), and the area of tables whose keys fit one block of the fixture lattice.
 BOUNDS = BOUNDS_WIDE
 BUFFER = 0.5
 NOCITY = 5.0
@@ -60,9 +60,14 @@ def _write_read(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def local_table(spark: SparkSession, sf_dir: str, bounds: str = BOUNDS) -> DataFrame:
+def bounds_of(spark: SparkSession, sf_dir: str) -> str:
+    """The area used by every registered query: it reaches as far as the tables' keys."""
+    return wide_bounds(n_blocks(spark, sf_dir))
+
+
+def local_table(spark: SparkSession, sf_dir: str, bounds: str | None = None) -> DataFrame:
     """U1 over the fixture snapshot, not run yet."""
-    return local_features(load_fixtures(spark, sf_dir).snapshot, parse_wkt_area(bounds)).all
+    return local_features(load_fixtures(spark, sf_dir).snapshot, parse_wkt_area(bounds or bounds_of(spark, sf_dir))).all
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
@@ -71,7 +76,7 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
     if key not in _CONTEXTS:
         fx = load_fixtures(spark, sf_dir)
         imports = _write_read(fx.imports, "fx_imports")
-        local = local_features(fx.snapshot, parse_wkt_area(BOUNDS))
+        local = local_features(fx.snapshot, parse_wkt_area(bounds_of(spark, sf_dir)))
         local_all = _write_read(local.all, "local_all")
         pool = _write_read(M.remaining_after_duplicates(imports, local_all), "import_pool")
         _CONTEXTS[key] = Context(imports, fx.snapshot, local, local_all, pool)
@@ -93,7 +98,7 @@ def _merge(spark: SparkSession, sf_dir: str, conflicts: str = "nearest", semanti
         opt = MergeOptions(
             buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts, semantics=semantics
         )
-        _MERGES[key] = merge_addresses(spark, fx.imports, fx.snapshot, BOUNDS, opt)
+        _MERGES[key] = merge_addresses(spark, fx.imports, fx.snapshot, bounds_of(spark, sf_dir), opt)
     return _MERGES[key]
 
 
@@ -109,18 +114,18 @@ def _csv(c: str) -> Column:
 
 
 def q_local_nodes(spark, sf_dir):
-    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, parse_wkt_area(BOUNDS))
+    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, parse_wkt_area(bounds_of(spark, sf_dir)))
     return ln.select("id", tags_text("tags").alias("tags_text"), "lon", "lat")
 
 
 def q_local_ways(spark, sf_dir):
-    lw = local_ways(load_fixtures(spark, sf_dir).snapshot.ways, parse_wkt_area(BOUNDS))
+    lw = local_ways(load_fixtures(spark, sf_dir).snapshot.ways, parse_wkt_area(bounds_of(spark, sf_dir)))
     return lw.select("id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
 
 def q_multipolygon_lines(spark, sf_dir):
     snap = load_fixtures(spark, sf_dir).snapshot
-    mps = multipolygon_lines(local_ways(snap.ways, parse_wkt_area(BOUNDS)), snap.relations, snap.relation_members)
+    mps = multipolygon_lines(local_ways(snap.ways, parse_wkt_area(bounds_of(spark, sf_dir))), snap.relations, snap.relation_members)
     return mps.select(
         "id",
         tags_text("tags").alias("tags_text"),
@@ -148,13 +153,13 @@ def q_snapshot_features(spark, sf_dir):
     """The local table over a snapshot written to and read from Parquet."""
     path = scratch_path(spark, "snapshot")
     write_snapshot(load_fixtures(spark, sf_dir).snapshot, path)
-    la = local_features(read_snapshot(spark, path), parse_wkt_area(BOUNDS)).all
+    la = local_features(read_snapshot(spark, path), parse_wkt_area(bounds_of(spark, sf_dir))).all
     return la.select("type", "id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
 
 def q_area_latitude(spark, sf_dir):
     """A4: greatest absolute latitude of the area, beside that of the nodes it keeps."""
-    area = parse_wkt_area(BOUNDS)
+    area = parse_wkt_area(bounds_of(spark, sf_dir))
     ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, area)
     return ln.agg(F.max(F.abs("lat")).alias("max_abs_lat")).select(F.lit(area.max_abs_lat).alias("area_max_abs_lat"), "max_abs_lat")
 

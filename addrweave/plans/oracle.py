@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from addrweave.functions.geo import M_PER_DEG
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, fixture_sql_for
+from addrweave.sources.fixtures import BLOCK_DEG, BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, fixture_sql_for
 
 MD = f"{M_PER_DEG!r}e0" if "e" not in repr(M_PER_DEG) else repr(M_PER_DEG)
 
@@ -65,6 +65,11 @@ def _cm(expr: str) -> str:
 def base_ctes(bounds: str = BOUNDS_WIDE, nocity: float = 5.0, buffer: float = 0.5, building: float = 10.0,
               semantics: str = "as_coded") -> str:
     x0, y0, x1, y1 = _bounds(bounds)
+
+    def in_block(x: str) -> str:
+        """Degrees east of the block's western edge: the area has one strip for each block of the lattice."""
+        return f"(({x} - ({x0})) - {BLOCK_DEG!r}e0 * floor(({x} - ({x0})) / {BLOCK_DEG!r}e0))"
+
     strip = sorted(set(SAMPLE_STRIP_KEYS) | {"created_by", "odbl", "odbl:note"})
     strip_list = "[" + ", ".join(f"'{k}'" for k in strip) + "]"
     sw = "cx - half, cy - half"
@@ -124,8 +129,8 @@ imp AS (
   SELECT CAST(import_id AS INTEGER) AS import_id, lon, lat, hn, street, city, note,
          {_tags([("addr:housenumber", "hn"), ("addr:street", "street"), ("addr:city", "city"), ("note", "note")])} AS tags_text
   FROM fx_import),
-ln AS (SELECT * FROM fx_nodes WHERE lon BETWEEN {x0} AND {x1} AND lat BETWEEN {y0} AND {y1}),
-lw AS (SELECT * FROM fx_ways WHERE cx + half >= {x0} AND cx - half <= {x1} AND cy + half >= {y0} AND cy - half <= {y1}),
+ln AS (SELECT * FROM fx_nodes WHERE lon >= {x0} AND {in_block("lon")} <= {x1} - {x0} AND lat BETWEEN {y0} AND {y1}),
+lw AS (SELECT * FROM fx_ways WHERE cx + half >= {x0} AND {in_block("cx + half")} <= {x1} - {x0} + 2 * half AND cy + half >= {y0} AND cy - half <= {y1}),
 way_verts AS ({" UNION ALL ".join(vert_rows)}),
 mp_parts AS (
   SELECT m.relation_id, m.sequence_id, w.id AS way_id, w.cx, w.cy, w.half

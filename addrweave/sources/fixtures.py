@@ -1,7 +1,8 @@
 """Deterministic test inputs derived from the driver's TPC-H-like tables.
 
 Address points and OSM features sit on one lattice (slot ``j``: column ``j % 50``,
-row ``floor(j / 50)``). Imports come from ``customer`` (+ ``supplier`` extras), OSM
+row ``floor(j / 50)``; every 100,000 slots the rows begin anew in a block further east, so latitudes stay in
+range and the area can follow the keys at any scale). Id ranges are a billion apart. Imports come from ``customer`` (+ ``supplier`` extras), OSM
 objects from ``part`` (+ ``nation`` multipolygons, ``supplier`` extra buildings).
 The SQL text runs unchanged on Spark and DuckDB; each engine then builds its own
 tag maps / geometry. See FIXTURES.md for the case table.
@@ -17,13 +18,32 @@ from pyspark.sql import functions as F
 from addrweave.functions.tags import tags_from_columns
 from addrweave.sources.snapshot import Snapshot
 
-# The fixture area (columns 0-40, rows 0-24 of the lattice) and the wide
-# variant (rows 0-399) used where the work must grow with the data.
+# The fixture area (columns 0-40, rows 0-24 of the lattice) and the wide variant (all rows of a
+# block), of which ``wide_bounds`` makes one for each block that holds keys.
 BOUNDS_NARROW = (
     "POLYGON((-123.1005 49.1995, -123.0798 49.1995, -123.0798 49.2098, -123.1005 49.2098, -123.1005 49.1995))"
 )
 BOUNDS_WIDE = "POLYGON((-123.1005 49.1995, -123.0798 49.1995, -123.0798 50.0, -123.1005 50.0, -123.1005 49.1995))"
 
+BLOCK_SLOTS, BLOCK_DEG = 100_000, 0.03
+
+
+def n_blocks(spark: SparkSession, sf_dir: str) -> int:
+    """Blocks of the lattice that the tables' keys reach."""
+    keys = {"customer": "c_custkey", "part": "p_partkey", "supplier": "16 * s_suppkey + 5"}
+    most = [spark.read.parquet(f"{sf_dir}/{t}.parquet").agg(F.max(F.expr(k))).first()[0] or 0 for t, k in keys.items()]
+    return max(most) // BLOCK_SLOTS + 1
+
+
+def wide_bounds(blocks: int) -> str:
+    """Columns 0-40 and all rows of each block."""
+    if blocks == 1:
+        return BOUNDS_WIDE
+    ring = [(-123.1005, 49.1995), (-123.0798, 49.1995), (-123.0798, 50.0), (-123.1005, 50.0), (-123.1005, 49.1995)]
+    strips = ["((" + ", ".join(f"{x + k * BLOCK_DEG!r} {y!r}" for x, y in ring) + "))" for k in range(blocks)]
+    return f"MULTIPOLYGON({', '.join(strips)})"
+
+
 # A concave area with a hole: slanted edges through the lattice, and a notch that thin lines cross.
 BOUNDS_HOLED = (
     "POLYGON((-123.1003 49.1997, -123.0877 49.2031, -123.0799 49.1996, -123.0801 49.2397, -123.0902 49.2203, -123.1002 49.2399, "
@@ -36,17 +56,17 @@ STRIP_FILE_LINES = ["  note\t", "", "highway ", "created_by"]
 
 FX_IMPORT_SQL = """
 SELECT CAST(-(c_custkey + 1) AS int) AS import_id,
-       -123.1e0 + (c_custkey % 50) * 0.0005e0 AS lon,
-       49.2e0 + floor(c_custkey / 50) * 0.0004e0 AS lat,
+       -123.1e0 + (c_custkey % 50) * 0.0005e0 + floor(c_custkey / 100000) * 0.03e0 AS lon,
+       49.2e0 + floor((c_custkey % 100000) / 50) * 0.0004e0 AS lat,
        CAST(100 + c_custkey % 50 AS string) AS hn,
        'Row ' || CAST(CAST(floor(c_custkey / 50) AS bigint) AS string) AS street,
        CASE WHEN c_custkey % 11 <> 10 THEN 'City A' END AS city,
        'import' AS note
 FROM {customer}
 UNION ALL
-SELECT CAST(-(1000001 + s_suppkey) AS int),
-       -123.1e0 + ((16 * s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 5 ELSE 1 END) % 50) * 0.0005e0 + 0.00002e0,
-       49.2e0 + floor((16 * s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 5 ELSE 1 END) / 50) * 0.0004e0 + 0.00002e0,
+SELECT CAST(-(1000000001 + s_suppkey) AS int),
+       -123.1e0 + ((16 * s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 5 ELSE 1 END) % 50) * 0.0005e0 + floor((16 * s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 5 ELSE 1 END) / 100000) * 0.03e0 + 0.00002e0,
+       49.2e0 + floor(((16 * s_suppkey + CASE WHEN s_suppkey % 2 = 0 THEN 5 ELSE 1 END) % 100000) / 50) * 0.0004e0 + 0.00002e0,
        CASE WHEN s_suppkey % 2 = 0 THEN '9' || CAST(s_suppkey AS string)
             ELSE CAST(100 + (16 * s_suppkey + 1) % 50 AS string) END,
        CASE WHEN s_suppkey % 2 = 0 THEN 'Extra'
@@ -56,10 +76,10 @@ FROM {supplier}
 """
 
 FX_NODES_SQL = """
-SELECT CASE WHEN p_partkey % 16 = 6 THEN p_partkey + 1 ELSE p_partkey + 10000001 END AS id,
+SELECT CASE WHEN p_partkey % 16 = 6 THEN p_partkey + 1 ELSE p_partkey + 10000000001 END AS id,
        p_size AS version,
-       -123.1e0 + (p_partkey % 50) * 0.0005e0 + (p_partkey % 4) * 0.00001e0 AS lon,
-       49.2e0 + floor(p_partkey / 50) * 0.0004e0 AS lat,
+       -123.1e0 + (p_partkey % 50) * 0.0005e0 + floor(p_partkey / 100000) * 0.03e0 + (p_partkey % 4) * 0.00001e0 AS lon,
+       49.2e0 + floor((p_partkey % 100000) / 50) * 0.0004e0 AS lat,
        CASE WHEN p_partkey % 8 IN (0, 1, 2) THEN CAST(100 + p_partkey % 50 AS string) ELSE '7' END AS hn,
        CASE WHEN p_partkey % 8 IN (0, 1, 2) THEN 'Row ' || CAST(CAST(floor(p_partkey / 50) AS bigint) AS string) ELSE 'Elsewhere' END AS street,
        CASE WHEN p_partkey % 8 = 0 THEN 'City A' WHEN p_partkey % 8 = 2 THEN 'City B' END AS city,
@@ -67,9 +87,9 @@ SELECT CASE WHEN p_partkey % 16 = 6 THEN p_partkey + 1 ELSE p_partkey + 10000001
        CASE WHEN p_partkey % 2 = 0 THEN 'osm' END AS note
 FROM {part} WHERE p_partkey % 8 IN (0, 1, 2, 3, 6)
 UNION ALL
-SELECT p_partkey + 30000001, p_size,
-       -123.1e0 + (p_partkey % 50) * 0.0005e0 + 0.00004e0,
-       49.2e0 + floor(p_partkey / 50) * 0.0004e0,
+SELECT p_partkey + 30000000001, p_size,
+       -123.1e0 + (p_partkey % 50) * 0.0005e0 + floor(p_partkey / 100000) * 0.03e0 + 0.00004e0,
+       49.2e0 + floor((p_partkey % 100000) / 50) * 0.0004e0,
        CAST(100 + p_partkey % 50 AS string),
        'Row ' || CAST(CAST(floor(p_partkey / 50) AS bigint) AS string), NULL, NULL, NULL
 FROM {part} WHERE p_partkey % 16 = 9
@@ -77,8 +97,8 @@ FROM {part} WHERE p_partkey % 16 = 9
 
 FX_WAYS_SQL = """
 SELECT p_partkey + 1 AS id, p_size AS version,
-       -123.1e0 + (p_partkey % 50) * 0.0005e0 AS cx,
-       49.2e0 + floor(p_partkey / 50) * 0.0004e0 AS cy,
+       -123.1e0 + (p_partkey % 50) * 0.0005e0 + floor(p_partkey / 100000) * 0.03e0 AS cx,
+       49.2e0 + floor((p_partkey % 100000) / 50) * 0.0004e0 AS cy,
        0.00004e0 AS half,
        CASE WHEN p_partkey % 8 = 7 THEN 'line' WHEN p_partkey % 16 = 13 THEN 'bowtie' ELSE 'square' END AS shape,
        CASE WHEN p_partkey % 8 IN (4, 5, 6) THEN 'yes' END AS building,
@@ -87,15 +107,15 @@ SELECT p_partkey + 1 AS id, p_size AS version,
        CASE WHEN p_partkey % 8 = 4 THEN 'Row ' || CAST(CAST(floor(p_partkey / 50) AS bigint) AS string) END AS street
 FROM {part} WHERE p_partkey % 8 IN (4, 5, 6, 7)
 UNION ALL
-SELECT 20000001 + 2 * n_nationkey + h, 1,
-       -123.1e0 + ((16 * n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 12 ELSE 15 END) % 50) * 0.0005e0,
-       49.2e0 + floor((16 * n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 12 ELSE 15 END) / 50) * 0.0004e0,
+SELECT 20000000001 + 2 * n_nationkey + h, 1,
+       -123.1e0 + ((16 * n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 12 ELSE 15 END) % 50) * 0.0005e0 + floor((16 * n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 12 ELSE 15 END) / 100000) * 0.03e0,
+       49.2e0 + floor(((16 * n_nationkey + CASE WHEN n_nationkey % 2 = 0 THEN 12 ELSE 15 END) % 100000) / 50) * 0.0004e0,
        0.00003e0, CASE WHEN h = 0 THEN 'half_se' ELSE 'half_nw' END, NULL, NULL, NULL, NULL
 FROM {nation} CROSS JOIN (SELECT 0 AS h UNION ALL SELECT 1) hs
 UNION ALL
-SELECT 40000001 + s_suppkey, 1,
-       -123.1e0 + ((16 * s_suppkey + 5) % 50) * 0.0005e0,
-       49.2e0 + floor((16 * s_suppkey + 5) / 50) * 0.0004e0 + 0.0001e0,
+SELECT 40000000001 + s_suppkey, 1,
+       -123.1e0 + ((16 * s_suppkey + 5) % 50) * 0.0005e0 + floor((16 * s_suppkey + 5) / 100000) * 0.03e0,
+       49.2e0 + floor(((16 * s_suppkey + 5) % 100000) / 50) * 0.0004e0 + 0.0001e0,
        0.00002e0, 'square', 'yes', NULL, NULL, NULL
 FROM {supplier} WHERE s_suppkey % 4 = 1
 """
@@ -111,7 +131,7 @@ FROM {nation}
 
 FX_RELATION_MEMBERS_SQL = """
 SELECT CAST(n_nationkey + 1 AS bigint) AS relation_id,
-       CAST(20000001 + 2 * n_nationkey + h AS bigint) AS member_id,
+       CAST(20000000001 + 2 * n_nationkey + h AS bigint) AS member_id,
        'W' AS member_type, 'outer' AS member_role, h AS sequence_id
 FROM {nation} CROSS JOIN (SELECT 0 AS h UNION ALL SELECT 1) hs
 """

@@ -77,3 +77,30 @@ def test_building_matches_small_radius_general_path(spark):
     assert sorted(set((g["import_id"], g["type"], g["id"]) for g in got)) == sorted(want)
     assert want
     pairs.unpersist()
+
+
+def test_fixtures_hold_at_scale(spark, tmp_path):
+    """Tables with the keys of sf 100 (a few of each): ids stay apart, coordinates in range, and the area follows."""
+    from pyspark.sql import functions as F
+
+    from addrweave.plans.catalog import bounds_of
+    from addrweave.sources.area import parse_wkt_area as parse
+
+    def table(name, key, most, **more):
+        keys = spark.range(0, most, most // 4000).select(F.col("id").alias(key)).unionByName(spark.range(most - 40, most).select(F.col("id").alias(key)))
+        keys.distinct().select(key, *[F.lit(v).alias(k) for k, v in more.items()]).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    table("customer", "c_custkey", 15_000_000)
+    table("supplier", "s_suppkey", 1_000_000)
+    table("part", "p_partkey", 20_000_000, p_size=1)
+    spark.range(25).select(F.col("id").alias("n_nationkey")).write.parquet(f"{tmp_path}/nation.parquet")
+    fx = load_fixtures(spark, str(tmp_path))
+    assert fx.imports.count() == fx.imports.select("import_id").distinct().count()
+    for t in (fx.snapshot.nodes, fx.snapshot.ways):
+        assert t.count() == t.select("id").distinct().count()
+    r = fx.imports.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon")).first()
+    assert 49 < r[0] and r[1] < 50.1 and -124 < r[2] and r[3] < -116
+    area = parse(bounds_of(spark, str(tmp_path)))
+    assert len(area.rings) == 200
+    kept = local_features(fx.snapshot, area).nodes.count() / fx.snapshot.nodes.count()
+    assert kept > 0.7  # columns 0-40 of 50, of every block
