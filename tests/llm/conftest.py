@@ -41,7 +41,7 @@ def doc_rows():
     texts += ["é" * 70, "xé" + "é" * 70, passage, "lang " * 3000]
     rows = [(100 + 3 * i, t, ("en", "de", None)[i % 3], (None, "b", "a", "b")[i % 4]) for i, t in enumerate(texts)]
     rng.shuffle(rows)
-    rows += [(None, "a null id " + passage, "en", "a"), (None, None, None, None), rows[0], rows[0], (rows[1][0], "another text under an id that repeats", "en", "b")]
+    rows += [(None, "a null id " + passage, "en", "a"), (None, texts[3], "en", "a"), (None, None, None, None), rows[0], rows[0], (rows[1][0], "another text under an id that repeats", "en", "b")]
     return rows
 
 
