@@ -35,10 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from addrweave.llm.shared import text_chunks
+from addrweave.llm.shared import release, text_chunks, tidy
 
-#: Distinct pieces kept by a worker; beyond that the table starts anew.
-PIECES = 300_000
+#: Distinct pieces kept by a worker (and as many older ones), and pairs of tokens.
+PIECES, PAIRS = 200_000, 400_000
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 _FINAL = 0xE000  # a last character carrying the end-of-word suffix is one symbol: moved to the private use area
 
@@ -80,17 +80,18 @@ class Merges:
         for s, k in inner.items():
             shorter = (inner.get(s[:n], -1) for n in range(len(s) - 1, 0, -1))
             self.prefix[k] = next((p for p in shorter if p >= 0 and self.occurs[p]), -1)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by a * number of tokens + b
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether tokens a, b stay side by side: undo the latest merge at the border, again and again; no two
         pieces met on the way may have a merge that comes before the one just undone (at a tie the left one comes first)."""
-        known = self._pairs.get((a, b))
+        pair = a * len(self.left) + b
+        known = self._pairs.get(pair)
         if known is None:
             known = (a, b) not in self.merged and self._apart(a, b, len(self.left))
-            if len(self._pairs) > 2_000_000:
+            if len(self._pairs) >= PAIRS:
                 self._pairs.clear()
-            self._pairs[a, b] = known
+            self._pairs[pair] = known
         return known
 
     def _apart(self, left: int, right: int, before: int) -> bool:
@@ -249,12 +250,14 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, table = _tables(path)
         for batch in batches:
-            for i, j, texts in text_chunks(batch.column(batch.schema.get_field_index(text_col)), 4 << 20):
+            for i, j, texts in text_chunks(batch.column(batch.schema.get_field_index(text_col))):
                 raw, offs = texts.buf, texts.offs
                 ids = [b"".join(map(pieces.__getitem__, raw[offs[k] : offs[k + 1]].tobytes().split())) for k in range(j - i)]
                 new = [pa.array(ids, pa.binary())]
                 if decoded_col:
                     new.append(pa.array([table.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids], pa.binary()).cast(pa.string()))
                 yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, *new], names=[*batch.schema.names, *(f.name for f in added)])
+                del ids, new
+                release()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, *added]))

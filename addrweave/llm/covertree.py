@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.llm.components import components
-from addrweave.llm.shared import cut, read_shared, write_shared
+from addrweave.llm.shared import cut, read_shared, tidy, write_shared
 from addrweave.session import scratch_path
 
 BLOCK = 4096  # points of a block, about
@@ -63,7 +63,7 @@ def _raw_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "vec"])
 
     d = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("vec"))
-    return d.mapInArrow(run, "id bigint, vec binary")
+    return d.mapInArrow(tidy(run), "id bigint, vec binary")
 
 
 def _unit(rows: list[bytes]) -> np.ndarray:
@@ -321,7 +321,7 @@ def _blocks(points: DataFrame, limit: float) -> DataFrame:
                     cell[rows] = (_unit(list(t.vec.iloc[rows])) @ pivots[dim].T).argmax(1)
             yield t.assign(cell=cell)
 
-    d = points.mapInPandas(nearest, "point bigint, vec binary, n bigint, dim int, cell bigint")
+    d = points.mapInPandas(tidy(nearest), "point bigint, vec binary, n bigint, dim int, cell bigint")
     d = cut(d, "cells")
     size = d.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     d = d.join(size, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("point"), F.col("parts")))
@@ -393,7 +393,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     # a pair of blocks is much work for a small row: a few to each task
     dealt = pairs.select("file_a", "file_b").repartition(max(8, pairs.count() // 8))
-    found = cut(dealt.mapInPandas(run, "point bigint, n bigint, to bigint"), "point-links")
+    found = cut(dealt.mapInPandas(tidy(run), "point bigint, n bigint, to bigint"), "point-links")
     linked = components(found.select(F.col("point").alias("a"), F.col("to").alias("b"))).withColumnRenamed("id", "point")
     n_links = found.groupBy("point").agg(F.sum("n").alias("links"))
     whole = points.join(linked, "point", "left").join(n_links, "point", "left").withColumn("component", F.coalesce("component", "point"))

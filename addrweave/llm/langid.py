@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import Texts, mix64, text_chunks
+from addrweave.llm.shared import Texts, mix64, text_chunks, tidy
 
 SAMPLE = 500
 LANGUAGES = 64
 BUCKETS = 4096
-TEXTS = 500  # texts whose features are held at once
+TEXTS, BYTES = 200, 1 << 19  # texts, and bytes of text, whose features are held at once
 UND = "und"
 
 #: Families of ISO 639-1 codes. A language not listed is a family of its own.
@@ -169,7 +169,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(rows, pa.binary())], names=["id", "lang", "x"])
 
     # ids that repeat are chosen together: the second bound holds in that case too
-    rows = chosen.select("id", "text", "lang").mapInArrow(to_features, "id bigint, lang string, x binary").limit(2 * sample * len(counts))
+    rows = chosen.select("id", "text", "lang").mapInArrow(tidy(to_features), "id bigint, lang string, x binary").limit(2 * sample * len(counts))
 
     def fit(t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values(["id", "lang", "x"], kind="stable")
@@ -182,7 +182,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
 
 def _small_chunks(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     for a in range(0, len(column), TEXTS):
-        for i, j, t in text_chunks(column.slice(a, TEXTS)):
+        for i, j, t in text_chunks(column.slice(a, TEXTS), BYTES):
             yield a + i, a + j, t
 
 
@@ -205,7 +205,7 @@ def with_language(docs: DataFrame, model: Model | None, text_col: str = "text")
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(lang, pa.string()), pa.array(score)], names=[*part.schema.names[:-1], "lang_pred", "score"])
 
     # the last column, whatever others are named
-    return docs.select("*", has_letter(F.col(text_col)).alias("__letter")).mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+    return docs.select("*", has_letter(F.col(text_col)).alias("__letter")).mapInArrow(tidy(run), T.StructType([*docs.schema.fields, *added]))
 
 
 def labelled_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import Texts, cut, deal, hash_spans, lower_ascii, mix64, pack, read_shared, runs, text_chunks, unpack, word_spans, write_shared
+from addrweave.llm.shared import Texts, cut, deal, hash_spans, lower_ascii, mix64, pack, read_shared, runs, text_chunks, tidy, unpack, word_spans, write_shared
 from addrweave.session import scratch_path
 
 MU = 2.0
@@ -278,7 +278,7 @@ def _gathered(train: DataFrame, keys, dealt_by, tasks: int) -> DataFrame:
         if g.size:
             yield flush()
 
-    return train.mapInArrow(run, "task int, blob binary").repartitionById(tasks, "task")
+    return train.mapInArrow(tidy(run), "task int, blob binary").repartitionById(tasks, "task")
 
 
 def _sums(frames: Iterator[pd.DataFrame]) -> tuple[int, np.ndarray, np.ndarray] | None:
@@ -304,7 +304,7 @@ def build_vocabulary(train: DataFrame) -> Vocabulary:
             write_shared(name, [*EliasFano.build(key >> _U(8), 1 << 56).parts(), n.astype("<u8")])
             yield pd.DataFrame({"task": [task], "file": [name], "size": [len(key)], "total": [int(n.sum())]})
 
-    found = cut(_gathered(train, lambda t: _tokens(t)[0], lambda key: key, tasks).mapInPandas(write, "task int, file string, size bigint, total bigint"), "lm-vocabulary-files")
+    found = cut(_gathered(train, lambda t: _tokens(t)[0], lambda key: key, tasks).mapInPandas(tidy(write), "task int, file string, size bigint, total bigint"), "lm-vocabulary-files")
     rows = {r.task: r for r in found.collect()}  # one row per shard
     files = [(rows[s].file, rows[s].size) if s in rows else ("", 0) for s in range(tasks)]
     vocabulary = Vocabulary(files, sum(r.total for r in rows.values()))
@@ -316,7 +316,7 @@ def build_vocabulary(train: DataFrame) -> Vocabulary:
                 yield pd.DataFrame({"id": ids})
 
     # fewer than twice as many as there are shards
-    vocabulary.hot = tuple(sorted(r.id for r in found.select("task").mapInPandas(frequent, "id bigint").collect()))
+    vocabulary.hot = tuple(sorted(r.id for r in found.select("task").mapInPandas(tidy(frequent), "id bigint").collect()))
     return vocabulary
 
 
@@ -432,7 +432,7 @@ def build_trie(train: DataFrame, v: Vocabulary) -> Trie:
             write_shared(name, parts)
             yield pd.DataFrame({"task": [task], "file": [name]})
 
-    rows = cut(_gathered(train, keys, by_shard, tasks).mapInPandas(write, "task int, file string"), "lm-trie-files").collect()  # one row per shard
+    rows = cut(_gathered(train, keys, by_shard, tasks).mapInPandas(tidy(write), "task int, file string"), "lm-trie-files").collect()  # one row per shard
     files = {r.task: r.file for r in rows}
     return Trie(v, [files.get(s, "") for s in range(tasks)])
 
@@ -459,7 +459,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
                 columns = [part.column(0), part.column(2), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(j - i, vocabulary.total)), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    out = d.mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    out = d.mapInArrow(tidy(run), "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run):
+    """``run`` for mapInArrow or mapInPandas, with memory given back at the end: Python workers live on between tasks,
+    beside others and the JVM of their executor."""
+
+    def clean(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return clean
+
+
 class Texts:
     """UTF-8 bytes of a run of texts: ``buf`` (padded by 64 zero bytes) and text i at offs[i]:offs[i+1]."""
 

@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from addrweave.llm.shared import Texts, among, cut, deal, mix64, pack, read_shared, runs, text_chunks, unpack, write_shared
+from addrweave.llm.shared import Texts, among, cut, deal, mix64, pack, read_shared, runs, text_chunks, tidy, unpack, write_shared
 from addrweave.session import scratch_path
 
 MATCH, Q = 50, 16
 REACH = MATCH - Q  # furthest that a pointer stands from its window's start
-UNIT_BYTES = 16 << 20  # text of a unit
+UNIT_BYTES = 8 << 20  # text of a unit
 CHUNK = 1 << 20  # text worked on at once
 HOT = 256  # different spans of one bucket in a unit, from which on its windows are compared at once
 _U = np.uint64
@@ -175,7 +175,7 @@ def _store(docs: DataFrame, text_col: str) -> DataFrame:
         if held:
             yield flush()
 
-    files = cut(docs.mapInArrow(run, "file string, start bigint, size bigint"), "unit-files")
+    files = cut(docs.mapInArrow(tidy(run), "file string, start bigint, size bigint"), "unit-files")
     # one row for each unit: numbers without gaps, by which units are dealt out one to a task
     return cut(files.withColumn("unit", F.row_number().over(Window.orderBy("file")).cast("bigint") - 1), "units")
 
@@ -190,7 +190,7 @@ def _send(units: DataFrame, work, tasks: int) -> DataFrame:
                 out = [(task, row.unit, pack(**{k: v[of] for k, v in columns.items()})) for task, of in deal(key, tasks)]
                 yield pd.DataFrame(out, columns=["task", "unit", "blob"])
 
-    return units.mapInPandas(run, "task int, unit bigint, blob binary").repartitionById(tasks, "task")
+    return units.mapInPandas(tidy(run), "task int, unit bigint, blob binary").repartitionById(tasks, "task")
 
 
 def _meet(sent: DataFrame, resolve) -> DataFrame:
@@ -211,7 +211,7 @@ def _meet(sent: DataFrame, resolve) -> DataFrame:
             out = [(unit[rows[a]], kind, pack(**{k: v[rows[a:b]] for k, v in give.items()})) for a, b in zip(at, [*at[1:], len(rows)])]
             yield pd.DataFrame(out, columns=["unit", "kind", "blob"])
 
-    return sent.mapInPandas(run, "unit bigint, kind string, blob binary")
+    return sent.mapInPandas(tidy(run), "unit bigint, kind string, blob binary")
 
 
 def _resolve_spans(c: dict[str, np.ndarray], unit: np.ndarray) -> dict:
@@ -320,7 +320,7 @@ def remove_shared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for row in t.to_pandas().itertuples(index=False):
                 yield from _finish(row, id_col, text_col, schema.names)
 
-    return dealt(_status(units, found, windows)).mapInArrow(finish, schema)
+    return dealt(_status(units, found, windows)).mapInArrow(tidy(finish), schema)
 
 
 def _finish(row, id_col: str, text_col: str, names: list[str]) -> Iterator[pa.RecordBatch]:

@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import cut, read_shared, text_chunks, write_shared
+from addrweave.llm.shared import cut, read_shared, text_chunks, tidy, write_shared
 from addrweave.session import scratch_path
 
 MAGIC = b"DACTOK01"
 BLOCK = 512  # bits of a bitmap for each entry of its rank directory
 FILE_TOKENS = 8_000_000  # tokens after which a task begins a new file
-PIECES = 300_000  # distinct pieces kept by a worker, and as many older ones
+PIECES = 500_000  # distinct pieces kept by a worker, and as many older ones
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 # White space of the byte-level splitter.
@@ -220,7 +220,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None, id_
         if doc_ids:
             yield flush()
 
-    manifest = d.mapInArrow(run, "file string, part int, piece int, n_docs bigint, n_tokens bigint")
+    manifest = d.mapInArrow(tidy(run), "file string, part int, piece int, n_docs bigint, n_tokens bigint")
     return cut(manifest, "token-manifest")
 
 
@@ -248,4 +248,4 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"doc_id": f.doc_ids[a:b], "start": f.starts[a:b].astype(np.int64) + row.start, "n_tokens": size[a:b], "ids": ids})
 
     files = with_starts(manifest).select("file", "start")
-    return files.repartition(max(1, manifest.count()), "file").mapInPandas(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return files.repartition(max(1, manifest.count()), "file").mapInPandas(tidy(run), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
