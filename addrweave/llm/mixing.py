@@ -1,6 +1,6 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
-Sizes are summed per source, a repetition rate is derived for each source, and every document
+Sizes are summed per source (at once, into a small written table), a repetition rate is derived for each source, and every document
 is emitted floor(rate) times, plus once more if a number drawn from its id falls below the
 fraction of the rate.
 
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import WORD_PATTERN
+from addrweave.llm.shared import WORD_PATTERN, cut
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -72,7 +72,8 @@ def mix_plan(
     columns of these names in the input are replaced."""
     d = docs.drop("__size", "__source_size", "__target", "__copies", "__source").withColumn("__size", n_words(F.col(text_col)))
     sizes = d.groupBy(F.col(source_col).alias("__source")).agg(F.sum("__size").alias("__source_size"))
-    targets = source_targets(sizes, weights, share, max_repeat)
+    # written, so that its size is known when the join is planned: with few sources the documents stay where they are
+    targets = cut(source_targets(sizes, weights, share, max_repeat), "source-targets")
     d = d.join(targets, F.col(source_col).eqNullSafe(F.col("__source")), "left").drop("__source")
     rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
     extra = draw(F.col(id_col), seed) < rate - F.floor(rate)
