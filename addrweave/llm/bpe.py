@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from addrweave.llm.shared import release, text_chunks, tidy
 
 #: Distinct pieces kept by a worker (and as many older ones), and pairs of tokens.
-PIECES, PAIRS = 200_000, 400_000
+PIECES, PAIRS = 300_000, 400_000
 _LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 _FINAL = 0xE000  # a last character carrying the end-of-word suffix is one symbol: moved to the private use area
 
