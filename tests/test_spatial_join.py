@@ -129,7 +129,7 @@ def test_large_features_cover_few_cells(spark):
     from addrweave.operators.spatial_join import feature_cells
 
     def box(x0, y0, x1, y1):
-        return [{"lon": x, "lat": y} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+        return [{"lon": float(x), "lat": float(y)} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
 
     rows = [(1, box(10, 50, 11, 51)), (2, box(-179, -80, 179, 80)), (3, box(10, 89.0, 11, 89.95)), (4, box(10, 50, 10.0001, 50.0001))]
     f = spark.createDataFrame(rows, "fid int, geom array<struct<lon:double,lat:double>>").select("fid", "geom", *geo.bbox_columns("geom"))
