@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.llm.components import components
-from addrweave.llm.shared import Texts, cut, hash_spans, lower_ascii, mix64, runs, text_chunks, word_spans
+from addrweave.llm.shared import Texts, cut, hash_spans, lower_ascii, mix64, runs, text_chunks, tidy, word_spans
 
 REGISTERS, BASE, RATE = 384, 1.001, 20.0
 BAND, BANDS = 6, 42
@@ -164,7 +164,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 )
 
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(run, "id bigint, n bigint, s1 bigint, s2 bigint, sketch binary")
+    return d.mapInArrow(tidy(run), "id bigint, n bigint, s1 bigint, s2 bigint, sketch binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -182,7 +182,7 @@ def _bands(classes: DataFrame) -> DataFrame:
             band = np.tile(np.arange(k.shape[1], dtype=np.int32), batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(band), pa.array(reps)], names=["key", "band", "rep"])
 
-    return classes.select("rep", "sketch").mapInArrow(run, "key bigint, band int, rep bigint")
+    return classes.select("rep", "sketch").mapInArrow(tidy(run), "key bigint, band int, rep bigint")
 
 
 def _sketch_rows(column: pa.Array) -> np.ndarray:
@@ -202,7 +202,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                 yield out.filter(pa.array(j >= least))
 
     d = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "s_a", "n_b", "s_b")
-    return d.mapInArrow(run, "a bigint, b bigint, j double")
+    return d.mapInArrow(tidy(run), "a bigint, b bigint, j double")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -217,7 +217,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
     side = lambda x: texts.select(F.col("rep").alias(x), F.col("text").alias(f"t_{x}"))
     d = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b")
-    return d.mapInArrow(run, "a bigint, b bigint")
+    return d.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _across(rows: DataFrame, least: float) -> DataFrame:
@@ -264,7 +264,7 @@ def _across(rows: DataFrame, least: float) -> DataFrame:
         if rest is not None and len(rest) > 1:
             yield compare(rest)
 
-    return d.mapInPandas(run, "a bigint, b bigint").distinct()
+    return d.mapInPandas(tidy(run), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -274,10 +274,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = all_sketches.where("n > 0 AND id IS NOT NULL").groupBy(*named).agg(F.min("id").alias("first_id"))
     sets = cut(sets.withColumn("rep", F.monotonically_increasing_id()), "classes")  # numbers are fixed once written
     # the registers go along for one document of each class only
-    members = all_sketches.join(sets, named, "left")
-    members = members.select("id", "rep", *named, F.when(F.col("id") == F.col("first_id"), F.col("sketch")).alias("sketch"))
-    members = cut(members, "members")
-    classes = members.where("sketch IS NOT NULL").dropDuplicates(["rep"]).select("rep", "n", "sketch")
+    classes = all_sketches.join(sets, named).where("id = first_id").select("rep", "n", "sketch")
+    classes = cut(classes.dropDuplicates(["rep"]), "class-sketches")
 
     bands = _bands(classes)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -307,8 +305,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = sets.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = whole.groupBy("component").agg(F.min("first_id").alias("component_id"))
     whole = whole.join(least, "component").select("rep", "component_id")
-    out = members.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "rep").join(whole, "rep", "left")
-    out = out.select(id_col, "n_shingles", F.coalesce("component_id", id_col).alias("component_id"))
+    out = all_sketches.select("id", *named).join(sets.select("rep", *named), named, "left").join(whole, "rep", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
@@ -325,4 +324,4 @@ def _class_texts(docs: DataFrame, met: DataFrame, width: int) -> DataFrame:
                 yield part.select([0, 1]).filter(pa.array(same))
 
     d = docs.join(met, "id").select("rep", "text", "s1", "s2", "n")
-    return d.mapInArrow(run, "rep bigint, text string").dropDuplicates(["rep"])
+    return d.mapInArrow(tidy(run), "rep bigint, text string").dropDuplicates(["rep"])
