@@ -1,8 +1,9 @@
 """URL filter: a weighted vocabulary found by one Aho-Corasick automaton, and rules on hosts and paths.
 
 A term counts only between boundaries (no ASCII letter or digit beside it). One strict term
-rejects a url, and so do distinct soft terms whose weights reach ``soft_limit``. A host and path
-rule that fits overrides the vocabulary.
+rejects a url, and so do distinct soft terms whose weights reach ``soft_limit``; a term ``(form|form)`` counts once,
+whichever of its forms occur. The vocabulary is a parameter file, ``url_terms.tsv``. A host and path rule that fits
+overrides the vocabulary.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, so no rule fits it;
 the vocabulary still reads all of it (a null holds no term). Repeated rows get equal results;
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from importlib import resources
 
 import ahocorasick
 import pandas as pd
@@ -38,15 +40,33 @@ PATH_RULES = (
     PathRule("allow", "org", "/fr/"),
 )
 
-#: Terms that reject alone, and weights of terms that do so together.
-STRICT_TERMS = ("porn", "xxx", "hentai", "phishing", "malware", "warez", "viagra", "escort", "camgirls", "darkweb")
-SOFT_TERMS = {
-    "casino": 1, "poker": 1, "betting": 1, "bonus": 1, "free": 1, "download": 1, "torrent": 1, "crack": 1, "adult": 1,
-    "sex": 1, "nude": 1, "dating": 1, "pills": 1, "pharmacy": 1, "loan": 1, "cheap": 1, "keygen": 1, "jackpot": 1,
-}
+#: Reached by the weights of soft terms, it rejects a url.
 SOFT_LIMIT = 2
 
 
+def read_terms(text: str) -> tuple[tuple[str, ...], dict[str, int]]:
+    """Strict terms and weights of soft ones, of a file as described in ``url_terms.tsv``. Forms of a soft entry
+    stay together as one term ``(form|form)``."""
+    strict, soft = [], {}
+    for line in text.splitlines():
+        if line.strip() and not line.startswith("#"):
+            _, weight, forms = line.split("\t")
+            forms = forms.split()
+            if weight == "strict":
+                strict += forms
+            else:
+                soft["(" + "|".join(forms) + ")" if forms[1:] else forms[0]] = int(weight)
+    return tuple(strict), soft
+
+
+def forms_of(term: str) -> list[str]:
+    return term[1:-1].split("|") if term.startswith("(") and term.endswith(")") else [term]
+
+
+#: Terms that reject alone, and weights of terms that do so together: the parameter file beside this module.
+STRICT_TERMS, SOFT_TERMS = read_terms(resources.files(__package__).joinpath("url_terms.tsv").read_text(encoding="ascii"))
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (after the first ``://``, A-Z lower-cased) and path (up to ``?`` or ``#``); empty without ``://``."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://(.*)$", 1)
@@ -67,24 +87,27 @@ def path_rule(host: Column, path: Column, rules: Sequence[PathRule] = PATH_RULES
 
 def vocabulary_verdict(url: Column, strict: Sequence[str] = STRICT_TERMS, soft: dict[str, int] = SOFT_TERMS, soft_limit: int = SOFT_LIMIT) -> Column:
     """``block`` or ``allow`` by the vocabulary alone."""
-    terms = {**soft, **dict.fromkeys(strict, soft_limit)}
+    forms: dict[str, dict[str, int]] = {}  # form -> its terms and their weights
+    for term, weight in {**soft, **dict.fromkeys(strict, soft_limit)}.items():
+        for form in forms_of(term):
+            forms.setdefault(form, {})[term] = weight
 
     @F.pandas_udf("string")
     def verdict(parts: pd.Series) -> pd.Series:
         machine = ahocorasick.Automaton()
-        for term, weight in terms.items():
-            machine.add_word(term, (term, weight))
-        if terms:
+        for form, of in forms.items():
+            machine.add_word(form, (len(form), of))
+        if forms:
             machine.make_automaton()
 
         def one(text: str | None) -> str:
-            if not text or not terms:
+            if not text or not forms:
                 return "allow"
             text, hits = text.translate(_ASCII_LOWER), {}
-            for end, (term, weight) in machine.iter(text):
-                begin = end - len(term) + 1
+            for end, (length, of) in machine.iter(text):
+                begin = end - length + 1
                 if not (begin and text[begin - 1] in _WORD) and text[end + 1 : end + 2] not in _WORD:
-                    hits[term] = weight
+                    hits |= of
             return "block" if sum(hits.values()) >= soft_limit else "allow"
 
         return parts.map(one, na_action=None)

@@ -1,12 +1,13 @@
 """Threshold pairs of vectors and the URL filter against plain versions."""
 
 import math
+import re
 
 import numpy as np
 import pytest
 
 from addrweave.llm.covertree import Tree, build_tree, near_vectors, traverse
-from addrweave.llm.urls import judge_urls
+from addrweave.llm.urls import SOFT_TERMS, STRICT_TERMS, forms_of, judge_urls
 
 
 def plain_links(rows, cosine):
@@ -108,3 +109,24 @@ def test_urls(spark):
     order = lambda r: (r[0] is None, r[0] or 0)
     assert sorted(map(tuple, got), key=order) == sorted(((i, h, p, r, v) for i, _, h, p, r, v in rows), key=order)
     assert judge_urls(d.limit(0)).count() == 0
+
+
+def test_url_vocabulary(spark):
+    """Hosts that are in none of the tables: each family blocks, ordinary addresses pass, forms of one entry count once."""
+    junk = """casinos-royal.test/x gambling.test online-betting.test best-bets.test/bonus poker-room.test lotto-odds.test spammer.test/a
+        spam.test/list adserver.test/p?x=1 ads.trackers.test banner-ads.test/ porno.test escorts.city.test nude-dating.test cialis.test
+        pills-pharmacy.test xanax.test/buy payday-loans.test keygens.test viagra.test/FREE""".split()
+    fine = """bank.test/loans/personal-loan news.test/story?ad=5&tracking=1 city.test/adults/adult-education museum.test/free shop.test/download/downloads radio.test/track/tracks
+        race.test/track alphabet.test/between/betray spamalot.test/tickets adsorption.test/tracking newyork.test/windows/win wiki.test/pornography
+        library.test/pharmacy/pharmacies sussex.test/sex""".split()
+    d = spark.createDataFrame([(i, "https://" + u) for i, u in enumerate(junk + fine)], "page_id long, url string")
+    got = {(junk + fine)[r.page_id]: r.verdict for r in judge_urls(d, rules=()).collect()}
+    assert {u: got[u] for u in junk} == dict.fromkeys(junk, "block")
+    assert {u: got[u] for u in fine} == dict.fromkeys(fine, "allow")
+
+
+def test_url_terms_file():
+    """Entries are words of their own; none stands twice."""
+    forms = [f for t in (*STRICT_TERMS, *SOFT_TERMS) for f in forms_of(t)]
+    assert all(re.fullmatch("[a-z0-9]+", f) for f in forms) and len(forms) == len(set(forms))
+    assert {1, 2} <= set(SOFT_TERMS.values())
