@@ -5,8 +5,11 @@ vector machine for each pair of families, and for each pair of languages within
 votes go to the larger sum of margins. The score is the mean confidence against the other families times that
 against the other languages of the family.
 
-The machines learn from a bounded sample (``SAMPLE`` texts of each language, of the ``LANGUAGES`` most frequent
-ones), chosen by a hash of the id; counts that fix the sampling rates and all predictions cover every row.
+Every label of the table is learned, however many there are, from a bounded sample: about ``SAMPLE`` distinct (id, text)
+rows of each language, chosen by a hash of both, and of these about ``2 * SAMPLE`` of each family (at least ``LEAST`` of a
+language) for the machines between families. Counts that fix the sampling rates, and all predictions, cover every row.
+Machines are trained in parallel, those between two blocks of ``BLOCK`` classes in one task; their number grows with the
+square of the families, and of the languages within one.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing to
 learn from; a null id counts as an empty one in the held-out rule; rows that repeat an id or a text get equal
@@ -16,7 +19,7 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import pickle
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -29,12 +32,13 @@ from pyspark.sql import functions as F
 from addrweave.llm.shared import Texts, mix64, text_chunks, tidy
 
 SAMPLE = 500
-LANGUAGES = 64
+LEAST = 20
+BLOCK = 8
 BUCKETS = 4096
 TEXTS, BYTES = 200, 1 << 19  # texts, and bytes of text, whose features are held at once
 UND = "und"
 
-#: Families of ISO 639-1 codes. A language not listed is a family of its own.
+#: Families of ISO 639-1 codes. A language not listed is a family of its own, with its variants (zh, zh-Hans, ZH).
 FAMILIES = {
     "germanic": "en de nl af sv da no nb nn is fy lb yi".split(),
     "romance": "fr es it pt ro ca gl oc".split(),
@@ -47,6 +51,12 @@ FAMILIES = {
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
+
+def family_of(lang: str) -> str:
+    code = re.split("[-_]", lang.strip().lower())[0]
+    return _FAMILY.get(code, code)
+
+
 _LETTER = np.zeros(256, np.uint8)  # other characters become 0
 _LETTER[65:91] = np.arange(97, 123)
 _LETTER[97:123] = np.arange(97, 123)
@@ -91,38 +101,12 @@ def train_svm(x: np.ndarray, y: np.ndarray, c: float = 4.0, rounds: int = 300) -
     return w
 
 
-class Model:
-    """Machines between families and between the languages of each family."""
-
-    def __init__(self, x: np.ndarray, lang: list[str]):
-        lang = np.array(lang)
-        family = np.array([_FAMILY.get(v, v) for v in lang])
-        self.families = _Vote(x, family)
-        self.languages = {f: _Vote(x[family == f], lang[family == f]) for f in self.families.names}
-
-    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        family, score = self.families.predict(x)
-        out = np.empty(len(x), object)
-        for k, name in enumerate(self.families.names):
-            rows = np.flatnonzero(family == k)
-            if len(rows):
-                lang, within = self.languages[name].predict(x[rows])
-                out[rows] = np.array(self.languages[name].names, object)[lang]
-                score[rows] *= within
-        return out, score
-
-
 class _Vote:
     """One machine for each pair of classes."""
 
-    def __init__(self, x: np.ndarray, label: np.ndarray):
-        self.names = sorted(set(label.tolist()))
-        self.pairs = list(combinations(range(len(self.names)), 2))
-        w = []
-        for a, b in self.pairs:
-            of = (label == self.names[a]) | (label == self.names[b])
-            w.append(train_svm(x[of], np.where(label[of] == self.names[a], 1.0, -1.0)))
-        self.w = np.array(w).T if w else np.zeros((x.shape[1] + 1, 0))
+    def __init__(self, names: list[str], machines: dict[tuple[int, int], np.ndarray]):
+        self.names, self.pairs = names, sorted(machines)
+        self.w = np.array([machines[p] for p in self.pairs]).T if machines else np.zeros((BUCKETS + 1, 0))
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         margin = x @ self.w[:-1] + self.w[-1]
@@ -140,6 +124,24 @@ class _Vote:
         return best, sure[np.arange(len(x)), best] / others if self.pairs else np.ones(len(x))
 
 
+class Model:
+    """Machines between families and between the languages of each family."""
+
+    def __init__(self, families: _Vote, languages: dict[str, _Vote]):
+        self.families, self.languages = families, languages
+
+    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        family, score = self.families.predict(x)
+        out = np.empty(len(x), object)
+        for k, name in enumerate(self.families.names):
+            rows = np.flatnonzero(family == k)
+            if len(rows):
+                lang, within = self.languages[name].predict(x[rows])
+                out[rows] = np.array(self.languages[name].names, object)[lang]
+                score[rows] *= within
+        return out, score
+
+
 def _best(votes: np.ndarray, total: np.ndarray) -> np.ndarray:
     """Most votes; of equal ones the largest sum of margins, then the first."""
     return np.where(votes == votes.max(1, keepdims=True), total, -np.inf).argmax(1)
@@ -153,31 +155,83 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
 
 
+def _pack(v: np.ndarray) -> bytes:
+    """Values and places of what is not zero."""
+    at = np.flatnonzero(v)
+    return v[at].astype(np.float32).tobytes() + at.astype(np.uint16).tobytes()
+
+
+def _unpack(rows: list[bytes]) -> np.ndarray:
+    x = np.zeros((len(rows), BUCKETS))
+    for k, row in enumerate(rows):
+        n = len(row) // 6
+        x[k, np.frombuffer(row, np.uint16, n, 4 * n)] = np.frombuffer(row, np.float32, n)
+    return x
+
+
 def learn(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from rows (id, text, lang) with a letter and a language; None if there are none."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    # one key for rows that repeat an id with its text: they count, and are learned, once
+    keyed = labelled.select("text", "lang", F.xxhash64("id", "text").alias("key"))
+    counts = {r.lang: max(1, r.n) for r in keyed.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
     if not counts:
         return None
+    families: dict[str, list[str]] = {}
+    for lang in sorted(counts):
+        families.setdefault(family_of(lang), []).append(lang)
+    votes = [sorted(families), *(families[f] for f in sorted(families))]  # the classes of each vote; the first is the families'
+
     slots = 1 << 30
-    rates = F.create_map(*[x for r in counts for x in (F.lit(r.lang), F.lit(min(slots, slots * sample // r["count"] + 1)))])
-    chosen = labelled.where(F.pmod(F.xxhash64(F.col("id"), F.lit(8)), F.lit(slots)) < F.coalesce(rates[F.col("lang")], F.lit(0)))
+    plan = []  # lang, rate of its rows, and their uses: vote, class, rate among the chosen
+    for f, (family, langs) in enumerate(sorted(families.items())):
+        share = max(LEAST, 2 * sample // len(langs))
+        for k, lang in enumerate(langs):
+            among = min(slots, slots * share // min(sample, counts[lang]) + 1)
+            uses = [(0, f, among)] * (len(votes[0]) > 1) + [(f + 1, k, slots)] * (len(langs) > 1)
+            plan.append((lang, min(slots, slots * sample // counts[lang] + 1), uses))
+    machines: list[dict[tuple[int, int], np.ndarray]] = [{} for _ in votes]
+    if any(uses for *_, uses in plan):
+        use = "array<struct<vote: int, class: int, rate: long>>"
+        plans = F.broadcast(labelled.sparkSession.createDataFrame(plan, f"lang string, rate long, uses {use}"))
+        blocks = F.create_map(*[x for v, names in enumerate(votes) for x in (F.lit(v), F.lit((len(names) - 1) // BLOCK))])
+        for r in _train(keyed, plans, blocks, slots).collect():  # rows: the weights
+            machines[r.vote][r.a, r.b] = np.frombuffer(r.w)
+    voters = [_Vote(names, m) for names, m in zip(votes, machines)]
+    return Model(voters[0], dict(zip(votes[0], voters[1:])))
+
+
+def _train(keyed: DataFrame, plans: DataFrame, blocks: Column, slots: int) -> DataFrame:
+    """vote, a, b, w: a machine for each pair of classes a < b of a vote."""
+
+    def draw(seed: int) -> Column:
+        return F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(slots))
 
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, t in _small_chunks(batch.column(1)):
-                rows = [v.tobytes() for v in features(t).astype(np.float32)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(rows, pa.binary())], names=["id", "lang", "x"])
-
-    # ids that repeat are chosen together: the second bound holds in that case too
-    rows = chosen.select("id", "text", "lang").mapInArrow(tidy(to_features), "id bigint, lang string, x binary").limit(2 * sample * len(counts))
+            for i, j, t in _small_chunks(batch.column(0)):
+                rows = pa.array([_pack(v) for v in features(t)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), rows], names=["lang", "key", "x"])
 
     def fit(t: pd.DataFrame) -> pd.DataFrame:
-        t = t.sort_values(["id", "lang", "x"], kind="stable")
-        model = Model(np.frombuffer(b"".join(t.x), np.float32).reshape(len(t), -1).astype(np.float64), list(t.lang))
-        return pd.DataFrame({"model": [pickle.dumps(model)]})
-
-    got = rows.groupBy().applyInPandas(fit, "model binary").collect()  # one row: the weights
-    return pickle.loads(bytes(got[0].model)) if got else None
+        t = t.sort_values(["class", "key", "x"], kind="stable")
+        of, x = t["class"].to_numpy(), list(t.x)
+        vote, p, q = (int(t[c].iloc[0]) for c in ("vote", "p", "q"))
+        out = []
+        for a, b in combinations(sorted(set(of.tolist())), 2):
+            if a // BLOCK == p and b // BLOCK == q:
+                rows = np.flatnonzero((of == a) | (of == b))
+                w = train_svm(_unpack([x[k] for k in rows]), np.where(of[rows] == a, 1.0, -1.0))
+                out.append((vote, a, b, w.tobytes()))
+        return pd.DataFrame(out, columns=["vote", "a", "b", "w"])
+
+    chosen = keyed.join(plans.select("lang", "rate"), "lang").where(draw(8) < F.col("rate")).dropDuplicates(["lang", "key"])
+    rows = chosen.select("text", "lang", "key").mapInArrow(tidy(to_features), "lang string, key bigint, x binary")
+    used = rows.join(plans.select("lang", F.inline("uses").alias("vote", "class", "use_rate")), "lang").where(draw(9) < F.col("use_rate"))
+    block = F.floor(F.col("class") / BLOCK).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks[F.col("vote")]))
+    tasks = used.select("vote", "class", "key", "x", block.alias("block"), other.alias("other"))
+    tasks = tasks.select("vote", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "class", "key", "x")
+    return tasks.groupBy("vote", "p", "q").applyInPandas(fit, "vote int, a int, b int, w binary")
 
 
 def _small_chunks(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:

@@ -7,16 +7,18 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from addrweave.llm.bpe import bpe_encode
-from addrweave.llm.langid import identify
+from addrweave.llm.langid import features, identify, learn
 from addrweave.llm.lm import MU, EliasFano, lm_scores
 from addrweave.llm.mixing import draw, mix, mix_plan, source_targets
 from addrweave.llm.quality import quality_rules
 from addrweave.llm.queries import tokenizer_file
 from addrweave.llm.setsketch import jaccard_estimate, merge, near_duplicates, registers
+from addrweave.llm.shared import text_chunks
 from addrweave.llm.suffix import remove_shared
 from addrweave.llm.token_file import TokenFile, read_token_files, write_token_files
 
@@ -325,6 +327,30 @@ def test_language_id(spark, docs):
     assert identify(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred != 'und'").count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """More labels than 64, noisy ones, and rows of one id (null) whose copies outnumber all others."""
+    rng = np.random.default_rng(5)
+    labels = [f"{a}{b}-{k}" for a, b in "xa xb xc xd xe xf xg xh xi xj xk xl xm xn".split() for k in range(5)] + ["EN", "en-US"]
+    parts = {lang: ["".join(chr(c) for c in rng.integers(97, 123, 3)) for _ in range(6)] for lang in labels}
+    rows = [(72 * i + k, " ".join(rng.choice(parts[lang], 12)), lang) for i in range(16) for k, lang in enumerate(labels)]
+    copies = [(None, rows[0][1], labels[0])] * 4000
+    table = spark.createDataFrame(rows + copies, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify(table).where("doc_id is not null").collect()}
+    assert set(got.values()) == set(labels)
+    assert np.mean([got[i] == lang for i, _, lang in rows]) > 0.95
+
+
+def test_rare_rows_beside_copies_are_learned(spark):
+    """A sample of few: copies of a row take one place in it, whatever their number."""
+    words = {"en": "the and of river", "fr": "les et de rivière", "de": "der und von fluss"}
+    rows = [(i, f"{words[lang]} {i}", lang) for i in range(300) for lang in words]
+    rows += [(None, "und und und", "de")] * 20000
+    model = learn(spark.createDataFrame(rows, "id long, text string, lang string"), sample=20)
+    assert model.languages["germanic"].names == ["de", "en"] and model.families.names == ["germanic", "romance"]
+    (_, _, t), = text_chunks(pa.array([words[k] for k in words]), 1 << 19)
+    assert list(model.predict(features(t))[0]) == list(words)
+
+
 # ------------------------------------------------------------------ shared passages
 
 
