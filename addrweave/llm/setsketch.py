@@ -268,7 +268,10 @@ def _across(rows: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """id, n_shingles, component_id (smallest id reachable by links), kept, of every row of ``docs``."""
+    """id, n_shingles, component_id (smallest id reachable by links), kept, of every row of ``docs``. Bands and
+    estimate are made for a ``percent`` of 80 and more; a smaller one is refused, as most of its pairs would be missed."""
+    if percent < 80:
+        raise ValueError(f"bands and estimate hold from 80 percent on, not for {percent}")
     all_sketches = cut(sketches(docs, id_col, text_col, width), "sketches")
     named = ["s1", "s2", "n"]
     sets = all_sketches.where("n > 0 AND id IS NOT NULL").groupBy(*named).agg(F.min("id").alias("first_id"))

@@ -302,6 +302,12 @@ def test_quality_rules_bite(spark):
     assert got[1] == [] and "symbols" in got[2] and {"word_length", "stop_words"} <= set(got[3]) and got[4]
 
 
+@pytest.mark.parametrize("percent", [79, 50])
+def test_near_duplicates_refuse_smaller_thresholds(docs, percent):
+    with pytest.raises(ValueError, match="80"):
+        near_duplicates(docs, percent=percent)
+
+
 # ------------------------------------------------------------------ language id
 
 
