@@ -124,3 +124,63 @@ cut AS (SELECT d.r, sum(b - a) AS n_removed, count(*) AS n_spans,
   FROM piece JOIN d USING (r) GROUP BY d.r)
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
   sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN cut USING (r)"""
+
+
+def _crc32(text: str) -> str:
+    """The CRC-32 of ``text`` (ASCII) byte by byte; wants the CTE ``crc_table``."""
+    return (
+        f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT)), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+    )
+
+
+_CRC_TABLE = """crc_table AS (SELECT list(list_reduce(range(8), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def periodic_runs() -> str:
+    """Every pair of equal words at every distance, as islands; meant for tables of some million words."""
+    return f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+k AS (SELECT doc_id, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table),
+g AS (SELECT r, d.doc_id, ws, CAST(len(ws) AS BIGINT) AS n, h % 10 = 0 AND len(ws) > 0 AS planted, h // 10 AS g FROM d LEFT JOIN k USING (doc_id)),
+e AS (SELECT *, CASE WHEN planted THEN g % n END AS a FROM g),
+p AS (SELECT r, doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE ws END AS ws FROM e),
+w AS (SELECT r, n, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS word FROM p),
+eq AS (SELECT x.r, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isle AS (SELECT r, q, min(i) AS start, count(*) + q AS length FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS part FROM eq) GROUP BY r, q, part),
+run AS (SELECT r, start, length, min(q) AS period FROM isle WHERE length >= greatest(6, 4 * q) GROUP BY r, start, length),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (r, i) GROUP BY r),
+best AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS place FROM run),
+lines AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM run GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(lines.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM p LEFT JOIN lines USING (r) LEFT JOIN kept USING (r) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (r)"""
+
+
+def ranked_search() -> str:
+    terms = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS ts FROM documents),
+f AS (SELECT * FROM d WHERE len(ts) > 0),
+s AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM f),
+m AS (SELECT r, doc_id, 75 + (25 * len(ts) * big_n) // big_l AS m FROM f, s),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM f) GROUP BY r, term),
+q AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT row_number() OVER () AS item, item_id, unnest({terms}) AS term FROM benchmark) GROUP BY item, item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s WHERE term IN (SELECT term FROM q) GROUP BY term),
+sc AS (SELECT item, item_id, m.r, m.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m ON m.r = tf.r GROUP BY item, item_id, m.r, m.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
+def warc() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+s AS (SELECT html, max(page_id) AS stored FROM p WHERE size >= 1000 GROUP BY html)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN stored IS NOT NULL AND stored IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN stored IS DISTINCT FROM page_id THEN stored END AS refers_to
+FROM p LEFT JOIN s USING (html)"""
