@@ -50,6 +50,21 @@ BOUNDS_HOLED = (
     "-123.1003 49.1997),(-123.0952 49.2051, -123.0853 49.2049, -123.0901 49.2102, -123.0952 49.2051))"
 )
 
+# Its upper part is repeated, stretched, over the other rows of a block.
+HOLED_FROM, HOLED_STRETCH = 49.2446, 18.0
+
+
+def holed_bounds(blocks: int) -> str:
+    """The concave area and its stretched copy above, in each block."""
+    rings = [[tuple(map(float, p.split())) for p in r.split(", ")] for r in BOUNDS_HOLED.removeprefix("POLYGON((").removesuffix("))").split("),(")]
+    tall = [[(x, HOLED_FROM + (y - 49.1996) * HOLED_STRETCH) for x, y in r] for r in rings]
+    parts = []
+    for k in range(blocks):
+        for shape in (rings, tall):
+            parts.append("(" + ",".join("(" + ", ".join(f"{x + k * BLOCK_DEG!r} {y!r}" for x, y in r) + ")" for r in shape) + ")")
+    return f"MULTIPOLYGON({', '.join(parts)})"
+
+
 # Keys to strip in queries, and a file of such keys as a user may write it: blanks around keys, an empty line.
 SAMPLE_STRIP_KEYS = ["note:import", "source", "created_by"]
 STRIP_FILE_LINES = ["  note\t", "", "highway ", "created_by"]
@@ -158,6 +173,8 @@ SHAPES = {
     "half_nw": ["NE", "NW", "SW"],
 }
 
+BOXES = (("min_lon", "cx", "-"), ("min_lat", "cy", "-"), ("max_lon", "cx", "+"), ("max_lat", "cy", "+"))
+
 
 @dataclass
 class Fixtures:
@@ -233,6 +250,8 @@ def load_fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
         ).alias("tags"),
         node_ids.alias("nodes"),
         geom.alias("linestring"),
+        # stored boxes, as written snapshots have them: every shape reaches all sides of its square
+        *(F.expr(f"CAST({c} {sign} half AS DOUBLE)").alias(name) for name, c, sign in BOXES),
     )
     relations = q("fx_relations").select(
         F.col("id").cast("bigint").alias("id"),

@@ -1,9 +1,12 @@
 """Read the import file (OSM XML ``<node>`` elements).
 
 Files are read as text records that end where the next ``<node`` begins, so that one large file is split over
-tasks; each record's element is parsed by Spark's XML functions. Values stay as they are (no trimming). A
-malformed element, an element that is not closed, or a file without its closing root tag stops the
-read, or is listed (``read_osm_nodes_report``); nothing is dropped or turned into nulls.
+tasks; each record's element is parsed by Spark's XML functions. Values stay as they are (no trimming).
+
+What stands before a file's first node is its head, known by its place (the first record of the file) and its
+beginning (``<?xml`` or ``<osm``). Every other record is a node: a malformed element, one that is not closed, a stray end tag, a
+file without its head or its closing root tag, or with more behind that, stops the read, or is listed
+(``read_osm_nodes_report``); nothing is dropped or turned into nulls.
 """
 
 from __future__ import annotations
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 NODE_XML_SCHEMA = "_id bigint, _lon double, _lat double, tag array<struct<_k:string,_v:string>>"
 _BAD = "_malformed"
 
+# how a file begins, a byte order mark included
+_HEAD = r"^\x{FEFF}?\s*<(\?xml|osm)[\s>]"
+
 # the start tag's attributes, up to ">" or "/>"; values may hold ">" but no "<"
 _START = r"""^((?:\s+[^\s=<>/"']+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*/?>)"""
 
@@ -42,7 +48,7 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
         F.col("value"),
         start.alias("start"),
     )
-    is_head = F.rlike(F.col("value"), F.lit(r"^\x{FEFF}?\s*<")) | (F.trim("value") == "")
+    is_head = (F.col("block") == 0) & F.rlike(F.col("value"), F.lit(_HEAD))
     close = F.locate("</node>", F.col("value"))
     single = F.endswith("start", F.lit("/>"))
     end = F.when(single, F.length("start")).when(close > 0, close + F.lit(len("</node>") - 1))
@@ -54,13 +60,26 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _unfinished(records: DataFrame) -> DataFrame:
-    """Files whose closing root tag is missing, or that hold comments or CDATA (which may hide a node)."""
+def _broken_files(records: DataFrame) -> DataFrame:
+    """Files that do not begin with a head, end with the closing root tag, and hold one of each; or that hold
+    comments or CDATA (which may hide a node)."""
+    place = F.struct("block", "row")
+    rest = F.coalesce("rest", "value")  # all of a record whose element is not closed
+    ends = F.rlike(rest, F.lit(r"(</osm>|<osm[^>]*/>)\s*$"))
     per_file = records.groupBy("file").agg(
-        F.max(F.coalesce(F.contains("rest", F.lit("</osm>")) | F.rlike("rest", F.lit(r"<osm[^>]*/>\s*$")), F.lit(False))).alias("closed"),
+        F.min_by("head", place).alias("begins"),
+        F.count_if("head").alias("heads"),
+        F.max_by(ends, place).alias("closed"),
+        F.sum(F.size(F.split(rest, "</osm>")) - 1).alias("closings"),
         F.max(F.contains("value", F.lit("<!--")) | F.contains("value", F.lit("<![CDATA["))).alias("hidden"),
     )
-    reason = F.when(F.col("hidden"), "comment or CDATA in the file").when(~F.col("closed"), "file is not closed")
+    reason = (
+        F.when(F.col("hidden"), "comment or CDATA in the file")
+        .when(~F.col("begins"), "file has no head")
+        .when(F.col("heads") > 1, "file head inside the file")
+        .when((F.col("closings") > 1) | (F.col("closings") > 0) & ~F.col("closed"), "content behind the closing root tag")
+        .when(~F.col("closed"), "file is not closed")
+    )
     return per_file.select("file", F.lit(None).cast("bigint").alias("block"), reason.alias("reason"), F.lit(None).cast("string").alias("text")).where("reason IS NOT NULL")
 
 
@@ -71,7 +90,11 @@ def _parsed(records: DataFrame) -> DataFrame:
 
 
 def _is_bad() -> Column:
-    return F.col("element").isNull() | F.col("n").isNull() | F.col(f"n.{_BAD}").isNotNull()
+    return F.col("element").isNull() | F.col("n").isNull() | F.col(f"n.{_BAD}").isNotNull() | _stray_end()
+
+
+def _stray_end() -> Column:
+    return F.coalesce(F.contains("rest", F.lit("</node")), F.lit(False))
 
 
 def _nodes(parsed: DataFrame, drop_untagged: bool, with_position: bool) -> DataFrame:
@@ -89,11 +112,11 @@ def _nodes(parsed: DataFrame, drop_untagged: bool, with_position: bool) -> DataF
 def read_osm_nodes(spark: SparkSession, path: str, drop_untagged: bool = False, with_position: bool = False) -> DataFrame:
     """Import addresses ``import_id, tags, lon, lat`` from OSM XML nodes.
 
-    Raises on files that are not closed (one pass over the files, now) and, when the result is used, on the first
+    Raises on files without their head or end (one pass over the files, now) and, when the result is used, on the first
     malformed element. ``with_position`` adds ``position``, which orders the nodes as the files do (O2).
     """
     records = _records(spark, path)
-    bad_files = _unfinished(records).limit(5).collect()
+    bad_files = _broken_files(records).limit(5).collect()
     if bad_files:
         raise ValueError("malformed OSM XML: " + "; ".join(f"{r['file']}: {r['reason']}" for r in bad_files))
     stop = F.raise_error(F.concat(F.lit("malformed OSM XML node: "), F.substring("value", 1, 200)))
@@ -110,6 +133,6 @@ def read_osm_nodes_report(spark: SparkSession, path: str) -> tuple[DataFrame, Da
     """Well-formed nodes, and a table of what is wrong: ``file, block, reason, text``."""
     records = _records(spark, path)
     parsed = _parsed(records)
-    reason = F.when(F.col("element").isNull(), "element is not closed").otherwise("element can't be parsed")
+    reason = F.when(F.col("element").isNull(), "element is not closed").when(_stray_end(), "end tag without its element").otherwise("element can't be parsed")
     bad = parsed.where(_is_bad()).select("file", "block", reason.alias("reason"), F.concat(F.lit("<node"), F.col("value")).alias("text"))
-    return _nodes(parsed.where(~_is_bad()), False, False), bad.unionByName(_unfinished(records))
+    return _nodes(parsed.where(~_is_bad()), False, False), bad.unionByName(_broken_files(records))

@@ -100,6 +100,16 @@ def test_xml_values_are_kept_as_they_are(spark, tmp_path):
         ('<node id="1" lon="1" lat="2"/>\n<node id="4" lon="1" lat="2"><tag k="a"', [1]),
         ('<node id="1" lon="1" lat="2"/>\n', [1]),
         ('<!-- <node id="9" lon="1" lat="2"/> --><node id="1" lon="1" lat="2"/></osm>', None),
+        # a damaged start tag between two good nodes
+        ('<node id="1" lon="1" lat="2"/><node\n<tag k="a" v="b"/></node><node id="2" lon="1" lat="2"/></osm>', [1, 2]),
+        ('<node id="1" lon="1" lat="2"/><node <tag k="a" v="b"/></node><node id="2" lon="1" lat="2"/></osm>', [1, 2]),
+        ('<node id="1" lon="1" lat="2"/><node<node id="2" lon="1" lat="2"/></osm>', [1, 2]),
+        ('<node id="1" lon="1" lat="2"/><node\n\n<node id="2" lon="1" lat="2"/></osm>', [1, 2]),
+        ('<node id="1" lon="1" lat="2"/><node <?xml version="1.0"?><osm><node id="2" lon="1" lat="2"/></osm>', None),
+        ('<node id="1" lon="1" lat="2"/><node id="2" lon="1" lat="2"/></node></osm>', [1]),
+        ('<node id="1" lon="1" lat="2"/></osm><node id="2" lon="1" lat="2"/></osm>', None),
+        ('<node id="1" lon="1" lat="2"/></osm>\ntext', None),
+        ('<node id="1" lon="1" lat="2"/></osm><?xml version="1.0"?><osm><node id="2" lon="1" lat="2"/></osm>', None),
     ],
 )
 def test_xml_malformed_input_stops_or_is_reported(spark, tmp_path, body, good):
@@ -112,6 +122,23 @@ def test_xml_malformed_input_stops_or_is_reported(spark, tmp_path, body, good):
         assert [r.import_id for r in nodes.collect()] == good
 
 
+@pytest.mark.parametrize("head", ["", "\n ", "text <osm>", '<?xmlish version="1.0"?>', "<nodes><osm>"])
+def test_xml_without_a_head(spark, tmp_path, head):
+    path = _osm(tmp_path / "in.osm", '<node id="1" lon="1" lat="2"/></osm>', head=head)
+    with pytest.raises(Exception, match="malformed OSM XML"):
+        read_osm_nodes(spark, path)
+    _, bad = read_osm_nodes_report(spark, path)
+    assert "file has no head" in [r.reason for r in bad.collect()]
+
+
+@pytest.mark.parametrize("text", ['\ufeff<?xml version="1.0"?><osm><bounds minlat="1"/></osm>', '<osm version="0.6"/>', "\n<osm>\n</osm>\n"])
+def test_xml_without_nodes(spark, tmp_path, text):
+    path = _osm(tmp_path / "in.osm", "", head=text)
+    assert read_osm_nodes(spark, path).collect() == []
+    nodes, bad = read_osm_nodes_report(spark, path)
+    assert nodes.collect() == [] and bad.collect() == []
+
+
 def test_large_xml_file_is_split(spark, tmp_path):
     n = 60_000
     body = "".join(f'<node id="{i}" lon="1.5" lat="2"><tag k="addr:street" v="Street number {i}"/></node>\n' for i in range(n))
