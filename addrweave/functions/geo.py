@@ -230,16 +230,28 @@ def drop_repeated_vertices(geom: str) -> Column:
 def _sql_valid_simple_ring(r: str) -> str:
     n = f"size({r})"
     m = f"({n} - 1)"  # edges; edge i runs from r[i] to r[i+1]
-    i, j, k, s = _v("i"), _v("j"), _v("k"), _v("acc")
+    i, k, s = _v("i"), _v("k"), _v("acc")
     area = (
         f"aggregate(sequence(0, {m} - 1), 0D, ({s}, {k}) -> {s} + ({r}[{k}].lon - {r}[0].lon) * ({r}[{k} + 1].lat - {r}[0].lat)"
         f" - ({r}[{k} + 1].lon - {r}[0].lon) * ({r}[{k}].lat - {r}[0].lat))"
     )
-    cross = _sql_segments_intersect(_xy(f"{r}[{i}]"), _xy(f"{r}[{i} + 1]"), _xy(f"{r}[{j}]"), _xy(f"{r}[{j} + 1]"))
-    non_adjacent = (
-        f"exists(sequence(0, {m} - 1), {i} -> exists(sequence(0, {m} - 1), {j} -> "
-        f"{j} >= {i} + 2 AND NOT ({i} = 0 AND {j} = {m} - 1) AND {cross}))"
+    # Sweep over the edges by western end: an edge is compared with those that still reach as far east.
+    e, f, acc = _v("e"), _v("f"), _v("acc")
+    p0, p1 = f"{r}[{i}]", f"{r}[{i} + 1]"
+    edge = (
+        f"named_struct('x0', least({p0}.lon, {p1}.lon), 'i', {i}, 'x1', greatest({p0}.lon, {p1}.lon), "
+        f"'ax', {p0}.lon, 'ay', {p0}.lat, 'bx', {p1}.lon, 'by', {p1}.lat)"
     )
+    edges = f"array_sort(transform(sequence(0, {m} - 1), {i} -> {edge}))"
+    cross = _sql_segments_intersect((f"{e}.ax", f"{e}.ay"), (f"{e}.bx", f"{e}.by"), (f"{f}.ax", f"{f}.ay"), (f"{f}.bx", f"{f}.by"))
+    apart = f"abs({e}.i - {f}.i) NOT IN (1, {m} - 1)"  # neighbours share a vertex
+    reach = f"filter({acc}.live, {f} -> {f}.x1 >= {e}.x0)"
+    step = _let(reach, lambda live: f"named_struct('met', exists({live}, {f} -> {apart} AND {cross}), 'live', concat({live}, array({e})))")
+    sweep = lambda all_edges: (
+        f"aggregate({all_edges}, named_struct('met', false, 'live', slice({all_edges}, 1, 0)), "
+        f"({acc}, {e}) -> CASE WHEN {acc}.met THEN {acc} ELSE {step} END, {acc} -> {acc}.met)"
+    )
+    non_adjacent = _let(edges, sweep)
     # spike: edge q folds back onto the next edge (the closing vertex repeats r[0], so after the last edge comes r[1])
     q = _v("q")
     a, b = f"{r}[{q}]", f"{r}[{q} + 1]"
@@ -258,7 +270,8 @@ def ring_is_valid(ring: str) -> Column:
     """A closed ring makes a valid polygon.
 
     Valid means: at least 4 vertices after dropping repeats, non-zero area, no two
-    non-adjacent edges meet, and no spike (an edge folding back on its neighbour).
+    non-adjacent edges meet, and no spike (an edge folding back on its neighbour). Edges are swept from west to east,
+    so a ring of n vertices takes n log n and a comparison for each two edges that overlap in longitude.
     Callers test ``is_closed`` first; the expression is total either way, so
     evaluation order does not matter.
     """

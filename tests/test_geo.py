@@ -138,3 +138,79 @@ def test_indexed_area_tests_equal_plain_tests(spark, n_points):
         geo.line_intersects_area("g", edges).alias("plain"), geo.line_intersects_area_indexed("g", idx, area.bbox).alias("fast")
     ).collect()
     assert all(row["plain"] == row["fast"] for row in r)
+
+
+def _ring(n, r=0.01, wobble=0.2, seed=0):
+    import random
+
+    rng = random.Random(seed)
+    pts = []
+    for k in range(n):
+        a, d = 2 * math.pi * k / n, r * (1 + wobble * rng.random())
+        pts.append((10 + d * math.cos(a), 50 + d * math.sin(a)))
+    return pts + pts[:1]
+
+
+def _brute_valid(ring):
+    """All pairs of edges, exactly."""
+    from fractions import Fraction as Q
+
+    r = [(Q(x), Q(y)) for x, y in ring]
+    r = [p for k, p in enumerate(r) if k == 0 or p != r[k - 1]]
+    if len(r) < 4:
+        return False
+    m = len(r) - 1
+    turn = lambda p, q, s: (q[0] - p[0]) * (s[1] - p[1]) - (q[1] - p[1]) * (s[0] - p[0])
+    sign = lambda v: (v > 0) - (v < 0)
+    if sum(r[k][0] * r[k + 1][1] - r[k + 1][0] * r[k][1] for k in range(m)) == 0:
+        return False
+    for i in range(m):
+        a, b, c = r[i], r[i + 1], r[i + 2 if i + 2 <= m else 1]
+        if turn(a, b, c) == 0 and (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1]) < 0:
+            return False
+        for j in range(i + 2, m):
+            if i == 0 and j == m - 1:
+                continue
+            p, q, s, t = r[i], r[i + 1], r[j], r[j + 1]
+            boxes = all(max(p[k], q[k]) >= min(s[k], t[k]) and max(s[k], t[k]) >= min(p[k], q[k]) for k in (0, 1))
+            if boxes and sign(turn(p, q, s)) * sign(turn(p, q, t)) <= 0 and sign(turn(s, t, p)) * sign(turn(s, t, q)) <= 0:
+                return False
+    return True
+
+
+def test_validity_sweep_equals_all_pairs(spark):
+    """Rings on a small lattice (touching, crossing, spikes, repeats, vertical edges) and large smooth ones."""
+    import random
+
+    rng = random.Random(5)
+    rings = []
+    for _ in range(300):
+        n = rng.randint(3, 9)
+        pts = [(float(rng.randint(0, 4)), float(rng.randint(0, 4))) for _ in range(n)]
+        rings.append(pts + pts[:1])
+    rings += [_ring(n, seed=n) for n in (3, 4, 40, 200)]
+    rings += [r[:50] + [r[120], r[51]] + r[52:] for r in (_ring(200, seed=9),)]
+    df = spark.createDataFrame([(k, [{"lon": x, "lat": y} for x, y in r]) for k, r in enumerate(rings)], "k int, g array<struct<lon:double,lat:double>>")
+    got = {r.k: r.v for r in df.select("k", geo.ring_is_valid("g").alias("v")).collect()}
+    want = {k: _brute_valid(r) for k, r in enumerate(rings)}
+    assert got == want and 20 < sum(want.values()) < 280
+
+
+def test_validity_of_long_rings_is_not_quadratic(spark):
+    """A ring of 2,000 vertices takes no more than twice the time of ten rings of 200."""
+    import time
+
+    def seconds(n, copies):
+        rows = [(k, [{"lon": x, "lat": y} for x, y in _ring(n, wobble=8 / n, seed=k)]) for k in range(copies)]
+        df = spark.createDataFrame(rows, "k int, g array<struct<lon:double,lat:double>>").coalesce(1).cache()
+        df.count()
+        best = 1e9
+        for _ in range(4):
+            t = time.perf_counter()
+            assert all(r.v for r in df.select(geo.ring_is_valid("g").alias("v")).collect())
+            best = min(best, time.perf_counter() - t)
+        df.unpersist()
+        return best
+
+    few, many = seconds(2000, 10), seconds(200, 100)
+    assert few <= 2 * many, (few, many)
