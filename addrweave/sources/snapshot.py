@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from addrweave.functions.tags import tags_or_empty
@@ -49,18 +49,42 @@ def read_snapshot(spark: SparkSession, path: str) -> Snapshot:
     )
 
 
-def write_snapshot(snapshot: Snapshot, path: str, mode: str = "overwrite") -> None:
+def curve_key(lon: Column, lat: Column) -> Column:
+    """Place on a space-filling (Z-order) curve of cells of about 0.3 km: bits of both coordinates, interleaved."""
+
+    def spread(c: Column, low: float, width: float) -> Column:
+        x = F.least(F.greatest(F.floor((c - low) / width * 65536), F.lit(0)), F.lit(65535)).cast("bigint")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+        return x
+
+    return spread(lon, -180.0, 360.0).bitwiseOR(F.shiftleft(spread(lat, -90.0, 180.0), 1))
+
+
+def write_snapshot(snapshot: Snapshot, path: str, mode: str = "overwrite", clustered: bool = True, files: int | None = None) -> None:
     """Write a snapshot as Parquet tables (the layout ``read_snapshot`` expects).
 
-    Ways get their box columns stored, so later area filters prune row groups.
+    Ways get their box columns stored. ``clustered`` deals nodes and ways out by ranges of a space-filling curve and sorts them
+    along it, so that a file and each of its row groups cover a small region, and an area's box
+    prunes all others; ``files`` sets the number of ranges (by default as many as shuffle partitions).
     """
     from addrweave.functions.geo import bbox_columns
 
     ways = snapshot.ways
     if "min_lon" not in ways.columns:
         ways = ways.select("*", *bbox_columns("linestring"))
-    snapshot.nodes.write.mode(mode).parquet(f"{path}/nodes")
-    ways.write.mode(mode).parquet(f"{path}/ways")
+
+    def along_curve(df: DataFrame, lon: Column, lat: Column) -> DataFrame:
+        if not clustered:
+            return df
+        d = df.withColumn("_curve", curve_key(lon, lat))
+        # the id deals out and orders objects of one cell
+        d = d.repartitionByRange(files, "_curve", "id") if files else d.repartitionByRange("_curve", "id")
+        return d.sortWithinPartitions("_curve", "id").drop("_curve")
+
+    middle = [(F.col(f"min_{c}") + F.col(f"max_{c}")) / 2 for c in ("lon", "lat")]
+    along_curve(snapshot.nodes, F.col("lon"), F.col("lat")).write.mode(mode).parquet(f"{path}/nodes")
+    along_curve(ways, *middle).write.mode(mode).parquet(f"{path}/ways")
     snapshot.relations.write.mode(mode).parquet(f"{path}/relations")
     snapshot.relation_members.write.mode(mode).parquet(f"{path}/relation_members")
 

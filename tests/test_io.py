@@ -102,3 +102,54 @@ def test_local_table_of_a_merge_holds_what_can_match(spark):
     assert sorted(few.multipolygons.select(lines).collect()) == sorted(full.multipolygons.where(F.expr("tags['building'] IS NOT NULL OR tags['addr:housenumber'] IS NOT NULL")).select(lines).collect())
     plan = few.all._jdf.queryExecution().executedPlan().toString()
     assert f"{d}/ways" not in plan and "local_ways" in written
+
+
+def test_snapshot_follows_a_curve(spark, tmp_path):
+    """An area's box leaves out most files and row groups of a clustered snapshot, and nearly none of one that is not."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from addrweave.sources.snapshot import Snapshot
+
+    n = 40_000
+    d = spark.range(n).select("id", F.lit(1).alias("version"), F.expr("map('a', 'b')").alias("tags"), (F.rand(1) * 20 - 10).alias("lon"), (F.rand(2) * 20 + 40).alias("lat"))
+    ways = d.select("id", "version", "tags", F.array("id").alias("nodes"), F.expr("array(named_struct('lon', lon, 'lat', lat), named_struct('lon', lon + 0.01, 'lat', lat))").alias("linestring"))
+    fx = load_fixtures(spark, SF).snapshot
+    snap = Snapshot(d, ways, fx.relations, fx.relation_members)
+    box = (1.0, 45.0, 2.0, 46.0)
+
+    def read_share(path, names):
+        """Share of rows in row groups whose statistics overlap the box."""
+        read = total = 0
+        for f in glob.glob(f"{path}/*.parquet"):
+            meta = pq.read_metadata(f)
+            for g in range(meta.num_row_groups):
+                cols = {meta.row_group(g).column(c).path_in_schema: meta.row_group(g).column(c).statistics for c in range(meta.num_columns)}
+                x0, y0, x1, y1 = names
+                hit = cols[x1].max >= box[0] and cols[x0].min <= box[2] and cols[y1].max >= box[1] and cols[y0].min <= box[3]
+                read, total = read + hit * meta.row_group(g).num_rows, total + meta.row_group(g).num_rows
+        return read / total
+
+    for clustered in (True, False):
+        path = str(tmp_path / f"snap{clustered}")
+        write_snapshot(snap, path, clustered=clustered, files=64)
+        shares = read_share(f"{path}/nodes", ("lon", "lat", "lon", "lat")), read_share(f"{path}/ways", ("min_lon", "min_lat", "max_lon", "max_lat"))
+        assert max(shares) < 0.1 if clustered else min(shares) > 0.9, shares
+        back = read_snapshot(spark, path)
+        assert back.nodes.count() == back.ways.count() == n
+        assert sorted(back.nodes.where("id % 1000 = 7").collect()) == sorted(snap.nodes.where("id % 1000 = 7").select(back.nodes.columns).collect())
+
+
+def test_curve_key(spark):
+    """Interleaved bits of both coordinates; values beyond the ends stay in the last cells."""
+    from addrweave.sources.snapshot import curve_key
+
+    pts = [(-180.0, -90.0), (180.0, 90.0), (10.0, 50.0), (-200.0, 95.0), (0.0, 0.0)]
+    got = [r[0] for r in spark.createDataFrame(pts, "lon double, lat double").coalesce(1).select(curve_key(F.col("lon"), F.col("lat"))).collect()]
+
+    def plain(lon, lat):
+        x, y = (min(max(int((v - lo) / w * 65536 // 1), 0), 65535) for v, lo, w in ((lon, -180, 360), (lat, -90, 180)))
+        return sum(((x >> b) & 1) << (2 * b) | ((y >> b) & 1) << (2 * b + 1) for b in range(16))
+
+    assert got == [plain(*p) for p in pts]
