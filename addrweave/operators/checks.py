@@ -63,6 +63,26 @@ def check_change_sets(changes) -> DataFrame:
     return out.unionByName(check_changes(changes.ways, "ways")).unionByName(check_changes(changes.relations, "relations"))
 
 
+def check_matches(matches: DataFrame) -> DataFrame:
+    """The same rules on resolved matches, whose rows become the change tables: one pass over ids and versions."""
+    table = F.when(F.col("type") == "N", "nodes").when(F.col("type") == "W", "ways").otherwise("relations")
+    raised = F.when(F.col("type") == "M", 1).otherwise(0)
+    bad_version = F.col("version").isNull() | (F.col("version") + raised < 1)
+    d = matches.groupBy("type", "id").agg(F.count(F.lit(1)).alias("n"), F.max(bad_version).alias("bad_version"))
+    reasons = F.array(
+        F.when(F.col("n") > 1, F.lit("duplicate id")),
+        F.when(F.col("id").isNull() | (F.col("id") <= 0), F.lit("id not positive")),
+        F.when(F.col("bad_version"), F.lit("version below 1")),
+    )
+    return d.select(table.alias("table"), F.col("id").cast("bigint").alias("key"), F.explode(F.array_compact(reasons)).alias("reason"))
+
+
+def is_broken(df: DataFrame, key: list[str], cond) -> bool:
+    """Whether a key repeats or a row meets ``cond``: one small job."""
+    d = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max(cond).alias("bad"))
+    return not d.where((F.col("n") > 1) | F.col("bad")).isEmpty()
+
+
 def assert_valid(violations: DataFrame) -> None:
     """Strict mode: one small action; raise with a few examples if anything is wrong."""
     bad = violations.limit(5).collect()

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from addrweave.functions.geo import bbox_columns, line_intersects_area_indexed, point, point_in_area_indexed
 from addrweave.functions.tags import HOUSENUMBER, address_columns, has_tag, tag
+from addrweave.operators.spatial_join import BOX, FEW_IDS
+from addrweave.session import side_by_side
 from addrweave.sources.area import Area, build_area_index
 from addrweave.sources.snapshot import Snapshot
 
@@ -43,23 +45,18 @@ def local_nodes(nodes: DataFrame, area: Area) -> DataFrame:
     )
 
 
-def local_ways(ways: DataFrame, area: Area) -> DataFrame:
-    """Ways touching the area: box overlap first, then vertex-inside or edge-crossing."""
+def _clipped(ways: DataFrame, area: Area) -> DataFrame:
+    """Rows of ways that touch the area: box overlap first, then vertex-inside or edge-crossing."""
     x0, y0, x1, y1 = area.bbox
     idx = build_area_index(area)
-    if "min_lon" in ways.columns:  # stored boxes push down to the scan
-        w = ways
-    else:
-        w = ways.select("*", *bbox_columns("linestring"))
-    return (
-        w.where(
-            (F.col("max_lon") >= x0) & (F.col("min_lon") <= x1) & (F.col("max_lat") >= y0) & (F.col("min_lat") <= y1)
-        )
-        .where(line_intersects_area_indexed("linestring", idx, area.bbox))
-        .select(
-            "id", "version", "tags", F.col("linestring").alias("geom"), "nodes", "min_lon", "min_lat", "max_lon", "max_lat"
-        )
-    )
+    w = ways if "min_lon" in ways.columns else ways.select("*", *bbox_columns("linestring"))  # stored boxes push down to the scan
+    overlap = (F.col("max_lon") >= x0) & (F.col("min_lon") <= x1) & (F.col("max_lat") >= y0) & (F.col("min_lat") <= y1)
+    return w.where(overlap).where(line_intersects_area_indexed("linestring", idx, area.bbox))
+
+
+def local_ways(ways: DataFrame, area: Area) -> DataFrame:
+    """Ways touching the area."""
+    return _clipped(ways, area).select("id", "version", "tags", F.col("linestring").alias("geom"), "nodes", *BOX)
 
 
 def _can_match() -> Column:
@@ -104,12 +101,50 @@ def multipolygon_lines(lways: DataFrame, relations: DataFrame, members: DataFram
     return lines.select("id", "version", "tags", "geom", *bbox_columns("geom"), "n_ways")
 
 
-def _needed_ways(lways: DataFrame, relations: DataFrame, members: DataFrame) -> DataFrame:
-    """Clipped ways that can match, or that a multipolygon that can match is made of."""
+def _part_ids(relations: DataFrame, members: DataFrame) -> DataFrame:
+    """Ids of the member ways of multipolygons that can match."""
     mp = relations.where((tag("tags", "type") == "multipolygon") & _can_match()).select(F.col("id").alias("relation_id"))
-    parts = members.where(F.col("member_type") == "W").join(mp, "relation_id", "left_semi").select(F.col("member_id").alias("id")).distinct()
-    d = lways.join(parts.withColumn("is_part", F.lit(True)), "id", "left")
-    return d.where(_can_match() | F.col("is_part")).select(lways.columns)
+    return members.where(F.col("member_type") == "W").join(mp, "relation_id", "left_semi").select(F.col("member_id").alias("id")).distinct()
+
+
+def _split_ways(
+    ways: DataFrame, area: Area, part_ids: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Clipped ways that can match (as local features), and those that a multipolygon that can match is made of (a way may be
+    both): ``id, geom``.
+
+    Ways that match are found by one scan and meet no join at all. Member ids that are written and counted small go to that
+    scan, which then finds the parts as well; else parts are looked for by a scan of their own, where ids meet before
+    the clip, and only ids and geometry are shuffled.
+    """
+    if keep is not None:
+        part_ids = keep(part_ids, "part_ids")
+        if part_ids.count() <= FEW_IDS:
+            d = local_ways(ways, area).join(F.broadcast(part_ids.withColumn("is_part", F.lit(True))), "id", "left")
+            d = keep(way_features(d.where(_can_match() | F.col("is_part")), "is_part"), "local_ways")
+            return d.where(_can_match()).drop("is_part"), d.where("is_part").select("id", "geom")
+    box = [c for c in BOX if c in ways.columns]
+    slim = ways.select("id", "linestring", *box).join(part_ids, "id", "left_semi")
+    return way_features(local_ways(ways, area).where(_can_match())), _clipped(slim, area).select("id", F.col("linestring").alias("geom"))
+
+
+def _none(kind: str, name: str) -> Column:
+    return F.lit(None).cast(kind).alias(name)
+
+
+def node_features(ln: DataFrame) -> DataFrame:
+    box = [F.col(c).alias(f"{end}_{c}") for end in ("min", "max") for c in ("lon", "lat")]
+    return ln.select(F.lit("N").alias("type"), "id", "version", "tags", "geom", _none("array<bigint>", "way_nodes"), *address_columns("tags"), *box, _none("bigint", "n_ways"))
+
+
+def way_features(lw: DataFrame, *more: str) -> DataFrame:
+    nodes = F.col("nodes").alias("way_nodes")
+    return lw.select(F.lit("W").alias("type"), "id", "version", "tags", "geom", nodes, *address_columns("tags"), *BOX, _none("bigint", "n_ways"), *more)
+
+
+def multipolygon_features(mps: DataFrame) -> DataFrame:
+    n_ways = F.col("n_ways").cast("bigint").alias("n_ways")
+    return mps.select(F.lit("M").alias("type"), "id", "version", "tags", "geom", _none("array<bigint>", "way_nodes"), *address_columns("tags"), *BOX, n_ways)
 
 
 def local_features(
@@ -118,42 +153,23 @@ def local_features(
     """``type, id, tags, geom, hn, street, city`` and box columns for N, W and M features.
 
     ``matchable`` leaves out objects that no pass of the merge looks at (nearly all nodes of a snapshot carry neither
-    a number nor a building tag). ``keep(df, name)``, if given, writes the clipped ways, which are read
-    twice: as features and as parts of multipolygons.
+    a number nor a building tag). ``keep(df, name)``, if given, writes the features of each type (and the ids of
+    multipolygons' parts), nodes beside ways; ways are read twice: as features and as parts of multipolygons.
     """
-    ln = local_nodes(snapshot.nodes, area)
-    lw = local_ways(snapshot.ways, area)
-    if matchable:
-        ln = ln.where(_can_match())
-        lw = _needed_ways(lw, snapshot.relations, snapshot.relation_members)
-    if keep is not None:
-        lw = keep(lw, "local_ways")
-    mps = multipolygon_lines(lw, snapshot.relations, snapshot.relation_members, matchable)
-    if matchable:
-        lw = lw.where(_can_match())
-    no_nodes = F.lit(None).cast("array<bigint>").alias("way_nodes")
-    no_count = F.lit(None).cast("bigint").alias("n_ways")  # member ways of a multipolygon line
-    n = ln.select(
-        F.lit("N").alias("type"),
-        "id",
-        "version",
-        "tags",
-        "geom",
-        no_nodes,
-        *address_columns("tags"),
-        F.col("lon").alias("min_lon"),
-        F.col("lat").alias("min_lat"),
-        F.col("lon").alias("max_lon"),
-        F.col("lat").alias("max_lat"),
-        no_count,
-    )
-    box = ["min_lon", "min_lat", "max_lon", "max_lat"]
-    w = lw.select(
-        F.lit("W").alias("type"), "id", "version", "tags", "geom", F.col("nodes").alias("way_nodes"), *address_columns("tags"),
-        *box, no_count,
-    )
-    m = mps.select(
-        F.lit("M").alias("type"), "id", "version", "tags", "geom", no_nodes, *address_columns("tags"), *box,
-        F.col("n_ways").cast("bigint").alias("n_ways"),
-    )
-    return Local(nodes=ln, ways=lw, multipolygons=mps, all=n.unionByName(w).unionByName(m))
+
+    def nodes() -> DataFrame:
+        ln = local_nodes(snapshot.nodes, area)
+        n = node_features(ln.where(_can_match()) if matchable else ln)
+        return keep(n, "local_nodes") if keep is not None else n
+
+    def ways() -> tuple[DataFrame, DataFrame]:
+        if matchable:
+            w, parts = _split_ways(snapshot.ways, area, _part_ids(snapshot.relations, snapshot.relation_members), keep)
+        else:
+            w = way_features(local_ways(snapshot.ways, area))
+            w = parts = keep(w, "local_ways") if keep is not None else w
+        m = multipolygon_features(multipolygon_lines(parts, snapshot.relations, snapshot.relation_members, matchable))
+        return w, keep(m, "local_multipolygons") if keep is not None else m
+
+    n, (w, m) = side_by_side(nodes, ways) if keep is not None else (nodes(), ways())
+    return Local(nodes=n, ways=w, multipolygons=m, all=n.unionByName(w).unionByName(m))

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from addrweave.functions.geo import dist_point_line, dist_point_polygon, is_closed, ring_is_valid
 from addrweave.functions.tags import address_columns, has_tag, merge_tags
-from addrweave.operators.spatial_join import within_pairs
+from addrweave.operators.nearest import in_cells, nearest_in_piles, piles
+from addrweave.operators.spatial_join import box_pairs, named_by, within_by_id, within_pairs
+from addrweave.session import write_read
 
 AS_CODED = "as_coded"
 INTENDED = "intended"
@@ -22,6 +24,7 @@ INTENDED = "intended"
 # A match carries what its change row needs (version, way node list, node position),
 # taken from the local feature, so no base-table lookup is needed later.
 MATCH_COLUMNS = ["import_id", "type", "id", "dist", "tags", "version", "way_nodes", "f_lon", "f_lat", "pass"]
+PICK_COLUMNS = ["import_id", "type", "id", "dist", "pass"]  # of a match before its tags and payload are joined
 _PAYLOAD = ["version", "way_nodes", "f_lon", "f_lat"]
 
 
@@ -101,7 +104,7 @@ def _addressed(local_all: DataFrame, imports: DataFrame, semantics: str) -> Data
 _ADDRESS_KEYS = [("i_hn", "l_hn"), ("i_street", "l_street")]
 
 
-def _with_tags(matches: DataFrame, imports: DataFrame, local_all: DataFrame) -> DataFrame:
+def with_payload(matches: DataFrame, imports: DataFrame, local_all: DataFrame) -> DataFrame:
     """Matches (import_id, type, id, ...) with the merged tags (F1) and what a change row needs, joined back by id:
     no tag map or node list travels through the spatial joins and the picks."""
     objects = local_all.select(
@@ -126,25 +129,50 @@ def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semant
     """
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).drop("i_tags")
     pairs = within_pairs(pts, _addressed(local_all, imports, semantics), metres, dist_point_line, keys=_ADDRESS_KEYS)
-    return _with_tags(pairs.select("import_id", "type", "id", "dist"), imports, local_all)
+    return with_payload(pairs.select("import_id", "type", "id", "dist"), imports, local_all)
 
 
-def nocity_matches(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
-    """C3 with D3: per import and object type, the nearest match (then lowest id).
+def nocity_matches(
+    imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """C3 with D3: per import and object type, the nearest match (then lowest id), with its tags and payload."""
+    picked = nocity_picks(imports, local_all, metres, semantics, keep)
+    return with_payload(picked, imports, local_all).select(*MATCH_COLUMNS)
+
+
+def nocity_picks(
+    imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
+    """The picks of C3 as ids and distances: ``PICK_COLUMNS``.
 
     The pick depends on an import's position and address only, and among objects of one type, address and
     geometry only the lowest id can be picked: equal ones are one row on either side of the spatial join, so a
-    pile of copies does not meet another pile copy by copy.
+    pile of copies does not meet another pile copy by copy. Positions of one address that crowd a cell (a small job looks for
+    them) find their nearest objects box by box instead of pairwise; ``keep(df, name)`` writes tables of that.
     """
     spot = ["i_hn", "i_street", "p_lon", "p_lat"]
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).select("import_id", *spot)
     box = ["min_lon", "min_lat", "max_lon", "max_lat"]
     feats = _addressed(local_all, imports, semantics).groupBy("type", "l_hn", "l_street", "geom", *box).agg(F.min("id").alias("id"))
-    pairs = within_pairs(pts.select(*spot).distinct(), feats, metres, dist_point_line, keys=_ADDRESS_KEYS)
-    best = pairs.groupBy(*spot, "type").agg(F.min(F.struct("dist", "id")).alias("best"))
-    picked = pts.join(best, spot).select("import_id", "type", "best.id", "best.dist")
-    out = _with_tags(picked, imports, local_all)
-    return out.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
+    spots = pts.select(*spot).distinct()
+    crowds = piles(spots, metres)
+    if crowds.isEmpty():
+        best = _nearest(spots, feats, metres, keep is not None)
+    else:
+        keep = keep or write_read
+        crowds = keep(crowds, "piles")
+        cells = in_cells(spots, metres)
+        on = ["i_hn", "i_street", "cx", "cy"]
+        best = _nearest(cells.join(crowds, on, "left_anti").select(*spot), feats, metres, True)
+        crowded = keep(cells.join(crowds, on, "left_semi").select(*spot), "crowded")
+        best = best.unionByName(nearest_in_piles(crowded, feats, metres, keep))
+    return pts.join(best, spot).select("import_id", "type", "id", "dist", F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
+
+
+def _nearest(spots: DataFrame, feats: DataFrame, metres: float, written: bool) -> DataFrame:
+    pairs = within_pairs(spots, feats, metres, dist_point_line, keys=_ADDRESS_KEYS, levels_in_use=written)
+    best = pairs.groupBy(*spots.columns, "type").agg(F.min(F.struct("dist", "id")).alias("best"))
+    return best.select(*spots.columns, "type", "best.dist", "best.id")
 
 
 # --------------------------------------------------------------------------- C4: buildings
@@ -188,14 +216,23 @@ def _address_spots(local_all: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(pool: DataFrame, local_all: DataFrame, buffer: float) -> tuple[DataFrame, DataFrame]:
+def _candidates(
+    pool: DataFrame, local_all: DataFrame, buffer: float, keep: Callable[[DataFrame, str], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(position of imports, building) pairs within ``buffer``, and the valid buildings (P9) among them with their
-    geometry. Only buildings that share a grid cell with an import reach the distance, and only those it
-    finds reach the validity test."""
-    blds = _building_keys(local_all)
-    near = within_pairs(_import_spots(pool), blds, buffer, _to_polygon).select("p_lon", "p_lat", "cnt", "pid", "b_type", "b_id", "dist")
-    found = blds.join(near.select("b_type", "b_id").distinct(), ["b_type", "b_id"], "left_semi").where(ring_is_valid("geom"))
-    return near, found
+    geometry. With ``keep``, ids and boxes alone meet in the grid cells, and geometry is fetched for the buildings whose
+    box an import touches; without it (tables would be planned again for each use) geometry goes along. Only
+    buildings within the distance reach the validity test."""
+    blds, ids = _building_keys(local_all), ["b_type", "b_id"]
+    columns = ["p_lon", "p_lat", "cnt", "pid", *ids, "dist"]
+    if keep is None:
+        near = within_pairs(_import_spots(pool), blds, buffer, _to_polygon).select(*columns)
+        return near, blds.join(near.select(*ids).distinct(), ids, "left_semi").where(ring_is_valid("geom"))
+    near = keep(box_pairs(_import_spots(pool), blds, ids, buffer, levels_in_use=True), "building_boxes")
+    shapes = keep(named_by(blds, near, ids), "building_shapes")
+    near = keep(within_by_id(near, shapes, ids, buffer, _to_polygon).select(*columns), "building_near")
+    found = shapes.join(near.select(*ids).distinct(), ids, "left_semi").where(ring_is_valid("geom"))
+    return near, keep(found, "building_found")
 
 
 def building_candidates(pool: DataFrame, local_all: DataFrame, buffer: float) -> DataFrame:
@@ -225,7 +262,19 @@ def building_matches(
     semantics: str = AS_CODED,
     keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """(import, building) pairs that survive all filters, before D3.
+    """J7-J10 (see ``building_hits``) with merged tags and payload."""
+    return with_payload(building_hits(pool, local_all, buffer, metres, semantics, keep), pool, local_all)
+
+
+def building_hits(
+    pool: DataFrame,
+    local_all: DataFrame,
+    buffer: float,
+    metres: float,
+    semantics: str = AS_CODED,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """``import_id, type, id, dist`` of (import, building) pairs that survive all filters, before D3.
 
     J7: the buffered import touches a valid building polygon.
     J8: no other import of the pool lies within ``metres`` of the building.
@@ -237,14 +286,12 @@ def building_matches(
     J7 comes first, so the work follows the imports: only its buildings meet other imports and address
     nodes. Copies of imports (and of address nodes) at one position are one row with a count. "No other within N" is decided from counts and
     lowest ids per building (partial aggregates), not by pairing neighbours.
-    ``keep(df, name)``, if given, writes the two J7 tables, which are read several times.
+    ``keep(df, name)``, if given, writes the tables of J7 and J10, which are read several times.
     """
     _check_semantics(semantics)
-    near, found = _candidates(pool, local_all, buffer)
-    if keep is not None:
-        near, found = keep(near, "building_near"), keep(found, "building_found")
+    near, found = _candidates(pool, local_all, buffer, keep)
     spots = _import_spots(pool).withColumn("kind", F.lit("I")).unionByName(_address_spots(local_all).withColumn("kind", F.lit("A")))
-    around = within_pairs(spots, found, metres, _to_polygon)
+    around = within_pairs(spots, found, metres, _to_polygon, levels_in_use=keep is not None)
 
     def figures(kind: str, n: str, least: str) -> list[Column]:
         of = F.col("kind") == kind
@@ -264,22 +311,30 @@ def building_matches(
     spot = pool.select("import_id", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
     m = spot.join(m, ["p_lon", "p_lat"]).select("import_id", "type", "id", "dist", "p_lon", "p_lat")
     if semantics == INTENDED:
-        m = _without_nearby_areas(m, local_all, metres)
-    return _with_tags(m.drop("p_lon", "p_lat"), pool, local_all)
+        m = _without_nearby_areas(m, local_all, metres, keep)
+    return m.drop("p_lon", "p_lat")
 
 
-def _without_nearby_areas(m: DataFrame, local_all: DataFrame, metres: float) -> DataFrame:
-    """Drop matches whose import point has another building/addressed area within ``metres``."""
+def _without_nearby_areas(m: DataFrame, local_all: DataFrame, metres: float, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Drop matches whose import point has another building/addressed area within ``metres``. As in J7, with ``keep``
+    ids and boxes meet first, and geometry is fetched for the areas that a match's box test leaves."""
     areas = _area_features(local_all).select(
         F.col("type").alias("a_type"), F.col("id").alias("a_id"), F.col("geom").alias("a_geom"), *_BOX
     )
-    near = within_pairs(m.select("import_id", "type", "id", "p_lon", "p_lat"), areas, metres, dist_point_line, geom="a_geom")
-    other = near.where((F.col("a_type") != F.col("type")) | (F.col("a_id") != F.col("id")))
-    return m.join(other.select("import_id", "type", "id").distinct(), ["import_id", "type", "id"], "left_anti")
+    ids, hit = ["a_type", "a_id"], ["import_id", "type", "id"]
+    itself = (F.col("a_type") == F.col("type")) & (F.col("a_id") == F.col("id"))
+    if keep is None:
+        other = within_pairs(m.select(*hit, "p_lon", "p_lat"), areas, metres, dist_point_line, geom="a_geom").where(~itself)
+    else:
+        m = keep(m, "area_hits")
+        near = keep(box_pairs(m.select(*hit, "p_lon", "p_lat"), areas, ids, metres, levels_in_use=True).where(~itself), "area_boxes")
+        shapes = named_by(areas.select(*ids, "a_geom"), near, ids)
+        other = within_by_id(near, shapes, ids, metres, dist_point_line, geom="a_geom")
+    return m.join(other.select(*hit).distinct(), hit, "left_anti")
 
 
 def building_assignments(matches: DataFrame, semantics: str = AS_CODED) -> DataFrame:
-    """J11 with D3: per import one building (nearest, then lowest id).
+    """J11 with D3: per import one building (nearest, then lowest id), as ``PICK_COLUMNS``.
 
     As coded only ways are used (Q6: multipolygon matches are dropped);
     ``intended`` also emits multipolygons, one per import and type.
@@ -287,8 +342,8 @@ def building_assignments(matches: DataFrame, semantics: str = AS_CODED) -> DataF
     _check_semantics(semantics)
     if semantics == AS_CODED:
         matches = matches.where(F.col("type") == "W")
-    picked = one_per_group(matches, ["import_id", "type"], ["dist", "id"])
-    return picked.select(*MATCH_COLUMNS[:-1], F.concat(F.lit("building_"), F.col("type")).alias("pass"))
+    picked = one_per_group(matches.select("import_id", "type", "id", "dist"), ["import_id", "type"], ["dist", "id"])
+    return picked.select(*PICK_COLUMNS[:-1], F.concat(F.lit("building_"), F.col("type")).alias("pass"))
 
 
 # --------------------------------------------------------------------------- D5

@@ -3,7 +3,9 @@
 Spark has no spatial index, and a join on a distance predicate alone would plan
 as a nested-loop join. Instead:
 
-* every point gets exactly one cell per grid level: ``floor(lon/c), floor(lat/c)``;
+* every point gets exactly one cell per grid level: ``floor(lon/c), floor(lat/c)``; with ``levels_in_use`` (for features
+  that are written: their boxes are read twice) only for levels that some feature has, found by one small aggregate
+  that is evaluated with the join;
 * every feature picks the finest level at which its bounding box, expanded by
   the search distance, covers at most ``max_cells`` cells, and is exploded to
   those cells;
@@ -26,6 +28,9 @@ from pyspark.sql import functions as F
 from addrweave.functions.geo import M_PER_DEG, metres_to_lat_degrees, sql_lon_expand_degrees
 
 
+BOX = ("min_lon", "min_lat", "max_lon", "max_lat")
+
+
 @dataclass(frozen=True)
 class Grid:
     """Grid parameters for a search radius of ``metres``."""
@@ -39,6 +44,9 @@ class Grid:
         return self.cell_deg * LEVELS[level]
 
 
+#: Ids (about 16 bytes each) that are sent to all tasks.
+FEW_IDS = 1_000_000
+
 # cells of a level, in base cells of at least 20 m: houses, blocks, regions (about 80 km), and half the earth, where
 # no feature has more than ``max_cells``
 LEVELS = (1, 16, 4096, 1 << 20)
@@ -51,83 +59,78 @@ def grid_for(metres: float, levels: int = len(LEVELS), max_cells: int = 16) -> G
     return Grid(metres=metres, cell_deg=cell_m / M_PER_DEG, levels=levels, max_cells=max_cells)
 
 
-def point_cells(points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p_lat", prefix: str = "") -> DataFrame:
-    """One row per point and level with columns ``{prefix}lvl, {prefix}cx, {prefix}cy``."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("lvl"),
-                F.floor(F.col(lon) / F.lit(grid.size(level))).alias("cx"),
-                F.floor(F.col(lat) / F.lit(grid.size(level))).alias("cy"),
-            )
-            for level in range(grid.levels)
-        ]
-    )
+def point_cells(
+    points: DataFrame, grid: Grid, lon: str = "p_lon", lat: str = "p_lat", prefix: str = "", levels: Column | None = None
+) -> DataFrame:
+    """One row per point and level with columns ``{prefix}lvl, {prefix}cx, {prefix}cy``; ``levels`` (an array) names
+    the levels to make, by default all."""
+    cells = [
+        f"named_struct('lvl', {k}, 'cx', floor({lon} / {grid.size(k)!r}D), 'cy', floor({lat} / {grid.size(k)!r}D))" for k in range(grid.levels)
+    ]
+    cells = f"array({', '.join(cells)})"
     cols = points.columns
-    return points.select(*cols, F.explode(cells).alias("_cell")).select(
-        *cols, *[F.col(f"_cell.{c}").alias(prefix + c) for c in ("lvl", "cx", "cy")]
+    if levels is not None:
+        points = points.withColumn("_levels", levels)
+        cells = f"filter({cells}, c -> array_contains(_levels, c.lvl))"
+    names = ", ".join(f"{prefix}{c}" for c in ("lvl", "cx", "cy"))
+    return points.select(*cols, F.expr(f"inline({cells}) AS ({names})"))
+
+
+def feature_levels(features: DataFrame, grid: Grid) -> DataFrame:
+    """Expanded box (``e_min_lon`` …) and level (``lvl``) of each feature, from its box columns
+    ``min_lon, min_lat, max_lon, max_lat``."""
+    e_lat = f"{metres_to_lat_degrees(grid.metres)!r}D"
+    e_lon = sql_lon_expand_degrees(grid.metres, "greatest(abs(min_lat), abs(max_lat))")
+    df = features.selectExpr(
+        "*",
+        f"min_lon - {e_lon} AS e_min_lon",
+        f"max_lon + {e_lon} AS e_max_lon",
+        f"min_lat - {e_lat} AS e_min_lat",
+        f"max_lat + {e_lat} AS e_max_lat",
     )
 
+    def n_cells(level: int) -> str:
+        c = f"{grid.size(level)!r}D"
+        return " * ".join(f"(floor(e_max_{v} / {c}) - floor(e_min_{v} / {c}) + 1)" for v in ("lon", "lat"))
 
-def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
-    """Expanded box (``e_min_lon`` …) and one row per covered cell (``lvl, cx, cy``).
+    whens = " ".join(f"WHEN {n_cells(k)} <= {grid.max_cells} THEN {k}" for k in range(grid.levels - 1))
+    return df.selectExpr("*", f"CASE {whens} ELSE {grid.levels - 1} END AS lvl" if whens else "0 AS lvl")
 
-    ``features`` needs ``min_lon, min_lat, max_lon, max_lat``.
-    """
-    e_lat = F.lit(metres_to_lat_degrees(grid.metres))
-    e_lon = F.expr(sql_lon_expand_degrees(grid.metres, "greatest(abs(min_lat), abs(max_lat))"))
-    df = features.select(
-        "*",
-        (F.col("min_lon") - e_lon).alias("e_min_lon"),
-        (F.col("max_lon") + e_lon).alias("e_max_lon"),
-        (F.col("min_lat") - e_lat).alias("e_min_lat"),
-        (F.col("max_lat") + e_lat).alias("e_max_lat"),
-    )
 
-    def span(level: int) -> tuple[Column, Column, Column, Column]:
-        c = F.lit(grid.size(level))
-        return (
-            F.floor(F.col("e_min_lon") / c),
-            F.floor(F.col("e_max_lon") / c),
-            F.floor(F.col("e_min_lat") / c),
-            F.floor(F.col("e_max_lat") / c),
-        )
-
-    lvl = F.lit(grid.levels - 1)
-    for level in reversed(range(grid.levels - 1)):
-        x0, x1, y0, y1 = span(level)
-        lvl = F.when((x1 - x0 + 1) * (y1 - y0 + 1) <= grid.max_cells, F.lit(level)).otherwise(lvl)
-    df = df.select("*", lvl.alias("lvl"))
+def feature_cells(features: DataFrame, grid: Grid) -> DataFrame:
+    """Expanded box, and one row per covered cell (``lvl, cx, cy``)."""
+    df = feature_levels(features, grid)
     size = "CASE lvl " + " ".join(f"WHEN {k} THEN {grid.size(k)!r}D" for k in range(grid.levels)) + " END"
     size = f"({size})"
-    cells = F.expr(
+    cells = (
         f"flatten(transform(sequence(floor(e_min_lon / {size}), floor(e_max_lon / {size})), "
         f"x -> transform(sequence(floor(e_min_lat / {size}), floor(e_max_lat / {size})), "
         f"y -> named_struct('cx', x, 'cy', y))))"
     )
-    cols = df.columns
-    return df.select(*cols, F.explode(cells).alias("_cell")).select(*cols, "_cell.cx", "_cell.cy")
+    return df.selectExpr("*", f"inline({cells}) AS (cx, cy)")
 
 
 _HELPER_COLUMNS = ("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
 
 
-_HELPER_COLUMNS = ("_p_lvl", "_p_cx", "_p_cy", "lvl", "cx", "cy", "e_min_lon", "e_max_lon", "e_min_lat", "e_max_lat")
+def points_at_levels_in_use(points: DataFrame, features: DataFrame, grid: Grid, p_lon: str = "p_lon", p_lat: str = "p_lat") -> DataFrame:
+    """A row for each point and level that some feature has (an array of a few numbers, found by one aggregate over boxes)."""
+    in_use = feature_levels(features.select(*BOX), grid).agg(F.collect_set("lvl")).scalar()
+    return point_cells(points, grid, p_lon, p_lat, prefix="_p_", levels=in_use)
 
 
-def _cell_join(points, features, metres, grid, p_lon, p_lat, keys, how, extra=None):
+def _cell_join(points, features, metres, grid, p_lon, p_lat, keys, how, extra=None, levels_in_use=False):
     grid = grid or grid_for(metres)
-    p = point_cells(points, grid, p_lon, p_lat, prefix="_p_")
+    if levels_in_use:
+        p = points_at_levels_in_use(points, features, grid, p_lon, p_lat)
+    else:
+        p = point_cells(points, grid, p_lon, p_lat, prefix="_p_")
     f = feature_cells(features, grid)
-    cond = (
-        (F.col("_p_lvl") == F.col("lvl"))
-        & (F.col("_p_cx") == F.col("cx"))
-        & (F.col("_p_cy") == F.col("cy"))
-        & F.col(p_lon).between(F.col("e_min_lon"), F.col("e_max_lon"))
-        & F.col(p_lat).between(F.col("e_min_lat"), F.col("e_max_lat"))
+    equal = [("_p_lvl", "lvl"), ("_p_cx", "cx"), ("_p_cy", "cy"), *keys]
+    cond = F.expr(
+        " AND ".join(f"{a} = {b}" for a, b in equal)
+        + f" AND {p_lon} BETWEEN e_min_lon AND e_max_lon AND {p_lat} BETWEEN e_min_lat AND e_max_lat"
     )
-    for pk, fk in keys:
-        cond = cond & (F.col(pk) == F.col(fk))
     if extra is not None:
         cond = cond & extra
     return p.join(f, cond, how)
@@ -143,20 +146,44 @@ def within_pairs(
     p_lon: str = "p_lon",
     p_lat: str = "p_lat",
     geom: str = "geom",
+    levels_in_use: bool = False,
 ) -> DataFrame:
     """All (point, feature) pairs with ``distance(p_lon, p_lat, geom) <= metres``, with column ``dist``.
 
     ``keys`` are extra equality pairs ``(point_column, feature_column)`` (e.g. house
     number and street). Column names of the two sides must not clash.
     """
-    joined = _cell_join(points, features, metres, grid, p_lon, p_lat, keys, "inner")
-    # The distance is produced by a one-element generator and filtered there: a plain
-    # filter on a projected distance would be pushed into the join condition and the
-    # (vertex-loop) distance evaluated twice per pair.
-    limit = F.lit(float(metres))
-    dist = F.explode(F.filter(F.array(distance(p_lon, p_lat, geom)), lambda d: d <= limit)).alias("dist")
-    keep = [c for c in joined.columns if c not in _HELPER_COLUMNS]
-    return joined.select(*keep, dist)
+    joined = _cell_join(points, features, metres, grid, p_lon, p_lat, keys, "inner", levels_in_use=levels_in_use)
+    return _within(joined, metres, distance(p_lon, p_lat, geom)).drop(*_HELPER_COLUMNS)
+
+
+def _within(joined: DataFrame, metres: float, distance: Column) -> DataFrame:
+    """Rows whose ``distance`` is at most ``metres``, with ``dist``.
+
+    The distance is produced by a one-element generator and filtered there: a plain filter on a projected distance would
+    be pushed into the join condition and the (vertex-loop) distance evaluated twice per pair."""
+    dist = F.explode(F.filter(F.array(distance), lambda d: d <= F.lit(float(metres)))).alias("dist")
+    return joined.select(*joined.columns, dist)
+
+
+def box_pairs(points: DataFrame, features: DataFrame, ids: Sequence[str], metres: float, levels_in_use: bool = False) -> DataFrame:
+    """Points with the ``ids`` of features whose box lies within ``metres``: no geometry goes through the cells."""
+    joined = _cell_join(points, features.select(*ids, *BOX), metres, None, "p_lon", "p_lat", (), "inner", levels_in_use=levels_in_use)
+    return joined.select(*points.columns, *ids)
+
+
+def named_by(features: DataFrame, pairs: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Features whose ``ids`` occur in ``pairs``, a written table. It is counted, and up to ``FEW_IDS`` ids are sent to the features,
+    which then need no shuffle; beyond that Spark plans the join by its own sizes."""
+    wanted = pairs.select(*ids).distinct()
+    if pairs.count() <= FEW_IDS:
+        wanted = F.broadcast(wanted)
+    return features.join(wanted, list(ids), "left_semi")
+
+
+def within_by_id(pairs: DataFrame, features: DataFrame, ids: Sequence[str], metres: float, distance: Callable[[str, str, str], Column], geom: str = "geom") -> DataFrame:
+    """Those of ``pairs`` (of points and feature ids) within ``metres``, with the features' geometry and ``dist``."""
+    return _within(pairs.join(features, list(ids)), metres, distance("p_lon", "p_lat", geom))
 
 
 def left_within(

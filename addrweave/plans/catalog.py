@@ -4,8 +4,8 @@ Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose columns match
 the DuckDB oracle in ``oracle.py``: maps are rendered as sorted ``k=v;...`` text,
 arrays as comma-joined text, distances as whole centimetres.
 
-Queries on the local table (C1) plan its operators over the snapshot; nothing runs when they are
-built. Queries on matches (C2 to C4) plan their operators over the local table and the import pool, which are
+Queries on the local table (C1) plan its operators over the snapshot; when they are built, nothing runs but the look-up of
+the greatest keys (once per session and input files), which say how far the area reaches. Queries on matches (C2 to C4) plan their operators over the local table and the import pool, which are
 written once, as in a merge. Queries on the outputs of a whole merge read the tables that the merge
 writes, as a user who reads several outputs of one run would. What is written is kept per session and input files.
 """
@@ -24,11 +24,11 @@ from addrweave.operators.changes import strip_keys
 from addrweave.operators.checks import check_change_sets, check_changes, check_imports, check_local_keys
 from addrweave.operators.local import Local, local_features, local_nodes, local_ways, multipolygon_lines
 from addrweave.plans.merge import MergeOptions, MergeResult, merge_addresses
-from addrweave.session import scratch_path
+from addrweave.session import scratch_path, write_read
 from addrweave.sinks.osm_xml import osc_rows, write_osc, write_osm
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, load_fixtures, n_blocks, wide_bounds
-from addrweave.sources.osm_xml import read_osm_nodes
+from addrweave.sources.fixtures import BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, Fixtures, holed_bounds, load_fixtures, n_blocks, wide_bounds
+from addrweave.sources.osm_xml import read_osm_nodes, read_osm_nodes_report
 from addrweave.sources.snapshot import Snapshot, read_snapshot, write_snapshot
 from addrweave.sources.striplist import read_strip_list
 
@@ -52,33 +52,45 @@ class Context:
 
 _CONTEXTS: dict[tuple, Context] = {}
 _MERGES: dict[tuple, MergeResult] = {}
-
-
-def _write_read(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+_BLOCKS: dict[tuple, int] = {}
+_FIXTURES: dict[tuple, Fixtures] = {}
 
 
 def bounds_of(spark: SparkSession, sf_dir: str) -> str:
     """The area used by every registered query: it reaches as far as the tables' keys."""
-    return wide_bounds(n_blocks(spark, sf_dir))
+    return wide_bounds(blocks_of(spark, sf_dir))
+
+
+def blocks_of(spark: SparkSession, sf_dir: str) -> int:
+    """Blocks of the fixture lattice that the keys reach, looked up once per session and input files."""
+    key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir))
+    if key not in _BLOCKS:
+        _BLOCKS[key] = n_blocks(spark, sf_dir)
+    return _BLOCKS[key]
+
+
+def fixtures_of(spark: SparkSession, sf_dir: str) -> Fixtures:
+    """The fixture tables, planned once per session and input files."""
+    key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir))
+    if key not in _FIXTURES:
+        _FIXTURES[key] = load_fixtures(spark, sf_dir)
+    return _FIXTURES[key]
 
 
 def local_table(spark: SparkSession, sf_dir: str, bounds: str | None = None) -> DataFrame:
     """U1 over the fixture snapshot, not run yet."""
-    return local_features(load_fixtures(spark, sf_dir).snapshot, parse_wkt_area(bounds or bounds_of(spark, sf_dir))).all
+    return local_features(fixtures_of(spark, sf_dir).snapshot, parse_wkt_area(bounds or bounds_of(spark, sf_dir))).all
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
     """Imports, local features and the import pool, written once per session and input files."""
     key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir))
     if key not in _CONTEXTS:
-        fx = load_fixtures(spark, sf_dir)
-        imports = _write_read(fx.imports, "fx_imports")
+        fx = fixtures_of(spark, sf_dir)
+        imports = write_read(fx.imports, "fx_imports")
         local = local_features(fx.snapshot, parse_wkt_area(bounds_of(spark, sf_dir)))
-        local_all = _write_read(local.all, "local_all")
-        pool = _write_read(M.remaining_after_duplicates(imports, local_all), "import_pool")
+        local_all = write_read(local.all, "local_all")
+        pool = write_read(M.remaining_after_duplicates(imports, local_all), "import_pool")
         _CONTEXTS[key] = Context(imports, fx.snapshot, local, local_all, pool)
     return _CONTEXTS[key]
 
@@ -94,7 +106,7 @@ def _merge(spark: SparkSession, sf_dir: str, conflicts: str = "nearest", semanti
     """The whole merge, run once per session, input files and options."""
     key = (spark.sparkContext.applicationId, _input_state(spark, sf_dir), conflicts, semantics)
     if key not in _MERGES:
-        fx = load_fixtures(spark, sf_dir)
+        fx = fixtures_of(spark, sf_dir)
         opt = MergeOptions(
             buffer=BUFFER, nocity=NOCITY, building=BUILDING, strip_keys=SAMPLE_STRIP_KEYS, conflicts=conflicts, semantics=semantics
         )
@@ -114,17 +126,17 @@ def _csv(c: str) -> Column:
 
 
 def q_local_nodes(spark, sf_dir):
-    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, parse_wkt_area(bounds_of(spark, sf_dir)))
+    ln = local_nodes(fixtures_of(spark, sf_dir).snapshot.nodes, parse_wkt_area(bounds_of(spark, sf_dir)))
     return ln.select("id", tags_text("tags").alias("tags_text"), "lon", "lat")
 
 
 def q_local_ways(spark, sf_dir):
-    lw = local_ways(load_fixtures(spark, sf_dir).snapshot.ways, parse_wkt_area(bounds_of(spark, sf_dir)))
+    lw = local_ways(fixtures_of(spark, sf_dir).snapshot.ways, parse_wkt_area(bounds_of(spark, sf_dir)))
     return lw.select("id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
 
 def q_multipolygon_lines(spark, sf_dir):
-    snap = load_fixtures(spark, sf_dir).snapshot
+    snap = fixtures_of(spark, sf_dir).snapshot
     mps = multipolygon_lines(local_ways(snap.ways, parse_wkt_area(bounds_of(spark, sf_dir))), snap.relations, snap.relation_members)
     return mps.select(
         "id",
@@ -144,15 +156,16 @@ def q_local_features(spark, sf_dir):
 
 
 def q_local_features_holed(spark, sf_dir):
-    """P1, P2 on a concave area with a hole: slanted edges, lines that cross it without a vertex inside."""
-    la = local_table(spark, sf_dir, BOUNDS_HOLED).where(F.col("type") != "M")
+    """C1 on concave areas with holes, two in each block: slanted edges, lines that cross them without a vertex inside,
+    multipolygons of which a part is clipped."""
+    la = local_table(spark, sf_dir, holed_bounds(blocks_of(spark, sf_dir)))
     return la.select("type", "id", F.size("geom").alias("n_vertices"))
 
 
 def q_snapshot_features(spark, sf_dir):
     """The local table over a snapshot written to and read from Parquet."""
     path = scratch_path(spark, "snapshot")
-    write_snapshot(load_fixtures(spark, sf_dir).snapshot, path)
+    write_snapshot(fixtures_of(spark, sf_dir).snapshot, path)
     la = local_features(read_snapshot(spark, path), parse_wkt_area(bounds_of(spark, sf_dir))).all
     return la.select("type", "id", tags_text("tags").alias("tags_text"), F.size("geom").alias("n_vertices"))
 
@@ -160,7 +173,7 @@ def q_snapshot_features(spark, sf_dir):
 def q_area_latitude(spark, sf_dir):
     """A4: greatest absolute latitude of the area, beside that of the nodes it keeps."""
     area = parse_wkt_area(bounds_of(spark, sf_dir))
-    ln = local_nodes(load_fixtures(spark, sf_dir).snapshot.nodes, area)
+    ln = local_nodes(fixtures_of(spark, sf_dir).snapshot.nodes, area)
     return ln.agg(F.max(F.abs("lat")).alias("max_abs_lat")).select(F.lit(area.max_abs_lat).alias("area_max_abs_lat"), "max_abs_lat")
 
 
@@ -186,7 +199,7 @@ def q_remaining_after_duplicates(spark, sf_dir):
 
 def _nocity(spark, sf_dir, type_code: str):
     ctx = context(spark, sf_dir)
-    m = M.nocity_matches(ctx.pool, ctx.local_all, NOCITY)
+    m = M.nocity_matches(ctx.pool, ctx.local_all, NOCITY, keep=write_read)
     return m.where(F.col("type") == type_code).select("import_id", "id", _cm(), tags_text("tags").alias("tags_text"))
 
 
@@ -197,13 +210,13 @@ def q_nocity_nodes(spark, sf_dir):
 def q_nocity_nodes_intended(spark, sf_dir):
     """Q2: only objects without a city."""
     ctx = context(spark, sf_dir)
-    m = M.nocity_matches(ctx.pool, ctx.local_all, NOCITY, M.INTENDED).where(F.col("type") == "N")
+    m = M.nocity_matches(ctx.pool, ctx.local_all, NOCITY, M.INTENDED, write_read).where(F.col("type") == "N")
     return m.select("import_id", "id", _cm(), tags_text("tags").alias("tags_text"))
 
 
 def q_nocity_nodes_1m(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    m = M.nocity_matches(ctx.pool, ctx.local_all, 1.0).where(F.col("type") == "N")
+    m = M.nocity_matches(ctx.pool, ctx.local_all, 1.0, keep=write_read).where(F.col("type") == "N")
     return m.select("import_id", "id", _cm(), tags_text("tags").alias("tags_text"))
 
 
@@ -243,7 +256,7 @@ def q_building_candidates(spark, sf_dir):
 
 def _building(spark, sf_dir, semantics):
     ctx = context(spark, sf_dir)
-    m = M.building_matches(ctx.pool, ctx.local_all, BUFFER, BUILDING, semantics, keep=_write_read)
+    m = M.building_matches(ctx.pool, ctx.local_all, BUFFER, BUILDING, semantics, keep=write_read)
     return m.select("import_id", "type", "id", _cm(), tags_text("tags").alias("tags_text"))
 
 
@@ -310,7 +323,7 @@ def q_xml_roundtrip(spark, sf_dir):
 def q_xml_exact_values(spark, sf_dir):
     """K1 then S1: values with blanks, markup and quotes come back as they are, in file order (O2)."""
     path = scratch_path(spark, "exact_osm")
-    imports = load_fixtures(spark, sf_dir).imports
+    imports = fixtures_of(spark, sf_dir).imports
     odd = F.concat(F.lit("  <a b='c'> & \"d\"  "), F.col("import_id").cast("string"), F.lit(" </node> "))
     tags = F.map_concat(F.map_filter("tags", lambda k, _: k != "note"), F.create_map(F.lit("note"), odd))
     write_osm(imports.withColumn("tags", tags), path, single_file=True)
@@ -319,6 +332,42 @@ def q_xml_exact_values(spark, sf_dir):
     return back.select("import_id", tags_text("tags").alias("tags_text"), "lon", "lat", rank.cast("bigint").alias("place"))
 
 
+#: Nodes as a damaged file may hold them; ``@`` is the id. All others are written well-formed.
+XML_FAULTS = (
+    '<node\n<tag k="id" v="@"/></node>',
+    '<node <tag k="id" v="@"/></node>',
+    "<node\n",
+    '<node id="@" lon="1" lat="2"><tag k="a" v="b"/>',
+    '<node id="x@" lon="1" lat="2"/>',
+    '<node id="@" lon="1" lat="2"/></node>',
+)
+
+
+def q_xml_faults(spark, sf_dir):
+    """S1 on files with faults: damaged, unclosed and unreadable nodes between good ones, a file without a head and one
+    without its end. Every node comes back, or is listed with what is wrong."""
+    n_files = 4 * blocks_of(spark, sf_dir)
+    d = fixtures_of(spark, sf_dir).imports.select(F.col("import_id").cast("bigint").alias("id"), "lon", "lat")
+    good = F.concat(F.lit('<node id="'), "id", F.lit('" lon="'), "lon", F.lit('" lat="'), "lat", F.lit('"/>'))
+    line, fault = good, F.abs("id") % 13
+    for k, text in enumerate(XML_FAULTS):
+        line = F.when(fault == k, F.replace(F.lit(text), F.lit("@"), F.col("id").cast("string"))).otherwise(line)
+    nodes = d.select((F.abs("id") % n_files).alias("file"), F.lit(1).alias("part"), "id", line.alias("value"))
+    files = spark.range(n_files).withColumnRenamed("id", "file")
+    none = F.lit(0).cast("bigint").alias("id")
+    head = F.when(F.col("file") == 2, F.lit("<map>")).otherwise(F.lit('<?xml version="1.0"?>\n<osm version="0.6">'))
+    heads = files.select("file", F.lit(0).alias("part"), none, head.alias("value"))
+    ends = files.where("file <> 1").select("file", F.lit(2).alias("part"), none, F.lit("</osm>").alias("value"))
+    path = scratch_path(spark, "faulty_osm")
+    lines = nodes.unionByName(heads).unionByName(ends).repartition("file").sortWithinPartitions("file", "part", "id")
+    lines.select("file", "value").write.partitionBy("file").text(path)
+    found, bad = read_osm_nodes_report(spark, path)
+    found = found.select(F.lit("node").alias("kind"), F.col("import_id").cast("bigint").alias("id"), F.lit(None).cast("string").alias("reason"))
+    kind = F.when(F.col("text").isNull(), F.lit("file")).otherwise(F.lit("bad"))
+    number = F.nullif(F.regexp_extract("text", r"=\"x?(-?[0-9]{1,15})\"", 1), F.lit("")).cast("bigint")
+    return found.unionByName(bad.select(kind.alias("kind"), number.alias("id"), "reason"))
+
+
 def q_osc_file(spark, sf_dir):
     """K5 written and read back: member types, node order and tag text of each change."""
     path = scratch_path(spark, "changes_osc")
@@ -359,7 +408,7 @@ def q_osc_rows(spark, sf_dir):
 
 def q_invalid_rows(spark, sf_dir):
     """D6 on inputs with injected faults: supplier rows reuse customer import ids; node versions lowered by one."""
-    fx = load_fixtures(spark, sf_dir)
+    fx = fixtures_of(spark, sf_dir)
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     dirty_imports = fx.imports.select("import_id", "lon", "lat").unionByName(
         supplier.select(
@@ -412,4 +461,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "changed_relations_intended": q_changed_relations_intended,
     "xml_exact_values": q_xml_exact_values,
     "osc_file": q_osc_file,
+    "xml_faults": q_xml_faults,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from addrweave.functions.geo import M_PER_DEG
 from addrweave.sources.area import parse_wkt_area
-from addrweave.sources.fixtures import BLOCK_DEG, BOUNDS_HOLED, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, fixture_sql_for
+from addrweave.sources.fixtures import BLOCK_DEG, BOUNDS_WIDE, SAMPLE_STRIP_KEYS, STRIP_FILE_LINES, fixture_sql_for, holed_bounds
 
 MD = f"{M_PER_DEG!r}e0" if "e" not in repr(M_PER_DEG) else repr(M_PER_DEG)
 
@@ -270,7 +270,7 @@ def _q(body: str, **kw) -> str:
 
 def _holed() -> str:
     """Vertices inside a general area, or edges that cross one of its edges, by winding sums instead of crossings."""
-    rings = parse_wkt_area(BOUNDS_HOLED).rings
+    rings = parse_wkt_area(holed_bounds(1)).rings  # of the first block: all others are moved there
     edges = ", ".join(f"({i}, {a[0]!r}e0, {a[1]!r}e0, {b[0]!r}e0, {b[1]!r}e0)" for i, (a, b) in enumerate((a, b) for r in rings for a, b in zip(r[:-1], r[1:])))
     turn = "atan2((e.ax - x) * (e.byy - y) - (e.bx - x) * (e.ay - y), (e.ax - x) * (e.bx - x) + (e.ay - y) * (e.byy - y))"
     side = lambda ax, ay, bx, by, px, py: f"sign(({bx} - {ax}) * ({py} - {ay}) - ({by} - {ay}) * ({px} - {ax}))"
@@ -288,14 +288,21 @@ def _holed() -> str:
     return f"""
 , edges AS (SELECT * FROM (VALUES {edges}) v(i, ax, ay, bx, byy)),
 pts AS (
-  SELECT 'N' AS type, CAST(id AS BIGINT) AS id, 0 AS pos, lon AS x, lat AS y FROM fx_nodes
-  UNION ALL SELECT 'W', CAST(id AS BIGINT), pos, vx, vy FROM way_verts),
+  SELECT type, id, pos, x - {BLOCK_DEG!r}e0 * floor((x + 123.102e0) / {BLOCK_DEG!r}e0) AS x, y FROM (
+    SELECT 'N' AS type, CAST(id AS BIGINT) AS id, 0 AS pos, lon AS x, lat AS y FROM fx_nodes
+    UNION ALL SELECT 'W', CAST(id AS BIGINT), pos, vx, vy FROM way_verts)),
 around AS (SELECT type, id, pos, {ring} AS ring, abs(sum({turn})) > 3 AS within FROM pts, edges e GROUP BY ALL),
 inside AS (SELECT DISTINCT type, id FROM (SELECT type, id, pos, count(*) FILTER (within) % 2 = 1 AS within FROM around GROUP BY ALL) WHERE within),
 segs AS (SELECT type, id, x, y, lead(x) OVER o AS x2, lead(y) OVER o AS y2 FROM pts WHERE type = 'W' WINDOW o AS (PARTITION BY id ORDER BY pos)),
-crossing AS (SELECT DISTINCT w.type, w.id FROM segs w, edges e WHERE w.x2 IS NOT NULL AND {apart})
-SELECT k.type, k.id, CAST((SELECT count(*) FROM pts p WHERE p.type = k.type AND p.id = k.id) AS INTEGER) AS n_vertices
-FROM (SELECT * FROM inside UNION SELECT * FROM crossing) k"""
+crossing AS (SELECT DISTINCT w.type, w.id FROM segs w, edges e WHERE w.x2 IS NOT NULL AND {apart}),
+held AS (SELECT * FROM inside UNION SELECT * FROM crossing),
+joined AS (
+  SELECT m.relation_id, p.pos, p.x = lag(p.x) OVER o AND p.y = lag(p.y) OVER o AS same
+  FROM fx_members m JOIN fx_relations r ON r.id = m.relation_id AND r.rel_type = 'multipolygon'
+  JOIN held k ON k.type = 'W' AND k.id = m.member_id JOIN pts p ON p.type = 'W' AND p.id = k.id
+  WINDOW o AS (PARTITION BY m.relation_id ORDER BY m.sequence_id, p.pos))
+SELECT k.type, k.id, CAST((SELECT count(*) FROM pts p WHERE p.type = k.type AND p.id = k.id) AS INTEGER) AS n_vertices FROM held k
+UNION ALL SELECT 'M', relation_id, CAST(count(*) FILTER (NOT (pos = 0 AND coalesce(same, false))) AS INTEGER) FROM joined GROUP BY relation_id"""
 
 
 def _stripped(keys: list[str]) -> str:
@@ -331,6 +338,13 @@ def oracle_queries() -> dict[str, str]:
                  list_filter(string_split(tags_text, ';'), lambda t: split_part(t, '=', 1) <> 'note'),
                  ['note=  <a b=''c''> & "d"  ' || CAST(import_id AS VARCHAR) || ' </node> '])), ';') AS tags_text FROM imp"""
         ),
+        "xml_faults": _q(
+            """SELECT 'node' AS kind, CAST(import_id AS BIGINT) AS id, NULL AS reason FROM imp WHERE abs(import_id) % 13 > 5
+               UNION ALL SELECT 'bad', CASE WHEN abs(import_id) % 13 <> 2 THEN import_id END, CASE abs(import_id) % 13
+                 WHEN 4 THEN 'element can''t be parsed' WHEN 5 THEN 'end tag without its element' ELSE 'element is not closed' END
+               FROM imp WHERE abs(import_id) % 13 <= 5
+               UNION ALL VALUES ('bad', NULL, 'element is not closed'), ('file', NULL, 'file is not closed'), ('file', NULL, 'file has no head')"""
+        ),
         "osc_file": _q(
             """SELECT 'node' AS kind, id, version, lon, lat, tags_text, '' AS nd_text, '' AS member_text FROM ch_nodes
                UNION ALL SELECT 'way', id, version, NULL, NULL, tags_text, nodes_text, '' FROM ch_ways

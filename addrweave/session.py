@@ -6,8 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans in this package: AQE (runtime coalescing,
 # skew-join splitting, broadcast conversion from measured shuffle sizes) and no UI.
@@ -60,6 +61,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def write_read(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write a table into the shared checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(*jobs):
+    """Results of independent functions that run Spark jobs, each in a thread of its own: a small job of one fills the
+    cores that the last tasks of another leave idle. The first error is raised when all have ended."""
+    from pyspark import inheritable_thread_target
+
+    in_thread = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(jobs)) as threads:
+        return [f.result() for f in [threads.submit(in_thread(job)) for job in jobs]]
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table written under ``scratch_path`` (nothing else)."""
     if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
