@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import cut, read_shared, text_chunks, tidy, write_shared
+from addrweave.llm.shared import Texts, cut, read_shared, text_chunks, tidy, write_shared
 from addrweave.session import scratch_path
 
 MAGIC = b"DACTOK01"
@@ -167,6 +167,42 @@ class BytePieces(dict):
             self[piece] = out
         return out
 
+    def encode_all(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of each. Pieces of whole runs of texts are cut and told apart at
+        once, so that a distinct piece is looked up once; texts with characters beyond À to ÿ or with special tokens go one by one."""
+        n = int(t.offs[-1])
+        buf = t.buf[:n]
+        kind = byte_classes(t.buf[: n + 1])[:n]
+        beyond = np.r_[0, np.cumsum(kind == _BEYOND)]
+        alone = beyond[t.offs[1:]] > beyond[t.offs[:-1]]
+        if self.cut:
+            whole = buf.tobytes()
+            for name in self.special:
+                raw, at = name.encode(), whole.find(name.encode())
+                while at >= 0:
+                    alone[np.searchsorted(t.offs, at, side="right") - 1] = True
+                    at = whole.find(raw, at + 1)
+        ids, counts = [], np.zeros(len(t), np.int64)
+        edges = np.r_[0, np.flatnonzero(alone[1:] != alone[:-1]) + 1, len(t)]
+        for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            a, b = int(t.offs[i]), int(t.offs[j])
+            if i < j and alone[i]:
+                for k in range(i, j):
+                    ids.append(np.frombuffer(self.encode(buf[t.offs[k] : t.offs[k + 1]].tobytes().decode("utf-8", "replace")), "<u4"))
+                    counts[k] = len(ids[-1])
+            elif a < b:
+                starts = piece_starts(buf[a:b], kind[a:b], t.offs[i : j + 1] - a)
+                offs = pa.py_buffer(np.r_[starts, b - a].astype(np.int64))
+                pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, offs, pa.py_buffer(np.ascontiguousarray(buf[a:b]))]).dictionary_encode()
+                coded = [self[p.decode()] for p in pieces.dictionary.to_pylist()]
+                size = np.array([len(x) // 4 for x in coded])
+                table, index = np.frombuffer(b"".join(coded), "<u4"), pieces.indices.to_numpy()
+                length = size[index]
+                end = np.cumsum(length)
+                ids.append(table[np.repeat((np.cumsum(size) - size)[index] - (end - length), length) + np.arange(int(end[-1]))])
+                counts[i:j] = np.diff(np.r_[0, end][np.searchsorted(starts, t.offs[i : j + 1] - a)])
+        return np.concatenate(ids) if ids else np.zeros(0, "<u4"), counts
+
     def encode(self, text: str) -> bytes:
         if self.cut and any(s in text for s in self.special):
             parts = (np.array([self.special[p]], "<u4").tobytes() if p in self.special else self.encode(p) for p in self.cut.split(text) if p)
@@ -174,6 +210,43 @@ class BytePieces(dict):
         return b"".join(map(self.__getitem__, _PIECE.findall(text)))
 
 
+#: Classes of bytes for cutting whole chunks: white space, letters, marks, digits, apostrophe and control characters.
+_SPACE, _LETTER, _MARK, _DIGIT, _OTHER, _BEYOND = range(6)
+_CLASS = np.full(256, _BEYOND, np.uint8)
+_CLASS[:128] = [
+    _SPACE if re.fullmatch(f"[{_WS}]", chr(b)) else _LETTER if re.fullmatch(f"[{_LETTERS}]", chr(b)) else _MARK if re.fullmatch(f"[{_MARKS}]", chr(b))
+    else _DIGIT if chr(b).isdigit() else _OTHER
+    for b in range(128)
+]
+
+
+def byte_classes(buf: np.ndarray) -> np.ndarray:
+    """The class of each byte of UTF-8 text; both bytes of a letter from À to ÿ are letters, others beyond ASCII ``_BEYOND``."""
+    kind = _CLASS[buf]
+    lead = np.flatnonzero(buf[:-1] == 0xC3)
+    lead = lead[(buf[lead + 1] != 0x97) & (buf[lead + 1] != 0xB7)]  # the signs × and ÷
+    kind[lead] = kind[lead + 1] = _LETTER
+    return kind
+
+
+def piece_starts(buf: np.ndarray, kind: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts without bytes ``_BEYOND`` begin: at changes between letters, marks and digits, and around
+    white space as the splitter does: a run of it leaves its last character to what follows, which takes a blank along."""
+    n = len(buf)
+    space = kind == _SPACE
+    first = np.zeros(n + 1, bool)
+    first[offs] = True
+    before = np.r_[False, space[:-1]]
+    after_ink = np.r_[~space[1:], False] & ~first[1:]  # the next byte is of the same text and no white space
+    cut = space & (~before | after_ink)
+    blank = np.r_[False, buf[:-1] == 0x20]
+    cut |= ~space & before & ~blank
+    prev = np.r_[np.uint8(_SPACE), kind[:-1]]
+    cut |= (kind != prev) & ~space & ~before & (kind != _OTHER) & (prev != _OTHER)
+    cut |= first[:n]
+    return np.flatnonzero(cut)
+
+
 _PIECES: dict[str, BytePieces] = {}
 
 
@@ -190,33 +263,30 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None, id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _PIECES:
             _PIECES[path] = BytePieces(path)
-        pieces, end = _PIECES[path], np.array([end_id], "<u4").tobytes()
-        part, piece = TaskContext.get().partitionId(), 0
+        pieces, part, piece = _PIECES[path], TaskContext.get().partitionId(), 0
         doc_ids: list[int | None] = []
-        coded: list[bytes] = []
+        coded: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             name = f"{folder}/part-{part:06d}-{piece:06d}-{uuid.uuid4().hex[:12]}.dac"
-            counts = np.array([len(x) // 4 for x in coded], np.int64)
-            ids = np.frombuffer(b"".join(coded), "<u4")
+            ids, counts = (np.concatenate(x) for x in zip(*coded))
             write_shared(name, file_parts(doc_ids, counts, ids))
             row = {"file": [name], "part": [part], "piece": [piece], "n_docs": [len(doc_ids)], "n_tokens": [len(ids)]}
             return pa.RecordBatch.from_pydict(row, schema=_MANIFEST)
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            names = batch.column(0).to_pylist()
             for i, j, texts in text_chunks(batch.column(1), 4 << 20):
-                raw, offs = texts.buf, texts.offs
-                for k in range(j - i):
-                    coded.append(pieces.encode(raw[offs[k] : offs[k + 1]].tobytes().decode("utf-8", "replace")) + end)
-                    size += len(coded[-1]) // 4
-                    doc_ids.append(ids[i + k])
-                    if size >= FILE_TOKENS:
-                        yield flush()
-                        piece, size = piece + 1, 0
-                        doc_ids.clear()
-                        coded.clear()
+                ids, counts = pieces.encode_all(texts)
+                coded.append((np.insert(ids, np.cumsum(counts), end_id), counts + 1))
+                size += len(coded[-1][0])
+                doc_ids += names[i:j]
+                if size >= FILE_TOKENS:
+                    yield flush()
+                    piece, size = piece + 1, 0
+                    doc_ids.clear()
+                    coded.clear()
         if doc_ids:
             yield flush()
 

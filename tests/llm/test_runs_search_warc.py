@@ -342,3 +342,30 @@ def test_damaged_records():
     for bad in (raw.replace(b"xxx", b"xyx"), raw[:-1], raw[:50], b"WARC/9" + raw[6:]):
         with pytest.raises(ValueError):
             warc.read_record(bad)
+
+
+# ------------------------------------------------------------------ pieces of token files
+
+
+def test_pieces_of_whole_chunks_against_the_library():
+    """Random texts of blanks, apostrophes, marks, digits, letters of two bytes, and of what is encoded alone."""
+    from tokenizers import Tokenizer
+
+    from addrweave.llm.queries import tokenizer_file
+    from addrweave.llm.token_file import BytePieces
+
+    path = tokenizer_file("byte_bpe_50k.json")
+    pieces, library = BytePieces(path), Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    rng = random.Random(3)
+    usual = [*"aab z  \n\n\t'',.!;12é×÷ß\x1c\x00-_", "'s", "'re", " \n", "don't", "  ", "ÿ", "À"]
+    rare = ["\xa0", "　", "中", "<|endoftext|>", "œ", "٣", "́", "\x85"]
+    for share in (0.0, 0.02):
+        texts = ["".join(rng.choice(rare if rng.random() < share else usual) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+        for limit in (1 << 20, 300):
+            for i, j, t in text_chunks(pa.array(texts), limit):
+                ids, counts = pieces.encode_all(t)
+                ends = np.r_[0, np.cumsum(counts)]
+                got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+                assert len(got) == j - i and got == [library.encode(x, add_special_tokens=False).ids for x in texts[i:j]]
