@@ -5,12 +5,16 @@ its tokens). Other columns of the input, whatever their names, pass through.
 
 1. ``language_id``: learns from the labelled rows and drops documents without a letter, and those whose language
    is a guess (score below ``MIN_SCORE``, which real text of a few words exceeds).
-2. ``near_dedup``: of documents linked by a similarity of 0.8 or more over shingles of five words, the one with the smallest
-   id stays. Rows that repeat an id stay or go together; rows with a null id stay.
+2. ``near_dedup``: of documents linked by a similarity of 0.8 or more over shingles of five words, directly or by others, exactly
+   one row stays: the one with the smallest id (nulls last; of rows that repeat it one). Every row counts for itself, whatever
+   its id; documents without words are linked with nothing and stay.
 3. ``suffix_dedup``: removes bytes that a 50-byte string shared with a document of smaller id covers; the document stays,
    with what is left of its text (``n_chars`` follows).
 4. ``mixing``: emits each document as often as its source's rate says.
 5. ``bpe``: token ids of every text, with digests of the ids and of the text decoded from them.
+
+Null and empty texts go with the first stage, rows that repeat with the second; an empty table gives no rows at any stage. A
+null source is a source of its own in mixing.
 """
 
 from __future__ import annotations
@@ -36,9 +40,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates(docs, width=5, percent=80)
-    gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select("doc_id")
-    return docs.join(cut(gone, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    row = "row"
+    while row in (c.lower() for c in docs.columns):
+        row += "_"
+    # numbers are fixed once written
+    rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(row, "text"), id_col=row, width=5, percent=80).select(F.col(row).alias("n"), "component_id")
+    found = cut(found, "components")
+    several = found.where("n <> component_id").select("component_id").distinct()
+    order = rows.select(F.col(row).alias("n"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row)).alias("place"))
+    members = found.join(several, "component_id", "left_semi").join(order, "n")
+    first = members.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = members.join(first, "component_id").where(F.col("place") != F.col("first")).select(F.col("n").alias(row))
+    return rows.join(cut(gone, "copies"), row, "left_anti").select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
