@@ -34,12 +34,17 @@ def test_stages(spark, docs, doc_rows):
     letters = [r for r in doc_rows if r[1] and any(c.isalpha() for c in r[1])]
     assert set(rows) <= set(letters) and len(rows) >= 0.9 * len(letters)
 
-    found = plain_groups(rows, 5, 80)
-    stays = {i for i, _, _, k in found if k or i is None}
+    # every row under a number of its own: one of each component stays, with the smallest id
+    numbered = [(n, r[1]) for n, r in enumerate(rows)]
+    groups = {}
+    for n, _, c, _ in plain_groups(numbered, 5, 80):
+        groups.setdefault(c, []).append(rows[n])
     d = cut(stage["near_dedup"](spark, d, SF), "t")
-    want = [r for r in rows if r[0] in stays]
-    rows = [(r.doc_id, r.text, r.lang, r.source) for r in d.collect()]
-    assert d.columns == docs.columns and Counter(rows) == Counter(want)
+    before, rows = rows, [(r.doc_id, r.text, r.lang, r.source) for r in d.collect()]
+    assert d.columns == docs.columns and not Counter(rows) - Counter(before) and len(rows) == len(groups)
+    smallest = [min((r[0] is None, r[0] or 0) for r in g) for g in groups.values()]
+    assert Counter((r[0] is None, r[0] or 0) for r in rows) == Counter(smallest)
+    assert any(len(g) > 1 and any(r[0] is None for r in g) for g in groups.values())
 
     removed = plain_removed(rows)
     d = cut(stage["suffix_dedup"](spark, d, SF), "t")
@@ -61,6 +66,18 @@ def test_stages(spark, docs, doc_rows):
     assert all(len(r.ids) == 4 * r.n_tokens for r in last)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows that repeat an id or have none, and texts that share an id without being alike."""
+    a, b = " ".join(f"word{k}" for k in range(40)), " ".join(f"other{k}" for k in range(40))
+    rows = [(5, a), (5, a), (5, a), (9, a + " more"), (None, a), (None, b), (None, b), (5, b + " end"), (7, None), (7, None), (8, " "), (None, "")]
+    d = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], "doc_id bigint, text string, row string, ROW_ string, component_id string").repartition(4)
+    got = corpus_pipeline.near_dedup(spark, d, SF)
+    assert got.columns == d.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=lambda r: (str(r[0]), str(r[1]))) == sorted(
+        [(5, a), (5, b + " end"), (7, None), (7, None), (8, " "), (None, "")], key=lambda r: (str(r[0]), str(r[1]))
+    )
+
+
 def test_stages_of_nothing(spark, no_docs):
     d = no_docs
     for _, f in corpus_pipeline.STAGES:
