@@ -124,7 +124,8 @@ def length_measure(n: np.ndarray, documents: int, terms: int) -> np.ndarray:
 class Best:
     """The k best documents of each item among those seen."""
 
-    def __init__(self, k: int, n_items: int):
+    def __init__(self, k: int, n_items: int, limit: int):
+        self.limit = limit  # rows held back before they are ranked
         self.k, self.least = k, np.zeros(n_items, np.int64)  # scores from here on can still be among the best
         self.item, self.score, self.doc, self.null = ([np.zeros(0, np.int64)] for _ in range(4))
         self.waiting = 0
@@ -133,7 +134,7 @@ class Best:
         for to, x in zip((self.item, self.score, self.doc, self.null), (item, score, doc, null)):
             to.append(x)
         self.waiting += len(item)
-        if self.waiting > CELLS:
+        if self.waiting > self.limit:
             self.settle()
 
     def settle(self) -> tuple[np.ndarray, ...]:
@@ -206,10 +207,11 @@ def _count(d: DataFrame, path: str, group: int, totals: bool) -> DataFrame:
 
 def _score(d: DataFrame, path: str, group: int, documents: int, all_terms: int, k: int) -> DataFrame:
     """Second scan: ``item, doc_id, score``, the best of each task."""
+    cells = CELLS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = _load(path, group)
-        best, n_items = Best(k, len(terms.items)), len(terms.items)
+        best, n_items = Best(k, len(terms.items), cells), len(terms.items)
         # in doubles while no sum leaves the whole numbers that they hold
         exact = float((terms.weight[np.repeat(np.arange(len(terms.weight)), np.diff(terms.first))] * terms.times).sum()) * 1e6 < 2**53
         for batch in batches:
@@ -220,12 +222,12 @@ def _score(d: DataFrame, path: str, group: int, documents: int, all_terms: int,
                 part = terms.weight[term] * term_scores(times, length_measure(n_terms(text, place), documents, all_terms)[doc])
                 fan = terms.first[term + 1] - terms.first[term]
                 # blocks of documents whose scores (and postings) fit
-                a, step = 0, max(1, CELLS // n_items)
+                a, step = 0, max(1, cells // n_items)
                 before = np.r_[0, np.cumsum(fan)]
                 while a < len(place):
                     lo = int(np.searchsorted(doc, a))
                     b = min(a + step, len(place))
-                    full = int(np.searchsorted(before, before[lo] + 4 * CELLS, side="right")) - 1
+                    full = int(np.searchsorted(before, before[lo] + 4 * cells, side="right")) - 1
                     if full < len(doc):
                         b = max(a + 1, min(b, int(doc[full])))
                     hi = int(np.searchsorted(doc, b))

@@ -20,7 +20,8 @@ than ``HOT`` different spans in any unit is skipped at step 2: its windows go to
 equal (and combined) or spread out. Texts are written to the shared folder once, as units that the steps read by
 reference; between the steps travel only identifiers and smallest documents.
 
-Defined results: a null text is an empty one; texts of less than 50 bytes keep all; a null id counts as larger than any
+Defined results: a null text is an empty one; texts of less than 50 bytes keep all; a text of any length is one row of one task,
+which holds a few 64-bit values for each of its bytes; a null id counts as larger than any
 other; rows that repeat an id remove nothing from each other; an empty table gives an empty result. A character
 of which a part is removed is dropped from the text (``kept`` has the bytes as they are). Other columns pass through.
 """
@@ -44,6 +45,7 @@ MATCH, Q = 50, 16
 REACH = MATCH - Q  # furthest that a pointer stands from its window's start
 UNIT_BYTES = 8 << 20  # text of a unit
 CHUNK = 1 << 20  # text worked on at once
+LONG = 32 << 20  # a longer text is taken in pieces of this size (below 2 ** _PLACE bytes)
 HOT = 256  # different spans of one bucket in a unit, from which on its windows are compared at once
 _U = np.uint64
 _PLACE = 28  # bits for a place in a chunk; the others order the q-grams
@@ -65,8 +67,6 @@ class Spans:
 
     def __init__(self, t: Texts):
         n = int(t.offs[-1])
-        if n >= 1 << _PLACE:
-            raise ValueError("a text of 256 MB or more")
         g = _BYTE[t.buf]
         for k in (1, 2, 4, 8):
             g = _refine(g, k)
@@ -91,6 +91,25 @@ class Spans:
         self.left = np.where(self.first <= p - Q, short(g32[np.maximum(p - Q, 0)]), 0).astype(np.uint8)
         self.right = np.where(self.last > p - Q, short(g32[p]), 0).astype(np.uint8)
 
+    @classmethod
+    def of(cls, t: Texts) -> Spans:
+        """Spans of a chunk; a text longer than ``LONG`` is taken in pieces that overlap by a window less a byte, so that each
+        window lies whole in one. A span that a piece's end divides is two: different spans of one bucket, as any others."""
+        n = int(t.offs[-1])
+        if n <= LONG:
+            return cls(t)
+        out, parts = cls.__new__(cls), []
+        for a in range(0, n, LONG):
+            b = min(a + LONG + MATCH - 1, n)
+            buf = np.zeros(b - a + 64, np.uint8)
+            buf[:-64] = t.buf[a:b]
+            part = cls(Texts(buf, np.array([0, b - a])))
+            part.first, part.last, part.window = part.first + a, part.last + a, part.window[: min(LONG, b - a)]
+            parts.append(part)
+        for name in vars(parts[0]):
+            setattr(out, name, np.concatenate([getattr(p, name) for p in parts]))
+        return out
+
     def among(self, open_names: np.ndarray, hot: np.ndarray) -> np.ndarray:
         """Spans that are open or in a hot bucket."""
         return np.flatnonzero(among(self.name, open_names) | among(self.bucket, hot))
@@ -121,7 +140,7 @@ class Unit:
 
     def chunks(self) -> Iterator[tuple[int, int, Texts, Spans]]:
         for i, j, t in text_chunks(self.text, CHUNK):
-            yield i, j, t, Spans(t)
+            yield i, j, t, Spans.of(t)
 
     def spans(self) -> dict[str, np.ndarray]:
         """Distinct spans with their smallest documents."""

@@ -269,6 +269,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     folder = folder or scratch_path(pages.sparkSession, "warc")
     d = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     d = with_stored(d)
+    limit = PACKAGE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         records: list[bytes] = []
@@ -291,7 +292,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
                 records.append(z.compress(raw) + z.flush())
                 index.append({"id": page_id.as_py(), "offset": size, "length": len(records[-1])})
                 size += len(records[-1])
-                if size >= PACKAGE_BYTES:
+                if size >= limit:
                     yield flush()
                     size = 0
         if records:
@@ -303,8 +304,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
 # ------------------------------------------------------------------ reading
 
 
-def package_ranges(path: str) -> Iterator[tuple[int, list[int]]]:
-    """Ranges of neighbouring records of a package: (place in the file, sizes)."""
+def package_ranges(path: str, limit: int = RANGE_BYTES) -> Iterator[tuple[int, list[int]]]:
+    """Ranges of neighbouring records of a package, of about ``limit`` bytes: (place in the file, sizes)."""
     inside = members(path)
     data, size = stored_range(path, inside[DATA])
     at, length = stored_range(path, inside[INDEX])
@@ -317,7 +318,7 @@ def package_ranges(path: str) -> Iterator[tuple[int, list[int]]]:
         offset, n = entry["offset"], entry["length"]
         if offset < 0 or n < 0 or offset + n > size:
             raise NotAPackage(f"{path}: index names a record outside its archive")
-        if sizes and (offset != start + sum(sizes) or sum(sizes) >= RANGE_BYTES):
+        if sizes and (offset != start + sum(sizes) or sum(sizes) >= limit):
             yield data + start, sizes
             sizes = []
         if not sizes:
@@ -338,10 +339,12 @@ def read_warc(manifest: DataFrame) -> DataFrame:
     """Every record of the packages in ``manifest`` (a table with their paths as ``file``): page_id, url, record_type,
     refers_to, payload_bytes and payload_digest (of the full payload, also for revisits), payload (null for revisits)."""
 
+    limit = RANGE_BYTES
+
     def plan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path in frame["file"]:
-                found = list(package_ranges(path))
+                found = list(package_ranges(path, limit))
                 yield pd.DataFrame({"file": [path] * len(found), "start": [a for a, _ in found], "sizes": [s for _, s in found]})
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:

@@ -369,3 +369,30 @@ def test_pieces_of_whole_chunks_against_the_library():
                 ends = np.r_[0, np.cumsum(counts)]
                 got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
                 assert len(got) == j - i and got == [library.encode(x, add_special_tokens=False).ids for x in texts[i:j]]
+
+
+# ------------------------------------------------------------------ long texts of the suffix operator
+
+
+def test_spans_of_long_texts_in_pieces(monkeypatch):
+    """Pieces give every window once, with the pointer's bucket and the identifier that the whole text gives, and a side for each."""
+    from addrweave.llm import suffix
+    from addrweave.llm.shared import Texts
+
+    rng = np.random.default_rng(1)
+    for n in (0, 10, 49, 50, 99, 100, 101, 149, 150, 1000, 1234):
+        for letters in (2, 150):
+            buf = np.r_[rng.integers(97, 97 + letters, n, dtype=np.uint8), np.zeros(64, np.uint8)]
+            t = Texts(buf, np.array([0, n]))
+            monkeypatch.setattr(suffix, "LONG", 1 << 20)
+            whole = suffix.Spans.of(t)
+            monkeypatch.setattr(suffix, "LONG", 100)
+            parts = suffix.Spans.of(t)
+
+            def windows(s):
+                at, of = s.windows(np.arange(len(s.first)))
+                return {i: (int(s.window[i]), int(s.bucket[k]), int(s.task_key[k]), bool(s.left[k]) or bool(s.right[k])) for i, k in zip(at.tolist(), of.tolist())}
+
+            assert windows(parts) == windows(whole) and set(windows(whole)) == set(range(max(0, n - 49)))
+            assert all(side for *_, side in windows(parts).values())
+            assert (parts.doc == 0).all() and len(parts.name) == len(parts.first)
