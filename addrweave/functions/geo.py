@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6371008.7714
 M_PER_DEG = EARTH_RADIUS_M * math.pi / 180.0
 
-GEOM_TYPE = "array<struct<lon:double,lat:double>>"
-
 _M = f"{M_PER_DEG!r}D"
 _ids = itertools.count()
 

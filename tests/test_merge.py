@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from addrweave.plans.catalog import BOUNDS, context
 from addrweave.plans.merge import MergeOptions, merge_addresses
-from addrweave.sources.fixtures import SAMPLE_STRIP_KEYS
+from addrweave.sources.fixtures import SAMPLE_STRIP_KEYS, load_fixtures
 
 SF = "/root/testdata/sf0.001"
 
@@ -143,3 +143,15 @@ def test_repeated_object_key_and_bad_versions_stop_the_merge(spark):
     r = merge_addresses(spark, imports, zero, BOUNDS, MergeOptions(nocity=5.0, conflicts="nearest"))
     with pytest.raises(ValueError, match="version below 1"):
         r.changes  # noqa: B018
+
+
+def test_no_imports(spark):
+    """An empty import file: every table is empty, and every count is known and zero."""
+    fx = load_fixtures(spark, SF)
+    none = spark.createDataFrame([], "import_id int, tags map<string,string>, lon double, lat double")
+    r = merge_addresses(spark, none, fx.snapshot, BOUNDS, MergeOptions(nocity=5.0, building=10.0, conflicts="nearest"))
+    assert {x.stage: x.n for x in r.summary.collect()} == dict.fromkeys(
+        ["imports", "duplicates", "remaining_after_duplicates", "matched_imports", "changed_nodes", "changed_ways", "changed_relations", "remaining"], 0
+    )
+    assert r.remaining.count() == r.changes.relations.count() == 0
+    r.close()

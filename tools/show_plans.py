@@ -69,7 +69,7 @@ def main() -> None:
     coded = M.building_matches(ctx.pool, ctx.local_all, 0.5, 10.0, keep=keep)
     for name, df in (
         ("C1 nodes of the local table (P1)", local.nodes),
-        ("C1 ways of the local table (P2; parts of multipolygons that can match stay)", local.ways),
+        ("C1 ways of the local table (P2; those that can match)", local.ways),
         ("C1 multipolygon lines that can match (J1, A1)", local.multipolygons),
         ("J2 exact duplicates (semi-join on number, street, city)", M.exact_duplicates(ctx.imports, ctx.local_all)),
         ("C3 no-city pass with D3", M.nocity_matches(ctx.pool, ctx.local_all, 5.0)),
