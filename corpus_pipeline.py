@@ -47,11 +47,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(rows.select(row, "text"), id_col=row, width=5, percent=80).select(F.col(row).alias("n"), "component_id")
     found = cut(found, "components")
-    several = found.where("n <> component_id").select("component_id").distinct()
-    order = rows.select(F.col(row).alias("n"), F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row)).alias("place"))
-    members = found.join(several, "component_id", "left_semi").join(order, "n")
-    first = members.groupBy("component_id").agg(F.min("place").alias("first"))
-    gone = members.join(first, "component_id").where(F.col("place") != F.col("first")).select(F.col("n").alias(row))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row))
+    # one row a component leaves each task, and rows meet by their numbers: a large group is no hot key
+    places = found.join(rows.select(F.col(row).alias("n"), place.alias("place")), "n")
+    first = places.groupBy("component_id").agg(F.min("place").alias("first")).select(F.col("first")[row].alias("n"))
+    gone = found.select("n").join(first, "n", "left_anti").select(F.col("n").alias(row))
     return rows.join(cut(gone, "copies"), row, "left_anti").select(*docs.columns)
 
 
