@@ -99,7 +99,7 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", ["op1_near_vectors", "op2_minhash", "op4_mixing", "op6_url_filters", "op7_quality_rules", "op10_suffix_array"])
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(entry.oracle_sql()[name])
     cols = [c[0] for c in cur.description]
