@@ -93,10 +93,10 @@ def test_run(spark):
 
 def test_one_query_for_each_operator():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_near_vectors", "op2_minhash", "op4_mixing", "op6_url_filters", "op7_quality_rules", "op10_suffix_array"])
+@pytest.mark.parametrize("name", ["op1_near_vectors", "op2_minhash", "op4_mixing", "op6_url_filters", "op7_quality_rules", "op10_suffix_array", "op11_periodic_runs", "op12_ranked_search", "op13_warc"])
 def test_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "pages", "benchmark"):
