@@ -1,7 +1,6 @@
 """K1-K5: write OSM XML (remaining imports) and osmChange XML (change sets) with Spark's XML writer.
 
-Each task writes its own part file; ``single_file=True`` sorts all rows into one
-part (only for small outputs).
+Each task writes its own part file; ``single_file=True`` joins sorted parts to one file in file order.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.operators.changes import Changes
+from addrweave.sinks.one_file import write_one_file
 
 # Root elements of the two file kinds and the member type names.
 OSM_ROOT = 'osm version="0.6" upload="false" generator="addrweave"'
@@ -92,10 +92,12 @@ def osc_rows(changes: Changes) -> DataFrame:
 
 def write_osm(remaining: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
     """K1: the addresses still to add, as OSM XML."""
-    df = osm_node_rows(remaining)
-    if single_file:  # one task writes, the work before stays spread out; in file order if it is known (O2)
+    if single_file:  # in file order if it is known (O2)
         order = remaining["position"] if "position" in remaining.columns else remaining["import_id"]
-        df = osm_node_rows(remaining, order.alias("order")).repartition(1).sortWithinPartitions("order").drop("order")
+        df = osm_node_rows(remaining, order.alias("order"), remaining["import_id"].alias("number"))
+        write_one_file(df, [F.col("order"), F.col("number")], ["order", "number"], path, OSM_ROOT, "node", mode)
+        return
+    df = osm_node_rows(remaining)
     df.write.mode(mode).format("xml").option("rootTag", OSM_ROOT).option("rowTag", "node").save(path)
 
 
@@ -103,7 +105,8 @@ def write_osc(changes: Changes, path: str, single_file: bool = False, mode: str
     """K5: the change set as osmChange XML (``modify`` blocks only; NULL structs are omitted)."""
     df = osc_rows(changes)
     if single_file:
-        df = df.repartition(1).sortWithinPartitions("kind_order", "id")
+        write_one_file(df, [F.col("kind_order"), F.col("id")], ["kind_order", "id"], path, OSC_ROOT, "modify", mode)
+        return
     df.drop("kind_order", "id").write.mode(mode).format("xml").option("rootTag", OSC_ROOT).option(
         "rowTag", "modify"
     ).save(path)
