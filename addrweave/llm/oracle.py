@@ -56,10 +56,8 @@ def quality() -> str:
     stops = ", ".join(f"'{w}'" for w in Q.STOP_WORDS)
     rules = []
     for r in Q.RULES:
-        if r.least is not None:
-            rules.append(f"coalesce({r.figure} >= {r.least!r}, false)")
-        if r.most is not None:
-            rules.append(f"coalesce({r.figure} <= {r.most!r}, false)")
+        sides = [f"{r.figure} {sign} {bound!r}" for sign, bound in ((">=", r.least), ("<=", r.most)) if bound is not None]
+        rules.append(f"coalesce({' AND '.join(sides)}{f' OR {r.unless}' if r.unless else ''}, false)")
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text, {_WORDS} AS ws,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM documents),
@@ -68,7 +66,8 @@ c AS (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, gram) AS n FROM g),
 r AS (SELECT row_id, count(DISTINCT k) AS n_repeat_words FROM (SELECT row_id, unnest(range(i, i + {Q.WINDOW})) AS k FROM c WHERE n > 1) GROUP BY row_id),
 f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(list_filter(ws, lambda w: lower(w) IN ({stops}))) AS n_stop_words, len(ls) AS n_lines
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(list_filter(ws, lambda w: lower(w) IN ({stops}))) AS n_stop_words, len(ls) AS n_lines,
+    length(regexp_replace(text, '[^{Q.UNLISTED}]', '', 'g')) AS n_unlisted, length(regexp_replace(text, '[^{Q.UNSPACED}]', '', 'g')) AS n_unspaced
   FROM t LEFT JOIN r USING (row_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -302,6 +303,41 @@ def test_quality_rules_bite(spark):
     assert got[1] == [] and "symbols" in got[2] and {"word_length", "stop_words"} <= set(got[3]) and got[4]
 
 
+def test_quality_keeps_clean_texts_of_other_languages(spark):
+    """No clean text goes because of its language; word salad in the same scripts does."""
+    clean = {
+        "ru": "весной река поднимается и не сразу уходит с полей но люди знают что вода даст земле силу на всё лето как это было раньше",
+        "tr": "bu köyde yaşayan insanlar için bahar çok güzel bir zamandır ve çocuklar bütün gün ile akşam arasında bahçede oynar",
+        "ar": "يعيش الناس في هذا الوادي منذ زمن طويل وهم يعملون في الحقول من الصباح إلى المساء ثم يعودون إلى البيوت على ضوء القمر",
+        "fi": "kevät tuli kylään myöhään mutta ihmiset tiesivät että aurinko palaa ja joki sulaa kun tuuli kääntyy etelään se oli selvää",
+        "hi": "गाँव के लोग सुबह से खेत में काम करते हैं और शाम को नदी के किनारे बैठकर पुरानी बातें याद करते हैं यह अच्छा है",
+        "vi": "người dân trong làng làm việc từ sáng đến tối và trẻ em chơi bên bờ sông khi trời không có mưa",
+        "ko": "마을 사람들은 아침부터 저녁까지 들판에서 일하고 아이들은 강가에서 놀며 밤이 되면 모두 집으로 돌아와 이야기를 나눈다",
+        "ta": "கிராமத்து மக்கள் காலை முதல் மாலை வரை வயலில் வேலை செய்கிறார்கள் குழந்தைகள் ஆற்றங்கரையில் விளையாடுகிறார்கள் இரவு வீடு திரும்புகிறார்கள் கதைகள் சொல்கிறார்கள்",
+        "th": "\n".join(f"ชาวบ้านทำงานในทุ่งนาตั้งแต่เช้าจนถึงเย็นทุกวันบรรทัดที่{k}" for k in "กขคงจฉชซญดตถ"),
+        "zh": "\n".join(f"村里的人们从早到晚在田里劳动孩子们在河边玩耍第{k}天" for k in "一二三四五六七八九十百千"),
+    }
+    salad = {"salad-ru": " ".join(f"кра{a}ло{b}" for a in "бвгджзкл" for b in "бвгджзкл"), "salad-la": " ".join(f"kra{a}lo{b}" for a in "bcdfghjk" for b in "bcdfghjk")}
+    rows = list((clean | salad).items())
+    got = {r.doc_id: r.failed for r in quality_rules(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert {k: got[k] for k in clean} == {k: [] for k in clean}
+    assert all(got[k] == ["stop_words"] for k in salad), got
+
+
+def test_quality_sql_agrees_on_other_scripts(spark):
+    """The SQL's verdicts on texts beside, at and beyond half of a script without a list."""
+    import duckdb
+
+    from addrweave.llm import oracle
+
+    rows = [(i, " ".join(["한국어"] * i + [f"krab{c}" for c in "abcdefghijklmnopqrstuvwxyz"] * 4 + ["ไทยภาษาที่ไม่มีช่องว่างระหว่างคำ"] * (i // 3))) for i in range(0, 240, 7)]
+    want = duckdb.connect()
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    sql = want.execute(oracle.quality()).df()
+    got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "kept").collect()
+    assert {r.doc_id: r.kept for r in got} == dict(zip(sql.doc_id, sql.kept, strict=True))
+
+
 @pytest.mark.parametrize("percent", [79, 50])
 def test_near_duplicates_refuse_smaller_thresholds(docs, percent):
     with pytest.raises(ValueError, match="80"):
