@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from addrweave.llm.shared import release, text_chunks, tidy
+from addrweave.llm.shared import kept, release, text_chunks, tidy
 
 #: Distinct pieces kept by a worker (and as many older ones), and pairs of tokens.
 PIECES, PAIRS = 300_000, 400_000
@@ -226,14 +226,12 @@ class OffsetTable:
         return self.blob[place][: len(place) - self.joint].tobytes()
 
 
-_PIECES: dict[str, tuple[WordPieces, OffsetTable]] = {}
-
-
 def _tables(path: str) -> tuple[WordPieces, OffsetTable]:
-    if path not in _PIECES:
+    def make() -> tuple[WordPieces, OffsetTable]:
         pieces = WordPieces(path)
-        _PIECES[path] = pieces, OffsetTable(pieces.names)
-    return _PIECES[path]
+        return pieces, OffsetTable(pieces.names)
+
+    return kept("bpe", path, make)
 
 
 def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = "decoded") -> DataFrame:
@@ -260,4 +258,4 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str
                 del ids, new
                 release()
 
-    return docs.mapInArrow(tidy(run), T.StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(tidy(run, "bpe"), T.StructType([*docs.schema.fields, *added]))

@@ -44,7 +44,7 @@ from addrweave.session import scratch_path
 MATCH, Q = 50, 16
 REACH = MATCH - Q  # furthest that a pointer stands from its window's start
 UNIT_BYTES = 8 << 20  # text of a unit
-CHUNK = 1 << 20  # text worked on at once
+CHUNK = 1 << 18  # text worked on at once: some dozen arrays of 64-bit values for its bytes are held
 LONG = 32 << 20  # a longer text is taken in pieces of this size (below 2 ** _PLACE bytes)
 HOT = 256  # different spans of one bucket in a unit, from which on its windows are compared at once
 _U = np.uint64

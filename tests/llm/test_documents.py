@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from addrweave.llm import shared, suffix
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.langid import features, identify, learn
 from addrweave.llm.lm import MU, EliasFano, lm_scores
@@ -447,3 +449,27 @@ def test_empty_tables(no_docs, tmp_path):
     assert identify(no_docs).count() == 0
     assert read_token_files(write_token_files(no_docs, tokenizer_file("byte_bpe_50k.json"), folder=str(tmp_path))).count() == 0
     assert remove_shared(no_docs).count() == 0
+
+
+def test_a_chunk_of_spans_is_small():
+    """Several workers stand beside the JVM of an executor: 4 MB of texts are never held as 64-bit arrays at once."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = pa.array(["".join(rng.choices("abcdefgh ", k=20_000)) for _ in range(200)])
+    tracemalloc.start()
+    n = 0
+    for _, _, t in text_chunks(texts, suffix.CHUNK):
+        n += len(suffix.Spans.of(t).first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 0 and peak < 48 << 20
+
+
+def test_tables_of_another_operator_are_freed():
+    shared.kept("one", "table", lambda: [1])
+    list(shared.tidy(iter, "one")([]))
+    assert shared.kept("one", "table", lambda: [2]) == [1]
+    list(shared.tidy(iter)([]))  # another operator's task in the same worker
+    assert shared.kept("one", "table", lambda: [2]) == [2]
+    shared.give_up()
