@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions.tags import ALWAYS_STRIPPED, strip_tags
+from addrweave.operators.spatial_join import by_merge
 
 
 @dataclass
@@ -57,7 +58,7 @@ def change_sets(matches: DataFrame, relation_members: DataFrame, strip: Iterable
     )
     ways = matches.where(F.col("type") == "W").select("id", "version", stripped, F.col("way_nodes").alias("nodes"))
     rel_matches = matches.where(F.col("type") == "M")
-    relations = rel_matches.join(ordered_members(relation_members, rel_matches), "id").select(
+    relations = rel_matches.join(by_merge(ordered_members(relation_members, rel_matches)), "id").select(
         "id",
         (F.col("version") + 1).alias("version"),
         stripped,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from addrweave.functions.geo import dist_point_line, dist_point_polygon, is_closed, ring_is_valid
 from addrweave.functions.tags import address_columns, has_tag, merge_tags
 from addrweave.operators.nearest import in_cells, nearest_in_piles, piles
-from addrweave.operators.spatial_join import box_pairs, named_by, within_by_id, within_pairs
+from addrweave.operators.spatial_join import box_pairs, by_merge, named_by, within_by_id, within_pairs
 from addrweave.session import write_read
 
 AS_CODED = "as_coded"
@@ -53,7 +53,7 @@ def exact_duplicates(imports: DataFrame, local_all: DataFrame) -> DataFrame:
     """Imports equal to some local object in number, street and city (NULL never matches)."""
     return (
         _import_keys(imports)
-        .join(_local_address_keys(local_all), ["hn", "street", "city"], "left_semi")
+        .join(by_merge(_local_address_keys(local_all)), ["hn", "street", "city"], "left_semi")
         .select(*imports.columns)
     )
 
@@ -62,7 +62,7 @@ def remaining_after_duplicates(imports: DataFrame, local_all: DataFrame) -> Data
     """J12 (first stage): imports without an exact duplicate (anti-join keeps rows with NULL keys)."""
     return (
         _import_keys(imports)
-        .join(_local_address_keys(local_all), ["hn", "street", "city"], "left_anti")
+        .join(by_merge(_local_address_keys(local_all)), ["hn", "street", "city"], "left_anti")
         .select(*imports.columns)
     )
 
@@ -98,7 +98,7 @@ def _addressed(local_all: DataFrame, imports: DataFrame, semantics: str) -> Data
         feats = feats.where(F.col("city").isNull())
     wanted = imports.select(*address_columns("tags")[:2]).distinct()
     feats = feats.select("type", "id", "geom", "hn", "street", "min_lon", "min_lat", "max_lon", "max_lat")
-    return feats.join(wanted, ["hn", "street"], "left_semi").withColumnsRenamed({"hn": "l_hn", "street": "l_street"})
+    return feats.join(by_merge(wanted), ["hn", "street"], "left_semi").withColumnsRenamed({"hn": "l_hn", "street": "l_street"})
 
 
 _ADDRESS_KEYS = [("i_hn", "l_hn"), ("i_street", "l_street")]
@@ -116,19 +116,21 @@ def with_payload(matches: DataFrame, imports: DataFrame, local_all: DataFrame) -
         F.when(F.col("type") == "N", F.col("min_lon")).alias("f_lon"),
         F.when(F.col("type") == "N", F.col("min_lat")).alias("f_lat"),
     )
-    d = matches.join(objects, ["type", "id"]).join(imports.select("import_id", F.col("tags").alias("i_tags")), "import_id")
+    tags = imports.select("import_id", F.col("tags").alias("i_tags"))
+    d = matches.join(by_merge(objects), ["type", "id"]).join(by_merge(tags), "import_id")
     return d.select(*matches.columns, merge_tags("i_tags", "l_tags").alias("tags"), *_PAYLOAD)
 
 
-def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED) -> DataFrame:
+def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semantics: str = AS_CODED, written: bool = False) -> DataFrame:
     """Every (import, local object) with equal number and street within ``metres`` of the object's geometry.
 
     As coded, the object's city is not looked at (Q2); ``intended`` requires it to be missing.
     The grid cell is part of the join key, so a hot (number, street) pair never
-    meets objects far away.
+    meets objects far away. If ``local_all`` is ``written`` (boxes are read twice), imports make rows for levels in use only.
     """
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).drop("i_tags")
-    pairs = within_pairs(pts, _addressed(local_all, imports, semantics), metres, dist_point_line, keys=_ADDRESS_KEYS)
+    feats = _addressed(local_all, imports, semantics)
+    pairs = within_pairs(pts, feats, metres, dist_point_line, keys=_ADDRESS_KEYS, levels_in_use=written)
     return with_payload(pairs.select("import_id", "type", "id", "dist"), imports, local_all)
 
 
@@ -163,10 +165,10 @@ def nocity_picks(
         crowds = keep(crowds, "piles")
         cells = in_cells(spots, metres)
         on = ["i_hn", "i_street", "cx", "cy"]
-        best = _nearest(cells.join(crowds, on, "left_anti").select(*spot), feats, metres, True)
-        crowded = keep(cells.join(crowds, on, "left_semi").select(*spot), "crowded")
+        best = _nearest(cells.join(by_merge(crowds), on, "left_anti").select(*spot), feats, metres, True)
+        crowded = keep(cells.join(by_merge(crowds), on, "left_semi").select(*spot), "crowded")
         best = best.unionByName(nearest_in_piles(crowded, feats, metres, keep))
-    return pts.join(best, spot).select("import_id", "type", "id", "dist", F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
+    return pts.join(by_merge(best), spot).select("import_id", "type", "id", "dist", F.concat(F.lit("nocity_"), F.col("type")).alias("pass"))
 
 
 def _nearest(spots: DataFrame, feats: DataFrame, metres: float, written: bool) -> DataFrame:
@@ -227,20 +229,20 @@ def _candidates(
     columns = ["p_lon", "p_lat", "cnt", "pid", *ids, "dist"]
     if keep is None:
         near = within_pairs(_import_spots(pool), blds, buffer, _to_polygon).select(*columns)
-        return near, blds.join(near.select(*ids).distinct(), ids, "left_semi").where(ring_is_valid("geom"))
+        return near, blds.join(by_merge(near.select(*ids).distinct()), ids, "left_semi").where(ring_is_valid("geom"))
     near = keep(box_pairs(_import_spots(pool), blds, ids, buffer, levels_in_use=True), "building_boxes")
     shapes = keep(named_by(blds, near, ids), "building_shapes")
     near = keep(within_by_id(near, shapes, ids, buffer, _to_polygon).select(*columns), "building_near")
-    found = shapes.join(near.select(*ids).distinct(), ids, "left_semi").where(ring_is_valid("geom"))
+    found = shapes.join(by_merge(near.select(*ids).distinct()), ids, "left_semi").where(ring_is_valid("geom"))
     return near, keep(found, "building_found")
 
 
 def building_candidates(pool: DataFrame, local_all: DataFrame, buffer: float) -> DataFrame:
     """J7 with P9: ``import_id, type, id, dist`` of every import within ``buffer`` of a valid unaddressed building."""
     near, found = _candidates(pool, local_all, buffer)
-    near = near.join(found.select("b_type", "b_id"), ["b_type", "b_id"], "left_semi")
+    near = near.join(by_merge(found.select("b_type", "b_id")), ["b_type", "b_id"], "left_semi")
     spot = pool.select("import_id", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
-    return spot.join(near, ["p_lon", "p_lat"]).select("import_id", F.col("b_type").alias("type"), F.col("b_id").alias("id"), "dist")
+    return spot.join(by_merge(near), ["p_lon", "p_lat"]).select("import_id", F.col("b_type").alias("type"), F.col("b_id").alias("id"), "dist")
 
 
 def building_pairs(pool: DataFrame, local_all: DataFrame, buffer: float, metres: float) -> DataFrame:
@@ -299,9 +301,9 @@ def building_hits(
 
     per_building = around.groupBy("b_type", "b_id").agg(*figures("I", "n_imp", "min_imp"), *figures("A", "n_adr", "min_adr"))
     # a candidate further away than ``metres`` (a wide buffer) may have nothing around it
-    per_building = found.select("b_type", "b_id").join(per_building, ["b_type", "b_id"], "left")
+    per_building = found.select("b_type", "b_id").join(by_merge(per_building), ["b_type", "b_id"], "left")
     per_building = per_building.fillna(0, ["n_imp", "n_adr"])
-    m = near.join(per_building, ["b_type", "b_id"])
+    m = near.join(by_merge(per_building), ["b_type", "b_id"])
     other_import = (F.col("n_imp") >= 2) | ((F.col("n_imp") == 1) & (F.col("min_imp") != F.col("pid")))
     if semantics == AS_CODED:
         other_addr = (F.col("n_adr") >= 2) | ((F.col("n_adr") == 1) & (F.col("min_adr") != F.col("b_id")))
@@ -309,7 +311,7 @@ def building_hits(
         other_addr = F.col("n_adr") >= 1
     m = m.where(~other_import & ~other_addr).select("p_lon", "p_lat", F.col("b_type").alias("type"), F.col("b_id").alias("id"), "dist")
     spot = pool.select("import_id", F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"))
-    m = spot.join(m, ["p_lon", "p_lat"]).select("import_id", "type", "id", "dist", "p_lon", "p_lat")
+    m = spot.join(by_merge(m), ["p_lon", "p_lat"]).select("import_id", "type", "id", "dist", "p_lon", "p_lat")
     if semantics == INTENDED:
         m = _without_nearby_areas(m, local_all, metres, keep)
     return m.drop("p_lon", "p_lat")
@@ -330,7 +332,7 @@ def _without_nearby_areas(m: DataFrame, local_all: DataFrame, metres: float, kee
         near = keep(box_pairs(m.select(*hit, "p_lon", "p_lat"), areas, ids, metres, levels_in_use=True).where(~itself), "area_boxes")
         shapes = named_by(areas.select(*ids, "a_geom"), near, ids)
         other = within_by_id(near, shapes, ids, metres, dist_point_line, geom="a_geom")
-    return m.join(other.select(*hit).distinct(), hit, "left_anti")
+    return m.join(by_merge(other.select(*hit).distinct()), hit, "left_anti")
 
 
 def building_assignments(matches: DataFrame, semantics: str = AS_CODED) -> DataFrame:

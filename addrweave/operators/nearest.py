@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.functions.geo import M_PER_DEG, dist_point_line
-from addrweave.operators.spatial_join import grid_for, within_pairs
+from addrweave.operators.spatial_join import by_merge, grid_for, within_pairs
 
 PILE = 32  # positions of one address in a grid cell from which they count as a pile
 FEW = 32  # pairs of members of two boxes that are compared one by one
@@ -84,8 +84,8 @@ def _halves(d: DataFrame, boxes: DataFrame, keys: list[str], x: Column, y: Colum
         return ((v > (a + b) / 2) | ((v == b) & (b > a))).cast("int")
 
     quarter = upper(x, F.col("_x0"), F.col("_x1")) * 2 + upper(y, F.col("_y0"), F.col("_y1"))
-    listed = boxes.select(*keys, "node").join(extents, [*keys, "node"])
-    return d.join(listed, [*keys, "node"]).withColumn("part", F.xxhash64("node", quarter)).drop("_x0", "_x1", "_y0", "_y1")
+    listed = boxes.select(*keys, "node").join(by_merge(extents), [*keys, "node"])
+    return d.join(by_merge(listed), [*keys, "node"]).withColumn("part", F.xxhash64("node", quarter)).drop("_x0", "_x1", "_y0", "_y1")
 
 
 def nearest_in_piles(spots: DataFrame, feats: DataFrame, metres: float, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
@@ -98,7 +98,7 @@ def nearest_in_piles(spots: DataFrame, feats: DataFrame, metres: float, keep: Ca
     typed = [*_KEYS, "type"]
     of_p, of_q = [*_KEYS, "p_node"], [*typed, "q_node"]
     feats = feats.withColumnsRenamed({"l_hn": "i_hn", "l_street": "i_street"})
-    p, q = _roots(spots, feats.join(spots.select(*_KEYS).distinct(), _KEYS, "left_semi"), metres)
+    p, q = _roots(spots, feats.join(by_merge(spots.select(*_KEYS).distinct()), _KEYS, "left_semi"), metres)
     p, q = keep(p, "pile_spots"), keep(q, "pile_features")
     q_x, q_y = (F.col("min_lon") + F.col("max_lon")) / 2, (F.col("min_lat") + F.col("max_lat")) / 2
 
@@ -112,24 +112,24 @@ def nearest_in_piles(spots: DataFrame, feats: DataFrame, metres: float, keep: Ca
     def bounded(pairs: DataFrame, pb: DataFrame, qb: DataFrame) -> DataFrame:
         """Pairs of boxes that can hold a nearest pair, with ``bound``, and whether they are small enough."""
         near, far = distance_bounds()
-        d = pairs.join(pb.withColumnsRenamed({"node": "p_node", "n": "n_p", "whole": "p_whole"}), of_p)
-        d = d.join(qb.withColumnsRenamed({"node": "q_node", "n": "n_q", "whole": "q_whole"}), of_q)
+        d = pairs.join(by_merge(pb.withColumnsRenamed({"node": "p_node", "n": "n_p", "whole": "p_whole"})), of_p)
+        d = d.join(by_merge(qb.withColumnsRenamed({"node": "q_node", "n": "n_q", "whole": "q_whole"})), of_q)
         ready = (F.col("n_p") * F.col("n_q") <= FEW) | (F.col("p_whole") & F.col("q_whole"))  # or nothing is left to split
         d = d.select(*of_q, "p_node", "bound", near.alias("near"), far.alias("far"), ready.alias("ready"))
         d = keep(d.where(F.col("near") <= metres), "pile_bounds")
         best = d.groupBy(*typed, "p_node").agg(F.least(F.min("far"), F.min("bound")).alias("least"))
-        return d.join(best, [*typed, "p_node"]).where(F.col("near") <= F.col("least")).select(*of_q, "p_node", F.col("least").alias("bound"), "ready")
+        return d.join(by_merge(best), [*typed, "p_node"]).where(F.col("near") <= F.col("least")).select(*of_q, "p_node", F.col("least").alias("bound"), "ready")
 
     def one_by_one(pairs: DataFrame, p: DataFrame, q: DataFrame, qb: DataFrame) -> DataFrame:
         """Exact distances of the members of pairs of boxes; a position leaves out boxes that its own bound rules out."""
         boxes = qb.withColumnRenamed("node", "q_node").drop("n", "whole")
         spot = [*_KEYS, "p_lon", "p_lat", "type"]
         near, far = distance_bounds(["p_lon", "p_lat", "p_lon", "p_lat"])
-        d = pairs.select(*of_q, "p_node", "bound").join(p.withColumnRenamed("node", "p_node"), of_p).join(boxes, of_q)
+        d = pairs.select(*of_q, "p_node", "bound").join(by_merge(p.withColumnRenamed("node", "p_node")), of_p).join(by_merge(boxes), of_q)
         d = d.select(*spot, "q_node", "bound", near.alias("near"), far.alias("far"))
         least = d.groupBy(*spot).agg(F.least(F.min("far"), F.min("bound")).alias("least"))
-        d = d.join(least, spot).where((F.col("near") <= F.col("least")) & (F.col("near") <= metres))
-        d = d.join(q.withColumnRenamed("node", "q_node"), of_q).select(*spot, "id", dist_point_line("p_lon", "p_lat", "geom").alias("dist"))
+        d = d.join(by_merge(least), spot).where((F.col("near") <= F.col("least")) & (F.col("near") <= metres))
+        d = d.join(by_merge(q.withColumnRenamed("node", "q_node")), of_q).select(*spot, "id", dist_point_line("p_lon", "p_lat", "geom").alias("dist"))
         return keep(d, "pile_pairs").where(F.col("dist") <= metres).groupBy(*spot).agg(F.min(F.struct("dist", "id")).alias("best"))
 
     pb, qb = p_boxes(p), q_boxes(q)
@@ -151,13 +151,13 @@ def nearest_in_piles(spots: DataFrame, feats: DataFrame, metres: float, keep: Ca
         pairs = pairs.where("NOT ready")
         if pairs.isEmpty():
             break
-        heavy_p = pb.join(pairs.select(*_KEYS, F.col("p_node").alias("node")).distinct(), [*_KEYS, "node"], "left_semi")
-        heavy_q = qb.join(pairs.select(*typed, F.col("q_node").alias("node")).distinct(), [*typed, "node"], "left_semi")
+        heavy_p = pb.join(by_merge(pairs.select(*_KEYS, F.col("p_node").alias("node")).distinct()), [*_KEYS, "node"], "left_semi")
+        heavy_q = qb.join(by_merge(pairs.select(*typed, F.col("q_node").alias("node")).distinct()), [*typed, "node"], "left_semi")
         p = keep(_halves(p, heavy_p, _KEYS, F.col("p_lon"), F.col("p_lat")), "pile_spots")
         q = keep(_halves(q, heavy_q, typed, q_x, q_y), "pile_features")
         p_parts = p.select(*_KEYS, F.col("node").alias("p_node"), F.col("part").alias("p_part")).distinct()
         q_parts = q.select(*typed, F.col("node").alias("q_node"), F.col("part").alias("q_part")).distinct()
-        pairs = pairs.join(p_parts, of_p).join(q_parts, of_q).select(*typed, F.col("p_part").alias("p_node"), F.col("q_part").alias("q_node"), "bound")
+        pairs = pairs.join(by_merge(p_parts), of_p).join(by_merge(q_parts), of_q).select(*typed, F.col("p_part").alias("p_node"), F.col("q_part").alias("q_node"), "bound")
         p, q = p.drop("node").withColumnRenamed("part", "node"), q.drop("node").withColumnRenamed("part", "node")
         pb, qb = p_boxes(p), q_boxes(q)
     out = found[0]

@@ -44,8 +44,16 @@ class Grid:
         return self.cell_deg * LEVELS[level]
 
 
-#: Ids (about 16 bytes each) that are sent to all tasks.
-FEW_IDS = 1_000_000
+#: Ids that are sent to all tasks (about 150 bytes each, as the hash table that they become there and on the driver).
+FEW_IDS = 200_000
+
+
+def by_merge(side: DataFrame) -> DataFrame:
+    """A side of a join that both sides are shuffled and sorted for. Left to itself, Spark judges a written table by the size of its compressed
+    files and sends up to 10 MB of those to all tasks: hundreds of MB as a hash table. Small tables that were counted are
+    broadcast by name (``FEW_IDS``), which goes first."""
+    return side.hint("merge")
+
 
 # cells of a level, in base cells of at least 20 m: houses, blocks, regions (about 80 km), and half the earth, where
 # no feature has more than ``max_cells``
@@ -133,7 +141,7 @@ def _cell_join(points, features, metres, grid, p_lon, p_lat, keys, how, extra=No
     )
     if extra is not None:
         cond = cond & extra
-    return p.join(f, cond, how)
+    return p.join(by_merge(f), cond, how)
 
 
 def within_pairs(
@@ -174,16 +182,15 @@ def box_pairs(points: DataFrame, features: DataFrame, ids: Sequence[str], metres
 
 def named_by(features: DataFrame, pairs: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Features whose ``ids`` occur in ``pairs``, a written table. It is counted, and up to ``FEW_IDS`` ids are sent to the features,
-    which then need no shuffle; beyond that Spark plans the join by its own sizes."""
+    which then need no shuffle; more are sorted and merged."""
     wanted = pairs.select(*ids).distinct()
-    if pairs.count() <= FEW_IDS:
-        wanted = F.broadcast(wanted)
+    wanted = F.broadcast(wanted) if pairs.count() <= FEW_IDS else by_merge(wanted)
     return features.join(wanted, list(ids), "left_semi")
 
 
 def within_by_id(pairs: DataFrame, features: DataFrame, ids: Sequence[str], metres: float, distance: Callable[[str, str, str], Column], geom: str = "geom") -> DataFrame:
     """Those of ``pairs`` (of points and feature ids) within ``metres``, with the features' geometry and ``dist``."""
-    return _within(pairs.join(features, list(ids)), metres, distance("p_lon", "p_lat", geom))
+    return _within(pairs.join(by_merge(features), list(ids)), metres, distance("p_lon", "p_lat", geom))
 
 
 def left_within(

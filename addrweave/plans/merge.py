@@ -40,7 +40,7 @@ from addrweave.operators.match import (
     resolve_conflicts,
     with_payload,
 )
-from addrweave.operators.spatial_join import FEW_IDS
+from addrweave.operators.spatial_join import FEW_IDS, by_merge
 from addrweave.session import remove_scratch, scratch_path, side_by_side
 from addrweave.sources.area import Area, parse_wkt_area
 from addrweave.sources.snapshot import Snapshot, load_imports
@@ -193,7 +193,7 @@ def merge_addresses(
         matches = written(matches, "matches")
 
     matched_ids = matches.select("import_id").distinct()
-    remaining = pool.join(matched_ids, "import_id", "left_anti")
+    remaining = pool.join(by_merge(matched_ids), "import_id", "left_anti")
     if opt.sorted_output:
         remaining = remaining.orderBy("position" if "position" in remaining.columns else "import_id")
     check = opt.strict and opt.conflicts != "report"  # a report leaves objects with several changes in
