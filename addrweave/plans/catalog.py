@@ -230,7 +230,7 @@ def q_nocity_relations(spark, sf_dir):
 
 def q_merged_tags(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    p = M.nocity_pairs(ctx.pool, ctx.local_all, NOCITY)
+    p = M.nocity_pairs(ctx.pool, ctx.local_all, NOCITY, written=True)
     return p.select("import_id", "type", "id", tags_text("tags").alias("tags_text"))
 
 

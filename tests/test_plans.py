@@ -117,3 +117,37 @@ def test_picks_hold_no_tags(spark, unbroadcast):
     for line in plan.splitlines():
         if "Aggregate" in line:
             assert "way_nodes" not in line and "i_tags" not in line and "l_tags" not in line
+
+
+def joins(df):
+    return [n.nodeName() for n in nodes(df._jdf.queryExecution().sparkPlan()) if "Join" in n.nodeName()]
+
+
+def test_small_files_are_not_broadcast(spark, monkeypatch):
+    """A written table of few bytes may hold many rows: with Spark's own limits on, joins by address, cell, position and id are
+    merged; ids are broadcast only if they were counted."""
+    ctx = context(spark, SF)
+    for df in (
+        M.remaining_after_duplicates(ctx.imports, ctx.local_all),
+        M.nocity_pairs(ctx.pool, ctx.local_all, 5.0, written=True),
+        M.nocity_matches(ctx.pool, ctx.local_all, 5.0, keep=write_read),
+        M.nocity_matches(ctx.pool, ctx.local_all, 1.0, M.INTENDED, write_read),
+        M.building_matches(ctx.pool, ctx.local_all, 0.5, 10.0, keep=write_read),
+    ):
+        assert set(joins(df)) == {"SortMergeJoin"}
+    ids = write_read(ctx.local_all.select("type", "id").limit(5), "ids")
+    for most, kind in ((5, "BroadcastHashJoin"), (4, "SortMergeJoin")):
+        monkeypatch.setattr(S, "FEW_IDS", most)
+        found = S.named_by(ctx.local_all, ids, ["type", "id"])
+        assert joins(found) == [kind] and found.count() == 5
+
+
+def test_counted_ids_stay_small():
+    """As a hash table of about 150 bytes an id, on the driver and beside each executor's tasks."""
+    assert S.FEW_IDS * 150 <= 64_000_000
+
+
+def test_pairs_by_levels_in_use_are_the_same(spark):
+    ctx = context(spark, SF)
+    plain, fewer = (M.nocity_pairs(ctx.pool, ctx.local_all, 5.0, written=w).select("import_id", "type", "id", "dist") for w in (False, True))
+    assert sorted(plain.collect()) == sorted(fewer.collect()) != []
