@@ -162,7 +162,9 @@ def merge_addresses(
         seen, left = Observation("imports"), Observation("pool")
         count = F.count(F.lit(1)).alias("n")
         made = written(remaining_after_duplicates(imports.observe(seen, count), local_all).observe(left, count), "import_pool")
-        if opt.materialize:
+        if opt.materialize and imports.isEmpty():  # a plan that is found empty while it runs loses what it observes
+            counts.update(n_imports=0, n_pool=0)
+        elif opt.materialize:
             counts.update(n_imports=seen.get["n"], n_pool=left.get["n"])
         return made
 
