@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from addrweave.llm.components import components
-from addrweave.llm.shared import Texts, cut, hash_spans, lower_ascii, mix64, runs, text_chunks, tidy, word_spans
+from addrweave.llm.shared import Texts, cut, hash_spans, lower_ascii, mix64, passing, runs, text_chunks, tidy, word_spans
 
 REGISTERS, BASE, RATE = 384, 1.001, 20.0
 BAND, BANDS = 6, 42
@@ -269,9 +269,16 @@ def _across(rows: DataFrame, least: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable by links), kept, of every row of ``docs``. Bands and
-    estimate are made for a ``percent`` of 80 and more; a smaller one is refused, as most of its pairs would be missed."""
+    estimate are made for a ``percent`` of 80 and more; a smaller one is refused, as most of its pairs would be missed.
+    The result is written; sketches, buckets and texts that led to it are deleted."""
     if percent < 80:
         raise ValueError(f"bands and estimate hold from 80 percent on, not for {percent}")
+    with passing(docs.sparkSession):
+        return cut(_components(docs, id_col, text_col, width, percent), "near-duplicates", stays=True)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """The rows of ``near_duplicates``, planned over tables written on the way."""
     all_sketches = cut(sketches(docs, id_col, text_col, width), "sketches")
     named = ["s1", "s2", "n"]
     sets = all_sketches.where("n > 0 AND id IS NOT NULL").groupBy(*named).agg(F.min("id").alias("first_id"))

@@ -46,7 +46,6 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # numbers are fixed once written
     rows = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(rows.select(row, "text"), id_col=row, width=5, percent=80).select(F.col(row).alias("n"), "component_id")
-    found = cut(found, "components")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(row))
     # one row a component leaves each task, and rows meet by their numbers: a large group is no hot key
     places = found.join(rows.select(F.col(row).alias("n"), place.alias("place")), "n")

@@ -1,7 +1,9 @@
 """The pipeline stage by stage against plain versions, components, and the registered queries against SQL."""
 
+import os
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from addrweave.llm.components import components
-from addrweave.llm.shared import cut
+from addrweave.llm.shared import cut, passing
 
 from tests.llm.test_documents import key, plain_groups, plain_removed, words
 
@@ -66,6 +68,29 @@ def test_stages(spark, docs, doc_rows):
     assert all(len(r.ids) == 4 * r.n_tokens for r in last)
 
 
+def test_near_dedup_leaves_its_result_only(spark, docs, tmp_path, monkeypatch):
+    """Sketches, classes, buckets and texts of near_dedup are deleted before its rows are written: later stages have their disk."""
+    from addrweave import session
+    from addrweave.llm import shared
+
+    made = []
+    monkeypatch.setattr(shared, "scratch_path", lambda spark, name: made.append((name, session.scratch_path(spark, name))) or made[-1][1])
+    d = corpus_pipeline.near_dedup(spark, docs, SF)
+    there = [name for name, path in made if os.path.exists(path.removeprefix("file:"))]
+    assert {"sketches", "class-sketches", "class-texts", "links"} <= {name for name, _ in made}
+    assert sorted(there) == ["copies", "near-duplicates", "rows"]
+    assert d.count() and cut(d, "t").count() == d.count()
+
+
+def test_cut_tables_are_deleted_after_an_error_too(spark):
+    with pytest.raises(ValueError), passing(spark):
+        gone, stays = cut(spark.range(3), "a"), cut(spark.range(3), "b", stays=True)
+        raise ValueError
+    files = [Path(d.inputFiles()[0].removeprefix("file://")) for d in (stays, gone)]
+    assert [f.exists() for f in files] == [True, False] and files[0].name.endswith(".zstd.parquet")
+    assert cut(spark.range(3), "c").count() == 3  # tables outside stay
+
+
 def test_one_row_of_each_group_stays(spark):
     """Rows that repeat an id or have none, and texts that share an id without being alike."""
     a, b = " ".join(f"word{k}" for k in range(40)), " ".join(f"other{k}" for k in range(40))
