@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from addrweave.functions.geo import dist_point_line, dist_point_polygon, is_closed, ring_is_valid
 from addrweave.functions.tags import address_columns, has_tag, merge_tags
 from addrweave.operators.nearest import in_cells, nearest_in_piles, piles
-from addrweave.operators.spatial_join import box_pairs, by_merge, named_by, within_by_id, within_pairs
+from addrweave.operators.spatial_join import box_pairs, by_merge, named_by, semi_join_shared_out, within_by_id, within_pairs
 from addrweave.session import write_read
 
 AS_CODED = "as_coded"
@@ -90,15 +90,17 @@ def _import_points(imports: DataFrame) -> DataFrame:
     )
 
 
-def _addressed(local_all: DataFrame, imports: DataFrame, semantics: str) -> DataFrame:
-    """Local objects with a number and street that some import has too: id, keys, geometry and box only."""
+def _addressed(local_all: DataFrame, imports: DataFrame | None, semantics: str) -> DataFrame:
+    """Local objects with a number and street (that some import has too, if given): id, keys, geometry and box only."""
     _check_semantics(semantics)
     feats = local_all.where(F.col("hn").isNotNull() & F.col("street").isNotNull())
     if semantics == INTENDED:
         feats = feats.where(F.col("city").isNull())
-    wanted = imports.select(*address_columns("tags")[:2]).distinct()
     feats = feats.select("type", "id", "geom", "hn", "street", "min_lon", "min_lat", "max_lon", "max_lat")
-    return feats.join(by_merge(wanted), ["hn", "street"], "left_semi").withColumnsRenamed({"hn": "l_hn", "street": "l_street"})
+    if imports is not None:
+        wanted = imports.select(*address_columns("tags")[:2]).distinct()
+        feats = semi_join_shared_out(feats, wanted, ["hn", "street"], F.xxhash64("type", "id"))
+    return feats.withColumnsRenamed({"hn": "l_hn", "street": "l_street"})
 
 
 _ADDRESS_KEYS = [("i_hn", "l_hn"), ("i_street", "l_street")]
@@ -126,10 +128,10 @@ def nocity_pairs(imports: DataFrame, local_all: DataFrame, metres: float, semant
 
     As coded, the object's city is not looked at (Q2); ``intended`` requires it to be missing.
     The grid cell is part of the join key, so a hot (number, street) pair never
-    meets objects far away. If ``local_all`` is ``written`` (boxes are read twice), imports make rows for levels in use only.
+    meets objects far away, and its objects are not gathered in one task before. If ``local_all`` is ``written`` (boxes are read twice), imports make rows for levels in use only.
     """
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).drop("i_tags")
-    feats = _addressed(local_all, imports, semantics)
+    feats = _addressed(local_all, None, semantics)
     pairs = within_pairs(pts, feats, metres, dist_point_line, keys=_ADDRESS_KEYS, levels_in_use=written)
     return with_payload(pairs.select("import_id", "type", "id", "dist"), imports, local_all)
 
@@ -156,6 +158,8 @@ def nocity_picks(
     pts = _import_points(imports).where(F.col("i_hn").isNotNull() & F.col("i_street").isNotNull()).select("import_id", *spot)
     box = ["min_lon", "min_lat", "max_lon", "max_lat"]
     feats = _addressed(local_all, imports, semantics).groupBy("type", "l_hn", "l_street", "geom", *box).agg(F.min("id").alias("id"))
+    if keep is not None:
+        feats = keep(feats, "addressed")  # boxes are read twice
     spots = pts.select(*spot).distinct()
     crowds = piles(spots, metres)
     if crowds.isEmpty():

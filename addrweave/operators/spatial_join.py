@@ -55,6 +55,25 @@ def by_merge(side: DataFrame) -> DataFrame:
     return side.hint("merge")
 
 
+#: Rows of one key from which on a sorted join deals them out to several tasks.
+MANY_ROWS = 10_000
+
+
+def semi_join_shared_out(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], by: Column) -> DataFrame:
+    """``rows`` whose ``keys`` are among ``wanted`` (distinct). A key of ``MANY_ROWS`` rows or more comes in shares of about that
+    many, told by the hash ``by``, each of which meets the wanted key in a task of its own: left to itself, Spark splits a key from
+    256 MB of compressed rows on only, several GB once sorted. Such keys are counted by an aggregate and sent to all tasks, at most one for
+    ``MANY_ROWS`` rows."""
+    keys = list(keys)
+    many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= MANY_ROWS)
+    many = F.broadcast(many.select(*keys, F.ceil(F.col("_n") / MANY_ROWS).alias("_shares")))
+    shares = F.coalesce("_shares", F.lit(1))
+    columns = rows.columns
+    dealt = rows.join(many, keys, "left").withColumn("_share", F.pmod(by, shares)).drop("_shares")
+    each = wanted.join(many, keys, "left").select(*keys, F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)).alias("_share"))
+    return dealt.join(by_merge(each), [*keys, "_share"], "left_semi").select(*columns)
+
+
 # cells of a level, in base cells of at least 20 m: houses, blocks, regions (about 80 km), and half the earth, where
 # no feature has more than ``max_cells``
 LEVELS = (1, 16, 4096, 1 << 20)

@@ -96,3 +96,28 @@ def test_intended_city_filter_applies_before_copies_collapse(spark):
                                 "import_id int, tags map<string,string>, lon double, lat double")
     assert [r["id"] for r in M.nocity_matches(imp, la, 5.0).collect()] == [1]
     assert [r["id"] for r in M.nocity_matches(imp, la, 5.0, "intended").collect()] == [2]
+
+
+def test_objects_of_one_address_are_dealt_out(spark, monkeypatch):
+    """An address of many objects meets the imports' addresses in several tasks, and every object with a wanted address is kept once."""
+    from pyspark.sql import functions as F
+
+    from addrweave.operators import spatial_join
+
+    monkeypatch.setattr(spatial_join, "MANY_ROWS", 10)
+    addresses = [("1", "Main")] * 400 + [("7", "Elsewhere")] * 400 + [(str(k), "Side") for k in range(50)] + [(None, "Main"), ("1", None)]
+    rows = [("N", i if i % 9 else 0, hn, street, [(0.0, 0.0)], 0.0, 0.0, 0.0, 0.0) for i, (hn, street) in enumerate(addresses)]
+    schema = "type string, id bigint, hn string, street string, geom array<struct<lon:double,lat:double>>, min_lon double, min_lat double, max_lon double, max_lat double"
+    local_all = spark.createDataFrame(rows, schema)
+    wanted = [("1", "Main"), ("1", "Main"), ("3", "Side"), ("99", "Side"), (None, "Main"), ("1", None)]
+    imports = spark.createDataFrame([({k: v for k, v in (("addr:housenumber", hn), ("addr:street", street)) if v},) for hn, street in wanted], "tags map<string,string>")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = M._addressed(local_all, imports, M.AS_CODED).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    found = sorted((r["id"], r["l_hn"], r["l_street"]) for r in got)
+    assert found == sorted((r[1], r[2], r[3]) for r in rows if (r[2], r[3]) in {("1", "Main"), ("3", "Side")})
+    per_task = [sum(r["task"] == t and r["l_street"] == "Main" for r in got) for t in {r["task"] for r in got}]
+    assert len(per_task) > 4 and max(per_task) < 200
