@@ -382,6 +382,11 @@ def _placed(v: Vocabulary, context: np.ndarray, token: np.ndarray, shards: int)
     return np.where(is_hot, spread.astype(np.int64), own), np.where(is_hot, at, context - first), is_hot
 
 
+def _hash_of(shard: np.ndarray, tasks: int) -> np.ndarray:
+    """The least hash that deal() gives to each shard."""
+    return ((shard.astype(np.uint64) << _U(32)) + _U(tasks - 1)) // _U(tasks) << _U(32)  # rounded up
+
+
 def _quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A codebook of 256 means of equally filled bins, and the code of each value."""
     if not len(x):
@@ -406,7 +411,7 @@ def build_trie(train: DataFrame, v: Vocabulary) -> Trie:
 
     def by_shard(key: np.ndarray) -> np.ndarray:
         shard = _placed(v, (key // _U(v.size)).astype(np.int64), (key % _U(v.size)).astype(np.int64), tasks)[0]
-        return -(-(shard.astype(np.uint64) << _U(32)) // _U(tasks)) << _U(32)  # deal() gives the shard back
+        return _hash_of(shard, tasks)
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = _sums(frames)

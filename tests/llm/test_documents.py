@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from addrweave.llm import shared, suffix
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.langid import features, identify, learn
-from addrweave.llm.lm import MU, EliasFano, lm_scores
+from addrweave.llm.lm import MU, EliasFano, _hash_of, lm_scores
 from addrweave.llm.mixing import draw, mix, mix_plan, source_targets
 from addrweave.llm.quality import quality_rules
 from addrweave.llm.queries import tokenizer_file
 from addrweave.llm.setsketch import jaccard_estimate, merge, near_duplicates, registers
-from addrweave.llm.shared import text_chunks
+from addrweave.llm.shared import deal, text_chunks
 from addrweave.llm.suffix import remove_shared
 from addrweave.llm.token_file import TokenFile, read_token_files, write_token_files
 
@@ -280,6 +280,38 @@ def test_lm_scores(docs, doc_rows):
         assert abs(r.score - score) < 0.1 * len(w)  # 256 values hold the probabilities
 
 
+def test_shards_are_dealt_to_their_own_tasks():
+    """Only powers of two gave the shard back."""
+    for tasks in (1, 2, 3, 7, 8, 12, 51, 200, 600, 4096, 99_999):
+        shard = np.arange(tasks)
+        assert [(t, of.tolist()) for t, of in deal(_hash_of(shard, tasks), tasks)] == [(t, [t]) for t in range(tasks)]
+
+
+@pytest.mark.parametrize("shards", [1, 3, 12, 51])
+def test_lm_scores_for_any_number_of_shards(spark, shards):
+    """Level-2 shards were written under the numbers of others: bigrams were not found, and some shards raised an IndexError."""
+    rnd = random.Random(7)
+    rows = [(i, " ".join(f"w{int(300 * rnd.random() ** 3)}" for _ in range(rnd.randrange(60)))) for i in range(300)]
+    uni, bi = Counter(), Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 10:
+            w = [*words(t), None]
+            uni.update(w)
+            bi.update(zip([None, *w[:-1]], w))
+    n, v = sum(uni.values()), len(uni)
+    p = lambda w: (uni[w] + 0.1) / (n + 0.1 * (v + 1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", shards)
+    try:
+        got = {r.doc_id: r.score for r in lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for i, t in rows:
+        w = [*words(t), None]
+        score = sum(math.log10((bi[c, x] + MU * p(x)) / (uni[c] + MU)) if uni[c] else math.log10(p(x)) for c, x in zip([None, *w[:-1]], w))
+        assert abs(got[i] - score) < 0.1 * len(w)  # 256 values hold the probabilities
+
+
 # ------------------------------------------------------------------ quality
 
 
