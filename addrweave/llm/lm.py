@@ -11,7 +11,7 @@ follower stands its smoothed probability, quantised to 256 values of a codebook.
 by successor search within its context's range; one that is not there has the context's share of the base.
 
 Both levels are cut into shards, written to the shared folder by the tasks that count them and mapped
-into memory by the tasks that score. A level-2 shard holds a range of contexts; contexts that hold more than
+into memory by the tasks that score, which look up the bigrams of many texts together, shard by shard. A level-2 shard holds a range of contexts; contexts that hold more than
 half a shard's tokens are dealt out by follower over all shards. Tokens are counted within a task
 before they travel, so a frequent one is one row for each task.
 
@@ -32,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from addrweave.llm.shared import Texts, cut, deal, hash_spans, lower_ascii, mix64, pack, read_shared, runs, text_chunks, tidy, unpack, word_spans, write_shared
+from addrweave.llm.shared import Texts, among, cut, deal, hash_spans, lower_ascii, mix64, pack, read_shared, runs, text_chunks, tidy, unpack, word_spans, write_shared
 from addrweave.session import scratch_path
 
 MU = 2.0
 HELD_OUT = 10
 SENT = 2_000_000  # distinct n-grams that a task gathers before it sends them on
+AT_ONCE = 2_000_000  # bigrams of several chunks of text that are looked up together, so that each shard is searched once for all of them
+OPEN = 256  # shards of a level that stay mapped
 _U = np.uint64
 _END = _U(0xE0D0E0D0E0D0E0D1)  # the hash that stands for the end of a text
 
@@ -119,10 +121,8 @@ class EliasFano:
         """Place of each value, or -1; searched from its successor within [start, end) if given."""
         x = x.astype(np.uint64)
         h = (x >> _U(self.low_bits)).astype(np.int64)
-        b = np.zeros(len(x), np.int64)
-        later = h > 0
-        b[later] = _select(self.high, self.before, h[later] - 1, False) - (h[later] - 1)
-        e = _select(self.high, self.before, h, False) - h
+        b, e = np.split(_select(self.high, self.before, np.r_[np.maximum(h - 1, 0), h], False), 2)
+        b, e = np.where(h > 0, b - (h - 1), 0), e - h
         if start is not None:
             b, e = np.maximum(b, start), np.minimum(e, end)
         low, limit = x & _U((1 << self.low_bits) - 1), e.copy()
@@ -171,6 +171,47 @@ def _tokens(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     return out, n + 1
 
 
+@dataclass
+class Chunk:
+    """The distinct tokens of some texts (hashes, sorted) and their distinct bigrams (places of context and token among
+    these, sorted); the bigram that each token closes, and the number of each text's tokens."""
+
+    hashes: np.ndarray
+    context: np.ndarray
+    token: np.ndarray
+    back: np.ndarray
+    n: np.ndarray
+
+
+def _bigrams(t: Texts) -> Chunk:
+    h, n = _tokens(t)
+    distinct, token = np.unique(h, return_inverse=True)
+    ends = np.cumsum(n)
+    context = np.r_[0, token[:-1]]
+    context[ends - n] = token[ends - 1]  # every text closes with the end, which also stands before it
+    pair, back = np.unique(context * len(distinct) + token, return_inverse=True)
+    return Chunk(distinct, *(x.astype(np.int32) for x in (*np.divmod(pair, len(distinct)), back)), n)
+
+
+def _groups(chunks: Iterator, size) -> Iterator[list]:
+    """Lists of chunks with AT_ONCE bigrams or one chunk more."""
+    group, held = [], 0
+    for c in chunks:
+        group.append(c)
+        held += size(c)
+        if held >= AT_ONCE:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
+def _together(chunks: list[Chunk]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct hashes of all chunks, and the places of each chunk's among them."""
+    distinct, back = np.unique(np.concatenate([c.hashes for c in chunks]), return_inverse=True)
+    return distinct, np.split(back, np.cumsum([len(c.hashes) for c in chunks])[:-1])
+
+
 def _add_up(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and their sums."""
     order = np.argsort(key, kind="stable")
@@ -186,8 +227,7 @@ class _Gather:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
-    def add(self, key: np.ndarray) -> None:
-        key, n = np.unique(key, return_counts=True)
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
         self.parts.append((key, n))
         self.size += len(key)
 
@@ -224,6 +264,8 @@ class Vocabulary:
 
     def shard(self, s: int) -> tuple[EliasFano, np.ndarray]:
         if s not in self._open:
+            if len(self._open) >= OPEN:
+                self._open.clear()
             r = _Reader(self.files[s][0])
             ef = r.elias_fano()
             self._open[s] = ef, r.take(ef.n, "<u8")
@@ -258,8 +300,8 @@ def _tasks(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _gathered(train: DataFrame, keys, dealt_by, tasks: int) -> DataFrame:
-    """Rows (task, blob) of the sums of ``keys(texts)``; ``dealt_by(keys)`` gives hashes to deal them by."""
+def _gathered(train: DataFrame, counted, dealt_by, tasks: int) -> DataFrame:
+    """Rows (task, blob) of the sums of ``counted(chunks of texts)``, distinct keys and their numbers; ``dealt_by(keys)`` gives hashes to deal them by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = _Gather()
@@ -270,11 +312,10 @@ def _gathered(train: DataFrame, keys, dealt_by, tasks: int) -> DataFrame:
             rows = [(task, pack(key=np.diff(key[of], prepend=key.dtype.type(0)), n=n[of])) for task, of in ((t, np.sort(of)) for t, of in deal(dealt_by(key), tasks))]
             return pa.RecordBatch.from_pydict({"task": [r[0] for r in rows], "blob": [r[1] for r in rows]}, schema=pa.schema([("task", pa.int32()), ("blob", pa.binary())]))
 
-        for batch in batches:
-            for _, _, t in text_chunks(batch.column(0)):
-                g.add(keys(t))
-                if g.full():
-                    yield flush()
+        for key, n in counted(t for batch in batches for _, _, t in text_chunks(batch.column(0))):
+            g.add(key, n)
+            if g.full():
+                yield flush()
         if g.size:
             yield flush()
 
@@ -304,7 +345,10 @@ def build_vocabulary(train: DataFrame) -> Vocabulary:
             write_shared(name, [*EliasFano.build(key >> _U(8), 1 << 56).parts(), n.astype("<u8")])
             yield pd.DataFrame({"task": [task], "file": [name], "size": [len(key)], "total": [int(n.sum())]})
 
-    found = cut(_gathered(train, lambda t: _tokens(t)[0], lambda key: key, tasks).mapInPandas(tidy(write), "task int, file string, size bigint, total bigint"), "lm-vocabulary-files")
+    def counted(texts: Iterator[Texts]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        return (np.unique(_tokens(t)[0], return_counts=True) for t in texts)
+
+    found = cut(_gathered(train, counted, lambda key: key, tasks).mapInPandas(tidy(write), "task int, file string, size bigint, total bigint"), "lm-vocabulary-files")
     rows = {r.task: r for r in found.collect()}  # one row per shard
     files = [(rows[s].file, rows[s].size) if s in rows else ("", 0) for s in range(tasks)]
     vocabulary = Vocabulary(files, sum(r.total for r in rows.values()))
@@ -339,6 +383,8 @@ class Trie:
 
     def shard(self, s: int) -> list:
         if s not in self._open:
+            if len(self._open) >= OPEN:
+                self._open.clear()
             out = []
             if self.files[s]:
                 r = _Reader(self.files[s])
@@ -350,12 +396,12 @@ class Trie:
         return self._open[s]
 
     def log10(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """Quantised log10 probability of each follower; NaN if it is not in the trie."""
+        """Quantised log10 probability of each follower; NaN if it is not in the trie. Sorted contexts are found fastest."""
         v, out = self.vocabulary, np.full(len(context), np.nan)
         shard, ordinal, is_hot = _placed(v, context, token, len(self.files))
-        order = np.lexsort((ordinal, is_hot, shard))
-        group = shard[order] * 2 + is_hot[order]
-        at = runs(group)
+        group = shard * 2 + is_hot
+        order = np.argsort(group.astype(np.uint16) if len(self.files) < 1 << 15 else group, kind="stable")  # 16 bits: a radix sort
+        at = runs(group[order])
         for a, b in zip(at, [*at[1:], len(order)]):
             rows = order[a:b]
             levels = self.shard(int(shard[rows[0]]))
@@ -364,8 +410,9 @@ class Trie:
             pointers, followers, book, codes = levels[int(is_hot[rows[0]])]
             if not followers.n:
                 continue
-            k, back = np.unique(ordinal[rows], return_inverse=True)
-            start, end = (pointers.access(x).astype(np.int64)[back] for x in (k, k + 1))
+            first = runs(ordinal[rows])
+            k = ordinal[rows[first]]
+            start, end = np.repeat(pointers.access(np.r_[k, k + 1]).astype(np.int64).reshape(2, -1), np.diff(np.r_[first, len(rows)]), 1)
             i = followers.find(token[rows].astype(np.uint64) + ordinal[rows].astype(np.uint64) * _U(v.size), start, end)
             out[rows[i >= 0]] = book[codes[i[i >= 0]]]
         return out
@@ -374,12 +421,13 @@ class Trie:
 def _placed(v: Vocabulary, context: np.ndarray, token: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shard of each bigram, ordinal of its context there, and whether the context is hot."""
     hot = np.array(v.hot, np.int64)
-    at = np.searchsorted(hot, context)
-    is_hot = (hot[np.minimum(at, max(len(hot) - 1, 0))] == context) if len(hot) else np.zeros(len(context), bool)
-    spread = mix64(context.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + token.astype(np.uint64)) % _U(shards)
-    own = context * shards // max(v.size, 1)
-    first = -(-own * v.size // shards)  # smallest id of the shard
-    return np.where(is_hot, spread.astype(np.int64), own), np.where(is_hot, at, context - first), is_hot
+    shard = context * shards // max(v.size, 1)
+    ordinal = context + -shard * v.size // shards  # less the smallest id of the shard
+    is_hot = among(context, hot)
+    at = np.flatnonzero(is_hot)
+    spread = mix64(context[at].astype(np.uint64) * _U(0x9E3779B97F4A7C15) + token[at].astype(np.uint64)) % _U(shards)
+    shard[at], ordinal[at] = spread.astype(np.int64), np.searchsorted(hot, context[at])
+    return shard, ordinal, is_hot
 
 
 def _hash_of(shard: np.ndarray, tasks: int) -> np.ndarray:
@@ -401,13 +449,12 @@ def build_trie(train: DataFrame, v: Vocabulary) -> Trie:
     """Count the bigrams of the training texts and write level 2."""
     tasks, folder = _tasks(train), scratch_path(train.sparkSession, "lm-trie")
 
-    def keys(t: Texts) -> np.ndarray:
-        h, n = _tokens(t)
-        distinct, back = np.unique(h, return_inverse=True)
-        token = v.find(distinct)[0][back]
-        context = np.r_[0, token[:-1]]
-        context[np.cumsum(n) - n] = token[np.cumsum(n) - 1]  # the end also stands before a text
-        return context.astype(np.uint64) * _U(v.size) + token.astype(np.uint64)
+    def counted(texts: Iterator[Texts]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for chunks in _groups(map(_bigrams, texts), lambda c: len(c.context)):
+            distinct, places = _together(chunks)
+            ids = v.find(distinct)[0].astype(np.uint64)
+            for c, at in zip(chunks, places, strict=True):
+                yield ids[at[c.context]] * _U(v.size) + ids[at[c.token]], np.bincount(c.back)
 
     def by_shard(key: np.ndarray) -> np.ndarray:
         shard = _placed(v, (key // _U(v.size)).astype(np.int64), (key % _U(v.size)).astype(np.int64), tasks)[0]
@@ -419,17 +466,18 @@ def build_trie(train: DataFrame, v: Vocabulary) -> Trie:
             task, key, n = got
             context, token = (key // _U(v.size)).astype(np.int64), (key % _U(v.size)).astype(np.int64)
             _, ordinal, is_hot = _placed(v, context, token, tasks)
+            distinct, back = np.unique(token, return_inverse=True)
+            first = runs(context)
+            counts = v.counts(np.r_[distinct, context[first]])  # one visit to the shards of level 1
+            base = v.base(counts[: len(distinct)])[back]
+            p = np.log10((n + MU * base) / (np.repeat(counts[len(distinct) :], np.diff(np.r_[first, len(context)])) + MU))
             parts = []
             for side in (False, True):
                 rows = is_hot == side
                 n_contexts = len(v.hot) if side else -(-(task + 1) * v.size // tasks) - (-(-task * v.size // tasks))
-                distinct, back = np.unique(token[rows], return_inverse=True)
-                base = v.base(v.counts(distinct))[back]
-                distinct, back = np.unique(context[rows], return_inverse=True)
-                p = np.log10((n[rows] + MU * base) / (v.counts(distinct)[back] + MU))
-                book, code = _quantise(p)
+                book, code = _quantise(p[rows])
                 starts = np.searchsorted(ordinal[rows], np.arange(n_contexts + 1))
-                parts += EliasFano.build(starts, len(p) + 1).parts()
+                parts += EliasFano.build(starts, len(code) + 1).parts()
                 values = token[rows].astype(np.uint64) + ordinal[rows].astype(np.uint64) * _U(v.size)
                 parts += EliasFano.build(values, max(1, n_contexts) * v.size).parts()
                 parts += [book.astype("<f8"), np.r_[code, np.zeros(-len(code) % 8, np.uint8)]]
@@ -437,7 +485,7 @@ def build_trie(train: DataFrame, v: Vocabulary) -> Trie:
             write_shared(name, parts)
             yield pd.DataFrame({"task": [task], "file": [name]})
 
-    rows = cut(_gathered(train, keys, by_shard, tasks).mapInPandas(tidy(write), "task int, file string"), "lm-trie-files").collect()  # one row per shard
+    rows = cut(_gathered(train, counted, by_shard, tasks).mapInPandas(tidy(write), "task int, file string"), "lm-trie-files").collect()  # one row per shard
     files = {r.task: r.file for r in rows}
     return Trie(v, [files.get(s, "") for s in range(tasks)])
 
@@ -456,37 +504,38 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     vocabulary = build_vocabulary(train)
     trie = build_trie(train, vocabulary)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Array], Chunk]]:
         for batch in batches:
             for i, j, t in text_chunks(batch.column(1)):
-                n_tokens, n_known, base, score = score_texts(t, vocabulary, trie)
-                part = batch.slice(i, j - i)
-                columns = [part.column(0), part.column(2), pa.array(n_tokens), pa.array(n_known), pa.array(np.full(j - i, vocabulary.total)), pa.array(base), pa.array(score)]
+                yield [batch.column(k).take(pa.array(np.arange(i, j))) for k in (0, 2)], _bigrams(t)  # copies: the batch is not held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(chunks(batches), lambda x: len(x[1].context)):
+            for (rows, c), (known, base, score) in zip(group, score_chunks([c for _, c in group], vocabulary, trie), strict=True):
+                columns = [*rows, pa.array(c.n), pa.array(known), pa.array(np.full(len(c.n), vocabulary.total)), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     out = d.mapInArrow(tidy(run), "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
 
 
-def score_texts(t: Texts, v: Vocabulary, trie: Trie) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, known tokens, base score and score of each text."""
-    h, n = _tokens(t)
-    distinct, back = np.unique(h, return_inverse=True)
+def score_chunks(chunks: list[Chunk], v: Vocabulary, trie: Trie) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Known tokens, base score and score of each text, chunk by chunk."""
+    distinct, places = _together(chunks)
     ids, counts = v.find(distinct)
     base = np.log10(v.base(counts))
-    ends = np.cumsum(n)
-    before = np.full(len(h), -1, np.int64)
-    before[1:] = back[:-1]
-    before[ends - n] = back[ends - 1]  # every text closes with the end, which also stands before it
     # each distinct bigram once; an unknown context or token leaves the base
-    pair, again = np.unique(before.astype(np.int64) * len(distinct) + back, return_inverse=True)
-    b, w = pair // len(distinct), pair % len(distinct)
-    p = base[w].copy()
+    pair, again = np.unique(np.concatenate([at[c.context] * len(distinct) + at[c.token] for c, at in zip(chunks, places, strict=True)]), return_inverse=True)
+    b, w = (x.astype(np.int32) for x in np.divmod(pair, len(distinct)))
+    again = again.astype(np.int32)
+    del pair
+    p = base[w]
     known = ids[b] >= 0
     p[known] = np.log10(MU * v.base(counts[w[known]]) / (counts[b[known]] + MU))
     both = np.flatnonzero(known & (ids[w] >= 0))
     found = trie.log10(ids[b[both]], ids[w[both]])
     hit = ~np.isnan(found)
     p[both[hit]] = found[hit]
-    at = ends - n
-    return n, np.add.reduceat((counts[back] > 0).astype(np.int64), at), np.add.reduceat(base[back], at), np.add.reduceat(p[again], at)
+    for c, of in zip(chunks, np.split(again, np.cumsum([len(c.context) for c in chunks])[:-1]), strict=True):
+        at = np.cumsum(c.n) - c.n
+        yield tuple(np.add.reduceat(x[c.back], at) for x in ((counts[w[of]] > 0).astype(np.int64), base[w[of]], p[of]))

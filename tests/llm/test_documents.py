@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from addrweave.llm import shared, suffix
+from addrweave.llm import lm, shared, suffix
 from addrweave.llm.bpe import bpe_encode
 from addrweave.llm.langid import features, identify, learn
 from addrweave.llm.lm import MU, EliasFano, _hash_of, lm_scores
@@ -312,6 +312,27 @@ def test_lm_scores_for_any_number_of_shards(spark, shards):
         assert abs(got[i] - score) < 0.1 * len(w)  # 256 values hold the probabilities
 
 
+def test_bigrams_of_many_chunks_are_looked_up_together(spark, monkeypatch):
+    """Every chunk searched every shard, and all shards stayed mapped."""
+    monkeypatch.setattr(lm, "OPEN", 2)
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{int(200 * rnd.random() ** 2)}" for _ in range(rnd.randrange(40))) for _ in range(120)]
+    train = spark.createDataFrame([(x,) for x in texts[:90]], "text string")
+    v = lm.build_vocabulary(train)
+    trie = lm.build_trie(train, v)
+    chunks = [lm._bigrams(t) for _, _, t in text_chunks(pa.array(texts), 400)]
+    assert len(chunks) > 20 and [len(g) for g in lm._groups(iter(chunks), lambda c: len(c.context))] == [len(chunks)]
+    alone = [x for c in chunks for x in lm.score_chunks([c], v, trie)]
+    searched = []
+    find = EliasFano.find
+    monkeypatch.setattr(EliasFano, "find", lambda *a: searched.append(1) or find(*a))
+    together = list(lm.score_chunks(chunks, v, trie))
+    assert len(searched) <= 3 * 8  # shards of the vocabulary, and twice of the trie
+    assert len(v._open) <= 2 and len(trie._open) <= 2
+    for a, b in zip(alone, together, strict=True):
+        assert all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
 # ------------------------------------------------------------------ quality
 
 
